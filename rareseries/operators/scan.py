@@ -1,26 +1,98 @@
 """Score a whole panel into scan rows.
 
-Plan shape: the moments are one partially-aggregated ``groupBy(id)``; the
-order-dependent parts (compact positions, lag pairs, targets) share one
-exchange on ``(id, _chunk)``; quartiles/adjacent values/rare counts are
-aggregates over the targets; the hash is one ordered stream per series. The
-per-series results are joined to the header, which keeps series without any
-point (they become ``skipped_short`` rows).
+Series are split by length once (one small aggregate and a count):
+
+* bounded series (at most ``chunk_rows`` points) take the window form: every
+  window is partitioned by ``id``, so compact positions, the lag-1 pairs, the
+  quartiles, adjacent values, relevance and the final aggregate share one
+  exchange and one sort, and no task holds more than ``chunk_rows`` points of
+  one series;
+* longer series take the chunked form of :mod:`rareseries.plans`: windows on
+  ``(id, _chunk)``, per-series statistics attached with chunk-salted joins,
+  exact quartiles by histogram refinement.
+
+The hash is one ordered stream per series. Per-series results are joined to
+the header, which keeps series without any point (``skipped_short`` rows).
 """
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
+from ..functions.levels import imbalance_level, relevance
 from ..params import DEFAULT, NOTE_MAX_CHARS, ScoreParams
+from ..plans.joins import MAX_BROADCAST_ROWS
 from ..plans.sequence import compact
 from ..schemas import HEADER_FIELDS, SCAN_COLUMNS
 from .hashing import content_hashes, with_empty_hash
 from .profile import base_stats, cv, kurtosis_unbiased, lag1_pairs_stats, missing_pct, skewness_unbiased
 from .relevance import imbalance_scores, targets
 
-SCORE_COLUMNS = ["N", "n_normal", "n_rare", "IR", "pct_rare", "imbalance_level"]
-MOMENT_COLUMNS = ["mean", "std", "cv", "skewness", "kurtosis", "autocorr_lag1"]
+STAT_COLUMNS = ["id", "length", "n_obs", "n_missing", "n_infinite", "mean", "std", "_var_pop", "_g1", "_g2",
+                "autocorr_lag1", "N", "n_rare"]
+_UNB = Window.unboundedPreceding
+
+
+def _autocorr(cov, sx, sl) -> F.Column:
+    r = F.try_divide(cov, sx * sl)
+    return F.when((sx > 0) & (sl > 0), F.least(F.greatest(r, F.lit(-1.0)), F.lit(1.0)))
+
+
+def stats_bounded(pv: DataFrame, params: ScoreParams = DEFAULT) -> DataFrame:
+    """All per-series statistics from windows on ``id`` (one exchange, one sort)."""
+    v, y = F.col("value"), F.col("y")
+    w_ord = Window.partitionBy("id").orderBy("pos")
+    w_all = Window.partitionBy("id")
+    d = (pv.withColumn("cpos", F.when(v.isNotNull(), F.count(v).over(w_ord.rowsBetween(_UNB, 0)) - 1))
+           .withColumn("prev", F.when(v.isNotNull(), F.last(v, ignorenulls=True).over(w_ord.rowsBetween(_UNB, -1))))
+           .withColumn("y", F.when(F.col("cpos") >= params.k, v))
+           .withColumn("_q", F.percentile(y, F.array(F.lit(0.25), F.lit(0.5), F.lit(0.75))).over(w_all)))
+    iqr = F.col("_q")[2] - F.col("_q")[0]
+    d = (d.withColumn("median", F.col("_q")[1])
+          .withColumn("_lf", F.col("_q")[0] - F.lit(params.rel_coef) * iqr)
+          .withColumn("_uf", F.col("_q")[2] + F.lit(params.rel_coef) * iqr))
+    hi_ok = params.rel_xtrm_type in ("both", "high")
+    lo_ok = params.rel_xtrm_type in ("both", "low")
+    d = (d.withColumn("hi_adj", F.max(F.when(y <= F.col("_uf"), y)).over(w_all))
+          .withColumn("lo_adj", F.min(F.when(y >= F.col("_lf"), y)).over(w_all))
+          .withColumn("hi_on", (F.count_if(y > F.col("_uf")).over(w_all) > 0) & F.lit(hi_ok))
+          .withColumn("lo_on", (F.count_if(y < F.col("_lf")).over(w_all) > 0) & F.lit(lo_ok)))
+    phi = F.when(y.isNotNull(), relevance("y", "median", "hi_adj", "lo_adj", "hi_on", "lo_on"))
+    finite = v.isNull() | ((v != F.lit(float("inf"))) & (v != F.lit(float("-inf"))))
+    paired = F.when(F.col("prev").isNotNull(), v)
+    agg = d.groupBy("id").agg(
+        F.count(F.lit(1)).alias("length"), F.count(v).alias("n_obs"),
+        F.count_if(v.isNull()).alias("n_missing"), F.count_if(~finite).alias("n_infinite"),
+        F.avg(v).alias("mean"), F.stddev_samp(v).alias("std"), F.var_pop(v).alias("_var_pop"),
+        F.skewness(v).alias("_g1"), F.kurtosis(v).alias("_g2"),
+        F.covar_pop(paired, F.col("prev")).alias("_cov"), F.stddev_pop(paired).alias("_sx"),
+        F.stddev_pop("prev").alias("_sl"),
+        F.count(y).alias("N"), F.count_if(phi >= F.lit(params.rel_thres)).alias("n_rare"))
+    return agg.withColumn("autocorr_lag1", _autocorr(F.col("_cov"), F.col("_sx"), F.col("_sl"))) \
+              .select(*STAT_COLUMNS)
+
+
+def stats_chunked(pv: DataFrame, params: ScoreParams = DEFAULT) -> DataFrame:
+    """The same statistics for series longer than ``chunk_rows`` (no window on a whole series)."""
+    comp = compact(pv, params.chunk_rows)
+    scores = imbalance_scores(targets(comp, params.k), params).select("id", "N", "n_rare")
+    return (base_stats(pv)
+            .join(lag1_pairs_stats(comp), "id", "left")
+            .join(scores, "id", "left")
+            .select(*STAT_COLUMNS))
+
+
+def series_stats(pv: DataFrame, params: ScoreParams = DEFAULT) -> DataFrame:
+    """Route every series to the bounded or the chunked form by its length."""
+    lengths = pv.groupBy("id").agg(F.count(F.lit(1)).alias("_len"))
+    hot = lengths.filter(F.col("_len") > params.chunk_rows).select("id")
+    n_hot = hot.count()
+    if n_hot == 0:
+        return stats_bounded(pv, params)
+    # At most total_rows / chunk_rows ids; counted above.
+    hot_ids = F.broadcast(hot) if n_hot <= MAX_BROADCAST_ROWS else hot
+    return stats_bounded(pv.join(hot_ids, "id", "left_anti"), params).unionByName(
+        stats_chunked(pv.join(hot_ids, "id", "left_semi"), params))
 
 
 def status_column(n, n_infinite, params: ScoreParams = DEFAULT) -> F.Column:
@@ -41,14 +113,7 @@ def score_panel(header: DataFrame, panel: DataFrame, params: ScoreParams = DEFAU
                 with_hash: bool = True) -> DataFrame:
     """24-column scan rows (``pct_rare`` for ``%Rare``), one per header row."""
     pv = panel.select("id", "pos", "value")
-    base = base_stats(pv)
-    comp = compact(pv, params.chunk_rows)
-    ac = lag1_pairs_stats(comp)
-    scores = imbalance_scores(targets(comp, params.k), params)
-    rows = (header.select(*HEADER_FIELDS)
-            .join(base, "id", "left")
-            .join(ac, "id", "left")
-            .join(scores, "id", "left"))
+    rows = header.select(*HEADER_FIELDS).join(series_stats(pv, params), "id", "left")
     if with_hash:
         rows = rows.join(content_hashes(pv), "id", "left")
     else:
@@ -58,13 +123,20 @@ def score_panel(header: DataFrame, panel: DataFrame, params: ScoreParams = DEFAU
     n_inf = F.coalesce(F.col("n_infinite"), F.lit(0))
     status = status_column(n, n_inf, params)
     ok = status == "ok"
-    moments = status != "skipped_short"
-    has_moments = moments & (n_inf == 0)
+    has_moments = (status != "skipped_short") & (n_inf == 0)
+    big_n, rare = F.col("N"), F.col("n_rare")
+    pct = F.lit(100.0) * F.try_divide(rare.cast("double"), big_n)
     out = rows.select(
         *HEADER_FIELDS,
         F.coalesce(F.col("length"), F.lit(0)).cast("long").alias("length"),
         with_empty_hash().alias("content_hash") if with_hash else F.col("content_hash"),
-        *[F.when(ok, F.col(c)).alias(c) for c in SCORE_COLUMNS],
+        F.when(ok, big_n).alias("N"),
+        F.when(ok, big_n - rare).alias("n_normal"),
+        F.when(ok, rare).alias("n_rare"),
+        F.when(ok, F.when(rare == 0, F.lit(float("inf")))
+               .otherwise(F.try_divide((big_n - rare).cast("double"), rare))).alias("IR"),
+        F.when(ok, pct).alias("pct_rare"),
+        F.when(ok, imbalance_level(rare, pct)).alias("imbalance_level"),
         missing_pct().alias("missing_pct"),
         F.when(has_moments, F.col("mean")).alias("mean"),
         F.when(has_moments, F.col("std")).alias("std"),

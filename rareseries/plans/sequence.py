@@ -50,18 +50,19 @@ def number_rows(df: DataFrame, keys: list[str], order: list[str], out: str = "po
         *keys, "_lo", "_hi", F.ceil(F.col("_n") / F.lit(chunk_rows)).alias("_nb"))
     # At most total_rows / chunk_rows keys can be hot; checked before broadcasting.
     n_hot = hot.count()
-    if n_hot:
-        side = F.broadcast(hot) if n_hot <= MAX_BROADCAST_ROWS else hot
-        d = d.join(side, keys, "left")
-        span = F.col("_hi") - F.col("_lo")
-        bucket = (F.when(F.col("_nb").isNull(), F.lit(0))
-                   .when(F.col("_o1").isNull(), F.col("_nb") - 1)
-                   .when(span <= 0, F.lit(0))
-                   .otherwise(F.least(F.floor((F.col("_o1") - F.col("_lo")) / span * F.col("_nb")),
-                                      F.col("_nb") - 1)))
-        d = d.withColumn(CHUNK, bucket.cast("long")).drop("_lo", "_hi", "_nb")
-    else:
-        d = d.withColumn(CHUNK, F.lit(0).cast("long"))
+    if not n_hot:
+        # Every key fits in one task: a plain window is the whole job.
+        w = Window.partitionBy(*keys).orderBy(*[F.col(c).asc_nulls_last() for c in order])
+        return df.withColumn(out, (F.row_number().over(w) - 1).cast("long"))
+    side = F.broadcast(hot) if n_hot <= MAX_BROADCAST_ROWS else hot
+    d = d.join(side, keys, "left")
+    span = F.col("_hi") - F.col("_lo")
+    bucket = (F.when(F.col("_nb").isNull(), F.lit(0))
+               .when(F.col("_o1").isNull(), F.col("_nb") - 1)
+               .when(span <= 0, F.lit(0))
+               .otherwise(F.least(F.floor((F.col("_o1") - F.col("_lo")) / span * F.col("_nb")),
+                                  F.col("_nb") - 1)))
+    d = d.withColumn(CHUNK, bucket.cast("long")).drop("_lo", "_hi", "_nb")
     w = Window.partitionBy(*keys, CHUNK).orderBy(*[F.col(c).asc_nulls_last() for c in order])
     d = d.withColumn("_rn", F.row_number().over(w))
     counts = d.groupBy(*keys, CHUNK).agg(F.count(F.lit(1)).alias("_c"))
