@@ -21,15 +21,15 @@ def split_id(id_) -> Column:
 
 
 def id_part(id_, i: int) -> Column:
-    return split_id(id_).getItem(i)
+    """Part ``i`` of an id (NULL when the id has fewer parts)."""
+    return F.get(split_id(id_), i)
 
 
 def blob_path(id_) -> Column:
     """``source/collection/<md5(id)[:2]>/<key with [^a-z0-9._-] -> '-'>.parquet``."""
-    parts = split_id(id_)
-    safe_key = F.regexp_replace(parts.getItem(2), r"[^a-z0-9._-]", "-")
+    safe_key = F.regexp_replace(id_part(id_, 2), r"[^a-z0-9._-]", "-")
     shard = F.substring(F.md5(_c(id_)), 1, 2)
-    return F.concat_ws("/", parts.getItem(0), parts.getItem(1), shard, F.concat(safe_key, F.lit(".parquet")))
+    return F.concat_ws("/", id_part(id_, 0), id_part(id_, 1), shard, F.concat(safe_key, F.lit(".parquet")))
 
 
 def unsafe_path(path) -> Column:

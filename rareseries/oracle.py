@@ -218,6 +218,300 @@ def autocorr_sql() -> str:
     return f"""WITH {_ctes('events_gaps')} SELECT id, ROUND(autocorr_lag1, {R}) AS autocorr_lag1 FROM ac"""
 
 
+
+# ---------------------------------------------------------------------------
+# Scan table, catalog, publish, retrieval, drift
+# ---------------------------------------------------------------------------
+
+CATALOG_RUNS = ("events_gaps", "orders", "entries", "wide")
+EXAMPLES = ("events_gaps", "orders", "emb3", "daily_wide", "m4_monthly")
+EARLIER_ORDERS = TablePanel("orders", "orders", "o_custkey", ("o_orderdate", "o_orderkey"), "o_totalprice",
+                            "o_orderdate < TIMESTAMP '1997-01-01 00:00:00'")
+PUBLISH_STAMP = ("rev-0001", "0.1.0", "2026-01-01T00:00:00+00:00")
+
+
+def catalog_scan_sql(runs=CATALOG_RUNS) -> str:
+    return " UNION ALL ".join(f"SELECT *, CAST({i} AS BIGINT) AS ord FROM ({scan_rows_sql(panel_sql(n))})"
+                              for i, n in enumerate(runs))
+
+
+def accepted_sql() -> str:
+    return "COALESCE(status = 'ok' AND n_rare > 0, FALSE)"
+
+
+def license_sql() -> str:
+    return ("CASE WHEN source = 'tslib' THEN 'unknown' WHEN starts_with(collection, 'm4') THEN 'unlicensed' "
+            "ELSE 'cc-by-4.0' END")
+
+
+def build_series_sql(scan: str, p: ScoreParams = DEFAULT) -> str:
+    g = normalize_granularity_sql("granularity")
+    return f"""SELECT id, name, source, collection, {license_sql()} AS license, {g} AS granularity, time_column,
+        length, dtype, CAST(NULL AS BIGINT) AS size_bytes, N, n_normal, n_rare, IR, pct_rare, imbalance_level,
+        CAST({p.rel_thres} AS DOUBLE) AS rel_thres, CAST({p.rel_coef} AS DOUBLE) AS rel_coef,
+        '{p.rel_xtrm_type}' AS rel_xtrm_type, CAST({p.k} AS BIGINT) AS k, {str(p.embed).upper()} AS embed,
+        {str(p.diff).upper()} AS diff, missing_pct, mean, std, cv, skewness, kurtosis, autocorr_lag1,
+        {seasonal_period_sql(g)} AS seasonal_period,
+        CAST(NULL AS VARCHAR) AS blob_path, CAST(NULL AS VARCHAR) AS hf_revision,
+        CAST(NULL AS VARCHAR) AS pipeline_version, CAST(NULL AS VARCHAR) AS ingested_at
+      FROM ({scan}) WHERE {accepted_sql()}"""
+
+
+def series_sql() -> str:
+    return build_series_sql(catalog_scan_sql())
+
+
+def build_scanned_sql() -> str:
+    return f"""SELECT id, N, n_rare, pct_rare, IR, imbalance_level,
+        CASE WHEN {accepted_sql()} THEN 'accepted' ELSE 'rejected' END AS verdict
+      FROM ({catalog_scan_sql()})"""
+
+
+def scan_summary_sql() -> str:
+    return f"""WITH s AS ({catalog_scan_sql()})
+      SELECT 'total' AS section, CAST(NULL AS VARCHAR) AS value, COUNT(*) AS n FROM s
+      UNION ALL SELECT 'status', status, COUNT(*) FROM s GROUP BY status
+      UNION ALL SELECT 'imbalance_level', imbalance_level, COUNT(*) FROM s GROUP BY imbalance_level
+      UNION ALL SELECT 'passed', NULL, COUNT(*) FILTER (WHERE COALESCE(n_rare, 0) > 0) FROM s"""
+
+
+def resume_anti_sql() -> str:
+    return f"""WITH cur AS (SELECT DISTINCT id, source, collection, name FROM ({panel_sql('orders')})),
+        prev AS (SELECT DISTINCT id FROM ({table_panel_sql(EARLIER_ORDERS)}))
+      SELECT * FROM cur WHERE id NOT IN (SELECT id FROM prev)"""
+
+
+def entries_header_sql() -> str:
+    return f"""SELECT {make_id_sql("'gluonts'", "'emb' || CAST(label AS VARCHAR)", 'vec_id')} AS id,
+        'gluonts' AS source, 'emb' || CAST(label AS VARCHAR) AS collection,
+        ROW_NUMBER() OVER (PARTITION BY label ORDER BY vec_id) - 1 AS ord FROM embeddings"""
+
+
+def limit_new_sql(n: int = 5) -> str:
+    return f"""SELECT id, collection, ord FROM (
+        SELECT *, ROW_NUMBER() OVER (PARTITION BY source, collection ORDER BY ord, id) AS rn
+        FROM ({entries_header_sql()})) WHERE rn <= {n}"""
+
+
+def rerun_sql() -> str:
+    gaps = TablePanel("events", "events", "user_id", ("ts", "event_id"), TABLE_PANELS["events_gaps"].value_sql)
+    return (f"SELECT *, CAST(0 AS BIGINT) AS ord FROM ({scan_rows_sql(panel_sql('events'))}) UNION ALL "
+            f"SELECT *, CAST(1 AS BIGINT) AS ord FROM ({scan_rows_sql(table_panel_sql(gaps))})")
+
+
+def dedupe_first_sql() -> str:
+    return f"""SELECT * EXCLUDE (rn) FROM (
+        SELECT *, ROW_NUMBER() OVER (PARTITION BY id ORDER BY ord) AS rn FROM ({rerun_sql()})) WHERE rn = 1"""
+
+
+def duplicate_report_sql() -> str:
+    return f"""SELECT id, COUNT(*) AS n_rows, COUNT(*) - 1 AS n_dropped FROM ({rerun_sql()})
+      GROUP BY id HAVING COUNT(*) > 1"""
+
+
+def blob_path_sql(id_: str = "id") -> str:
+    key = f"regexp_extract({id_}, '^[^:]*:[^:]*:(.*)$', 1)"
+    return (f"concat_ws('/', split_part({id_}, ':', 1), split_part({id_}, ':', 2), substr(md5({id_}), 1, 2), "
+            f"regexp_replace({key}, '[^a-z0-9._-]', '-', 'g') || '.parquet')")
+
+
+def blob_paths_sql() -> str:
+    return f"""SELECT id, split_part(id, ':', 1) AS id_source, split_part(id, ':', 2) AS id_collection,
+        regexp_extract(id, '^[^:]*:[^:]*:(.*)$', 1) AS id_key, {blob_path_sql()} AS blob_path
+      FROM ({series_sql()})"""
+
+
+def path_collisions_sql() -> str:
+    return f"""SELECT blob_path, COUNT(*) AS n_ids, MIN(id) AS first_id, MAX(id) AS last_id FROM (
+        SELECT DISTINCT id, {blob_path_sql()} AS blob_path FROM ({catalog_scan_sql()}))
+      GROUP BY blob_path HAVING COUNT(*) > 1"""
+
+
+def finalized_sql() -> str:
+    rev, ver, at = PUBLISH_STAMP
+    return f"""WITH cat AS ({series_sql()}),
+        sizes AS (SELECT p.id, CAST(8 * COUNT(*) + 8 * COUNT(p.ts) AS BIGINT) AS size_bytes
+                  FROM ({panel_sql('entries')}) p JOIN cat ON p.id = cat.id
+                  WHERE cat.source = 'gluonts' GROUP BY p.id)
+      SELECT cat.* REPLACE (
+          CASE WHEN s.id IS NOT NULL THEN {blob_path_sql('cat.id')} ELSE cat.blob_path END AS blob_path,
+          CASE WHEN s.id IS NOT NULL THEN s.size_bytes ELSE cat.size_bytes END AS size_bytes,
+          CASE WHEN s.id IS NOT NULL THEN '{rev}' ELSE cat.hf_revision END AS hf_revision,
+          CASE WHEN s.id IS NOT NULL THEN '{ver}' ELSE cat.pipeline_version END AS pipeline_version,
+          CASE WHEN s.id IS NOT NULL THEN '{at}' ELSE cat.ingested_at END AS ingested_at)
+      FROM cat LEFT JOIN sizes s ON cat.id = s.id"""
+
+
+def finalize_sql() -> str:
+    return f"""SELECT id, blob_path, size_bytes, hf_revision, pipeline_version, ingested_at
+      FROM ({finalized_sql()})"""
+
+
+def missing_from_source_sql() -> str:
+    return f"""WITH wanted AS (SELECT id, source, collection FROM ({series_sql()})
+                             WHERE blob_path IS NULL AND collection = 'orders'),
+        present AS (SELECT DISTINCT id FROM ({table_panel_sql(EARLIER_ORDERS)}))
+      SELECT source, collection, COUNT(present.id) AS staged, COUNT(*) AS wanted
+      FROM wanted LEFT JOIN present ON wanted.id = present.id GROUP BY source, collection"""
+
+
+def requests_sql() -> str:
+    return f"""SELECT ROW_NUMBER() OVER (ORDER BY id) - 1 AS ord, id FROM (
+        SELECT id FROM ({catalog_scan_sql()})
+        UNION ALL SELECT DISTINCT id FROM ({panel_sql('lineitem')}))"""
+
+
+def pull_status_sql() -> str:
+    return f"""WITH cat AS ({finalized_sql()}), req AS ({requests_sql()})
+      SELECT req.ord, req.id,
+             CASE WHEN cat.id IS NULL THEN 'unknown_id' WHEN cat.blob_path IS NULL THEN 'no_blob'
+                  ELSE 'ok' END AS status
+      FROM req LEFT JOIN cat ON req.id = cat.id"""
+
+
+def pull_many_sql() -> str:
+    return f"""WITH st AS ({pull_status_sql()})
+      SELECT st.ord, p.id, p.pos, p.ts, p.value FROM ({panel_sql('entries')}) p
+      JOIN st ON p.id = st.id WHERE st.status = 'ok'"""
+
+
+def value_counts_sql() -> str:
+    return f"""SELECT COALESCE(granularity, '__null__') AS value, COUNT(*) AS n FROM ({series_sql()})
+      GROUP BY 1"""
+
+
+def time_column_by_source_sql() -> str:
+    return f"""SELECT source, arg_min(time_column, ord) FILTER (WHERE time_column IS NOT NULL) AS time_column
+      FROM ({catalog_scan_sql()}) GROUP BY source"""
+
+
+def collection_count_sql() -> str:
+    return f"SELECT COUNT(DISTINCT collection) AS n FROM ({series_sql()})"
+
+
+def example_counts_sql(series: str | None = None) -> str:
+    names = ", ".join(f"('{n}')" for n in EXAMPLES)
+    return f"""WITH names(value) AS (VALUES {names}),
+        c AS (SELECT collection AS value, COUNT(*) AS n FROM ({series or series_sql()}) GROUP BY collection)
+      SELECT names.value, CAST(COALESCE(c.n, 0) AS BIGINT) AS n FROM names LEFT JOIN c ON names.value = c.value"""
+
+
+NUMERIC = {"N": ("N", 0), "IR": ("IR", 2), "%Rare": ("pct_rare", 2), "length": ("length", 0),
+           "missing_pct": ("missing_pct", 4), "seasonal_period": ("seasonal_period", 0)}
+STATS = (("min", 0.0), ("25%", 0.25), ("50%", 0.5), ("75%", 0.75), ("max", 1.0))
+
+
+def numeric_profile_sql(series: str | None = None) -> str:
+    src = series or series_sql()
+    parts = []
+    for name, (col, dp) in NUMERIC.items():
+        for stat, p in STATS:
+            q = f"quantile_cont({col}, {p})"
+            v = (f"CAST(CAST(round_even({q}, 0) AS BIGINT) AS VARCHAR)" if dp == 0
+                 else f"CAST(round_even({q}, {dp}) AS VARCHAR)")
+            parts.append(f"SELECT '{name}' AS field, '{stat}' AS stat, {v} AS value FROM ({src}) "
+                         f"HAVING COUNT({col}) > 0")
+        parts.append(f"SELECT '{name}', 'null_count', CAST(COUNT(*) FILTER (WHERE {col} IS NULL) AS VARCHAR) "
+                     f"FROM ({src}) HAVING COUNT(*) FILTER (WHERE {col} IS NULL) > 0")
+    return " UNION ALL ".join(parts)
+
+
+def _json_str(c: str) -> str:
+    return (f"CASE WHEN {c} IS NULL THEN 'null' ELSE '\"' || replace(replace({c}, '\\', '\\\\'), '\"', '\\\"')"
+            f" || '\"' END")
+
+
+def profile_sql(series: str) -> str:
+    counts = []
+    for col, bucket in (("source", None), ("license", None), ("imbalance_level", None), ("dtype", None),
+                        ("granularity", "__null__")):
+        c = f"COALESCE({col}, '{bucket}')" if bucket else col
+        counts.append(f"SELECT '{col}.' || {c} AS path, CAST(COUNT(*) AS VARCHAR) AS value FROM s "
+                      f"WHERE {c} IS NOT NULL GROUP BY {c}")
+    return f"""WITH s AS ({series})
+      SELECT 'row_count' AS path, CAST(COUNT(*) AS VARCHAR) AS value FROM s
+      UNION ALL {' UNION ALL '.join(counts)}
+      UNION ALL SELECT 'time_column_by_source.' || source,
+             {_json_str('arg_min(time_column, id) FILTER (WHERE time_column IS NOT NULL)')} FROM s GROUP BY source
+      UNION ALL SELECT 'collection_count_distinct', CAST(COUNT(DISTINCT collection) AS VARCHAR) FROM s
+      UNION ALL SELECT 'collection_examples.' || value, CAST(n AS VARCHAR) FROM ({example_counts_sql('SELECT * FROM s')})
+      UNION ALL SELECT 'numeric.' || field || '.' || stat, value FROM ({numeric_profile_sql('SELECT * FROM s')})"""
+
+
+def profile_diff_sql() -> str:
+    before = build_series_sql(catalog_scan_sql(CATALOG_RUNS[:2]))
+    return f"""WITH e AS ({profile_sql(before)}), a AS ({profile_sql(series_sql())})
+      SELECT COALESCE(e.path, a.path) AS path,
+             CASE WHEN e.path IS NULL THEN 'new in catalog' WHEN a.path IS NULL THEN 'missing from catalog'
+                  ELSE 'changed' END AS kind, e.value AS expected, a.value AS actual
+      FROM e FULL OUTER JOIN a ON e.path = a.path WHERE e.value IS DISTINCT FROM a.value"""
+
+
+def derived_dates_sql() -> str:
+    return """SELECT DISTINCT grp, ts FROM (
+        SELECT 'ship_daily' AS grp, date_trunc('day', l_shipdate) AS ts FROM lineitem
+        UNION ALL SELECT 'ship_weekly', date_trunc('week', l_shipdate) FROM lineitem
+        UNION ALL SELECT 'ship_business', date_trunc('day', l_shipdate) FROM lineitem
+                  WHERE isodow(l_shipdate) BETWEEN 1 AND 5
+        UNION ALL SELECT 'order_month_end', CAST(last_day(o_orderdate) AS TIMESTAMP) FROM orders
+        UNION ALL SELECT 'order_quarter_start', date_trunc('quarter', o_orderdate) FROM orders
+        UNION ALL SELECT 'order_year_start', date_trunc('year', o_orderdate) FROM orders
+        UNION ALL SELECT 'event_hourly', date_trunc('hour', ts) FROM events
+        UNION ALL SELECT 'event_raw', ts FROM events)"""
+
+
+def granularity_sql() -> str:
+    day = 86_400_000_000
+    return f"""WITH d AS (SELECT grp, ts, epoch_us(ts) AS us, isodow(ts) - 1 AS wd,
+                   (epoch_us(ts) // {day}) AS dnum, year(ts) * 12 + month(ts) - 1 AS midx,
+                   epoch_us(ts) % {day} = 0 AS mid, CAST(ts AS DATE) = last_day(ts) AS me, day(ts) = 1 AS ms
+                 FROM ({derived_dates_sql()})),
+        d2 AS (SELECT *, floor((dnum - 4) / 7) * 5 + LEAST(((dnum - 4) % 7 + 7) % 7, 5) AS bidx FROM d),
+        s AS (SELECT grp, COUNT(*) AS n, COUNT(ts) AS nt, COUNT(DISTINCT ts) AS nd, MIN(us) AS lo, MAX(us) AS hi,
+                     arg_min(wd, us) AS wd0, MIN(bidx) AS blo, MAX(bidx) AS bhi,
+                     COUNT(*) FILTER (WHERE wd >= 5) AS wkend, MIN(midx) AS mlo, MAX(midx) AS mhi,
+                     COUNT(*) FILTER (WHERE NOT mid) AS notmid, COUNT(*) FILTER (WHERE NOT me) AS notme,
+                     COUNT(*) FILTER (WHERE NOT ms) AS notms
+              FROM d2 GROUP BY grp),
+        s2 AS (SELECT *, CASE WHEN n > 1 AND (hi - lo) % (n - 1) = 0 THEN (hi - lo) // (n - 1) END AS step,
+                         CASE WHEN n > 1 AND (mhi - mlo) % (n - 1) = 0 THEN (mhi - mlo) // (n - 1) END AS mstep
+               FROM s),
+        o AS (SELECT d2.grp,
+                     COUNT(*) FILTER (WHERE COALESCE((d2.us - s2.lo) % NULLIF(s2.step, 0) <> 0, TRUE)) AS offgrid,
+                     COUNT(*) FILTER (WHERE COALESCE((d2.midx - s2.mlo) % NULLIF(s2.mstep, 0) <> 0, TRUE))
+                       AS moffgrid
+              FROM d2 JOIN s2 ON d2.grp = s2.grp GROUP BY d2.grp),
+        j AS (SELECT s2.*, o.offgrid, o.moffgrid FROM s2 JOIN o ON s2.grp = o.grp)
+      SELECT grp, CASE
+          WHEN NOT (n >= 3 AND nt = n AND nd = n) THEN NULL
+          WHEN step IS NOT NULL AND step > 0 AND offgrid = 0 THEN CASE
+              WHEN step % {day} = 0 THEN CASE WHEN step // {day} = 7
+                   THEN 'W-' || ['MON','TUE','WED','THU','FRI','SAT','SUN'][wd0 + 1]
+                   WHEN step // {day} = 1 THEN 'D' ELSE CAST(step // {day} AS VARCHAR) || 'D' END
+              WHEN step % 3600000000 = 0 THEN CASE WHEN step // 3600000000 = 1 THEN 'H'
+                   ELSE CAST(step // 3600000000 AS VARCHAR) || 'H' END
+              WHEN step % 60000000 = 0 THEN CASE WHEN step // 60000000 = 1 THEN 'min'
+                   ELSE CAST(step // 60000000 AS VARCHAR) || 'min' END
+              WHEN step % 1000000 = 0 THEN CASE WHEN step // 1000000 = 1 THEN 's'
+                   ELSE CAST(step // 1000000 AS VARCHAR) || 's' END
+              END
+          WHEN notmid = 0 AND wkend = 0 AND bhi - blo = n - 1 THEN 'B'
+          WHEN notmid = 0 AND (notme = 0 OR notms = 0) AND mstep IN (1, 3, 12) AND moffgrid = 0 THEN
+               CASE mstep WHEN 1 THEN 'M' WHEN 3 THEN 'Q' ELSE 'Y' END
+          END AS granularity
+      FROM j"""
+
+
+def topk_rare_sql() -> str:
+    return f"""SELECT id, pct_rare, imbalance_level FROM ({series_sql()})
+      ORDER BY pct_rare ASC NULLS LAST, id LIMIT 10"""
+
+
+def catalog_filter_sql() -> str:
+    return f"""SELECT id, collection, N, n_rare, pct_rare, imbalance_level FROM ({series_sql()})
+      WHERE imbalance_level IN ('severe', 'extreme', 'mild') AND length >= 20 AND missing_pct <= 0.0"""
+
+
 ORACLE: dict[str, str] = {}
 
 
@@ -237,4 +531,27 @@ def _register() -> None:
         "control_points": control_points_sql(),
         "relevance": relevance_sql(),
         "imbalance_scores": imbalance_scores_sql(),
+        "scan_summary": scan_summary_sql(),
+        "resume_anti": resume_anti_sql(),
+        "limit_new": limit_new_sql(),
+        "dedupe_first": dedupe_first_sql(),
+        "duplicate_report": duplicate_report_sql(),
+        "build_series": f"SELECT * FROM ({series_sql()})",
+        "build_scanned": build_scanned_sql(),
+        "blob_paths": blob_paths_sql(),
+        "path_collisions": path_collisions_sql(),
+        "finalize": finalize_sql(),
+        "missing_from_source": missing_from_source_sql(),
+        "pull_status": pull_status_sql(),
+        "pull_many": pull_many_sql(),
+        "value_counts": value_counts_sql(),
+        "time_column_by_source": time_column_by_source_sql(),
+        "collection_count": collection_count_sql(),
+        "example_counts": example_counts_sql(),
+        "numeric_profile": numeric_profile_sql(),
+        "profile_catalog": profile_sql(series_sql()),
+        "profile_diff": profile_diff_sql(),
+        "granularity": granularity_sql(),
+        "topk_rare": topk_rare_sql(),
+        "catalog_filter": catalog_filter_sql(),
     })

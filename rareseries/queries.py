@@ -20,8 +20,17 @@ from .operators.scan import level_counts, score_panel
 from .params import DEFAULT
 from .plans.sequence import compact, number_rows
 from .sources.entries import panel_from_entries
-from .sources.tables import TABLE_PANELS, read_table, table_panel
-from .sources.wide import panel_from_wide
+from .functions.ids import blob_path, id_part
+from .operators.catalog import build_scanned, build_series, dedupe_first, duplicate_report
+from .operators.drift import (catalog_filter, count_distinct, diff_profiles, example_counts,
+                              first_value_by_group, numeric_profile, profile_catalog, top_k, value_counts)
+from .operators.increment import limit_new, only_new, scan_summary
+from .operators.publish import finalize_catalog, missing_from_source, path_collisions, series_frame, unpublished
+from .operators.retrieve import pull_many, pull_status
+from .params import NULL_BUCKET
+from .schemas import published
+from .sources.tables import TABLE_PANELS, TablePanel, read_table, table_panel
+from .sources.wide import infer_granularity, panel_from_wide
 
 Query = Callable[[SparkSession, str], DataFrame]
 
@@ -156,6 +165,211 @@ def q_content_hash(spark, root):
     return content_hashes(p)
 
 
+# ---------------------------------------------------------------------------
+# Scan table, catalog build, publish, retrieval and drift
+# ---------------------------------------------------------------------------
+
+# Runs appended to one scan table, in this order (``ord`` = run index).
+CATALOG_RUNS = ("events_gaps", "orders", "entries", "wide")
+_SCAN_CACHE: dict[tuple[str, str], DataFrame] = {}
+
+
+def catalog_scan(spark: SparkSession, root: str) -> DataFrame:
+    """The scan table of all runs with hashes; built once per session and root."""
+    key = (spark.sparkContext.applicationId, root)
+    if key not in _SCAN_CACHE:
+        parts = [scan_of(spark, root, n).withColumn("ord", F.lit(i).cast("long"))
+                 for i, n in enumerate(CATALOG_RUNS)]
+        df = parts[0]
+        for p in parts[1:]:
+            df = df.unionByName(p)
+        _SCAN_CACHE[key] = df.persist()
+    return _SCAN_CACHE[key]
+
+
+def catalog_series(spark: SparkSession, root: str) -> DataFrame:
+    return build_series(catalog_scan(spark, root), sort=False)
+
+
+def q_scan_summary(spark, root):
+    return scan_summary(catalog_scan(spark, root))
+
+
+def q_resume_anti(spark, root):
+    """Series of the current orders panel that an earlier scan (orders before 1997) lacks."""
+    earlier = TablePanel("orders", "orders", "o_custkey", ("o_orderdate", "o_orderkey"), "o_totalprice",
+                         "o_orderdate < TIMESTAMP '1997-01-01 00:00:00'")
+    prev_header, _ = table_panel(spark, root, earlier)
+    header, _ = panel(spark, root, "orders")
+    return only_new(header, prev_header).select("id", "source", "collection", "name")
+
+
+def q_limit_new(spark, root):
+    header, _ = panel(spark, root, "entries")
+    return limit_new(header, 5).select("id", "collection", "ord")
+
+
+def _rerun_scan(spark, root):
+    """Two runs over the same events ids: the plain values first, then with gaps."""
+    first = scan_of(spark, root, "events", with_hash=False).withColumn("ord", F.lit(0).cast("long"))
+    h, p = panel(spark, root, "events_gaps")
+    relabel = {"collection": F.lit("events"),
+               "id": F.replace(F.col("id"), F.lit(":events_gaps:"), F.lit(":events:"))}
+    h, p = h.withColumns(relabel), p.withColumns(relabel)
+    second = score_panel(h, p, with_hash=False).withColumn("ord", F.lit(1).cast("long"))
+    return first.unionByName(second)
+
+
+def q_dedupe_first(spark, root):
+    return rounded(dedupe_first(_rerun_scan(spark, root)).drop("content_hash"))
+
+
+def q_duplicate_report(spark, root):
+    return duplicate_report(_rerun_scan(spark, root))
+
+
+def q_build_series(spark, root):
+    return rounded(catalog_series(spark, root).drop("content_hash"))
+
+
+def q_build_scanned(spark, root):
+    return rounded(build_scanned(catalog_scan(spark, root), sort=False).drop("content_hash"))
+
+
+def q_blob_paths(spark, root):
+    s = catalog_series(spark, root)
+    return s.select("id", id_part("id", 0).alias("id_source"), id_part("id", 1).alias("id_collection"),
+                    id_part("id", 2).alias("id_key"), blob_path("id").alias("blob_path"))
+
+
+def q_path_collisions(spark, root):
+    return path_collisions(catalog_scan(spark, root).select("id"))
+
+
+def _published_sizes(spark, root):
+    """Logical sizes of the series published in this round: the nested-entry collections."""
+    _, p = panel(spark, root, "entries")
+    wanted = catalog_series(spark, root).filter(F.col("source") == "gluonts").select("id")
+    return (p.join(wanted, "id", "left_semi").groupBy("id")
+            .agg((F.lit(8) * F.count(F.lit(1)) + F.lit(8) * F.count("ts")).cast("long").alias("size_bytes")))
+
+
+PUBLISH_STAMP = ("rev-0001", "0.1.0", "2026-01-01T00:00:00+00:00")
+
+
+def finalized_catalog(spark, root):
+    return finalize_catalog(catalog_series(spark, root), _published_sizes(spark, root), *PUBLISH_STAMP)
+
+
+def q_finalize(spark, root):
+    return finalized_catalog(spark, root).select(
+        "id", "blob_path", "size_bytes", "hf_revision", "pipeline_version", "ingested_at")
+
+
+def q_missing_from_source(spark, root):
+    """Orders series in the catalog that a source snapshot before 1997 does not yield."""
+    earlier = TablePanel("orders", "orders", "o_custkey", ("o_orderdate", "o_orderkey"), "o_totalprice",
+                         "o_orderdate < TIMESTAMP '1997-01-01 00:00:00'")
+    _, p = table_panel(spark, root, earlier)
+    wanted = unpublished(catalog_series(spark, root), ["orders"])
+    _, counts = missing_from_source(wanted, p)
+    return counts
+
+
+def _stored_and_requests(spark, root):
+    _, p = panel(spark, root, "entries")
+    cat = finalized_catalog(spark, root)
+    stored = series_frame(p.join(cat.filter(F.col("blob_path").isNotNull()).select("id"), "id", "left_semi"))
+    scanned = catalog_scan(spark, root).select("id")
+    unknown = panel(spark, root, "lineitem")[0].select("id")
+    req = number_rows(scanned.unionByName(unknown).withColumn("_all", F.lit(0)), ["_all"], ["id"], "ord")
+    return stored, req.select("ord", "id"), cat
+
+
+def q_pull_status(spark, root):
+    stored, req, cat = _stored_and_requests(spark, root)
+    return pull_status(req, cat, stored).select("ord", "id", "status")
+
+
+def q_pull_many(spark, root):
+    stored, req, cat = _stored_and_requests(spark, root)
+    return pull_many(req, cat, stored, errors="skip")
+
+
+def q_value_counts(spark, root):
+    return value_counts(catalog_series(spark, root), "granularity", NULL_BUCKET)
+
+
+def q_time_column_by_source(spark, root):
+    return first_value_by_group(catalog_scan(spark, root), "source", "time_column", "ord")
+
+
+def q_collection_count(spark, root):
+    return count_distinct(catalog_series(spark, root), "collection")
+
+
+EXAMPLES = ("events_gaps", "orders", "emb3", "daily_wide", "m4_monthly")
+
+
+def q_example_counts(spark, root):
+    return example_counts(catalog_series(spark, root), EXAMPLES)
+
+
+def q_numeric_profile(spark, root):
+    return numeric_profile(published(catalog_series(spark, root)))
+
+
+def q_profile_catalog(spark, root):
+    return profile_catalog(published(catalog_series(spark, root)), "id", EXAMPLES)
+
+
+def q_profile_diff(spark, root):
+    """Drift between the catalog of the first two runs and the full catalog."""
+    scan = catalog_scan(spark, root)
+    before = build_series(scan.filter(F.col("ord") < 2), sort=False)
+    after = catalog_series(spark, root)
+    return diff_profiles(profile_catalog(published(before), "id", EXAMPLES),
+                         profile_catalog(published(after), "id", EXAMPLES))
+
+
+def derived_dates(spark: SparkSession, root: str) -> DataFrame:
+    """Timestamp sets derived from the tables, one group each, for granularity inference."""
+    li = read_table(spark, root, "lineitem")
+    od = read_table(spark, root, "orders")
+    ev = read_table(spark, root, "events")
+    ship = F.col("l_shipdate").cast("timestamp_ntz")
+    odate = F.col("o_orderdate").cast("timestamp_ntz")
+    parts = [
+        li.select(F.lit("ship_daily").alias("grp"), F.date_trunc("day", ship).alias("ts")),
+        li.select(F.lit("ship_weekly").alias("grp"), F.date_trunc("week", ship).alias("ts")),
+        li.select(F.lit("ship_business").alias("grp"), F.date_trunc("day", ship).alias("ts"))
+          .filter(F.dayofweek("ts").between(2, 6)),
+        od.select(F.lit("order_month_end").alias("grp"), F.to_date(F.last_day(odate)).cast("timestamp_ntz").alias("ts")),
+        od.select(F.lit("order_quarter_start").alias("grp"), F.date_trunc("quarter", odate).alias("ts")),
+        od.select(F.lit("order_year_start").alias("grp"), F.date_trunc("year", odate).alias("ts")),
+        ev.select(F.lit("event_hourly").alias("grp"), F.date_trunc("hour", F.col("ts").cast("timestamp_ntz")).alias("ts")),
+        ev.select(F.lit("event_raw").alias("grp"), F.col("ts").cast("timestamp_ntz").alias("ts")),
+    ]
+    out = parts[0]
+    for p in parts[1:]:
+        out = out.unionByName(p)
+    return out.distinct()
+
+
+def q_granularity(spark, root):
+    return infer_granularity(derived_dates(spark, root), ["grp"], "ts")
+
+
+def q_topk_rare(spark, root):
+    return rounded(top_k(catalog_series(spark, root), "pct_rare", 10, cols=["id", "pct_rare", "imbalance_level"]))
+
+
+def q_catalog_filter(spark, root):
+    s = catalog_filter(catalog_series(spark, root), levels=["severe", "extreme", "mild"], min_length=20,
+                       max_missing=0.0)
+    return rounded(s.select("id", "collection", "N", "n_rare", "pct_rare", "imbalance_level"))
+
+
 QUERIES: dict[str, Query] = {
     **{f"scan_{n}": q_scan(n) for n in SCAN_PANELS},
     "level_counts": q_level_counts,
@@ -170,4 +384,27 @@ QUERIES: dict[str, Query] = {
     "relevance": q_relevance,
     "imbalance_scores": q_imbalance_scores,
     "content_hash": q_content_hash,
+    "scan_summary": q_scan_summary,
+    "resume_anti": q_resume_anti,
+    "limit_new": q_limit_new,
+    "dedupe_first": q_dedupe_first,
+    "duplicate_report": q_duplicate_report,
+    "build_series": q_build_series,
+    "build_scanned": q_build_scanned,
+    "blob_paths": q_blob_paths,
+    "path_collisions": q_path_collisions,
+    "finalize": q_finalize,
+    "missing_from_source": q_missing_from_source,
+    "pull_status": q_pull_status,
+    "pull_many": q_pull_many,
+    "value_counts": q_value_counts,
+    "time_column_by_source": q_time_column_by_source,
+    "collection_count": q_collection_count,
+    "example_counts": q_example_counts,
+    "numeric_profile": q_numeric_profile,
+    "profile_catalog": q_profile_catalog,
+    "profile_diff": q_profile_diff,
+    "granularity": q_granularity,
+    "topk_rare": q_topk_rare,
+    "catalog_filter": q_catalog_filter,
 }

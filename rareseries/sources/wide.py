@@ -33,6 +33,11 @@ def numeric_columns(df: DataFrame, exclude: tuple[str, ...] = ()) -> dict[str, s
     return out
 
 
+def _mod(a, b):
+    """``a % b``, NULL when ``b`` is NULL or not positive (never a division error)."""
+    return F.when(b > 0, a % b)
+
+
 def infer_granularity(df: DataFrame, group: list[str], ts: str = "ts") -> DataFrame:
     """Frequency label per group from its timestamps (all rows of the group).
 
@@ -64,15 +69,16 @@ def infer_granularity(df: DataFrame, group: list[str], ts: str = "ts") -> DataFr
         F.count_if(~F.col("_mid")).alias("_notmid"), F.count_if(~F.col("_me")).alias("_notme"),
         F.count_if(~F.col("_ms")).alias("_notms"))
     gaps = F.col("_n") - 1
-    s = s.withColumn("_step", F.when((gaps > 0) & (((F.col("_hi") - F.col("_lo")) % gaps) == 0),
+    s = s.withColumn("_step", F.when(_mod(F.col("_hi") - F.col("_lo"), gaps) == 0,
                                      F.try_divide(F.col("_hi") - F.col("_lo"), gaps).cast("long"))) \
-         .withColumn("_mstep", F.when((gaps > 0) & (((F.col("_mhi") - F.col("_mlo")) % gaps) == 0),
+         .withColumn("_mstep", F.when(_mod(F.col("_mhi") - F.col("_mlo"), gaps) == 0,
                                       F.try_divide(F.col("_mhi") - F.col("_mlo"), gaps).cast("long")))
     # Second pass: every timestamp must sit on the grid the first pass implies.
     steps = s.select(*group, "_lo", "_step", "_mlo", "_mstep")
     off = d.join(steps, group, "inner").groupBy(*group).agg(
-        F.count_if(F.coalesce((F.col("_us") - F.col("_lo")) % F.col("_step") != 0, F.lit(True))).alias("_offgrid"),
-        F.count_if(F.coalesce((F.col("_midx") - F.col("_mlo")) % F.col("_mstep") != 0, F.lit(True)))
+        F.count_if(F.coalesce(_mod(F.col("_us") - F.col("_lo"), F.col("_step")) != 0, F.lit(True)))
+         .alias("_offgrid"),
+        F.count_if(F.coalesce(_mod(F.col("_midx") - F.col("_mlo"), F.col("_mstep")) != 0, F.lit(True)))
          .alias("_moffgrid"))
     s = s.join(off, group, "inner")
 
@@ -83,11 +89,11 @@ def infer_granularity(df: DataFrame, group: list[str], ts: str = "ts") -> DataFr
         return F.when(n == 1, F.lit(unit)).otherwise(F.concat(n.cast("long").cast("string"), F.lit(unit)))
 
     weekday = F.element_at(F.array(*[F.lit(w) for w in _WEEKDAYS]), (F.col("_wd0") + 1).cast("int"))
-    fixed = (F.when(step % _DAY_US == 0, F.when(days == 7, F.concat(F.lit("W-"), weekday))
+    fixed = (F.when(_mod(step, F.lit(_DAY_US)) == 0, F.when(days == 7, F.concat(F.lit("W-"), weekday))
                                           .otherwise(n_label(days, "D")))
-              .when(step % 3_600_000_000 == 0, n_label(hours, "H"))
-              .when(step % 60_000_000 == 0, n_label(mins, "min"))
-              .when(step % 1_000_000 == 0, n_label(secs, "s")))
+              .when(_mod(step, F.lit(3_600_000_000)) == 0, n_label(hours, "H"))
+              .when(_mod(step, F.lit(60_000_000)) == 0, n_label(mins, "min"))
+              .when(_mod(step, F.lit(1_000_000)) == 0, n_label(secs, "s")))
     regular = step.isNotNull() & (step > 0) & (F.col("_offgrid") == 0)
     business = ((F.col("_notmid") == 0) & (F.col("_wkend") == 0)
                 & ((F.col("_bhi") - F.col("_blo")) == gaps))
