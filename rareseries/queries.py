@@ -29,6 +29,7 @@ from .operators.publish import finalize_catalog, missing_from_source, path_colli
 from .operators.retrieve import pull_many, pull_status
 from .params import NULL_BUCKET
 from .schemas import published
+from .session import ensure_checkpoint_dir
 from .sources.tables import TABLE_PANELS, TablePanel, read_table, table_panel
 from .sources.wide import infer_granularity, panel_from_wide
 
@@ -175,18 +176,30 @@ _SCAN_CACHE: dict[tuple[str, str], DataFrame] = {}
 
 
 def catalog_scan(spark: SparkSession, root: str) -> DataFrame:
-    """The scan table of all runs with hashes; built once per session and root."""
+    """The scan table of all runs with hashes.
+
+    Written once per session and root to the checkpoint folder (the stand-in
+    for the appended scan table the build reads); later plans read that copy
+    instead of rescoring, and an executor loss does not reach back to the
+    scoring lineage.
+    """
     key = (spark.sparkContext.applicationId, root)
     if key not in _SCAN_CACHE:
+        ensure_checkpoint_dir(spark)
         parts = [scan_of(spark, root, n).withColumn("ord", F.lit(i).cast("long"))
                  for i, n in enumerate(CATALOG_RUNS)]
         df = parts[0]
         for p in parts[1:]:
             df = df.unionByName(p)
-        _SCAN_CACHE[key] = df.persist()
+        _SCAN_CACHE[key] = df.checkpoint(eager=True)
     return _SCAN_CACHE[key]
 
 
+def clear_cache() -> None:
+    """Drop the cached scan tables (benchmarks time every query from the raw tables)."""
+    _SCAN_CACHE.clear()
+
+
 def catalog_series(spark: SparkSession, root: str) -> DataFrame:
     return build_series(catalog_scan(spark, root), sort=False)
 
