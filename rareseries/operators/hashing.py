@@ -49,7 +49,7 @@ def _stream_hashes(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
 
 def content_hashes(panel: DataFrame, key: str = "id") -> DataFrame:
     """``(id, content_hash)`` for every series with at least one non-null value."""
-    clean = panel.filter(F.col("value").isNotNull()).select(F.col(key).alias("id"), "pos", "value")
+    clean = panel.filter(F.col("value").isNotNull() & ~F.isnan("value")).select(F.col(key).alias("id"), "pos", "value")
     ordered = clean.repartition("id").sortWithinPartitions("id", "pos")
     out = ordered.mapInPandas(_stream_hashes, HASH_SCHEMA)
     return out if key == "id" else out.withColumnRenamed("id", key)

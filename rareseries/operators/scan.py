@@ -25,7 +25,7 @@ from ..plans.joins import MAX_BROADCAST_ROWS
 from ..plans.sequence import compact
 from ..schemas import HEADER_FIELDS, SCAN_COLUMNS
 from .hashing import content_hashes, with_empty_hash
-from .profile import base_stats, cv, kurtosis_unbiased, lag1_pairs_stats, missing_pct, skewness_unbiased
+from .profile import base_stats, clean_values, cv, kurtosis_unbiased, lag1_pairs_stats, missing_pct, skewness_unbiased
 from .relevance import imbalance_scores, targets
 
 STAT_COLUMNS = ["id", "length", "n_obs", "n_missing", "n_infinite", "mean", "std", "_var_pop", "_g1", "_g2",
@@ -112,7 +112,7 @@ def note_column(n, n_infinite, params: ScoreParams = DEFAULT) -> F.Column:
 def score_panel(header: DataFrame, panel: DataFrame, params: ScoreParams = DEFAULT,
                 with_hash: bool = True) -> DataFrame:
     """24-column scan rows (``pct_rare`` for ``%Rare``), one per header row."""
-    pv = panel.select("id", "pos", "value")
+    pv = clean_values(panel.select("id", "pos", "value"))
     rows = header.select(*HEADER_FIELDS).join(series_stats(pv, params), "id", "left")
     if with_hash:
         rows = rows.join(content_hashes(pv), "id", "left")
