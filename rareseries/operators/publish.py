@@ -15,6 +15,7 @@ from pyspark.sql import functions as F
 
 from ..functions.ids import blob_path
 from ..plans.joins import broadcast_if_small
+from ..schemas import BLOB
 from .hashing import hash_check
 
 BLOB_COLUMNS = ["source", "collection", "id", "pos", "ts", "value", "blob_path"]
@@ -45,7 +46,7 @@ def series_frame(panel: DataFrame) -> DataFrame:
 def staged_ids(spark: SparkSession, root: str) -> DataFrame:
     if not _exists(spark, root):
         return spark.createDataFrame([], "id string")
-    return spark.read.parquet(root).select("id").distinct()
+    return spark.read.schema(BLOB).parquet(root).select("id").distinct()
 
 
 def _exists(spark: SparkSession, path: str) -> bool:
@@ -82,7 +83,7 @@ def stage_series(panel: DataFrame, catalog: DataFrame, root: str, strict: bool =
 
 def blob_sizes(spark: SparkSession, root: str) -> DataFrame:
     """Logical bytes per staged series (8 per value, 8 per timestamp)."""
-    stored = spark.read.parquet(root)
+    stored = spark.read.schema(BLOB).parquet(root)
     return stored.groupBy("id").agg(
         (F.lit(8) * F.count(F.lit(1)) + F.lit(8) * F.count("ts")).cast("long").alias("size_bytes"))
 

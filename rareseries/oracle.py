@@ -68,15 +68,15 @@ WIDE_COLUMNS = {"qty": "float64", "n_lines": "int64", "revenue": "float64"}
 
 
 def wide_panel_sql() -> str:
+    w = f"""SELECT *, CAST(CAST(date AS DATE) AS TIMESTAMP) AS ts,
+                   ROW_NUMBER() OVER (ORDER BY CAST(date AS DATE)) - 1 AS pos FROM ({daily_wide_sql()})"""
+    gran = f"(SELECT granularity FROM ({granularity_sql(f'SELECT 0 AS grp, ts FROM ({w})')}))"
     parts = []
     for c, dt in WIDE_COLUMNS.items():
         parts.append(f"""SELECT {make_id_sql("'tslib'", "'daily_wide'", f"'{c}'")} AS id, 'tslib' AS source,
-            'daily_wide' AS collection, '{c}' AS name, 'D' AS granularity, 'date' AS time_column,
-            '{dt}' AS dtype, pos, ts, CAST({c} AS DOUBLE) AS value FROM w""")
-    return f"""WITH w0 AS ({daily_wide_sql()}),
-      w AS (SELECT *, CAST(CAST(date AS DATE) AS TIMESTAMP) AS ts,
-                   ROW_NUMBER() OVER (ORDER BY CAST(date AS DATE)) - 1 AS pos FROM w0)
-      """ + " UNION ALL ".join(parts)
+            'daily_wide' AS collection, '{c}' AS name, {gran} AS granularity, 'date' AS time_column,
+            '{dt}' AS dtype, pos, ts, CAST({c} AS DOUBLE) AS value FROM ({w})""")
+    return " UNION ALL ".join(parts)
 
 
 def panel_sql(name: str) -> str:
@@ -460,12 +460,13 @@ def derived_dates_sql() -> str:
         UNION ALL SELECT 'event_raw', ts FROM events)"""
 
 
-def granularity_sql() -> str:
+def granularity_sql(dates: str | None = None) -> str:
+    """Granularity per ``grp`` of a ``(grp, ts)`` query (default: the derived date sets)."""
     day = 86_400_000_000
     return f"""WITH d AS (SELECT grp, ts, epoch_us(ts) AS us, isodow(ts) - 1 AS wd,
                    (epoch_us(ts) // {day}) AS dnum, year(ts) * 12 + month(ts) - 1 AS midx,
                    epoch_us(ts) % {day} = 0 AS mid, CAST(ts AS DATE) = last_day(ts) AS me, day(ts) = 1 AS ms
-                 FROM ({derived_dates_sql()})),
+                 FROM ({dates or derived_dates_sql()})),
         d2 AS (SELECT *, floor((dnum - 4) / 7) * 5 + LEAST(((dnum - 4) % 7 + 7) % 7, 5) AS bidx FROM d),
         s AS (SELECT grp, COUNT(*) AS n, COUNT(ts) AS nt, COUNT(DISTINCT ts) AS nd, MIN(us) AS lo, MAX(us) AS hi,
                      arg_min(wd, us) AS wd0, MIN(bidx) AS blo, MAX(bidx) AS bhi,
