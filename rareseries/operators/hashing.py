@@ -23,12 +23,25 @@ HASH_SCHEMA = "id string, content_hash string"
 
 
 def _stream_hashes(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-    cur_id, hasher = None, None
+    """Hash runs of equal ids; rows must arrive clustered by id and sorted by position.
+
+    The order is checked as it streams (ids never decrease, positions strictly
+    increase inside an id), so a plan that broke it fails instead of hashing
+    silently wrong.
+    """
+    cur_id, hasher, last_pos = None, None, None
     for pdf in batches:
         if pdf.empty:
             continue
         ids = pdf["id"].to_numpy()
         vals = pdf["value"].to_numpy(dtype="<f8")
+        pos = pdf["pos"].to_numpy()
+        same = ids[1:] == ids[:-1]
+        if (cur_id is not None and ids[0] < cur_id) or (ids[1:] < ids[:-1]).any() \
+                or (cur_id == ids[0] and last_pos is not None and pos[0] <= last_pos) \
+                or (same & (pos[1:] <= pos[:-1])).any():
+            raise RuntimeError("content hash input is not clustered by id and sorted by pos")
+        last_pos = pos[-1]
         # Start of every run of equal ids inside this batch (rows are sorted by id).
         starts = np.flatnonzero(np.r_[True, ids[1:] != ids[:-1]])
         ends = np.r_[starts[1:], len(ids)]
@@ -47,6 +60,15 @@ def _stream_hashes(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         yield pd.DataFrame({"id": [cur_id], "content_hash": [hasher.hexdigest()[:16]]})
 
 
+def hashes_of_ordered(points: DataFrame) -> DataFrame:
+    """Stream hashes over ``id, pos, value`` rows that are already hash-partitioned by
+    id and sorted by ``(id, pos)`` (the output of a window on ``id`` ordered by ``pos``).
+
+    Extra columns pass to Python untouched; a window output column among them
+    keeps that window (and its exchange and sort) in the plan."""
+    return points.mapInPandas(_stream_hashes, HASH_SCHEMA)
+
+
 def content_hashes(panel: DataFrame, key: str = "id") -> DataFrame:
     """``(id, content_hash)`` for every series with at least one non-null value."""
     clean = panel.filter(F.col("value").isNotNull() & ~F.isnan("value")).select(F.col(key).alias("id"), "pos", "value")

@@ -24,7 +24,7 @@ from ..params import DEFAULT, NOTE_MAX_CHARS, ScoreParams
 from ..plans.joins import MAX_BROADCAST_ROWS
 from ..plans.sequence import compact
 from ..schemas import HEADER_FIELDS, SCAN_COLUMNS
-from .hashing import content_hashes, with_empty_hash
+from .hashing import content_hashes, hashes_of_ordered, with_empty_hash
 from .profile import base_stats, clean_values, cv, kurtosis_unbiased, lag1_pairs_stats, missing_pct, skewness_unbiased
 from .relevance import imbalance_scores, targets
 
@@ -38,8 +38,9 @@ def _autocorr(cov, sx, sl) -> F.Column:
     return F.when((sx > 0) & (sl > 0), F.least(F.greatest(r, F.lit(-1.0)), F.lit(1.0)))
 
 
-def stats_bounded(pv: DataFrame, params: ScoreParams = DEFAULT) -> DataFrame:
-    """All per-series statistics from windows on ``id`` (one exchange, one sort)."""
+def windowed_bounded(pv: DataFrame, params: ScoreParams = DEFAULT) -> DataFrame:
+    """Points with compact position, previous value, quartiles, adjacent values and relevance,
+    all from windows on ``id`` (one exchange, one sort)."""
     v, y = F.col("value"), F.col("y")
     w_ord = Window.partitionBy("id").orderBy("pos")
     w_all = Window.partitionBy("id")
@@ -57,7 +58,14 @@ def stats_bounded(pv: DataFrame, params: ScoreParams = DEFAULT) -> DataFrame:
           .withColumn("lo_adj", F.min(F.when(y >= F.col("_lf"), y)).over(w_all))
           .withColumn("hi_on", (F.count_if(y > F.col("_uf")).over(w_all) > 0) & F.lit(hi_ok))
           .withColumn("lo_on", (F.count_if(y < F.col("_lf")).over(w_all) > 0) & F.lit(lo_ok)))
-    phi = F.when(y.isNotNull(), relevance("y", "median", "hi_adj", "lo_adj", "hi_on", "lo_on"))
+    return d.withColumn("phi", F.when(y.isNotNull(), relevance("y", "median", "hi_adj", "lo_adj", "hi_on",
+                                                                 "lo_on")))
+
+
+def stats_bounded(pv: DataFrame, params: ScoreParams = DEFAULT, d: DataFrame | None = None) -> DataFrame:
+    """All per-series statistics of bounded series (aggregate of :func:`windowed_bounded`)."""
+    d = d if d is not None else windowed_bounded(pv, params)
+    v, y, phi = F.col("value"), F.col("y"), F.col("phi")
     finite = v.isNull() | ((v != F.lit(float("inf"))) & (v != F.lit(float("-inf"))))
     paired = F.when(F.col("prev").isNotNull(), v)
     agg = d.groupBy("id").agg(
@@ -82,17 +90,34 @@ def stats_chunked(pv: DataFrame, params: ScoreParams = DEFAULT) -> DataFrame:
             .select(*STAT_COLUMNS))
 
 
-def series_stats(pv: DataFrame, params: ScoreParams = DEFAULT) -> DataFrame:
-    """Route every series to the bounded or the chunked form by its length."""
+def _bounded_parts(pv: DataFrame, params: ScoreParams, with_hash: bool):
+    d = windowed_bounded(pv, params)
+    stats = stats_bounded(pv, params, d)
+    # The hash streams over the same window output (clustered by id, sorted by
+    # pos), so it shares the window's shuffle; ``cpos`` keeps that window alive.
+    ordered = d.filter(F.col("value").isNotNull()).select("id", "pos", "value", "cpos")
+    hashes = hashes_of_ordered(ordered) if with_hash else None
+    return stats, hashes
+
+
+def series_stats(pv: DataFrame, params: ScoreParams = DEFAULT, with_hash: bool = False):
+    """Per-series statistics (and hashes), routing each series by its length.
+
+    Returns ``(stats, hashes)``; ``hashes`` is None without ``with_hash``.
+    """
     lengths = pv.groupBy("id").agg(F.count(F.lit(1)).alias("_len"))
     hot = lengths.filter(F.col("_len") > params.chunk_rows).select("id")
     n_hot = hot.count()
     if n_hot == 0:
-        return stats_bounded(pv, params)
+        return _bounded_parts(pv, params, with_hash)
     # At most total_rows / chunk_rows ids; counted above.
     hot_ids = F.broadcast(hot) if n_hot <= MAX_BROADCAST_ROWS else hot
-    return stats_bounded(pv.join(hot_ids, "id", "left_anti"), params).unionByName(
-        stats_chunked(pv.join(hot_ids, "id", "left_semi"), params))
+    stats, hashes = _bounded_parts(pv.join(hot_ids, "id", "left_anti"), params, with_hash)
+    hot_pv = pv.join(hot_ids, "id", "left_semi")
+    stats = stats.unionByName(stats_chunked(hot_pv, params))
+    if with_hash:
+        hashes = hashes.unionByName(content_hashes(hot_pv))
+    return stats, hashes
 
 
 def status_column(n, n_infinite, params: ScoreParams = DEFAULT) -> F.Column:
@@ -113,9 +138,10 @@ def score_panel(header: DataFrame, panel: DataFrame, params: ScoreParams = DEFAU
                 with_hash: bool = True) -> DataFrame:
     """24-column scan rows (``pct_rare`` for ``%Rare``), one per header row."""
     pv = clean_values(panel.select("id", "pos", "value"))
-    rows = header.select(*HEADER_FIELDS).join(series_stats(pv, params), "id", "left")
+    stats, hashes = series_stats(pv, params, with_hash)
+    rows = header.select(*HEADER_FIELDS).join(stats, "id", "left")
     if with_hash:
-        rows = rows.join(content_hashes(pv), "id", "left")
+        rows = rows.join(hashes, "id", "left")
     else:
         rows = rows.withColumn("content_hash", F.lit(None).cast("string"))
 

@@ -59,16 +59,17 @@ def table_panel(spark: SparkSession, root: str, spec: TablePanel, chunk_rows: in
         src = src.filter(F.expr(spec.where_sql))
     d = src.select(F.col(spec.key).cast("string").alias("name"), *spec.order,
                    F.expr(spec.value_sql).cast("double").alias("value"))
-    d = clean_values(d)
-    d = number_rows(d, ["name"], list(spec.order), "pos", chunk_rows)
+    d = clean_values(d).withColumn("id", make_id(F.lit(TABLE_SOURCE), F.lit(spec.collection), F.col("name")))
+    # Numbered per id, so the scoring windows (also per id) reuse this shuffle.
+    d = number_rows(d, ["id"], list(spec.order), "pos", chunk_rows)
     head = [
-        make_id(F.lit(TABLE_SOURCE), F.lit(spec.collection), F.col("name")).alias("id"),
-        F.lit(TABLE_SOURCE).alias("source"), F.lit(spec.collection).alias("collection"), F.col("name"),
+        F.col("id"), F.lit(TABLE_SOURCE).alias("source"), F.lit(spec.collection).alias("collection"), F.col("name"),
         F.lit(None).cast("string").alias("granularity"), F.lit(spec.time_column).alias("time_column"),
         F.lit("float64").alias("dtype"),
     ]
     panel = d.select(*head, F.col("pos"), F.col(spec.time_column).cast("timestamp_ntz").alias("ts"), "value")
-    header = src.select(F.col(spec.key).cast("string").alias("name")).distinct().select(
+    header = src.select(F.col(spec.key).cast("string").alias("name")).distinct().withColumn(
+        "id", make_id(F.lit(TABLE_SOURCE), F.lit(spec.collection), F.col("name"))).select(
         *head, F.lit(None).cast("long").alias("ord"))
     return header, panel
 
