@@ -11,10 +11,21 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from ..functions.ids import make_id
-from ..params import NOTE_MAX_CHARS
+from ..params import EXCLUDED_COLLECTIONS, NOTE_MAX_CHARS
 from ..schemas import SCAN, SCAN_COLUMNS, published
 
 
+def exclude_collections(header: DataFrame, excluded=tuple(EXCLUDED_COLLECTIONS), sources=None,
+                        collections=None) -> DataFrame:
+    """Drop excluded collections; optionally keep only some sources / collections."""
+    out = header.filter(~F.col("collection").isin(*excluded)) if excluded else header
+    if sources:
+        out = out.filter(F.col("source").isin(*sources))
+    if collections:
+        out = out.filter(F.col("collection").isin(*collections))
+    return out
+
+
 def only_new(header: DataFrame, previous: DataFrame, key: str = "id") -> DataFrame:
     """Series whose id is not in ``previous`` (any table with an ``id`` column)."""
     return header.join(previous.select(key).distinct(), key, "left_anti")

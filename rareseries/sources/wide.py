@@ -6,7 +6,7 @@ file order; every series of the table shares that row position.
 """
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
@@ -164,5 +164,5 @@ def select_collections(files: DataFrame, folders=WIDE_FOLDERS, wanted=None, path
         F.col("path").endswith(".csv") & F.col("folder").isin(*folders))
     if wanted:
         f = f.filter(F.col("collection").isin(*wanted))
-    w = Window.partitionBy("collection").orderBy("path")
-    return f.withColumn("_rn", F.row_number().over(w)).filter(F.col("_rn") == 1).drop("_rn")
+    return f.groupBy("collection").agg(F.min("path").alias("path"), F.min_by("folder", "path").alias("folder")) \
+        .select("path", "folder", "collection")
