@@ -18,7 +18,7 @@ from rareseries import queries as Q  # noqa: E402
 from rareseries.session import local_session  # noqa: E402
 
 HEADLINE = [
-    "scan_events", "scan_events_gaps", "scan_orders", "scan_lineitem", "scan_entries", "scan_wide",
+    "scan_events", "scan_events_gaps", "scan_orders", "scan_lineitem", "scan_entries", "scan_wide", "scan_event_types",
     "level_counts", "content_hash", "embedding", "build_series", "scan_summary", "dedupe_first",
     "numeric_profile", "profile_catalog", "pull_many", "granularity",
 ]

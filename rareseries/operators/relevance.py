@@ -39,14 +39,15 @@ def embedding(comp: DataFrame, k: int = DEFAULT.k, key: str = "id") -> DataFrame
     return fed.groupBy(key, "t").agg(*cols).filter(F.col("target").isNotNull())
 
 
-def control_points(tg: DataFrame, params: ScoreParams = DEFAULT, key: str = "id") -> DataFrame:
+def control_points(tg: DataFrame, params: ScoreParams = DEFAULT, key: str = "id", all_hot: bool = False
+                   ) -> DataFrame:
     """Quartiles, fences, adjacent values and outlier flags of the targets.
 
     Output: ``id, N, q1, median, q3, lower_fence, upper_fence, lo_adj, hi_adj,
     lo_on, hi_on``.
     """
     q = exact_quantiles(tg.select(key, "y"), [0.25, 0.5, 0.75], ["q1", "median", "q3"], key=key,
-                        val="y", chunk_rows=params.chunk_rows)
+                        val="y", chunk_rows=params.chunk_rows, all_hot=all_hot)
     iqr = F.col("q3") - F.col("q1")
     q = q.select(key, "q1", "median", "q3",
                  (F.col("q1") - F.lit(params.rel_coef) * iqr).alias("lower_fence"),
@@ -79,9 +80,9 @@ def scored_targets(tg: DataFrame, cp: DataFrame, key: str = "id") -> DataFrame:
 
 
 def imbalance_scores(tg: DataFrame, params: ScoreParams = DEFAULT, key: str = "id",
-                     cp: DataFrame | None = None) -> DataFrame:
+                     cp: DataFrame | None = None, all_hot: bool = False) -> DataFrame:
     """``id, N, n_normal, n_rare, IR, pct_rare, imbalance_level`` per series with targets."""
-    cp = cp if cp is not None else control_points(tg, params, key)
+    cp = cp if cp is not None else control_points(tg, params, key, all_hot)
     rare = scored_targets(tg, cp, key).groupBy(key).agg(
         F.count(F.lit(1)).alias("N"),
         F.count_if(F.col("phi") >= F.lit(params.rel_thres)).alias("n_rare"))

@@ -520,6 +520,7 @@ def _register() -> None:
     from .queries import SCAN_PANELS
     for n in SCAN_PANELS:
         ORACLE[f"scan_{n}"] = scan_rows_sql(panel_sql(n))
+    ORACLE["scan_event_types"] = scan_rows_sql(panel_sql("event_types"))
     ORACLE.update({
         "level_counts": level_counts_sql(),
         "panel_events": f"SELECT id, pos, ts, value FROM ({panel_sql('events')})",

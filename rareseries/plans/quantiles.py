@@ -28,15 +28,26 @@ MAX_ROUNDS = 200
 
 def exact_quantiles(values: DataFrame, probs: list[float], names: list[str], key: str = "id",
                     val: str = "y", chunk_rows: int = DEFAULT.chunk_rows, bins: int = 1024,
-                    leaf_rows: int | None = None) -> DataFrame:
-    """One row per key with a column per probability (``names``)."""
+                    leaf_rows: int | None = None, all_hot: bool = False) -> DataFrame:
+    """One row per key with a column per probability (``names``).
+
+    ``all_hot`` skips the size split when the caller already knows every key
+    is long (the chunked scoring path): the values are checkpointed once and
+    refined directly.
+    """
     leaf_rows = leaf_rows or chunk_rows
     values = values.select(key, val).filter(F.col(val).isNotNull())
+    if all_hot:
+        values = values.checkpoint(eager=True)
+        sizes = values.groupBy(key).agg(F.count(F.lit(1)).alias("_n"), F.min(val).alias("_min"),
+                                        F.max(val).alias("_max"))
+        return _refine(values, sizes, probs, names, key, val, bins, leaf_rows, materialised=True)
     sizes = values.groupBy(key).agg(F.count(F.lit(1)).alias("_n"), F.min(val).alias("_min"),
                                     F.max(val).alias("_max"))
     hot = sizes.filter(F.col("_n") > chunk_rows)
-    hot_keys, _ = broadcast_if_small(hot.select(key))
+    # At most total / chunk_rows keys are hot; one count decides the path and the broadcast.
     n_hot = hot.count()
+    hot_keys = F.broadcast(hot.select(key)) if n_hot <= MAX_BROADCAST_ROWS else hot.select(key)
 
     cold_values = values if n_hot == 0 else values.join(hot_keys, key, "left_anti")
     arr = F.percentile(F.col(val), F.array(*[F.lit(float(p)) for p in probs]))
@@ -49,8 +60,9 @@ def exact_quantiles(values: DataFrame, probs: list[float], names: list[str], key
 
 
 def _refine(values: DataFrame, sizes: DataFrame, probs: list[float], names: list[str], key: str,
-            val: str, bins: int, leaf_rows: int) -> DataFrame:
-    values = values.checkpoint(eager=True)  # read once per round; cut the lineage
+            val: str, bins: int, leaf_rows: int, materialised: bool = False) -> DataFrame:
+    if not materialised:
+        values = values.checkpoint(eager=True)  # read once per round; cut the lineage
 
     # Wanted ranks: floor and ceil of (n-1)*p for every probability.
     pos = [(F.col("_n") - 1) * F.lit(float(p)) for p in probs]
@@ -62,9 +74,12 @@ def _refine(values: DataFrame, sizes: DataFrame, probs: list[float], names: list
 
     for _ in range(MAX_ROUNDS):
         open_ = pending.filter((F.col("_cnt") > leaf_rows) & (F.col("_lo") < F.col("_hi")))
-        if open_.isEmpty():
+        intervals = open_.select(key, "_lo", "_hi", "_off").distinct()
+        n_open = intervals.count()  # one small action: the loop test and the broadcast check
+        if n_open == 0:
             break
-        intervals, _b = broadcast_if_small(open_.select(key, "_lo", "_hi", "_off").distinct())
+        if n_open <= MAX_BROADCAST_ROWS:
+            intervals = F.broadcast(intervals)
         inside = values.join(intervals, (values[key] == intervals[key])
                              & values[val].between(intervals["_lo"], intervals["_hi"]), "inner") \
             .select(values[key].alias(key), val, "_lo", "_hi", "_off")

@@ -17,7 +17,7 @@ from .operators.hashing import content_hashes
 from .operators.profile import lag1_pairs_stats, profile_moments
 from .operators.relevance import control_points, embedding, imbalance_scores, scored_targets, targets
 from .operators.scan import level_counts, score_panel
-from .params import DEFAULT
+from .params import DEFAULT, ScoreParams
 from .plans.sequence import compact, number_rows
 from .sources.entries import panel_from_entries
 from .functions.ids import blob_path, id_part
@@ -107,6 +107,18 @@ def q_scan(name: str) -> Query:
     return run
 
 
+# Chunk size for the hot-series query: small enough that every event-type series
+# takes the chunked plans (numbering, compact positions, salted joins, quantile
+# refinement, repartitioned hash) on the real tables.
+HOT_CHUNK_ROWS = 512
+
+
+def q_scan_hot(spark, root):
+    params = ScoreParams(chunk_rows=HOT_CHUNK_ROWS)
+    h, p = panel(spark, root, "event_types", chunk_rows=HOT_CHUNK_ROWS)
+    return rounded(score_panel(h, p, params, with_hash=True).drop("content_hash"))
+
+
 def q_level_counts(spark, root):
     return level_counts(scan_of(spark, root, "events", with_hash=False))
 
@@ -385,6 +397,7 @@ def q_catalog_filter(spark, root):
 
 QUERIES: dict[str, Query] = {
     **{f"scan_{n}": q_scan(n) for n in SCAN_PANELS},
+    "scan_event_types": q_scan_hot,
     "level_counts": q_level_counts,
     "panel_events": q_panel_events,
     "panel_entries": q_panel_entries,
