@@ -202,6 +202,36 @@ def check_profile(catalog: DataFrame, expected_json: str) -> DataFrame:
     return diff_profiles(profile_from_json(spark, expected_json), profile_catalog(catalog))
 
 
+def write_profile(profile: DataFrame, path: str) -> str:
+    """A11 (write): store the profile as one JSON document (a folder with one text file)."""
+    spark = profile.sparkSession
+    text = profile_to_json(profile)
+    spark.createDataFrame([(text,)], "value string").coalesce(1).write.mode("overwrite").text(path)
+    return text
+
+
+def read_profile_text(spark: SparkSession, path: str) -> str:
+    return "\n".join(r["value"] for r in spark.read.text(path, wholetext=True).collect())
+
+
+class ProfileDrift(AssertionError):
+    """Raised by :func:`assert_no_drift`; carries the drift rows."""
+
+    def __init__(self, rows):
+        self.rows = rows
+        lines = "\n".join(f"  - {r['path']}: {r['kind']} (expected={r['expected']}, actual={r['actual']})"
+                          for r in rows)
+        super().__init__(f"catalog profile drifted from the stored profile:\n{lines}")
+
+
+def assert_no_drift(catalog: DataFrame, path: str) -> None:
+    """A11 (check): fail when the catalog's profile differs from the stored one."""
+    drift = check_profile(catalog, read_profile_text(catalog.sparkSession, path))
+    rows = drift.limit(1000).collect()  # a profile has a few hundred paths
+    if rows:
+        raise ProfileDrift(rows)
+
+
 def describe(df: DataFrame, cols) -> DataFrame:
     """Summary statistics of heavy-tailed columns."""
     return df.select(*[_c(c) for c in cols]).summary()

@@ -15,7 +15,7 @@ from pyspark.sql import functions as F
 
 from ..functions.ids import unsafe_path
 from ..plans.joins import broadcast_if_small
-from .hashing import content_hashes, with_empty_hash
+from .hashing import content_hashes, hash_check, with_empty_hash
 
 ERRORS = ("raise", "skip")
 
@@ -87,6 +87,11 @@ def pull(series_id: str, catalog: DataFrame, stored: DataFrame) -> DataFrame:
     return out.select("pos", "ts", "value")
 
 
+def verify_pulled(points: DataFrame, catalog: DataFrame) -> DataFrame:
+    """For every pulled id, whether its non-null values hash to the catalog hash."""
+    return hash_check(points, catalog.select("id", "content_hash"))
+
+
 def read_series(spark: SparkSession, root: str, sources=None, collections=None) -> DataFrame:
     """The stored series table, pruned to the given partitions."""
     df = spark.read.parquet(root)
