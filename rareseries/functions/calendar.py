@@ -32,6 +32,18 @@ def parse_dates(col) -> Column:
     return F.coalesce(*parsed).cast("timestamp_ntz")
 
 
+def epoch_micros(col, naive: bool = True) -> Column:
+    """Microseconds since 1970-01-01 00:00:00.
+
+    For a naive timestamp this is wall-clock arithmetic (no session time zone
+    involved); an instant uses ``unix_micros``.
+    """
+    c = _c(col)
+    if naive:
+        return F.timestamp_diff("MICROSECOND", F.lit("1970-01-01 00:00:00").cast("timestamp_ntz"), c)
+    return F.unix_micros(c)
+
+
 def _lookup(col: Column, table: dict, default: Column) -> Column:
     items = list(table.items())
     first, *rest = items

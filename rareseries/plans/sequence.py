@@ -23,10 +23,10 @@ def _as_number(df: DataFrame, name: str) -> Column:
     """A numeric view of an ordering column (timestamps become microseconds)."""
     dt = df.schema[name].dataType
     c = F.col(name)
-    if isinstance(dt, (T.TimestampType, T.TimestampNTZType)):
-        # A naive timestamp is read in the session time zone; the mapping stays
-        # non-decreasing, which is all the chunking needs.
-        return F.unix_micros(c.cast(T.TimestampType())).cast("double")
+    if isinstance(dt, T.TimestampNTZType):
+        return F.timestamp_diff("MICROSECOND", F.lit("1970-01-01 00:00:00").cast("timestamp_ntz"), c).cast("double")
+    if isinstance(dt, T.TimestampType):
+        return F.unix_micros(c).cast("double")
     if isinstance(dt, T.DateType):
         return F.unix_date(c).cast("double")
     return c.cast("double")

@@ -378,7 +378,8 @@ def derived_dates(spark: SparkSession, root: str) -> DataFrame:
     out = parts[0]
     for p in parts[1:]:
         out = out.unionByName(p)
-    return out.distinct()
+    # date_trunc yields an instant; keep naive wall-clock times throughout.
+    return out.withColumn("ts", F.col("ts").cast("timestamp_ntz")).distinct()
 
 
 def q_granularity(spark, root):

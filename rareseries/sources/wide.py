@@ -10,7 +10,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from ..functions.calendar import parse_dates
+from ..functions.calendar import epoch_micros, parse_dates
 from ..functions.ids import make_id
 from ..operators.profile import clean_values
 from ..params import DEFAULT, WIDE_FOLDERS
@@ -49,7 +49,8 @@ def infer_granularity(df: DataFrame, group: list[str], ts: str = "ts") -> DataFr
     else -> NULL. Two aggregation passes; no window over a group.
     """
     t = F.col(ts)
-    us = F.unix_micros(t.cast("timestamp"))
+    naive = not isinstance(df.schema[ts].dataType, T.TimestampType)
+    us = epoch_micros(t.cast("timestamp_ntz") if naive else t, naive)
     day = F.floor(us / F.lit(_DAY_US))
     dow = F.dayofweek(t)  # 1 = Sunday .. 7 = Saturday
     wd = (dow + 5) % 7  # 0 = Monday .. 6 = Sunday
