@@ -8,12 +8,12 @@ one reducer.
 """
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from ..functions.levels import imbalance_level, relevance
 from ..params import DEFAULT, ScoreParams
-from ..plans.joins import CHUNK, chunk_keys, salted_attach
+from ..plans.joins import CHUNK, MAX_BROADCAST_ROWS, chunk_keys, salted_attach
 from ..plans.quantiles import exact_quantiles
 
 
@@ -22,14 +22,35 @@ def targets(comp: DataFrame, k: int = DEFAULT.k, key: str = "id") -> DataFrame:
     return comp.filter(F.col("cpos") >= k).select(key, CHUNK, "cpos", F.col("value").alias("y"))
 
 
-def embedding(comp: DataFrame, k: int = DEFAULT.k, key: str = "id") -> DataFrame:
+def embedding(comp: DataFrame, k: int = DEFAULT.k, key: str = "id", chunk_rows: int = DEFAULT.chunk_rows
+              ) -> DataFrame:
     """Full embedding rows ``(id, t, lag_k .. lag_1, target)`` for every target t.
 
-    Each clean point at position c feeds the rows t = c .. c+k as lag t-c, so
-    the lag matrix is an explode followed by a grouping on ``(id, t)`` (no
-    window over a whole series).
+    Series with at most ``chunk_rows`` clean points use ``lag`` windows on
+    ``id`` (one exchange, no copies). Longer series use the chunk-safe form:
+    each clean point at position c feeds the rows t = c .. c+k as lag t-c, an
+    explode followed by a grouping on ``(id, t)``, so no task holds a whole
+    series (at the price of k+1 copies of those points).
     """
     clean = comp.filter(F.col("cpos").isNotNull()).select(key, "cpos", "value")
+    sizes = clean.groupBy(key).agg(F.count(F.lit(1)).alias("_n"))
+    hot = sizes.filter(F.col("_n") > chunk_rows).select(key)
+    n_hot = hot.count()
+    if n_hot == 0:
+        return _embedding_windows(clean, k, key)
+    hot_ids = F.broadcast(hot) if n_hot <= MAX_BROADCAST_ROWS else hot
+    return _embedding_windows(clean.join(hot_ids, key, "left_anti"), k, key).unionByName(
+        _embedding_exploded(clean.join(hot_ids, key, "left_semi"), k, key))
+
+
+def _embedding_windows(clean: DataFrame, k: int, key: str) -> DataFrame:
+    w = Window.partitionBy(key).orderBy("cpos")
+    cols = [F.lag("value", i).over(w).alias(f"lag_{i}") for i in range(k, 0, -1)]
+    return clean.select(key, F.col("cpos").alias("t"), *cols, F.col("value").alias("target")).filter(
+        F.col("t") >= k)
+
+
+def _embedding_exploded(clean: DataFrame, k: int, key: str) -> DataFrame:
     fed = clean.select(key, "value", "cpos",
                        F.explode(F.sequence(F.col("cpos"), F.col("cpos") + F.lit(k).cast("long"))).alias("t"))
     fed = fed.withColumn("lag", F.col("t") - F.col("cpos")).filter(F.col("t") >= k)

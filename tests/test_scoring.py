@@ -161,3 +161,14 @@ def test_scan_plan_uses_one_exchange_for_bounded_series(spark):
     _, p = make_panel(spark, {"t": CASES["trend"]})
     plan = stats_bounded(p.select("id", "pos", "value"))._jdf.queryExecution().executedPlan().toString()
     assert plan.count("Exchange hashpartitioning") == 1
+
+
+def test_embedding_forms_agree(spark):
+    from rareseries.operators.relevance import embedding
+    _, p = make_panel(spark, {"g": CASES["gaps"], "n": CASES["noise"], "s": CASES["n11"]})
+    comp = compact(p.select("id", "pos", "value"))
+    a = sorted(map(tuple, embedding(comp, 3).collect()))
+    b = sorted(map(tuple, embedding(comp, 3, chunk_rows=5).collect()))
+    assert a == b and len(a) == (45 - 3) + (82 - 3) + (11 - 3)
+    first = [r for r in a if r[0] == "n" and r[1] == 3][0]
+    assert list(first[2:]) == CASES["noise"][:4]
