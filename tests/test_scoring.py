@@ -5,7 +5,6 @@ import hashlib
 
 import numpy as np
 import pytest
-from pyspark.sql import functions as F
 
 from brute import score as brute_score
 from conftest import close
