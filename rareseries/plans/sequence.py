@@ -17,6 +17,7 @@ from ..params import DEFAULT
 from .joins import CHUNK, MAX_BROADCAST_ROWS
 
 _UNB = Window.unboundedPreceding
+FINER = 16
 
 
 def _as_number(df: DataFrame, name: str) -> Column:
@@ -37,8 +38,9 @@ def number_rows(df: DataFrame, keys: list[str], order: list[str], out: str = "po
     """Add ``out`` = 0-based row number inside ``keys`` following ``order``.
 
     Equal to ``row_number() over (partition by keys order by order) - 1`` but a
-    key with more than ``chunk_rows`` rows is split into equal-width ranges of
-    its first ordering column, so its rows spread over many tasks. ``order``
+    key with more than ``chunk_rows`` rows is split into ``FINER * n / chunk_rows``
+    equal-width ranges of its first ordering column, so its rows spread over
+    many tasks; exact offsets come from a prefix sum over the range counts. ``order``
     must be a total order inside each key for the result to be deterministic;
     NULLs sort last.
     """
@@ -46,8 +48,10 @@ def number_rows(df: DataFrame, keys: list[str], order: list[str], out: str = "po
     d = df.withColumn("_o1", first)
     stats = d.groupBy(*keys).agg(F.count(F.lit(1)).alias("_n"), F.min("_o1").alias("_lo"),
                                  F.max("_o1").alias("_hi"))
+    # Ranges FINER times smaller than needed on average: a burst of timestamps
+    # must fall inside a much narrower range before one window partition grows.
     hot = stats.filter(F.col("_n") > chunk_rows).select(
-        *keys, "_lo", "_hi", F.ceil(F.col("_n") / F.lit(chunk_rows)).alias("_nb"))
+        *keys, "_lo", "_hi", (F.ceil(F.col("_n") / F.lit(chunk_rows)) * FINER).alias("_nb"))
     # At most total_rows / chunk_rows keys can be hot; checked before broadcasting.
     n_hot = hot.count()
     if not n_hot:

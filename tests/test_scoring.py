@@ -171,3 +171,14 @@ def test_embedding_forms_agree(spark):
     assert a == b and len(a) == (45 - 3) + (82 - 3) + (11 - 3)
     first = [r for r in a if r[0] == "n" and r[1] == 3][0]
     assert list(first[2:]) == CASES["noise"][:4]
+
+
+def test_number_rows_with_bursts_ties_and_nulls(spark):
+    ts = [0.0] * 60 + [float(i) for i in range(40)] + [None] * 7 + [1e6]
+    rows = [("k", t, i) for i, t in enumerate(ts)] + [("small", 1.0, 0)]
+    df = spark.createDataFrame(rows, "k string, t double, i long")
+    want = {(r["k"], r["i"]): r["p"] for r in df.selectExpr(
+        "k", "i", "row_number() over (partition by k order by t asc nulls last, i) - 1 as p").collect()}
+    for chunk in (10_000, 9, 2):
+        got = {(r["k"], r["i"]): r["pos"] for r in number_rows(df, ["k"], ["t", "i"], "pos", chunk).collect()}
+        assert got == want, chunk
