@@ -26,7 +26,7 @@ from .operators.drift import (catalog_filter, count_distinct, diff_profiles, exa
                               first_value_by_group, numeric_profile, profile_catalog, top_k, value_counts)
 from .operators.increment import limit_new, only_new, scan_summary
 from .operators.publish import finalize_catalog, missing_from_source, path_collisions, series_frame, unpublished
-from .operators.retrieve import pull_many, pull_status
+from .operators.retrieve import pull_many, pull_status, verify_pulled
 from .params import NULL_BUCKET
 from .schemas import published
 from .session import ensure_checkpoint_dir
@@ -321,6 +321,12 @@ def q_pull_many(spark, root):
     return pull_many(req, cat, stored, errors="skip")
 
 
+def q_verify_pulled(spark, root):
+    """Stored points of every published series re-hashed against the scan's hash."""
+    stored, _, cat = _stored_and_requests(spark, root)
+    return verify_pulled(stored, cat.filter(F.col("blob_path").isNotNull())).select("id", "hash_ok")
+
+
 def q_value_counts(spark, root):
     return value_counts(catalog_series(spark, root), "granularity", NULL_BUCKET)
 
@@ -424,6 +430,7 @@ QUERIES: dict[str, Query] = {
     "missing_from_source": q_missing_from_source,
     "pull_status": q_pull_status,
     "pull_many": q_pull_many,
+    "verify_pulled": q_verify_pulled,
     "value_counts": q_value_counts,
     "time_column_by_source": q_time_column_by_source,
     "collection_count": q_collection_count,
