@@ -16,6 +16,8 @@ BASE_CONF = {
     "spark.sql.execution.arrow.pyspark.enabled": "true",
     "spark.ui.enabled": "false",
     "spark.ui.showConsoleProgress": "false",
+    # Checkpoint files of unreferenced DataFrames are removed by the cleaner.
+    "spark.cleaner.referenceTracking.cleanCheckpoints": "true",
 }
 
 
