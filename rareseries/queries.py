@@ -19,7 +19,7 @@ from .operators.relevance import control_points, embedding, imbalance_scores, sc
 from .operators.scan import level_counts, score_panel
 from .params import DEFAULT, ScoreParams
 from .plans.sequence import compact, number_rows
-from .sources.entries import panel_from_entries
+from .sources.entries import entry_header, entry_points
 from .functions.ids import blob_path, id_part
 from .operators.catalog import build_scanned, build_series, dedupe_first, duplicate_report
 from .operators.drift import (catalog_filter, count_distinct, diff_profiles, example_counts,
@@ -58,14 +58,26 @@ def entry_freq(label: Column) -> Column:
     return expr
 
 
-def embedding_entries(spark: SparkSession, root: str) -> DataFrame:
-    """``embeddings`` as nested entries: one collection per label, ordered by vec_id."""
-    emb = read_table(spark, root, "embeddings")
-    e = emb.select("vec_id", "label", F.col("embedding").cast("array<double>").alias("target"),
-                   F.concat(F.lit("emb"), F.col("label").cast("string")).alias("collection"))
-    e = number_rows(e, ["collection"], ["vec_id"], "entry_ord")
-    return e.select("entry_ord", F.col("vec_id").cast("string").alias("item_id"), "target", "collection",
-                    entry_freq(F.col("label")).alias("freq"))
+def embedding_entries(spark: SparkSession, root: str) -> tuple[DataFrame, DataFrame]:
+    """``embeddings`` as nested entries: one collection per label, ordered by vec_id.
+
+    Returns ``(keys, entries)``: ``keys`` carry the entry positions (numbered on
+    key columns only, the arrays never move for it) and feed the header;
+    ``entries`` carry the arrays, with the position joined only where an entry
+    has no ``item_id`` and the position is its key.
+    """
+    emb = read_table(spark, root, "embeddings").select(
+        "vec_id", F.col("vec_id").cast("string").alias("item_id"),
+        F.col("embedding").cast("array<double>").alias("target"),
+        F.concat(F.lit("emb"), F.col("label").cast("string")).alias("collection"),
+        entry_freq(F.col("label")).alias("freq"))
+    marker = F.when(F.col("target").isNotNull(), F.array().cast("array<double>"))
+    keys = number_rows(emb.select("vec_id", "item_id", "collection", "freq", marker.alias("target")),
+                       ["collection"], ["vec_id"], "entry_ord")
+    with_key = emb.filter(F.col("item_id").isNotNull()).withColumn("entry_ord", F.lit(None).cast("long"))
+    without_key = emb.filter(F.col("item_id").isNull()).join(
+        keys.select("collection", "vec_id", "entry_ord"), ["collection", "vec_id"], "inner")
+    return keys, with_key.unionByName(without_key)
 
 
 def daily_wide(spark: SparkSession, root: str) -> DataFrame:
@@ -82,8 +94,9 @@ def panel(spark: SparkSession, root: str, name: str, chunk_rows: int = DEFAULT.c
     if name in TABLE_PANELS:
         return table_panel(spark, root, TABLE_PANELS[name], chunk_rows)
     if name == "entries":
-        e = embedding_entries(spark, root)
-        return panel_from_entries(e, F.col("collection"), F.col("freq"))
+        keys, entries = embedding_entries(spark, root)
+        return (entry_header(keys, F.col("collection"), F.col("freq")),
+                entry_points(entries, F.col("collection"), F.col("freq")))
     if name == "wide":
         return panel_from_wide(daily_wide(spark, root), "daily_wide", chunk_rows=chunk_rows)
     raise KeyError(name)

@@ -32,27 +32,51 @@ def split_malformed_entries(entries: DataFrame) -> tuple[DataFrame, DataFrame]:
         "note", F.lit("entry has no target array"))
 
 
-def panel_from_entries(entries: DataFrame, collection, freq=None, source: str = "gluonts"
-                       ) -> tuple[DataFrame, DataFrame]:
-    """(header, panel) of one series per well-formed entry.
-
-    ``collection``/``freq`` are literals or Columns (one entries table may hold
-    several collections). Values are exploded with their position; NaN
-    becomes NULL.
-    """
+def _well_formed(entries: DataFrame, collection, freq, source: str) -> DataFrame:
     e = entries.withColumn("_collection", _lit_or_col(collection).cast("string")) \
                .withColumn("_freq", _lit_or_col(freq).cast("string")) \
                .withColumn("_key", entry_key())
     good, _bad = split_malformed_entries(e)
-    good = good.withColumn("id", make_id(F.lit(source), F.col("_collection"), F.col("_key")))
-    header_cols = [
+    return good.withColumn("id", make_id(F.lit(source), F.col("_collection"), F.col("_key")))
+
+
+def _header_cols(source: str) -> list:
+    return [
         F.col("id"), F.lit(source).alias("source"), F.col("_collection").alias("collection"),
         F.col("_key").alias("name"), F.col("_freq").alias("granularity"),
         F.lit(None).cast("string").alias("time_column"), F.lit("float64").alias("dtype"),
     ]
-    header = good.select(*header_cols, F.col("entry_ord").cast("long").alias("ord"))
-    panel = good.select(*header_cols, F.posexplode("target").alias("pos", "value"))
-    panel = clean_values(panel).select(
+
+
+def entry_header(entries: DataFrame, collection, freq=None, source: str = "gluonts") -> DataFrame:
+    """Header rows (one per well-formed entry, ``ord`` = entry position).
+
+    Only ``entry_ord``, ``item_id`` and whether ``target`` is NULL are read, so
+    a caller may pass key columns with a stand-in ``target`` (the arrays need
+    not travel to wherever the positions were computed).
+    """
+    good = _well_formed(entries, collection, freq, source)
+    return good.select(*_header_cols(source), F.col("entry_ord").cast("long").alias("ord"))
+
+
+def entry_points(entries: DataFrame, collection, freq=None, source: str = "gluonts") -> DataFrame:
+    """Long panel rows: the target arrays exploded with their position, NaN -> NULL.
+
+    ``entry_ord`` is only read for entries without ``item_id`` (the key fallback).
+    """
+    good = _well_formed(entries, collection, freq, source)
+    panel = good.select(*_header_cols(source), F.posexplode("target").alias("pos", "value"))
+    return clean_values(panel).select(
         "id", "source", "collection", "name", "granularity", "time_column", "dtype",
         F.col("pos").cast("long").alias("pos"), F.lit(None).cast("timestamp_ntz").alias("ts"), "value")
-    return header, panel
+
+
+def panel_from_entries(entries: DataFrame, collection, freq=None, source: str = "gluonts"
+                       ) -> tuple[DataFrame, DataFrame]:
+    """(header, panel) of one series per well-formed entry.
+
+    ``collection``/``freq`` are literals or Columns (one entries table may hold
+    several collections). Values are exploded with their position; NaN
+    becomes NULL.
+    """
+    return entry_header(entries, collection, freq, source), entry_points(entries, collection, freq, source)
