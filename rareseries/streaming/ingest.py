@@ -23,11 +23,17 @@ ENTRY_FILE = T.StructType(ENTRIES.fields + [T.StructField("collection", T.String
                                             T.StructField("freq", T.StringType(), True)])
 
 
-def _scanned_ids(spark: SparkSession, out_path: str) -> DataFrame:
+def _scanned_ids(spark: SparkSession, out_path: str, collections: DataFrame) -> DataFrame:
+    """Ids already in the scan table, read only from the batch's collections.
+
+    The scan table is partitioned by source and collection, so the semi join on
+    ``collection`` lets partition pruning skip every other collection.
+    """
     try:
-        return spark.read.schema(SCAN).parquet(out_path).select("id")
+        done = spark.read.schema(SCAN).parquet(out_path)
     except Exception:  # noqa: BLE001 - nothing written yet
         return spark.createDataFrame([], "id string")
+    return done.join(collections, "collection", "left_semi").select("id")
 
 
 def score_entries_batch(batch: DataFrame, out_path: str, source: str = "gluonts",
@@ -37,7 +43,7 @@ def score_entries_batch(batch: DataFrame, out_path: str, source: str = "gluonts"
 
     spark = batch.sparkSession
     header, panel = panel_from_entries(batch, F.col("collection"), F.col("freq"), source)
-    header = only_new(header, _scanned_ids(spark, out_path))
+    header = only_new(header, _scanned_ids(spark, out_path, header.select("collection").distinct()))
     panel = panel.join(header.select("id"), "id", "left_semi")
     append_scan(score_panel(header, panel, params), out_path)
 
