@@ -2,14 +2,29 @@
 
 These are the independent cross-checks for the Spark plans: plain windows and
 aggregates over the given tables, written without any of the chunking the
-Spark side uses. Every double is rounded to 6 decimals on both sides.
+Spark side uses. Every double is rounded to 8 significant digits on both sides (same IEEE
+steps), so summation-order noise between the engines does not reach the result.
 """
 from __future__ import annotations
 
 from .params import DEFAULT, SEASONAL_PERIOD, GRANULARITY_ALIASES, ScoreParams
 from .sources.tables import TABLE_PANELS, TABLE_SOURCE, TablePanel
 
-R = 6  # decimals kept for doubles
+DIGITS = 8  # significant digits kept for doubles on both sides
+R = DIGITS
+
+
+def sig(x: str, digits: int = DIGITS) -> str:
+    """Round to ``digits`` significant digits with the same IEEE steps as the Spark side.
+
+    Powers of ten are exact (0..22); the value is multiplied or divided so no
+    inexact power is used.
+    """
+    e = f"floor(log10(abs({x})))"
+    k = f"({digits - 1} - {e})"
+    return (f"(CASE WHEN ({x}) IS NULL OR isinf({x}) OR isnan({x}) OR ({x}) = 0 THEN ({x}) "
+            f"WHEN {k} >= 0 THEN round(({x}) * pow(10, {k})) / pow(10, {k}) "
+            f"ELSE round(({x}) / pow(10, -{k})) * pow(10, -{k}) END)")
 
 
 def make_id_sql(source: str, collection: str, key: str) -> str:
@@ -141,7 +156,7 @@ def scan_rows_sql(panel: str, p: ScoreParams = DEFAULT) -> str:
     """24-column scan rows without ``content_hash`` (not expressible in SQL)."""
     k2 = p.min_points
     ok = f"(COALESCE(b.n_obs, 0) >= {k2})"
-    pct = "100.0 * sc.n_rare / sc.N"
+    pct = "100.0 * (sc.n_rare / sc.N)"
     return f"""WITH {scoring_ctes(panel, p)},
       header AS (SELECT DISTINCT id, source, collection, name, granularity, time_column, dtype FROM panel)
     SELECT h.id, h.source, h.collection, h.name, h.granularity, h.time_column,
@@ -150,16 +165,16 @@ def scan_rows_sql(panel: str, p: ScoreParams = DEFAULT) -> str:
            CASE WHEN {ok} THEN sc.N - sc.n_rare END AS n_normal,
            CASE WHEN {ok} THEN sc.n_rare END AS n_rare,
            CASE WHEN {ok} THEN CASE WHEN sc.n_rare = 0 THEN 'inf'::DOUBLE
-                ELSE ROUND((sc.N - sc.n_rare) / sc.n_rare, {R}) END END AS IR,
-           CASE WHEN {ok} THEN ROUND({pct}, {R}) END AS pct_rare,
+                ELSE {sig('(sc.N - sc.n_rare) / sc.n_rare')} END END AS IR,
+           CASE WHEN {ok} THEN {sig(pct)} END AS pct_rare,
            CASE WHEN {ok} THEN {level_sql('sc.n_rare', pct)} END AS imbalance_level,
-           ROUND(100.0 * b.n_missing / b.length, 4) AS missing_pct,
-           CASE WHEN {ok} THEN ROUND(b.mean, {R}) END AS mean,
-           CASE WHEN {ok} THEN ROUND(b.std, {R}) END AS std,
-           CASE WHEN {ok} AND ABS(b.mean) > 1e-12 THEN ROUND(b.std / ABS(b.mean), {R}) END AS cv,
-           CASE WHEN {ok} THEN ROUND(COALESCE(b.skew, 0.0), {R}) END AS skewness,
-           CASE WHEN {ok} THEN ROUND(COALESCE(b.kurt, 0.0), {R}) END AS kurtosis,
-           CASE WHEN {ok} THEN ROUND(ac.autocorr_lag1, {R}) END AS autocorr_lag1,
+           ROUND(100.0 * (b.n_missing / b.length), 4) AS missing_pct,
+           CASE WHEN {ok} THEN {sig('b.mean')} END AS mean,
+           CASE WHEN {ok} THEN {sig('b.std')} END AS std,
+           CASE WHEN {ok} AND ABS(b.mean) > 1e-12 THEN {sig('b.std / ABS(b.mean)')} END AS cv,
+           CASE WHEN {ok} THEN {sig('COALESCE(b.skew, 0.0)')} END AS skewness,
+           CASE WHEN {ok} THEN {sig('COALESCE(b.kurt, 0.0)')} END AS kurtosis,
+           CASE WHEN {ok} THEN {sig('ac.autocorr_lag1')} END AS autocorr_lag1,
            CASE WHEN {ok} THEN 'ok' ELSE 'skipped_short' END AS status,
            CASE WHEN {ok} THEN NULL ELSE 'only ' || CAST(COALESCE(b.n_obs, 0) AS VARCHAR)
                 || ' non-null values, need >= {k2} to embed' END AS note
@@ -177,11 +192,11 @@ def level_counts_sql() -> str:
 
 def profile_moments_sql(name: str) -> str:
     return f"""WITH {_ctes(name)}
-      SELECT id, length, n_obs, ROUND(100.0 * n_missing / length, 4) AS missing_pct,
-             ROUND(mean, {R}) AS mean, ROUND(std, {R}) AS std,
-             CASE WHEN ABS(mean) > 1e-12 THEN ROUND(std / ABS(mean), {R}) END AS cv,
-             CASE WHEN n_obs >= 3 THEN ROUND(COALESCE(skew, 0.0), {R}) END AS skewness,
-             CASE WHEN n_obs >= 4 THEN ROUND(COALESCE(kurt, 0.0), {R}) END AS kurtosis
+      SELECT id, length, n_obs, ROUND(100.0 * (n_missing / length), 4) AS missing_pct,
+             {sig('mean')} AS mean, {sig('std')} AS std,
+             CASE WHEN ABS(mean) > 1e-12 THEN {sig('std / ABS(mean)')} END AS cv,
+             CASE WHEN n_obs >= 3 THEN {sig('COALESCE(skew, 0.0)')} END AS skewness,
+             CASE WHEN n_obs >= 4 THEN {sig('COALESCE(kurt, 0.0)')} END AS kurtosis
       FROM base"""
 
 
@@ -194,28 +209,28 @@ def embedding_sql(k: int = DEFAULT.k) -> str:
 
 def control_points_sql() -> str:
     return f"""WITH {_ctes('events')}
-      SELECT f.id, f.N, ROUND(q1, {R}) AS q1, ROUND(med, {R}) AS median, ROUND(q3, {R}) AS q3,
-             ROUND(lf, {R}) AS lower_fence, ROUND(uf, {R}) AS upper_fence,
-             ROUND(lw, {R}) AS lo_adj, ROUND(hw, {R}) AS hi_adj, lo_on, hi_on
+      SELECT f.id, f.N, {sig('q1')} AS q1, {sig('med')} AS median, {sig('q3')} AS q3,
+             {sig('lf')} AS lower_fence, {sig('uf')} AS upper_fence,
+             {sig('lw')} AS lo_adj, {sig('hw')} AS hi_adj, lo_on, hi_on
       FROM f JOIN cp ON f.id = cp.id"""
 
 
 def relevance_sql() -> str:
     return f"""WITH {_ctes('events')}
-      SELECT id, cpos, ROUND(y, {R}) AS y, ROUND(phi, {R}) AS phi FROM ph"""
+      SELECT id, cpos, {sig('y')} AS y, {sig('phi')} AS phi FROM ph"""
 
 
 def imbalance_scores_sql() -> str:
-    pct = "100.0 * n_rare / N"
+    pct = "100.0 * (n_rare / N)"
     return f"""WITH {_ctes('lineitem')}
       SELECT id, N, N - n_rare AS n_normal, n_rare,
-             CASE WHEN n_rare = 0 THEN 'inf'::DOUBLE ELSE ROUND((N - n_rare) / n_rare, {R}) END AS IR,
-             ROUND({pct}, {R}) AS pct_rare, {level_sql('n_rare', pct)} AS imbalance_level
+             CASE WHEN n_rare = 0 THEN 'inf'::DOUBLE ELSE {sig('(N - n_rare) / n_rare')} END AS IR,
+             {sig(pct)} AS pct_rare, {level_sql('n_rare', pct)} AS imbalance_level
       FROM sc"""
 
 
 def autocorr_sql() -> str:
-    return f"""WITH {_ctes('events_gaps')} SELECT id, ROUND(autocorr_lag1, {R}) AS autocorr_lag1 FROM ac"""
+    return f"""WITH {_ctes('events_gaps')} SELECT id, {sig('autocorr_lag1')} AS autocorr_lag1 FROM ac"""
 
 
 

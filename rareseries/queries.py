@@ -2,7 +2,7 @@
 
 Each entry of :data:`QUERIES` maps a name to ``(spark, sf_dir) -> DataFrame``;
 :mod:`rareseries.oracle` holds the DuckDB SQL with the same columns. Doubles
-are rounded to 6 decimals on both sides.
+are rounded to 8 significant digits on both sides.
 """
 from __future__ import annotations
 
@@ -12,7 +12,7 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from .oracle import ENTRY_FREQS, R
+from .oracle import DIGITS, ENTRY_FREQS
 from .operators.hashing import content_hashes
 from .operators.profile import lag1_pairs_stats, profile_moments
 from .operators.relevance import control_points, embedding, imbalance_scores, scored_targets, targets
@@ -36,13 +36,27 @@ from .sources.wide import infer_granularity, panel_from_wide
 Query = Callable[[SparkSession, str], DataFrame]
 
 
-def rounded(df: DataFrame, decimals: int = R) -> DataFrame:
-    """Round every double column (infinities and NULLs pass through)."""
+def sig(c: Column, digits: int = DIGITS) -> Column:
+    """Round to ``digits`` significant digits (same IEEE steps as :func:`rareseries.oracle.sig`).
+
+    Powers of ten stay exact (0..22): the value is multiplied or divided by one.
+    NULL, NaN, infinities and zero pass through.
+    """
+    k = F.lit(digits - 1) - F.floor(F.log10(F.abs(c)))
+    p_up = F.pow(F.lit(10.0), k.cast("double"))
+    p_down = F.pow(F.lit(10.0), (-k).cast("double"))
+    return (F.when(c.isNull() | F.isnan(c) | (F.abs(c) == F.lit(float("inf"))) | (c == 0), c)
+             .when(k >= 0, F.round(c * p_up) / p_up)
+             .otherwise(F.round(c / p_down) * p_down))
+
+
+def rounded(df: DataFrame, digits: int = DIGITS) -> DataFrame:
+    """Round every double column to ``digits`` significant digits."""
     cols = []
     for f in df.schema.fields:
         c = F.col(f"`{f.name}`")
         if isinstance(f.dataType, T.DoubleType):
-            c = F.when(F.isnan(c) | (F.abs(c) == F.lit(float("inf"))), c).otherwise(F.round(c, decimals))
+            c = sig(c, digits)
         cols.append(c.alias(f.name))
     return df.select(*cols)
 

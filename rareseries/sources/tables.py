@@ -46,7 +46,10 @@ TABLE_PANELS = {
     "events_gaps": TablePanel("events_gaps", "events", "user_id", ("ts", "event_id"),
                               "CASE WHEN event_type = 'error' THEN NULL ELSE value END"),
     "orders": TablePanel("orders", "orders", "o_custkey", ("o_orderdate", "o_orderkey"), "o_totalprice"),
-    "lineitem": TablePanel("lineitem", "lineitem", "l_suppkey", ("l_shipdate", "l_orderkey", "l_linenumber"),
+    # (orderkey, linenumber) is not unique in the generated tables: the part and
+    # the price complete the order key.
+    "lineitem": TablePanel("lineitem", "lineitem", "l_suppkey",
+                           ("l_shipdate", "l_orderkey", "l_linenumber", "l_partkey", "l_extendedprice"),
                            "l_extendedprice"),
     # Few, very long series: each event type holds about a fifth of all events.
     "event_types": TablePanel("event_types", "events", "event_type", ("ts", "event_id"), "value"),
