@@ -6,6 +6,7 @@ are rounded to 8 significant digits on both sides.
 """
 from __future__ import annotations
 
+import functools
 from collections.abc import Callable
 
 from pyspark.sql import Column, DataFrame, SparkSession
@@ -225,12 +226,17 @@ def catalog_scan(spark: SparkSession, root: str) -> DataFrame:
     key = (spark.sparkContext.applicationId, root)
     if key not in _SCAN_CACHE:
         ensure_checkpoint_dir(spark)
-        parts = [scan_of(spark, root, n).withColumn("ord", F.lit(i).cast("long"))
-                 for i, n in enumerate(CATALOG_RUNS)]
-        df = parts[0]
-        for p in parts[1:]:
-            df = df.unionByName(p)
-        _SCAN_CACHE[key] = df.checkpoint(eager=True)
+        headers, points, runs = [], [], []
+        for i, name in enumerate(CATALOG_RUNS):
+            h, p = panel(spark, root, name)
+            headers.append(h)
+            points.append(p)
+            runs.append(h.select("id", F.lit(i).cast("long").alias("ord")))
+        # Ids are unique across runs: score all runs in one plan, then tag each
+        # row with its run.
+        union = lambda dfs: functools.reduce(DataFrame.unionByName, dfs)
+        scan = score_panel(union(headers), union(points), DEFAULT, with_hash=True)
+        _SCAN_CACHE[key] = scan.join(union(runs), "id", "inner").checkpoint(eager=True)
     return _SCAN_CACHE[key]
 
 
