@@ -212,6 +212,12 @@ def q_content_hash(spark, root):
 
 # Runs appended to one scan table, in this order (``ord`` = run index).
 CATALOG_RUNS = ("events_gaps", "orders", "entries", "wide")
+
+
+def run_of() -> Column:
+    """Run index of a scan row (the panels of CATALOG_RUNS have disjoint source/collection)."""
+    return (F.when(F.col("collection") == "events_gaps", 0).when(F.col("collection") == "orders", 1)
+             .when(F.col("source") == "gluonts", 2).when(F.col("collection") == "daily_wide", 3))
 _SCAN_CACHE: dict[tuple[str, str], DataFrame] = {}
 
 
@@ -226,17 +232,16 @@ def catalog_scan(spark: SparkSession, root: str) -> DataFrame:
     key = (spark.sparkContext.applicationId, root)
     if key not in _SCAN_CACHE:
         ensure_checkpoint_dir(spark)
-        headers, points, runs = [], [], []
-        for i, name in enumerate(CATALOG_RUNS):
+        headers, points = [], []
+        for name in CATALOG_RUNS:
             h, p = panel(spark, root, name)
             headers.append(h)
             points.append(p)
-            runs.append(h.select("id", F.lit(i).cast("long").alias("ord")))
-        # Ids are unique across runs: score all runs in one plan, then tag each
-        # row with its run.
+        # Ids are unique across runs: score all runs in one plan; each row's run
+        # follows from its source and collection.
         union = lambda dfs: functools.reduce(DataFrame.unionByName, dfs)
         scan = score_panel(union(headers), union(points), DEFAULT, with_hash=True)
-        _SCAN_CACHE[key] = scan.join(union(runs), "id", "inner").checkpoint(eager=True)
+        _SCAN_CACHE[key] = scan.withColumn("ord", run_of().cast("long")).checkpoint(eager=True)
     return _SCAN_CACHE[key]
 
 
