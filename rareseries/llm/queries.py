@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
 from rareseries.llm.common import table
 
@@ -19,7 +20,14 @@ def op2_jaccard_join(spark: SparkSession, sf_dir: str) -> DataFrame:
     return jaccard_groups(table(spark, sf_dir, "documents"), k=4, percent=85)
 
 
-LLM_QUERIES = {"op1_exact_dedup": op1_exact_dedup, "op2_jaccard_join": op2_jaccard_join}
+def op3_suffix_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from rareseries.llm.suffix_dedup import remove_repeats
+
+    found = remove_repeats(table(spark, sf_dir, "documents"))
+    return found.select("doc_id", "n_bytes", "n_removed", F.size("spans").cast("long").alias("n_spans"), F.sha2("kept", 256).alias("kept_sha256"))
+
+
+LLM_QUERIES = {f.__name__: f for f in (op1_exact_dedup, op2_jaccard_join, op3_suffix_dedup)}
 
 _LOWER = "translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz')"
 LLM_ORACLE = {
