@@ -27,7 +27,28 @@ def op3_suffix_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return found.select("doc_id", "n_bytes", "n_removed", F.size("spans").cast("long").alias("n_spans"), F.sha2("kept", 256).alias("kept_sha256"))
 
 
-LLM_QUERIES = {f.__name__: f for f in (op1_exact_dedup, op2_jaccard_join, op3_suffix_dedup)}
+def op4_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from rareseries.llm.mixing import mix
+
+    return mix(table(spark, sf_dir, "documents")).select("doc_id", "source", "size", "source_size", "target", "copies", "taken")
+
+
+def op5_token_files(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from rareseries.llm.token_files import new_root, read_records, write_records
+
+    root = new_root(spark)
+    found = read_records(write_records(table(spark, sf_dir, "documents"), root), root)
+    return found.select("doc_id", "start", (F.octet_length("ids") / 4).cast("long").alias("n_tokens"), F.crc32("ids").alias("ids_crc32"))
+
+
+def op9_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from rareseries.llm.packing import pack
+
+    pieces = pack(table(spark, sf_dir, "documents"))
+    return pieces.select("doc_id", "start", "length", F.crc32("ids").alias("ids_crc32"), "doc_tokens", "sequence_id", "offset")
+
+
+LLM_QUERIES = {f.__name__: f for f in (op1_exact_dedup, op2_jaccard_join, op3_suffix_dedup, op4_mixing, op5_token_files, op9_packing)}
 
 _LOWER = "translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz')"
 LLM_ORACLE = {

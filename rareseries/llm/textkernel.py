@@ -5,9 +5,18 @@ A word is ``[^\\x20\\x09-\\x0D]+`` on UTF-8 bytes; lower-casing touches A-Z only
 
 from __future__ import annotations
 
+import sys
+import types
+
 import numpy as np
 import pyarrow as pa
 
+
+def worker_cache(name: str) -> dict:
+    """A dictionary that lives as long as this Python worker (functions themselves arrive anew with every task)."""
+    return vars(sys.modules.setdefault("_rareseries_worker", types.ModuleType("_rareseries_worker"))).setdefault(name, {})
+
+
 #: Bytes that belong to words (all but space and 0x09-0x0D), and A-Z lower-cased.
 IS_WORD = np.ones(256, dtype=bool)
 IS_WORD[[0x20, *range(0x09, 0x0E)]] = False
@@ -19,7 +28,6 @@ _P = np.uint64(0x9E6C63D0876A9A37)
 _P_INV = np.uint64(pow(int(_P), -1, 1 << 64))
 #: Bytes hashed at a time; arrays of eight bytes per byte stay near 32 MB.
 WINDOW = 1 << 21
-_powers: dict[str, np.ndarray] = {}
 
 
 def mix(x: np.ndarray) -> np.ndarray:
@@ -32,11 +40,12 @@ def mix(x: np.ndarray) -> np.ndarray:
 
 
 def _power(name: str, base: np.uint64, n: int) -> np.ndarray:
-    have = _powers.get(name)
+    powers = worker_cache("powers")
+    have = powers.get(name)
     if have is None or len(have) < n:
         step = np.full(n, base, dtype=np.uint64)
         step[0] = 1
-        have = _powers[name] = np.cumprod(step, dtype=np.uint64)
+        have = powers[name] = np.cumprod(step, dtype=np.uint64)
     return have
 
 
