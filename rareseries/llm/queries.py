@@ -48,7 +48,13 @@ def op9_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return pieces.select("doc_id", "start", "length", F.crc32("ids").alias("ids_crc32"), "doc_tokens", "sequence_id", "offset")
 
 
-LLM_QUERIES = {f.__name__: f for f in (op1_exact_dedup, op2_jaccard_join, op3_suffix_dedup, op4_mixing, op5_token_files, op9_packing)}
+def op10_vector_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from rareseries.llm.vector_dedup import vector_groups
+
+    return vector_groups(table(spark, sf_dir, "embeddings"))
+
+
+LLM_QUERIES = {f.__name__: f for f in (op1_exact_dedup, op2_jaccard_join, op3_suffix_dedup, op4_mixing, op5_token_files, op9_packing, op10_vector_dedup)}
 
 _LOWER = "translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz')"
 LLM_ORACLE = {
