@@ -64,9 +64,9 @@ def text_buffers(column: pa.Array) -> tuple[np.ndarray, np.ndarray]:
     return data[offsets[0] : offsets[-1]], offsets - offsets[0]
 
 
-def word_spans(data: np.ndarray, offsets: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
-    """(start, end, text number) of every word; words never cross texts."""
-    word = IS_WORD[data]
+def word_spans(data: np.ndarray, offsets: np.ndarray, word_bytes: np.ndarray = IS_WORD) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """(start, end, text number) of every word (run of ``word_bytes``); words never cross texts."""
+    word = word_bytes[data]
     first = word.copy()
     first[1:] &= ~word[:-1]
     edges = offsets[:-1][(offsets[:-1] < offsets[1:])]
