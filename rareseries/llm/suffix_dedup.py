@@ -29,7 +29,9 @@ from rareseries.llm.common import slices
 
 #: Bytes of text in a chunk, on average; entries that a task ranks together, on average.
 CHUNK_BYTES = 4 << 20
-BUCKET_ENTRIES = 600_000
+BUCKET_ENTRIES = 300_000
+#: Bytes of text taken at a time (some 150 bytes of arrays for each).
+SLICE_BYTES = 1 << 19
 #: A null id counts as larger than any.
 _NULL_ID = np.iinfo(np.int64).max
 _U = np.uint64
@@ -96,7 +98,7 @@ class _Part:
 def _parts(group: pa.Table, length: int, k: int):
     batch = group.combine_chunks().to_batches()
     for b in batch:
-        for s in slices(b.select(["id", "text"]), "text"):
+        for s in slices(b.select(["id", "text"]), "text", SLICE_BYTES):
             ids = s.column("id").fill_null(int(_NULL_ID)).to_numpy(zero_copy_only=False)
             yield s, _Part(ids, s.column("text"), length, k)
 
