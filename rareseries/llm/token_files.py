@@ -143,7 +143,8 @@ def read_records(manifest: DataFrame, root: str, id_col: str = "doc_id") -> Data
     """
     run = Window.orderBy("part").rowsBetween(Window.unboundedPreceding, -1)
     first = manifest.select("part", F.coalesce(F.sum("tokens").over(run), F.lit(0)).alias("first"))
-    files = manifest.repartition(F.col("part")).mapInArrow(partial(_read, root=root), _READ)
+    # one file to a task: a given number of partitions is not merged again, however short the manifest
+    files = manifest.repartitionByRange(max(1, manifest.count()), "part").mapInArrow(partial(_read, root=root), _READ)
     return files.join(F.broadcast(first), "part").select(F.col("id").alias(id_col), (F.col("first") + F.col("before")).alias("start"), "ids")
 
 

@@ -10,7 +10,7 @@ import pyarrow as pa
 from rareseries.llm import textkernel as K
 
 #: Words that a worker's cache holds at most; then it starts anew (results stay the same).
-CACHE_WORDS = 3_000_000
+CACHE_WORDS = 1_000_000
 
 _ASCII = np.zeros(256, dtype=bool)
 _ASCII[0x21:0x7F] = True
@@ -53,8 +53,8 @@ class WordEncoder:
         self._clear()
 
     def _clear(self) -> None:
-        self.keys, self.sizes = np.zeros(0, dtype=np.uint64), np.zeros(0, dtype=np.int64)
-        self.at, self.count = np.zeros(0, dtype=np.int64), np.zeros(0, dtype=np.int64)
+        self.keys, self.sizes = np.zeros(0, dtype=np.uint64), np.zeros(0, dtype=np.int32)
+        self.at, self.count = np.zeros(0, dtype=np.int32), np.zeros(0, dtype=np.int32)
         self.pool, self.used = np.zeros(1 << 16, dtype=np.uint32), 0
 
     def pieces(self, data: np.ndarray, offsets: np.ndarray) -> np.ndarray:
@@ -91,7 +91,7 @@ class WordEncoder:
             new = np.flatnonzero(~known)
             self._learn(data, starts[first[new]], ends[first[new]], unique[new])
             place = np.searchsorted(self.keys, unique)
-        at, count = self.at[place][inverse], self.count[place][inverse]
+        at, count = self.at[place][inverse].astype(np.int64), self.count[place][inverse].astype(np.int64)
         begin = np.concatenate([[0], np.cumsum(count)])
         ids = self.pool[np.repeat(at - begin[:-1], count) + np.arange(begin[-1])] if len(count) else np.zeros(0, dtype=np.uint32)
         return ids, begin[np.searchsorted(starts, offsets)] if len(starts) else np.zeros(len(offsets), dtype=np.int64)
@@ -127,7 +127,7 @@ class WordEncoder:
         self.pool[self.used : self.used + len(flat)] = flat
         at = self.used + np.concatenate([[0], np.cumsum(count)[:-1]])
         self.used += len(flat)
-        keys, at, count, sizes = (np.concatenate(x) for x in ((self.keys, keys), (self.at, at), (self.count, count), (self.sizes, ends - starts)))
+        keys, at, count, sizes = (np.concatenate(x) for x in ((self.keys, keys), (self.at, at.astype(np.int32)), (self.count, count.astype(np.int32)), (self.sizes, (ends - starts).astype(np.int32))))
         # of equal keys (a collision of pieces of other lengths) the newest wins
         order = np.argsort(keys[::-1], kind="stable")
         keys, at, count, sizes = (x[::-1][order] for x in (keys, at, count, sizes))
