@@ -21,7 +21,7 @@ LEAST_SLOTS = 1024
 #: A source gives at most so many times its size.
 MAX_EPOCHS = 3
 #: Rows of a segment, on average, in the two-level sums.
-SEGMENT = 50_000
+SEGMENT = 2_000
 _CELLS = 1024
 
 
