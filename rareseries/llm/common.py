@@ -11,7 +11,7 @@ from pyspark.sql import functions as F
 from rareseries.session import ensure_checkpoint_dir
 
 #: Bytes of text that a numpy kernel takes at a time (its arrays need some 60 bytes for each).
-KERNEL_BYTES = 2 << 20
+KERNEL_BYTES = 1 << 19
 
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:

@@ -26,8 +26,8 @@ LOWER[0x41:0x5B] += 0x20
 #: Odd multiplier of the polynomial hash modulo 2^64 and its inverse.
 _P = np.uint64(0x9E6C63D0876A9A37)
 _P_INV = np.uint64(pow(int(_P), -1, 1 << 64))
-#: Bytes hashed at a time; arrays of eight bytes per byte stay near 32 MB.
-WINDOW = 1 << 21
+#: Bytes hashed at a time; arrays of eight bytes per byte stay near 4 MB.
+WINDOW = 1 << 19
 
 
 def mix(x: np.ndarray) -> np.ndarray:

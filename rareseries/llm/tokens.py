@@ -10,7 +10,7 @@ import pyarrow as pa
 from rareseries.llm import textkernel as K
 
 #: Words that a worker's cache holds at most; then it starts anew (results stay the same).
-CACHE_WORDS = 1_000_000
+CACHE_WORDS = 600_000
 
 _ASCII = np.zeros(256, dtype=bool)
 _ASCII[0x21:0x7F] = True
