@@ -71,15 +71,23 @@ def write_catalog(series: DataFrame, scanned: DataFrame, root: str, version: str
 
 def list_versions(spark: SparkSession, root: str, table: str = "series") -> DataFrame:
     """``(version, published_at)`` of every published catalog version."""
-    df = spark.read.parquet(f"{root.rstrip('/')}/{table}")
-    return df.groupBy("version").agg(F.max("published_at").alias("published_at"))
+    path = f"{root.rstrip('/')}/{table}"
+    folder = spark._jvm.org.apache.hadoop.fs.Path(path)
+    fs = folder.getFileSystem(spark._jsc.hadoopConfiguration())
+    names = [s.getPath().getName() for s in fs.listStatus(folder)] if fs.exists(folder) else []
+    found = []
+    for v in sorted(n.removeprefix("version=") for n in names if n.startswith("version=")):
+        # One row tells when a version was published: all of its rows carry the same time.
+        row = spark.read.parquet(f"{path}/version={v}").select(F.col("published_at").cast("string")).first()
+        found.append((v, row[0] if row else None))
+    return spark.createDataFrame(found, "version string, published_at string")
 
 
 def load_catalog(spark: SparkSession, root: str, version: str = "latest", table: str = "series",
                  refresh: bool = False) -> DataFrame:
     """A pinned version is immutable; ``latest`` is resolved on every call.
 
-    Only the chosen ``version=`` partition is scanned (partition pruning).
+    Versions are strings (1.1 is not 1.10): the chosen folder is read by its path.
     """
     path = f"{root.rstrip('/')}/{table}"
     if refresh or version == "latest":
@@ -90,4 +98,4 @@ def load_catalog(spark: SparkSession, root: str, version: str = "latest", table:
         if newest is None:
             raise FileNotFoundError(f"no published catalog under {path}")
         version = newest["version"]
-    return spark.read.parquet(path).filter(F.col("version") == F.lit(version)).drop("version", "published_at")
+    return spark.read.parquet(f"{path}/version={version}").drop("published_at")

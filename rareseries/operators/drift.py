@@ -147,10 +147,14 @@ def profile_catalog(catalog: DataFrame, order: str = "id", examples=COLLECTION_E
 
 
 def diff_profiles(expected: DataFrame, actual: DataFrame) -> DataFrame:
-    """A10: drift rows ``(path, kind, expected, actual)`` sorted by path."""
+    """A10: drift rows ``(path, kind, expected, actual)`` sorted by path.
+
+    Values that are both numbers are compared as numbers: 2.0E7 is 20000000.0.
+    """
     e = expected.select("path", F.col("value").alias("expected"))
     a = actual.select("path", F.col("value").alias("actual"))
-    j = e.join(a, "path", "full_outer").filter(~F.col("expected").eqNullSafe(F.col("actual")))
+    same = F.coalesce(F.col("expected").try_cast("double") == F.col("actual").try_cast("double"), F.lit(False))
+    j = e.join(a, "path", "full_outer").filter(~F.col("expected").eqNullSafe(F.col("actual")) & ~same)
     kind = (F.when(F.col("expected").isNull(), "new in catalog")
              .when(F.col("actual").isNull(), "missing from catalog")
              .otherwise("changed"))
@@ -215,21 +219,22 @@ def read_profile_text(spark: SparkSession, path: str) -> str:
 
 
 class ProfileDrift(AssertionError):
-    """Raised by :func:`assert_no_drift`; carries the drift rows."""
+    """Raised by :func:`assert_no_drift`; carries the whole report (``drift``), its size and the first rows."""
 
-    def __init__(self, rows):
-        self.rows = rows
+    def __init__(self, rows, drift=None, n=None):
+        self.rows, self.drift, self.n = rows, drift, len(rows) if n is None else n
         lines = "\n".join(f"  - {r['path']}: {r['kind']} (expected={r['expected']}, actual={r['actual']})"
                           for r in rows)
-        super().__init__(f"catalog profile drifted from the stored profile:\n{lines}")
+        more = f"\n  - and {self.n - len(rows)} more" if self.n > len(rows) else ""
+        super().__init__(f"catalog profile drifted from the stored profile:\n{lines}{more}")
 
 
 def assert_no_drift(catalog: DataFrame, path: str) -> None:
     """A11 (check): fail when the catalog's profile differs from the stored one."""
     drift = check_profile(catalog, read_profile_text(catalog.sparkSession, path))
-    rows = drift.limit(1000).collect()  # a profile has a few hundred paths
-    if rows:
-        raise ProfileDrift(rows)
+    n = drift.count()
+    if n:
+        raise ProfileDrift(drift.take(50), drift, n)  # the message shows the first rows; ``drift`` has them all
 
 
 def describe(df: DataFrame, cols) -> DataFrame:

@@ -41,11 +41,12 @@ def skip_failed_collections(header: DataFrame, previous: DataFrame) -> DataFrame
 def first_per_key(df: DataFrame, key: str = "id", order: str = "ord") -> DataFrame:
     """The first row of every key in ``order`` (ties broken by the full row).
 
-    ``min_by`` over a struct is an ordinary aggregate with map-side combining,
+    A NULL ``order`` comes last. ``min`` of a struct is an ordinary aggregate with map-side combining,
     so a key repeated millions of times costs one row per task before the shuffle.
     """
     cols = [c for c in df.columns if c != key]
-    picked = df.groupBy(key).agg(F.min_by(F.struct(*[F.col(c) for c in cols]), F.col(order)).alias("_r"))
+    first = F.struct(F.col(order).isNull().alias("_null"), F.col(order).alias("_ord"), *[F.col(c) for c in cols])
+    picked = df.groupBy(key).agg(F.min(first).alias("_r"))
     return picked.select(key, *[F.col("_r")[c].alias(c) for c in cols])
 
 

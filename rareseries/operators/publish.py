@@ -14,7 +14,6 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ..functions.ids import blob_path
-from ..plans.joins import broadcast_if_small
 from ..schemas import BLOB
 from .hashing import hash_check
 
@@ -29,7 +28,7 @@ def unpublished(catalog: DataFrame, collections=None) -> DataFrame:
 
 def select_wanted(panel: DataFrame, wanted: DataFrame) -> DataFrame:
     """The points of the wanted ids (broadcast semi join when the id list is small)."""
-    ids, _ = broadcast_if_small(wanted.select("id").distinct())
+    ids = wanted.select("id").distinct()
     return panel.join(ids, "id", "left_semi")
 
 

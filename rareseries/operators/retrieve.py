@@ -14,7 +14,6 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ..functions.ids import unsafe_path
-from ..plans.joins import broadcast_if_small
 from .hashing import content_hashes, hash_check, with_empty_hash
 
 ERRORS = ("raise", "skip")
@@ -40,7 +39,7 @@ def pull_status(requests: DataFrame, catalog: DataFrame, stored: DataFrame) -> D
     req = dedupe_requests(requests)
     cat = catalog.select("id", "blob_path", "content_hash").withColumn("_known", F.lit(True))
     j = req.join(cat, "id", "left")
-    wanted, _ = broadcast_if_small(j.filter(F.col("blob_path").isNotNull()).select("id"))
+    wanted = j.filter(F.col("blob_path").isNotNull()).select("id")
     got = stored.join(wanted, "id", "left_semi")
     hashes = content_hashes(got).withColumnRenamed("content_hash", "_actual")
     present = got.select("id").distinct().withColumn("_present", F.lit(True))
@@ -76,7 +75,7 @@ def pull_many(requests: DataFrame, catalog: DataFrame, stored: DataFrame, errors
         if bad:
             exc, msg = _MESSAGES[bad[0]["status"]]
             raise exc(msg.format(bad[0]["id"]))
-    ok, _ = broadcast_if_small(status.filter(F.col("status") == "ok").select("id", "ord"))
+    ok = status.filter(F.col("status") == "ok").select("id", "ord")
     return stored.join(ok, "id", "inner").select("ord", "id", "pos", "ts", "value").orderBy("ord", "pos")
 
 

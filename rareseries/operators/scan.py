@@ -83,7 +83,11 @@ def stats_bounded(pv: DataFrame, params: ScoreParams = DEFAULT, d: DataFrame | N
 def stats_chunked(pv: DataFrame, params: ScoreParams = DEFAULT) -> DataFrame:
     """The same statistics for series longer than ``chunk_rows`` (no window on a whole series)."""
     comp = compact(pv, params.chunk_rows)
-    scores = imbalance_scores(targets(comp, params.k), params, all_hot=True).select("id", "N", "n_rare")
+    # A series with an infinite value is reported as an error and has no quantiles to refine.
+    v = F.col("value")
+    endless = pv.filter((v == F.lit(float("inf"))) | (v == F.lit(float("-inf")))).select("id").distinct()
+    scored = comp.join(endless, "id", "left_anti")
+    scores = imbalance_scores(targets(scored, params.k), params, all_hot=True).select("id", "N", "n_rare")
     return (base_stats(pv)
             .join(lag1_pairs_stats(comp), "id", "left")
             .join(scores, "id", "left")

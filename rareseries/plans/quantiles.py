@@ -83,8 +83,9 @@ def _refine(values: DataFrame, sizes: DataFrame, probs: list[float], names: list
         inside = values.join(intervals, (values[key] == intervals[key])
                              & values[val].between(intervals["_lo"], intervals["_hi"]), "inner") \
             .select(values[key].alias(key), val, "_lo", "_hi", "_off")
-        width = F.col("_hi") - F.col("_lo")
-        bin_ = F.least(F.floor((F.col(val) - F.col("_lo")) / width * F.lit(bins)), F.lit(bins - 1)).cast("long")
+        # halved first, so that the width of [-1e308, 1e308] does not overflow
+        part = (F.col(val) / 2 - F.col("_lo") / 2) / (F.col("_hi") / 2 - F.col("_lo") / 2)
+        bin_ = F.least(F.floor(part * F.lit(bins)), F.lit(bins - 1)).cast("long")
         hist = inside.withColumn("_bin", bin_).groupBy(key, "_lo", "_hi", "_off", "_bin").agg(
             F.count(F.lit(1)).alias("_c"), F.min(val).alias("_bmin"), F.max(val).alias("_bmax"))
         w = Window.partitionBy(key, "_lo").orderBy("_bin").rowsBetween(Window.unboundedPreceding, -1)

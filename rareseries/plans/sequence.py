@@ -9,12 +9,14 @@ per-chunk table.
 """
 from __future__ import annotations
 
+from functools import reduce
+
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from ..params import DEFAULT
-from .joins import CHUNK, MAX_BROADCAST_ROWS
+from .joins import CHUNK
 
 _UNB = Window.unboundedPreceding
 FINER = 16
@@ -30,9 +32,25 @@ def _as_number(df: DataFrame, name: str) -> Column:
         return F.unix_micros(c).cast("double")
     if isinstance(dt, T.DateType):
         return F.unix_date(c).cast("double")
+    if isinstance(dt, T.StringType):
+        # The first six bytes as a number: strings in order never go down (ties are settled inside a range).
+        return F.conv(F.hex(F.rpad(F.substring(c.cast("binary"), 1, 6), 6, F.lit(b"\0"))), 16, 10).cast("double")
     return c.cast("double")
 
 
+def _same_keys(left: DataFrame, right: DataFrame, keys: list[str], how: str) -> DataFrame:
+    """Join on ``keys`` with NULL equal to NULL; the right side's keys are dropped."""
+    right = right.select(*[F.col(c).alias(f"_k_{c}") if c in keys else F.col(c) for c in right.columns])
+    cond = reduce(lambda a, b: a & b, [F.col(c).eqNullSafe(F.col(f"_k_{c}")) for c in keys])
+    return left.join(right, cond, how).drop(*[f"_k_{c}" for c in keys])
+
+
+def _range_of(value: Column, lo: Column, hi: Column, n: Column) -> Column:
+    """Number of the equal-width range of ``value`` (halved first, so that ``hi - lo`` cannot overflow)."""
+    part = (value / 2 - lo / 2) / (hi / 2 - lo / 2)
+    return F.when(~(hi > lo), F.lit(0)).otherwise(F.greatest(F.lit(0), F.least(F.floor(F.nanvl(part, F.lit(1.0)) * n), n - 1)))
+
+
 def number_rows(df: DataFrame, keys: list[str], order: list[str], out: str = "pos",
                 chunk_rows: int = DEFAULT.chunk_rows) -> DataFrame:
     """Add ``out`` = 0-based row number inside ``keys`` following ``order``.
@@ -42,38 +60,37 @@ def number_rows(df: DataFrame, keys: list[str], order: list[str], out: str = "po
     equal-width ranges of its first ordering column, so its rows spread over
     many tasks; exact offsets come from a prefix sum over the range counts. ``order``
     must be a total order inside each key for the result to be deterministic;
-    NULLs sort last.
+    NULLs sort last. Rows whose first ordering column is NULL are split by the
+    second one in the same way. A NULL key is a key like any other.
     """
     first = _as_number(df, order[0])
-    d = df.withColumn("_o1", first)
-    stats = d.groupBy(*keys).agg(F.count(F.lit(1)).alias("_n"), F.min("_o1").alias("_lo"),
-                                 F.max("_o1").alias("_hi"))
+    second = _as_number(df, order[1]) if len(order) > 1 else F.lit(None).cast("double")
+    d = df.withColumn("_o1", first).withColumn("_o2", F.when(F.col("_o1").isNull(), second))
+    stats = d.groupBy(*keys).agg(F.count(F.lit(1)).alias("_n"), F.min("_o1").alias("_lo"), F.max("_o1").alias("_hi"),
+                                 F.min("_o2").alias("_lo2"), F.max("_o2").alias("_hi2"))
     # Ranges FINER times smaller than needed on average: a burst of timestamps
     # must fall inside a much narrower range before one window partition grows.
     hot = stats.filter(F.col("_n") > chunk_rows).select(
-        *keys, "_lo", "_hi", (F.ceil(F.col("_n") / F.lit(chunk_rows)) * FINER).alias("_nb"))
-    # At most total_rows / chunk_rows keys can be hot; checked before broadcasting.
-    n_hot = hot.count()
-    if not n_hot:
+        *keys, "_lo", "_hi", "_lo2", "_hi2", (F.ceil(F.col("_n") / F.lit(chunk_rows)) * FINER).alias("_nb"))
+    if not hot.limit(1).collect():
         # Every key fits in one task: a plain window is the whole job.
         w = Window.partitionBy(*keys).orderBy(*[F.col(c).asc_nulls_last() for c in order])
         return df.withColumn(out, (F.row_number().over(w) - 1).cast("long"))
-    side = F.broadcast(hot) if n_hot <= MAX_BROADCAST_ROWS else hot
-    d = d.join(side, keys, "left")
-    span = F.col("_hi") - F.col("_lo")
-    bucket = (F.when(F.col("_nb").isNull(), F.lit(0))
-               .when(F.col("_o1").isNull(), F.col("_nb") - 1)
-               .when(span <= 0, F.lit(0))
-               .otherwise(F.least(F.floor((F.col("_o1") - F.col("_lo")) / span * F.col("_nb")),
-                                  F.col("_nb") - 1)))
-    d = d.withColumn(CHUNK, bucket.cast("long")).drop("_lo", "_hi", "_nb")
+    # At most total_rows / chunk_rows keys are hot; the optimizer broadcasts them if they are few bytes.
+    d = _same_keys(d, hot, keys, "left")
+    nb = F.col("_nb")
+    bucket = (F.when(nb.isNull(), F.lit(0))
+               .when(F.col("_o1").isNotNull(), _range_of(F.col("_o1"), F.col("_lo"), F.col("_hi"), nb))
+               .when(F.col("_o2").isNotNull(), nb + _range_of(F.col("_o2"), F.col("_lo2"), F.col("_hi2"), nb))
+               .otherwise(2 * nb))
+    d = d.withColumn(CHUNK, bucket.cast("long")).drop("_lo", "_hi", "_lo2", "_hi2", "_nb")
     w = Window.partitionBy(*keys, CHUNK).orderBy(*[F.col(c).asc_nulls_last() for c in order])
     d = d.withColumn("_rn", F.row_number().over(w))
     counts = d.groupBy(*keys, CHUNK).agg(F.count(F.lit(1)).alias("_c"))
     wc = Window.partitionBy(*keys).orderBy(CHUNK).rowsBetween(_UNB, -1)
     offsets = counts.select(*keys, CHUNK, F.coalesce(F.sum("_c").over(wc), F.lit(0)).alias("_off"))
-    d = d.join(offsets, [*keys, CHUNK], "inner")
-    return d.withColumn(out, (F.col("_off") + F.col("_rn") - 1).cast("long")).drop("_o1", "_rn", "_off", CHUNK)
+    d = _same_keys(d, offsets, [*keys, CHUNK], "inner")
+    return d.withColumn(out, (F.col("_off") + F.col("_rn") - 1).cast("long")).drop("_o1", "_o2", "_rn", "_off", CHUNK)
 
 
 def compact(panel: DataFrame, chunk_rows: int = DEFAULT.chunk_rows, key: str = "id") -> DataFrame:
@@ -96,7 +113,7 @@ def compact(panel: DataFrame, chunk_rows: int = DEFAULT.chunk_rows, key: str = "
         key, CHUNK,
         F.coalesce(F.sum("_nn").over(wc), F.lit(0)).alias("_off"),
         F.last("_last", ignorenulls=True).over(wc).alias("_plast"))
-    p = p.join(per_chunk, [key, CHUNK], "inner")
+    p = _same_keys(p, per_chunk, [key, CHUNK], "inner")
     has = F.col("value").isNotNull()
     return (p.withColumn("cpos", F.when(has, F.col("_off") + F.col("_cnt") - 1).cast("long"))
              .withColumn("prev", F.when(has, F.coalesce(F.col("_lprev"), F.col("_plast"))))

@@ -29,10 +29,10 @@ def _scanned_ids(spark: SparkSession, out_path: str, collections: DataFrame) ->
     The scan table is partitioned by source and collection, so the semi join on
     ``collection`` lets partition pruning skip every other collection.
     """
-    try:
-        done = spark.read.schema(SCAN).parquet(out_path)
-    except Exception:  # noqa: BLE001 - nothing written yet
-        return spark.createDataFrame([], "id string")
+    folder = spark._jvm.org.apache.hadoop.fs.Path(out_path)
+    if not folder.getFileSystem(spark._jsc.hadoopConfiguration()).exists(folder):
+        return spark.createDataFrame([], "id string")  # nothing written yet; any other fault is raised
+    done = spark.read.schema(SCAN).parquet(out_path)
     return done.join(collections, "collection", "left_semi").select("id")
 
 
