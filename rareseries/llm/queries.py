@@ -41,6 +41,12 @@ def op5_token_files(spark: SparkSession, sf_dir: str) -> DataFrame:
     return found.select("doc_id", "start", (F.octet_length("ids") / 4).cast("long").alias("n_tokens"), F.crc32("ids").alias("ids_crc32"))
 
 
+def op6_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from rareseries.llm.line_dedup import line_copies
+
+    return line_copies(table(spark, sf_dir, "documents"))
+
+
 def op7_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
     from rareseries.llm.toxicity import score_toxicity
 
@@ -67,7 +73,7 @@ def op10_vector_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return vector_groups(table(spark, sf_dir, "embeddings"))
 
 
-LLM_QUERIES = {f.__name__: f for f in (op1_exact_dedup, op2_jaccard_join, op3_suffix_dedup, op4_mixing, op5_token_files, op7_toxicity, op8_quality, op9_packing, op10_vector_dedup)}
+LLM_QUERIES = {f.__name__: f for f in (op1_exact_dedup, op2_jaccard_join, op3_suffix_dedup, op4_mixing, op5_token_files, op6_line_dedup, op7_toxicity, op8_quality, op9_packing, op10_vector_dedup)}
 
 _LOWER = "translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz')"
 LLM_ORACLE = {
