@@ -56,6 +56,6 @@ def drop_copies(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text",
     Rows with a null id stay unless their text is kept under another id.
     """
     groups = exact_groups(docs, id_col, text_col, keep)
-    losers = groups.where("not kept and keep_id is not null").select(F.col(id_col).alias("lost_id"), F.col("text_sha256").alias("lost_sha"))
+    losers = groups.where("not kept and keep_id is not null").select(F.col(id_col).alias("__lost_id"), F.col("text_sha256").alias("__lost_sha"))
     sha = F.sha2(ascii_lower(F.col(text_col)), 256)
-    return docs.join(cut(losers).dropDuplicates(), docs[id_col].eqNullSafe(F.col("lost_id")) & (sha == F.col("lost_sha")), "left_anti")
+    return docs.join(cut(losers).dropDuplicates(), docs[id_col].eqNullSafe(F.col("__lost_id")) & (sha == F.col("__lost_sha")), "left_anti")

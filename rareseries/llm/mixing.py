@@ -134,6 +134,6 @@ def mix(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", source_
 
 def mixed_documents(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", source_col: str = "source") -> DataFrame:
     """The documents of the mix, whole: each row as often as the block with its first word is taken (0 to 3 times)."""
-    counts = mix(docs, id_col, text_col, source_col).select(F.col(id_col).alias("mix_id"), "copies").dropDuplicates(["mix_id"])
-    rows = docs.join(counts, docs[id_col].eqNullSafe(F.col("mix_id"))).where("copies > 0")
-    return rows.withColumn("mix_copy", F.explode(F.sequence(F.lit(1), F.col("copies")))).select(*(docs[c] for c in docs.columns))
+    counts = mix(docs, id_col, text_col, source_col).select(F.col(id_col).alias("__mix_id"), F.col("copies").alias("__copies")).dropDuplicates(["__mix_id"])
+    rows = docs.join(counts, docs[id_col].eqNullSafe(F.col("__mix_id"))).where("__copies > 0")
+    return rows.withColumn("__copy", F.explode(F.sequence(F.lit(1), F.col("__copies")))).drop("__copy", "__copies", "__mix_id")
