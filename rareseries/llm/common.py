@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import uuid
 from collections.abc import Iterator
 
 import pyarrow as pa
@@ -24,6 +25,13 @@ def cut(df: DataFrame) -> DataFrame:
     return df.checkpoint(eager=True)
 
 
+def written(df: DataFrame) -> DataFrame:
+    """As ``cut``, as a compressed table of which later reads take only the columns they need."""
+    path = f"{ensure_checkpoint_dir(df.sparkSession).rstrip('/')}/table-{uuid.uuid4().hex}"
+    df.write.parquet(path)
+    return df.sparkSession.read.schema(df.schema).parquet(path)
+
+
 def slices(batch: pa.RecordBatch, column: str, max_bytes: int = KERNEL_BYTES) -> Iterator[pa.RecordBatch]:
     """Cut a batch into runs of rows of at most ``max_bytes`` of text (one row at least)."""
     import numpy as np

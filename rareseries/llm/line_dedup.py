@@ -2,55 +2,101 @@
 
 Two lines are near copies if one edit (insert, delete, replace a character) at most parts them. A line of l characters is
 split into two segments, so one of them is untouched by an edit: its beginning (l div 2 characters) or its end. Every
-distinct line is indexed under (length, side, segment) and probes the indexes of its own length and of the length below.
-Pairs found are verified by Spark's levenshtein with a threshold, which works in a band of the matrix.
+distinct line is indexed under (length, segment) and probes the indexes of its own length and of the length below.
+
+A segment that more than ``HOT`` different lines share is not paired. The edit then lies in the other segment, the hole,
+which is split in two again: its lines move to the keys (segment, first half of the hole) and (segment, second half). This
+goes on until a key is rare or its hole is one character; the lines of one length under such a key are all near
+copies, so pairing each with the earliest of them tells the same as all pairs. Pairs found are verified by Spark's
+levenshtein with a threshold, which works in a band of the matrix.
 """
 
 from __future__ import annotations
 
+from functools import reduce
+
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from rareseries.llm.common import cut
+from rareseries.llm.common import cut, written
 
 #: Shorter lines (blank ones, headings, list marks) always stay.
 MIN_CHARS = 20
+#: Lines of a length under one key, beyond which the key is split instead of paired.
+HOT = 8
+
+
+def _keyed(holes: DataFrame) -> DataFrame:
+    """Add the key of each (text, shorter, lo, hi): what a line of ``shorter`` characters less has outside its hole [lo, hi).
+
+    The line itself has ``shorter`` characters more inside the hole.
+    """
+    n = F.char_length("text") - F.col("shorter")
+    return holes.withColumn("key", F.xxhash64(n, "lo", "hi", F.left("text", F.col("lo")), F.right("text", n - F.col("hi"))))
+
+
+def _hole(shorter, lo, hi):
+    return F.struct(shorter.cast("int").alias("shorter"), lo.cast("int").alias("lo"), hi.cast("int").alias("hi"))
 
 
-def _segments(lines: DataFrame, shorter: int) -> DataFrame:
-    """(line, key): the two segments of lines of ``shorter`` characters less, as found in these lines."""
-    n = F.char_length("text") - shorter
-    half = F.floor(n / 2).cast("int")
-    head = F.xxhash64(n, F.lit("head"), F.substring("text", F.lit(1), half))
-    tail = F.xxhash64(n, F.lit("tail"), F.right("text", n - half))
-    return lines.select("line", F.explode(F.array(head, tail)).alias("key"))
+def _near_pairs(first: DataFrame, hot: int) -> DataFrame:
+    """(a, b): candidates among distinct lines (line, first, text), at most ``hot`` for each line, length and key.
+
+    Of lines that have an earlier line one edit away, each is paired with one such line at least.
+    """
+    n, zero, one = F.char_length("text"), F.lit(0), F.lit(1)
+    holes = [_hole(s, lo, hi) for s in (zero, one) for half in [F.floor((n - s) / 2)] for lo, hi in ((half, n - s), (zero, half))]
+    texts, found = first, []
+    level = _keyed(first.select("line", "text", F.explode(F.array(*holes)).alias("hole")).select("line", "text", "hole.*"))
+    while True:
+        crowd = level.groupBy("key").agg(F.count_if(F.col("shorter") == 0).alias("lines"), F.count("*").alias("entries"))
+        crowd = cut(crowd.where("lines > 0 and entries > 1").select("key", (F.col("lines") > hot).alias("hot")))
+        shared = cut(level.select("line", "shorter", "lo", "hi", "key").join(crowd, "key"))
+        rare, many = shared.where("not hot"), shared.where("hot")
+        index = rare.where("shorter = 0").select(F.col("line").alias("b"), "key")
+        found.append(rare.select(F.col("line").alias("a"), "key").join(index, "key").where("a <> b").select("a", "b").distinct())
+        if many.isEmpty():
+            return reduce(DataFrame.union, found).distinct()
+        texts = cut(texts.join(many.select("line").distinct(), "line", "left_semi"))
+        tight = many.where("hi - lo = 1 and shorter = 0").select("line", "key").join(texts.select("line", "first"), "line")
+        head = tight.groupBy("key").agg(F.min_by("line", "first").alias("b"))
+        found.append(tight.select(F.col("line").alias("a"), "key").join(head, "key").where("a <> b").select("a", "b"))
+        # a hole of one character leaves room for an insertion before it or after it
+        wide, mid = F.col("hi") - F.col("lo") > 1, F.floor((F.col("lo") + F.col("hi")) / 2)
+        lower = _hole(F.col("shorter"), F.col("lo"), F.when(wide, mid).otherwise(F.col("lo")))
+        upper = _hole(F.col("shorter"), F.when(wide, mid).otherwise(F.col("hi")), F.col("hi"))
+        parts = many.where("hi > lo").select("line", F.explode(F.array(lower, upper)).alias("hole")).select("line", "hole.*")
+        level = cut(_keyed(parts.join(texts.select("line", "text"), "line")).drop("text"))
 
 
-def line_copies(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", min_chars: int = MIN_CHARS) -> DataFrame:
+def line_copies(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", min_chars: int = MIN_CHARS, hot: int = HOT) -> DataFrame:
     """One row per document: id_col, n_lines, n_removed, kept_text.
 
-    Lines end at newlines. A line of ``min_chars`` or more goes if an equal line occurs earlier (by id, then line number),
-    or if a line one edit away first occurs earlier; this is judged on the input. Null texts have no lines and a null
-    kept_text; an empty text is one empty line. A null id comes last. Rows that repeat an id count as one
+    Lines end at newlines. A line of ``min_chars`` (2 at least) or more goes if an equal line occurs earlier (by id, then
+    line number), or if a line one edit away first occurs earlier; this is judged on the input. Null texts have no lines and
+    a null kept_text; an empty text is one empty line. A null id comes last. Rows that repeat an id count as one
     document each, and their lines with equal numbers stay or go together. Other columns are ignored. Lines and segments
-    are told apart by 64-bit hashes.
+    are told apart by 64-bit hashes. ``hot`` changes the work, never the result.
     """
-    rows = docs.select(F.col(id_col).alias("id"), F.col(text_col).alias("body")).withColumn("nth", F.struct(F.col("id").isNull().alias("last"), "id"))
-    split = rows.select("nth", F.posexplode(F.split("body", "\n")).alias("at", "text")).where(F.char_length("text") >= min_chars)
-    first = cut(split.groupBy(F.xxhash64("text").alias("line")).agg(F.min(F.struct("nth", "at")).alias("first"), F.min("text").alias("text")))
-    index = _segments(first, 0)
-    probes = index.union(_segments(first, 1))
-    pairs = probes.select(F.col("line").alias("a"), "key").join(index.select(F.col("line").alias("b"), "key"), "key").where("a <> b").select("a", "b").distinct()
-    a = first.select(F.col("line").alias("a"), F.col("first").alias("fa"), F.col("text").alias("ta"))
-    b = first.select(F.col("line").alias("b"), F.col("first").alias("fb"), F.col("text").alias("tb"))
+    rows = docs.select(F.struct(F.col(id_col).isNull().alias("last"), F.col(id_col).alias("id")).alias("nth"), F.split(F.col(text_col), "\n").alias("lines"))
+    split = rows.select("nth", F.posexplode("lines").alias("at", "text")).where(F.char_length("text") >= max(2, min_chars))
+    split = split.withColumn("line", F.xxhash64("text"))
+    first = written(split.groupBy("line").agg(F.min(F.struct("nth", "at")).alias("first"), F.min("text").alias("text")))
+    pairs = cut(_near_pairs(first, hot))
+    ends = pairs.select(F.col("a").alias("line")).union(pairs.select(F.col("b").alias("line"))).distinct()
+    ends = cut(first.join(ends, "line", "left_semi"))
+    a = ends.select(F.col("line").alias("a"), F.col("first").alias("fa"), F.col("text").alias("ta"))
+    b = ends.select(F.col("line").alias("b"), F.col("first").alias("fb"), F.col("text").alias("tb"))
     near = pairs.join(a, "a").join(b, "b").where(F.levenshtein("ta", "tb", 1) >= 0)
-    late = near.select(F.when(F.col("fa") > F.col("fb"), F.col("a")).otherwise(F.col("b")).alias("gone_line")).distinct()
+    late = cut(near.select(F.when(F.col("fa") > F.col("fb"), F.col("a")).otherwise(F.col("b")).alias("gone_line")).distinct())
     # the line itself goes wherever it stands, a line that stays goes everywhere but at its first place
-    verdict = first.join(cut(late), F.col("line") == F.col("gone_line"), "left").select(F.col("line").alias("vline"), "first", F.col("gone_line").isNotNull().alias("all_gone"))
-    places = split.select(F.xxhash64("text").alias("line"), "nth", "at").distinct()
-    places = places.join(cut(verdict), F.col("line") == F.col("vline")).where(F.col("all_gone") | (F.struct("nth", "at") != F.col("first")))
+    verdict = first.select(F.col("line").alias("vline"), "first").join(late, F.col("vline") == F.col("gone_line"), "left")
+    places = split.select("line", "nth", "at").distinct().join(verdict, F.col("line") == F.col("vline"))
+    places = places.where(F.col("gone_line").isNotNull() | (F.struct("nth", "at") != F.col("first")))
     gone = places.groupBy(F.col("nth").alias("g")).agg(F.collect_set("at").alias("gone"))
-    out = rows.join(gone, F.col("nth").eqNullSafe(F.col("g")), "left").withColumn("gone", F.coalesce("gone", F.array().cast("array<int>")))
-    lines = F.split("body", "\n")
-    kept = F.filter(lines, lambda x, i: ~F.array_contains("gone", i))
-    return out.select(F.col("id").alias(id_col), F.when(F.col("body").isNull(), 0).otherwise(F.size(lines)).cast("long").alias("n_lines"), F.when(F.col("body").isNull(), 0).otherwise(F.size(lines) - F.size(kept)).cast("long").alias("n_removed"), F.array_join(kept, "\n").alias("kept_text"))
+    out = rows.join(gone, F.col("nth").eqNullSafe(F.col("g")), "left")
+    stay = F.array_except(F.sequence(F.lit(0), F.size("lines") - 1), F.coalesce("gone", F.array().cast("array<int>")))
+    out = out.select(F.col("nth.id").alias(id_col), "lines", F.when(F.col("lines").isNotNull(), stay).alias("stay"))
+    kept = F.array_join(F.transform("stay", lambda i: F.get("lines", i)), "\n")
+    n = F.when(F.col("lines").isNull(), 0).otherwise(F.size("lines"))
+    return out.select(id_col, n.cast("long").alias("n_lines"), F.when(F.col("lines").isNull(), 0).otherwise(F.size("lines") - F.size("stay")).cast("long").alias("n_removed"), kept.alias("kept_text"))

@@ -15,6 +15,24 @@ def near(a, b):
     return a[i + 1 :] == b[i + 1 :] or a[i + 1 :] == b[i:] or a[i:] == b[i + 1 :]
 
 
+def judged(rows):
+    """(id, line number) of the lines that go, by brute force."""
+    places = [(i, n, t) for i, text in rows if text is not None for n, t in enumerate(text.split("\n")) if len(t) >= 20]
+    first = {}
+    for i, n, t in sorted(places):
+        first.setdefault(t, (i, n))
+    return {(i, n) for i, n, t in places if first[t] < (i, n) or any(near(t, o) and first[o] < first[t] for o in first if o != t)}
+
+
+def check(got, rows):
+    gone, got = judged(rows), {r["doc_id"]: r for r in got.collect()}
+    for i, text in rows:
+        lines = [] if text is None else text.split("\n")
+        keep = [t for n, t in enumerate(lines) if (i, n) not in gone]
+        assert (got[i]["n_lines"], got[i]["n_removed"]) == (len(lines), len(lines) - len(keep))
+        assert got[i]["kept_text"] == (None if text is None else "\n".join(keep))
+
+
 def test_line_copies(spark):
     rng = random.Random(6)
     base = ["".join(rng.choices("abé ", k=rng.randint(18, 26))) for _ in range(12)]
@@ -29,15 +47,20 @@ def test_line_copies(spark):
             lines.append(t)
         rows.append((i, "\n".join(lines)))
     rows += [(100, None), (101, ""), (102, "short\nshort")]
-    places = [(i, n, t) for i, text in rows if text is not None for n, t in enumerate(text.split("\n")) if len(t) >= 20]
-    first = {}
-    for i, n, t in sorted(places):
-        first.setdefault(t, (i, n))
-    gone = {(i, n) for i, n, t in places if first[t] < (i, n) or any(near(t, o) and first[o] < first[t] for o in first if o != t)}
-    got = {r["doc_id"]: r for r in line_copies(spark.createDataFrame(rows, "doc_id long, text string").repartition(4)).collect()}
-    for i, text in rows:
-        lines = [] if text is None else text.split("\n")
-        keep = [t for n, t in enumerate(lines) if (i, n) not in gone]
-        assert (got[i]["n_lines"], got[i]["n_removed"]) == (len(lines), len(lines) - len(keep))
-        assert got[i]["kept_text"] == (None if text is None else "\n".join(keep))
+    docs = spark.createDataFrame(rows, "doc_id long, text string").repartition(4)
+    check(line_copies(docs, hot=1), rows)
+    check(line_copies(docs), rows)
     assert line_copies(spark.createDataFrame([], "doc_id long, text string")).count() == 0
+
+
+def test_segments_that_many_lines_share(spark):
+    """A third of the lines open alike, others end alike, some differ in one place only (by a letter, or one more)."""
+    rng = random.Random(66)
+    lines = ["a common beginning of " + "".join(rng.choices("xyz", k=rng.randint(3, 6))) for _ in range(60)]
+    lines += ["".join(rng.choices("xyz", k=rng.randint(3, 5))) + " and a common end, always" for _ in range(60)]
+    lines += [f"only one letter {c} differs here" for c in "abcdefghijklmnop"] + [f"only one letter {c}q differs here" for c in "abcdefgh"]
+    rng.shuffle(lines)
+    rows = [(i, "\n".join(lines[3 * i : 3 * i + 3])) for i in range(len(lines) // 3 + 1)]
+    docs = spark.createDataFrame(rows, "doc_id long, text string").repartition(4)
+    check(line_copies(docs, hot=2), rows)
+    check(line_copies(docs), rows)
