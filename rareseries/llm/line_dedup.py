@@ -24,6 +24,9 @@ from rareseries.llm.common import cut, written
 MIN_CHARS = 20
 #: Lines of a length under one key, beyond which the key is split instead of paired.
 HOT = 8
+#: A line that makes up more than one in so many lines is common: its places are dealt to ``SLOTS`` tasks.
+COMMON = 1024
+SLOTS = 64
 
 
 def _keyed(holes: DataFrame) -> DataFrame:
@@ -81,7 +84,9 @@ def line_copies(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text",
     rows = docs.select(F.struct(F.col(id_col).isNull().alias("last"), F.col(id_col).alias("id")).alias("nth"), F.split(F.col(text_col), "\n").alias("lines"))
     split = rows.select("nth", F.posexplode("lines").alias("at", "text")).where(F.char_length("text") >= max(2, min_chars))
     split = split.withColumn("line", F.xxhash64("text"))
-    first = written(split.groupBy("line").agg(F.min(F.struct("nth", "at")).alias("first"), F.min("text").alias("text")))
+    first = written(split.groupBy("line").agg(F.min(F.struct("nth", "at")).alias("first"), F.min("text").alias("text"), F.count("*").alias("copies")))
+    bound = (first.agg(F.sum("copies")).first()[0] or 0) // COMMON
+    common = first.where(F.col("copies") > bound).select(F.col("line").alias("common_line"))  # fewer than COMMON lines
     pairs = cut(_near_pairs(first, hot))
     ends = pairs.select(F.col("a").alias("line")).union(pairs.select(F.col("b").alias("line"))).distinct()
     ends = cut(first.join(ends, "line", "left_semi"))
@@ -90,8 +95,13 @@ def line_copies(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text",
     near = pairs.join(a, "a").join(b, "b").where(F.levenshtein("ta", "tb", 1) >= 0)
     late = cut(near.select(F.when(F.col("fa") > F.col("fb"), F.col("a")).otherwise(F.col("b")).alias("gone_line")).distinct())
     # the line itself goes wherever it stands, a line that stays goes everywhere but at its first place
-    verdict = first.select(F.col("line").alias("vline"), "first").join(late, F.col("vline") == F.col("gone_line"), "left")
-    places = split.select("line", "nth", "at").distinct().join(verdict, F.col("line") == F.col("vline"))
+    verdict = first.where("copies > 1").select("line", "first").join(late, F.col("line") == F.col("gone_line"), "full")
+    verdict = verdict.select(F.coalesce("line", "gone_line").alias("vline"), "first", "gone_line").join(F.broadcast(common), F.col("vline") == F.col("common_line"), "left")
+    slots = F.when(F.col("common_line").isNotNull(), F.sequence(F.lit(0), F.lit(SLOTS - 1))).otherwise(F.array(F.lit(0)))
+    verdict = verdict.select("vline", "first", "gone_line", F.explode(slots).alias("vslot"))
+    slot = F.when(F.col("common_line").isNotNull(), F.pmod(F.xxhash64("nth", "at"), F.lit(SLOTS)).cast("int")).otherwise(0)
+    places = split.join(F.broadcast(common), F.col("line") == F.col("common_line"), "left").select("line", "nth", "at", slot.alias("slot"))
+    places = places.join(verdict, (F.col("line") == F.col("vline")) & (F.col("slot") == F.col("vslot")))
     places = places.where(F.col("gone_line").isNotNull() | (F.struct("nth", "at") != F.col("first")))
     gone = places.groupBy(F.col("nth").alias("g")).agg(F.collect_set("at").alias("gone"))
     out = rows.join(gone, F.col("nth").eqNullSafe(F.col("g")), "left")
