@@ -54,13 +54,13 @@ def _near_pairs(first: DataFrame, hot: int) -> DataFrame:
     while True:
         crowd = level.groupBy("key").agg(F.count_if(F.col("shorter") == 0).alias("lines"), F.count("*").alias("entries"))
         crowd = cut(crowd.where("lines > 0 and entries > 1").select("key", (F.col("lines") > hot).alias("hot")))
-        shared = cut(level.select("line", "shorter", "lo", "hi", "key").join(crowd, "key"))
+        shared = written(level.select("line", "shorter", "lo", "hi", "key").join(crowd, "key"))
         rare, many = shared.where("not hot"), shared.where("hot")
         index = rare.where("shorter = 0").select(F.col("line").alias("b"), "key")
         found.append(rare.select(F.col("line").alias("a"), "key").join(index, "key").where("a <> b").select("a", "b").distinct())
         if many.isEmpty():
             return reduce(DataFrame.union, found).distinct()
-        texts = cut(texts.join(many.select("line").distinct(), "line", "left_semi"))
+        texts = written(texts.join(many.select("line").distinct(), "line", "left_semi"))
         tight = many.where("hi - lo = 1 and shorter = 0").select("line", "key").join(texts.select("line", "first"), "line")
         head = tight.groupBy("key").agg(F.min_by("line", "first").alias("b"))
         found.append(tight.select(F.col("line").alias("a"), "key").join(head, "key").where("a <> b").select("a", "b"))
@@ -69,7 +69,7 @@ def _near_pairs(first: DataFrame, hot: int) -> DataFrame:
         lower = _hole(F.col("shorter"), F.col("lo"), F.when(wide, mid).otherwise(F.col("lo")))
         upper = _hole(F.col("shorter"), F.when(wide, mid).otherwise(F.col("hi")), F.col("hi"))
         parts = many.where("hi > lo").select("line", F.explode(F.array(lower, upper)).alias("hole")).select("line", "hole.*")
-        level = cut(_keyed(parts.join(texts.select("line", "text"), "line")).drop("text"))
+        level = written(_keyed(parts.join(texts.select("line", "text"), "line")).drop("text"))
 
 
 def line_copies(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", min_chars: int = MIN_CHARS, hot: int = HOT) -> DataFrame:
@@ -87,9 +87,9 @@ def line_copies(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text",
     first = written(split.groupBy("line").agg(F.min(F.struct("nth", "at")).alias("first"), F.min("text").alias("text"), F.count("*").alias("copies")))
     bound = (first.agg(F.sum("copies")).first()[0] or 0) // COMMON
     common = first.where(F.col("copies") > bound).select(F.col("line").alias("common_line"))  # fewer than COMMON lines
-    pairs = cut(_near_pairs(first, hot))
+    pairs = written(_near_pairs(first, hot))
     ends = pairs.select(F.col("a").alias("line")).union(pairs.select(F.col("b").alias("line"))).distinct()
-    ends = cut(first.join(ends, "line", "left_semi"))
+    ends = written(first.join(ends, "line", "left_semi"))
     a = ends.select(F.col("line").alias("a"), F.col("first").alias("fa"), F.col("text").alias("ta"))
     b = ends.select(F.col("line").alias("b"), F.col("first").alias("fb"), F.col("text").alias("tb"))
     near = pairs.join(a, "a").join(b, "b").where(F.levenshtein("ta", "tb", 1) >= 0)
