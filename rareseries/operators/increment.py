@@ -50,6 +50,17 @@ def first_per_key(df: DataFrame, key: str = "id", order: str = "ord") -> DataFra
     return picked.select(key, *[F.col("_r")[c].alias(c) for c in cols])
 
 
+def first_series(header: DataFrame, panel: DataFrame) -> tuple[DataFrame, DataFrame]:
+    """R3 for both tables: of entries whose ids coincide, the first by ``ord`` and only its points.
+
+    ``panel`` carries the ``ord`` of the entry of each point; it is not in the panel returned.
+    """
+    kept = first_per_key(header)
+    wanted = kept.select(F.col("id").alias("_id"), F.col("ord").alias("_ord"))
+    same = (F.col("id") == F.col("_id")) & F.col("ord").eqNullSafe(F.col("_ord"))
+    return kept.select(*header.columns), panel.join(wanted, same, "left_semi").drop("ord")
+
+
 def limit_new(header: DataFrame, n: int, group: tuple[str, ...] = ("source", "collection"),
               order: str = "ord") -> DataFrame:
     """At most ``n`` series per collection in ``order`` (0 keeps all).

@@ -8,8 +8,6 @@ series and no directory per shard is created.
 """
 from __future__ import annotations
 
-import os
-
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -69,8 +67,8 @@ def stage_series(panel: DataFrame, catalog: DataFrame, root: str, strict: bool =
         first = bad.select("id").orderBy("id").limit(5).collect()
         if first:
             check.unpersist()
-            raise ValueError(f"content_hash mismatch for id: {', '.join(r['id'] for r in first)} "
-                             "-- series does not match catalog")
+            raise ValueError("nothing staged; points and catalog differ in content_hash for "
+                             + ", ".join(r["id"] for r in first))
     good = check.filter(F.col("hash_ok")).select("id")
     todo = good.join(staged_ids(spark, root), "id", "left_anti")
     rows = series_frame(wanted.join(todo, "id", "left_semi"))
@@ -123,12 +121,3 @@ def finalize_catalog(catalog: DataFrame, sizes: DataFrame, revision: str, pipeli
     for c, v in fills.items():
         out = out.withColumn(c, F.when(pub, v).otherwise(F.col(c)))
     return out.select(*catalog.columns)
-
-
-def package_version(default: str = "0.1.0") -> str:
-    """Version recorded as ``pipeline_version`` (installed metadata, else the default)."""
-    try:
-        from importlib.metadata import version
-        return version("rareseries")
-    except Exception:  # noqa: BLE001
-        return os.environ.get("RARESERIES_VERSION", default)

@@ -14,6 +14,8 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ..functions.ids import unsafe_path
+from ..schemas import BLOB
+from ..session import ensure_checkpoint_dir
 from .hashing import content_hashes, hash_check, with_empty_hash
 
 ERRORS = ("raise", "skip")
@@ -54,10 +56,10 @@ def pull_status(requests: DataFrame, catalog: DataFrame, stored: DataFrame) -> D
 
 
 _MESSAGES = {
-    "unknown_id": (KeyError, "id not found in catalog: {}"),
-    "no_blob": (ValueError, "no blob uploaded yet for id: {}"),
-    "unsafe_path": (ValueError, "unsafe blob_path in catalog for id: {}"),
-    "hash_mismatch": (ValueError, "content_hash mismatch for id: {} -- blob does not match catalog"),
+    "unknown_id": (KeyError, "{} is not a catalog id"),
+    "no_blob": (ValueError, "{} is not published yet (its blob_path is null)"),
+    "unsafe_path": (ValueError, "{} has a blob_path outside the store"),
+    "hash_mismatch": (ValueError, "{}: the stored points do not have the content_hash of the catalog"),
 }
 
 
@@ -71,6 +73,8 @@ def pull_many(requests: DataFrame, catalog: DataFrame, stored: DataFrame, errors
         raise ValueError(f"errors must be 'raise' or 'skip', got {errors!r}")
     status = pull_status(requests, catalog, stored)
     if errors == "raise":
+        ensure_checkpoint_dir(catalog.sparkSession)
+        status = status.checkpoint()  # the points are hashed once, for the check and for the result
         bad = status.filter(F.col("status") != "ok").orderBy("ord").limit(1).collect()
         if bad:
             exc, msg = _MESSAGES[bad[0]["status"]]
@@ -93,7 +97,7 @@ def verify_pulled(points: DataFrame, catalog: DataFrame) -> DataFrame:
 
 def read_series(spark: SparkSession, root: str, sources=None, collections=None) -> DataFrame:
     """The stored series table, pruned to the given partitions."""
-    df = spark.read.parquet(root)
+    df = spark.read.schema(BLOB).parquet(root)
     if sources:
         df = df.filter(F.col("source").isin(*sources))
     if collections:

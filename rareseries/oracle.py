@@ -421,8 +421,18 @@ NUMERIC = {"N": ("N", 0), "IR": ("IR", 2), "%Rare": ("pct_rare", 2), "length": (
 STATS = (("min", 0.0), ("25%", 0.25), ("50%", 0.5), ("75%", 0.75), ("max", 1.0))
 
 
+def content_hash_sql(panel: str) -> str:
+    """SHA-256 over the little-endian float64 bytes of a series: DuckDB's bit form is big-endian, so bytes are reversed."""
+    hexed = "hex((value::DOUBLE::BIT)::BLOB)"
+    little = " || ".join(f"substr(h, {i}, 2)" for i in range(15, 0, -2))
+    return f"""WITH v AS (SELECT id, pos, {hexed} AS h FROM ({panel}) WHERE value IS NOT NULL AND NOT isnan(value))
+      SELECT id, substr(sha256(unhex(string_agg({little}, '' ORDER BY pos))), 1, 16) AS content_hash FROM v GROUP BY id"""
+
+
 def numeric_profile_sql(series: str | None = None) -> str:
-    src = series or series_sql()
+    if series is None:
+        return f"WITH s_once AS MATERIALIZED ({series_sql()}) {numeric_profile_sql('SELECT * FROM s_once')}"
+    src = series
     parts = []
     for name, (col, dp) in NUMERIC.items():
         for stat, p in STATS:
@@ -542,6 +552,7 @@ def _register() -> None:
         ORACLE[f"scan_{n}"] = scan_rows_sql(panel_sql(n))
     ORACLE["scan_event_types"] = scan_rows_sql(panel_sql("event_types"))
     ORACLE.update({
+        "content_hash": content_hash_sql(panel_sql("events_gaps")),
         "level_counts": level_counts_sql(),
         "panel_events": f"SELECT id, pos, ts, value FROM ({panel_sql('events')})",
         "panel_entries": f"SELECT id, source, collection, name, granularity, pos, value FROM ({panel_sql('entries')})",

@@ -10,6 +10,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from ..functions.ids import make_id
+from ..operators.increment import first_series
 from ..operators.profile import clean_values
 
 
@@ -59,16 +60,18 @@ def entry_header(entries: DataFrame, collection, freq=None, source: str = "gluon
     return good.select(*_header_cols(source), F.col("entry_ord").cast("long").alias("ord"))
 
 
-def entry_points(entries: DataFrame, collection, freq=None, source: str = "gluonts") -> DataFrame:
+def entry_points(entries: DataFrame, collection, freq=None, source: str = "gluonts", with_ord: bool = False) -> DataFrame:
     """Long panel rows: the target arrays exploded with their position, NaN -> NULL.
 
-    ``entry_ord`` is only read for entries without ``item_id`` (the key fallback).
+    ``entry_ord`` is only read for entries without ``item_id`` (the key fallback) and for ``with_ord``,
+    which adds the entry's position as ``ord``.
     """
     good = _well_formed(entries, collection, freq, source)
-    panel = good.select(*_header_cols(source), F.posexplode("target").alias("pos", "value"))
+    extra = [F.col("entry_ord").cast("long").alias("ord")] if with_ord else []
+    panel = good.select(*_header_cols(source), *extra, F.posexplode("target").alias("pos", "value"))
     return clean_values(panel).select(
         "id", "source", "collection", "name", "granularity", "time_column", "dtype",
-        F.col("pos").cast("long").alias("pos"), F.lit(None).cast("timestamp_ntz").alias("ts"), "value")
+        F.col("pos").cast("long").alias("pos"), F.lit(None).cast("timestamp_ntz").alias("ts"), "value", *[c for c in ("ord",) if with_ord])
 
 
 def panel_from_entries(entries: DataFrame, collection, freq=None, source: str = "gluonts"
@@ -77,6 +80,7 @@ def panel_from_entries(entries: DataFrame, collection, freq=None, source: str =
 
     ``collection``/``freq`` are literals or Columns (one entries table may hold
     several collections). Values are exploded with their position; NaN
-    becomes NULL.
+    becomes NULL. Of entries whose ids coincide (ids are lower-cased) the first by ``entry_ord`` counts.
     """
-    return entry_header(entries, collection, freq, source), entry_points(entries, collection, freq, source)
+    return first_series(entry_header(entries, collection, freq, source),
+                        entry_points(entries, collection, freq, source, with_ord=True))

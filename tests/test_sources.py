@@ -11,6 +11,7 @@ from pyspark.sql import functions as F
 
 from rareseries.functions.calendar import normalize_granularity, parse_dates, seasonal_period
 from rareseries.functions.ids import blob_path, id_part, make_id, unsafe_path
+from rareseries.operators.hashing import content_hashes
 from rareseries.schemas import ENTRIES
 from rareseries.sources.entries import panel_from_entries
 from rareseries.sources.wide import infer_granularity, panel_from_wide, select_collections
@@ -145,3 +146,12 @@ def test_select_collections_first_file_wins(spark):
     got = sorted((r["collection"], r["path"]) for r in select_collections(files).collect())
     assert got == [("ETTh1", "ETT-small/ETTh1.csv"), ("weather", "weather/weather.csv")]
     assert [r["collection"] for r in select_collections(files, wanted=["weather"]).collect()] == ["weather"]
+
+
+def test_entries_with_one_id_keep_the_first_and_only_its_points(spark):
+    rows = [(0, "Ab", [1.0, 2.0]), (1, "aB", [3.0] * 5), (2, "c", [4.0])]
+    entries = spark.createDataFrame(rows, "entry_ord long, item_id string, target array<double>")
+    header, panel = panel_from_entries(entries, "col", "D")
+    assert {(r["name"], r["ord"]) for r in header.collect()} == {("Ab", 0), ("c", 2)}
+    assert sorted((r["name"], r["pos"], r["value"]) for r in panel.collect()) == [("Ab", 0, 1.0), ("Ab", 1, 2.0), ("c", 0, 4.0)]
+    assert content_hashes(panel).count() == 2
