@@ -153,7 +153,7 @@ def level_sql(n_rare: str, pct: str) -> str:
 
 
 def scan_rows_sql(panel: str, p: ScoreParams = DEFAULT) -> str:
-    """24-column scan rows without ``content_hash`` (not expressible in SQL)."""
+    """24-column scan rows without ``content_hash`` (its own query has it)."""
     k2 = p.min_points
     ok = f"(COALESCE(b.n_obs, 0) >= {k2})"
     pct = "100.0 * (sc.n_rare / sc.N)"
