@@ -32,6 +32,21 @@ def written(df: DataFrame) -> DataFrame:
     return df.sparkSession.read.schema(df.schema).parquet(path)
 
 
+def bucketed(df: DataFrame, key: str) -> DataFrame:
+    """As ``written``, in as many buckets of ``key`` as a shuffle has partitions: joins on ``key`` need not move the rows.
+
+    The catalog entry that bucketing needs is dropped at once (the rows lie outside the warehouse and stay), so no name is left.
+    """
+    spark = df.sparkSession
+    name = f"table_{uuid.uuid4().hex}"
+    path = f"{ensure_checkpoint_dir(spark).rstrip('/')}/{name}"
+    buckets = int(spark.conf.get("spark.sql.shuffle.partitions"))
+    df.repartition(buckets, key).write.bucketBy(buckets, key).option("compression", "zstd").option("path", path).saveAsTable(name)
+    found = spark.table(name)
+    spark.sql(f"DROP TABLE {name}")
+    return found
+
+
 def slices(batch: pa.RecordBatch, column: str, max_bytes: int = KERNEL_BYTES) -> Iterator[pa.RecordBatch]:
     """Cut a batch into runs of rows of at most ``max_bytes`` of text (one row at least)."""
     import numpy as np

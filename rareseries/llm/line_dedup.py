@@ -18,7 +18,7 @@ from functools import reduce
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from rareseries.llm.common import cut, written
+from rareseries.llm.common import bucketed, cut, written
 
 #: Shorter lines (blank ones, headings, list marks) always stay.
 MIN_CHARS = 20
@@ -84,7 +84,7 @@ def line_copies(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text",
     rows = docs.select(F.struct(F.col(id_col).isNull().alias("last"), F.col(id_col).alias("id")).alias("nth"), F.split(F.col(text_col), "\n").alias("lines"))
     split = rows.select("nth", F.posexplode("lines").alias("at", "text")).where(F.char_length("text") >= max(2, min_chars))
     split = split.withColumn("line", F.xxhash64("text"))
-    first = written(split.groupBy("line").agg(F.min(F.struct("nth", "at")).alias("first"), F.min("text").alias("text"), F.count("*").alias("copies")))
+    first = bucketed(split.groupBy("line").agg(F.min(F.struct("nth", "at")).alias("first"), F.min("text").alias("text"), F.count("*").alias("copies")), "line")
     bound = (first.agg(F.sum("copies")).first()[0] or 0) // COMMON
     common = first.where(F.col("copies") > bound).select(F.col("line").alias("common_line"))  # fewer than COMMON lines
     pairs = written(_near_pairs(first, hot))
