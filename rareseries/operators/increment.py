@@ -17,8 +17,8 @@ from ..schemas import SCAN, SCAN_COLUMNS, published
 
 def exclude_collections(header: DataFrame, excluded=tuple(EXCLUDED_COLLECTIONS), sources=None,
                         collections=None) -> DataFrame:
-    """Drop excluded collections; optionally keep only some sources / collections."""
-    out = header.filter(~F.col("collection").isin(*excluded)) if excluded else header
+    """Drop excluded collections (a NULL collection stays); optionally keep only some sources / collections."""
+    out = header.filter(F.coalesce(~F.col("collection").isin(*excluded), F.lit(True))) if excluded else header
     if sources:
         out = out.filter(F.col("source").isin(*sources))
     if collections:

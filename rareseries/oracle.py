@@ -342,12 +342,20 @@ def path_collisions_sql() -> str:
       GROUP BY blob_path HAVING COUNT(*) > 1"""
 
 
-def finalized_sql() -> str:
+FIRST_ROUND = ("events_gaps", "orders")
+
+
+def runs_panel_sql() -> str:
+    return " UNION ALL ".join(f"SELECT id, source, collection, pos, ts, value FROM ({panel_sql(n)})" for n in CATALOG_RUNS)
+
+
+def finalized_sql(collections=None) -> str:
     rev, ver, at = PUBLISH_STAMP
-    return f"""WITH cat AS ({series_sql()}),
+    due = f"cat.collection IN ({', '.join(repr(c) for c in collections)})" if collections else "TRUE"
+    return f"""WITH cat AS MATERIALIZED ({series_sql()}),
         sizes AS (SELECT p.id, CAST(8 * COUNT(*) + 8 * COUNT(p.ts) AS BIGINT) AS size_bytes
-                  FROM ({panel_sql('entries')}) p JOIN cat ON p.id = cat.id
-                  WHERE cat.source = 'gluonts' GROUP BY p.id)
+                  FROM ({runs_panel_sql()}) p JOIN cat ON p.id = cat.id
+                  WHERE {due} GROUP BY p.id)
       SELECT cat.* REPLACE (
           CASE WHEN s.id IS NOT NULL THEN {blob_path_sql('cat.id')} ELSE cat.blob_path END AS blob_path,
           CASE WHEN s.id IS NOT NULL THEN s.size_bytes ELSE cat.size_bytes END AS size_bytes,
@@ -376,8 +384,8 @@ def requests_sql() -> str:
         UNION ALL SELECT DISTINCT id FROM ({panel_sql('lineitem')}))"""
 
 
-def pull_status_sql() -> str:
-    return f"""WITH cat AS ({finalized_sql()}), req AS ({requests_sql()})
+def pull_status_sql(collections=FIRST_ROUND) -> str:
+    return f"""WITH cat AS ({finalized_sql(collections)}), req AS ({requests_sql()})
       SELECT req.ord, req.id,
              CASE WHEN cat.id IS NULL THEN 'unknown_id' WHEN cat.blob_path IS NULL THEN 'no_blob'
                   ELSE 'ok' END AS status
@@ -385,14 +393,37 @@ def pull_status_sql() -> str:
 
 
 def pull_many_sql() -> str:
-    return f"""WITH st AS ({pull_status_sql()})
-      SELECT st.ord, p.id, p.pos, p.ts, p.value FROM ({panel_sql('entries')}) p
+    return f"""WITH st AS MATERIALIZED ({pull_status_sql(None)})
+      SELECT st.ord, p.id, p.pos, p.ts, p.value FROM ({runs_panel_sql()}) p
       JOIN st ON p.id = st.id WHERE st.status = 'ok'"""
 
 
 def verify_pulled_sql() -> str:
-    # Every published series was stored from the points it was scored on.
-    return f"SELECT id, TRUE AS hash_ok FROM ({finalized_sql()}) WHERE blob_path IS NOT NULL"
+    # Every published series was stored from the points it was scored on; the values of 'orders' are altered.
+    return f"SELECT id, collection <> 'orders' AS hash_ok FROM ({finalized_sql()}) WHERE blob_path IS NOT NULL"
+
+
+def stored_series_sql() -> str:
+    return f"""WITH cat AS MATERIALIZED ({series_sql()})
+      SELECT p.source, p.collection, COUNT(DISTINCT p.id) AS n_series, COUNT(*) AS n_points, COUNT(p.ts) AS n_dated
+      FROM ({runs_panel_sql()}) p JOIN cat ON p.id = cat.id GROUP BY p.source, p.collection"""
+
+
+def scan_batch_resume_sql() -> str:
+    """Every well-formed entry once, but for the failed collection, which has one error row."""
+    panel = f"""SELECT {make_id_sql("'gluonts'", "collection", 'key')} AS id, 'gluonts' AS source, collection, key AS name,
+          {entry_freq_sql('label')} AS granularity, CAST(NULL AS VARCHAR) AS time_column, 'float64' AS dtype,
+          CAST(generate_subscripts(embedding, 1) - 1 AS BIGINT) AS pos, CAST(NULL AS TIMESTAMP) AS ts,
+          CAST(unnest(embedding) AS DOUBLE) AS value
+        FROM (SELECT *, 'emb' || CAST(label AS VARCHAR) AS collection, CAST(CASE WHEN label = 3
+                THEN ROW_NUMBER() OVER (PARTITION BY label ORDER BY vec_id) - 1 ELSE vec_id END AS VARCHAR) AS key
+              FROM embeddings)
+        WHERE collection <> 'emb2' AND NOT (label = 4 AND embedding[1] < 0)"""
+    cols = "id, source, collection, name, granularity, length, N, n_rare, mean, status, note"
+    return f"""SELECT {cols} FROM ({scan_rows_sql(panel)})
+      UNION ALL SELECT DISTINCT 'gluonts:emb2:dataset', 'gluonts', 'emb2', CAST(NULL AS VARCHAR), CAST(NULL AS VARCHAR),
+        CAST(NULL AS BIGINT), CAST(NULL AS BIGINT), CAST(NULL AS BIGINT), CAST(NULL AS DOUBLE), 'error', 'cannot be read'
+      FROM embeddings WHERE label = 2"""
 
 
 def value_counts_sql() -> str:
@@ -578,6 +609,8 @@ def _register() -> None:
         "pull_status": pull_status_sql(),
         "pull_many": pull_many_sql(),
         "verify_pulled": verify_pulled_sql(),
+        "stored_series": stored_series_sql(),
+        "scan_batch_resume": scan_batch_resume_sql(),
         "value_counts": value_counts_sql(),
         "time_column_by_source": time_column_by_source_sql(),
         "collection_count": collection_count_sql(),

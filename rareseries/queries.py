@@ -7,6 +7,7 @@ are rounded to 8 significant digits on both sides.
 from __future__ import annotations
 
 import functools
+import uuid
 from collections.abc import Callable
 
 from pyspark.sql import Column, DataFrame, SparkSession
@@ -25,13 +26,15 @@ from .functions.ids import blob_path, id_part
 from .operators.catalog import build_scanned, build_series, dedupe_first, duplicate_report
 from .operators.drift import (catalog_filter, count_distinct, diff_profiles, example_counts,
                               first_value_by_group, numeric_profile, profile_catalog, top_k, value_counts)
+from .operators.batch import append_batch
 from .operators.increment import limit_new, only_new, scan_summary
-from .operators.publish import finalize_catalog, missing_from_source, path_collisions, series_frame, unpublished
-from .operators.retrieve import pull_many, pull_status, verify_pulled
+from .operators.publish import (blob_sizes, finalize_catalog, missing_from_source, path_collisions, stage_series,
+                                unpublished)
+from .operators.retrieve import pull_many, pull_status, read_series, verify_pulled
 from .params import NULL_BUCKET
 from .schemas import published
 from .session import ensure_checkpoint_dir
-from .sources.tables import TABLE_PANELS, TablePanel, read_table, table_panel
+from .sources.tables import TABLE_PANELS, TablePanel, read_scan_results, read_table, table_panel
 from .sources.wide import infer_granularity, panel_from_wide
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -73,17 +76,20 @@ def entry_freq(label: Column) -> Column:
     return expr
 
 
-def embedding_entries(spark: SparkSession, root: str) -> tuple[DataFrame, DataFrame]:
+def embedding_entries(spark: SparkSession, root: str, item_id: Column | None = None, target: Column | None = None
+                      ) -> tuple[DataFrame, DataFrame]:
     """``embeddings`` as nested entries: one collection per label, ordered by vec_id.
 
+    ``item_id`` and ``target`` replace the entry's key (default ``vec_id``) and its values (default ``embedding``).
+
     Returns ``(keys, entries)``: ``keys`` carry the entry positions (numbered on
     key columns only, the arrays never move for it) and feed the header;
     ``entries`` carry the arrays, with the position joined only where an entry
     has no ``item_id`` and the position is its key.
     """
     emb = read_table(spark, root, "embeddings").select(
-        "vec_id", F.col("vec_id").cast("string").alias("item_id"),
-        F.col("embedding").cast("array<double>").alias("target"),
+        "vec_id", (F.col("vec_id") if item_id is None else item_id).cast("string").alias("item_id"),
+        (F.col("embedding") if target is None else target).cast("array<double>").alias("target"),
         F.concat(F.lit("emb"), F.col("label").cast("string")).alias("collection"),
         entry_freq(F.col("label")).alias("freq"))
     marker = F.when(F.col("target").isNotNull(), F.array().cast("array<double>"))
@@ -219,6 +225,12 @@ def run_of() -> Column:
     return (F.when(F.col("collection") == "events_gaps", 0).when(F.col("collection") == "orders", 1)
              .when(F.col("source") == "gluonts", 2).when(F.col("collection") == "daily_wide", 3))
 _SCAN_CACHE: dict[tuple[str, str], DataFrame] = {}
+_STORE_CACHE: dict[tuple[str, str], str] = {}
+
+
+def fresh_path(spark: SparkSession, kind: str) -> str:
+    """A new path for a written table in the shared checkpoint folder."""
+    return f"{ensure_checkpoint_dir(spark).rstrip('/')}/{kind}-{uuid.uuid4().hex}"
 
 
 def catalog_scan(spark: SparkSession, root: str) -> DataFrame:
@@ -248,6 +260,7 @@ def catalog_scan(spark: SparkSession, root: str) -> DataFrame:
 def clear_cache() -> None:
     """Drop the cached scan tables (benchmarks time every query from the raw tables)."""
     _SCAN_CACHE.clear()
+    _STORE_CACHE.clear()
 
 
 def catalog_series(spark: SparkSession, root: str) -> DataFrame:
@@ -309,19 +322,25 @@ def q_path_collisions(spark, root):
     return path_collisions(catalog_scan(spark, root).select("id"))
 
 
-def _published_sizes(spark, root):
-    """Logical sizes of the series published in this round: the nested-entry collections."""
-    _, p = panel(spark, root, "entries")
-    wanted = catalog_series(spark, root).filter(F.col("source") == "gluonts").select("id")
-    return (p.join(wanted, "id", "left_semi").groupBy("id")
-            .agg((F.lit(8) * F.count(F.lit(1)) + F.lit(8) * F.count("ts")).cast("long").alias("size_bytes")))
+def series_store(spark: SparkSession, root: str) -> str:
+    """Path of the stored series: every accepted series of every run, hash-checked and staged once per session and root."""
+    key = (spark.sparkContext.applicationId, root)
+    if key not in _STORE_CACHE:
+        points = functools.reduce(DataFrame.unionByName, [panel(spark, root, name)[1] for name in CATALOG_RUNS])
+        path = fresh_path(spark, "series")
+        stage_series(points, catalog_series(spark, root), path).unpersist()
+        _STORE_CACHE[key] = path
+    return _STORE_CACHE[key]
 
 
 PUBLISH_STAMP = ("rev-0001", "0.1.0", "2026-01-01T00:00:00+00:00")
 
 
-def finalized_catalog(spark, root):
-    return finalize_catalog(catalog_series(spark, root), _published_sizes(spark, root), *PUBLISH_STAMP)
+def finalized_catalog(spark, root, collections=None):
+    """The catalog with the publish columns of every stored series, optionally of some collections only."""
+    series = catalog_series(spark, root)
+    due = unpublished(series, collections).select("id")
+    return finalize_catalog(series, blob_sizes(spark, series_store(spark, root)).join(due, "id", "left_semi"), *PUBLISH_STAMP)
 
 
 def q_finalize(spark, root):
@@ -339,30 +358,65 @@ def q_missing_from_source(spark, root):
     return counts
 
 
-def _stored_and_requests(spark, root):
-    _, p = panel(spark, root, "entries")
-    cat = finalized_catalog(spark, root)
-    stored = series_frame(p.join(cat.filter(F.col("blob_path").isNotNull()).select("id"), "id", "left_semi"))
+def _requests(spark, root):
+    """Every scanned id, and ids that no catalog has, in id order."""
     scanned = catalog_scan(spark, root).select("id")
     unknown = panel(spark, root, "lineitem")[0].select("id")
     req = number_rows(scanned.unionByName(unknown).withColumn("_all", F.lit(0)), ["_all"], ["id"], "ord")
-    return stored, req.select("ord", "id"), cat
+    return req.select("ord", "id")
+
+
+# Collections of a first publishing round; series of the others have no blob then.
+FIRST_ROUND = ("events_gaps", "orders")
+# The collection whose stored values the hash check finds altered.
+ALTERED = "orders"
 
 
 def q_pull_status(spark, root):
-    stored, req, cat = _stored_and_requests(spark, root)
-    return pull_status(req, cat, stored).select("ord", "id", "status")
+    """Requests after the first publishing round: ok, no_blob and unknown_id."""
+    cat = finalized_catalog(spark, root, FIRST_ROUND)
+    stored = read_series(spark, series_store(spark, root), collections=FIRST_ROUND)
+    return pull_status(_requests(spark, root), cat, stored).select("ord", "id", "status")
 
 
 def q_pull_many(spark, root):
-    stored, req, cat = _stored_and_requests(spark, root)
-    return pull_many(req, cat, stored, errors="skip")
+    stored = read_series(spark, series_store(spark, root))
+    return pull_many(_requests(spark, root), finalized_catalog(spark, root), stored, errors="skip")
 
 
 def q_verify_pulled(spark, root):
-    """Stored points of every published series re-hashed against the scan's hash."""
-    stored, _, cat = _stored_and_requests(spark, root)
-    return verify_pulled(stored, cat.filter(F.col("blob_path").isNotNull())).select("id", "hash_ok")
+    """Stored points of every published series re-hashed against the scan's hash, one collection altered on purpose."""
+    stored = read_series(spark, series_store(spark, root))
+    altered = stored.withColumn("value", F.when(F.col("collection") == ALTERED, F.col("value") + 1).otherwise(F.col("value")))
+    return verify_pulled(altered, finalized_catalog(spark, root)).select("id", "hash_ok")
+
+
+def q_stored_series(spark, root):
+    """Per collection, the series and points read back from the store."""
+    stored = read_series(spark, series_store(spark, root))
+    return stored.groupBy("source", "collection").agg(
+        F.count_distinct("id").alias("n_series"), F.count(F.lit(1)).alias("n_points"), F.count("ts").alias("n_dated"))
+
+
+# Entries without a key, entries without values, and a collection recorded as failed.
+UNKEYED_LABEL, HOLED_LABEL, FAILED = 3, 4, "emb2"
+
+
+def q_scan_batch_resume(spark, root):
+    """Two batches into one scan table: the first takes 5 new series a collection, the second resumes with the rest."""
+    keyless = F.when(F.col("label") == UNKEYED_LABEL, None).otherwise(F.col("vec_id"))
+    holed = F.when((F.col("label") == HOLED_LABEL) & (F.get("embedding", F.lit(0)) < 0), None).otherwise(F.col("embedding"))
+    keys, entries = embedding_entries(spark, root, keyless, holed)
+    header = entry_header(keys, F.col("collection"), F.col("freq"))
+    points = entry_points(entries, F.col("collection"), F.col("freq"))
+    failures = header.where(F.col("collection") == FAILED).select("source", "collection").distinct() \
+                     .withColumn("note", F.lit("cannot be read"))
+    path = fresh_path(spark, "scan")
+    found = header.where(F.col("collection").isNull() | (F.col("collection") != FAILED))
+    append_batch(path, found, points, failures=failures, limit=5)
+    append_batch(path, header, points, read_scan_results(spark, path, "parquet"), failures)
+    return rounded(read_scan_results(spark, path, "parquet").select(
+        "id", "source", "collection", "name", "granularity", "length", "N", "n_rare", "mean", "status", "note"))
 
 
 def q_value_counts(spark, root):
@@ -469,6 +523,8 @@ QUERIES: dict[str, Query] = {
     "pull_status": q_pull_status,
     "pull_many": q_pull_many,
     "verify_pulled": q_verify_pulled,
+    "stored_series": q_stored_series,
+    "scan_batch_resume": q_scan_batch_resume,
     "value_counts": q_value_counts,
     "time_column_by_source": q_time_column_by_source,
     "collection_count": q_collection_count,
