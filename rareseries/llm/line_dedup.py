@@ -77,12 +77,15 @@ def line_copies(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text",
 
     Lines end at newlines. A line of ``min_chars`` (2 at least) or more goes if an equal line occurs earlier (by id, then
     line number), or if a line one edit away first occurs earlier; this is judged on the input. Null texts have no lines and
-    a null kept_text; an empty text is one empty line. A null id comes last. Rows that repeat an id count as one
-    document each, and their lines with equal numbers stay or go together. Other columns are ignored. Lines and segments
+    a null kept_text; an empty text is one empty line. A null id comes last. Rows that repeat an id, or have none, are
+    documents of their own, in the order in which they are read. Other columns are ignored. Lines and segments
     are told apart by 64-bit hashes. ``hot`` changes the work, never the result.
     """
-    rows = docs.select(F.struct(F.col(id_col).isNull().alias("last"), F.col(id_col).alias("id")).alias("nth"), F.split(F.col(text_col), "\n").alias("lines"))
-    split = rows.select("nth", F.posexplode("lines").alias("at", "text")).where(F.char_length("text") >= max(2, min_chars))
+    # rows have a key of their own, written once so that all later reads agree on it; ids give the order only
+    rows = written(docs.select(F.monotonically_increasing_id().alias("row"), F.col(id_col).alias("id"), F.col(text_col).alias("text")))
+    rows = rows.select("row", "id", F.split("text", "\n").alias("lines"))
+    nth = F.struct(F.col("id").isNull().alias("last"), "id", "row")
+    split = rows.select("row", nth.alias("nth"), F.posexplode("lines").alias("at", "text")).where(F.char_length("text") >= max(2, min_chars))
     split = split.withColumn("line", F.xxhash64("text"))
     first = bucketed(split.groupBy("line").agg(F.min(F.struct("nth", "at")).alias("first"), F.min("text").alias("text"), F.count("*").alias("copies")), "line")
     bound = (first.agg(F.sum("copies")).first()[0] or 0) // COMMON
@@ -99,14 +102,14 @@ def line_copies(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text",
     verdict = verdict.select(F.coalesce("line", "gone_line").alias("vline"), "first", "gone_line").join(F.broadcast(common), F.col("vline") == F.col("common_line"), "left")
     slots = F.when(F.col("common_line").isNotNull(), F.sequence(F.lit(0), F.lit(SLOTS - 1))).otherwise(F.array(F.lit(0)))
     verdict = verdict.select("vline", "first", "gone_line", F.explode(slots).alias("vslot"))
-    slot = F.when(F.col("common_line").isNotNull(), F.pmod(F.xxhash64("nth", "at"), F.lit(SLOTS)).cast("int")).otherwise(0)
-    places = split.join(F.broadcast(common), F.col("line") == F.col("common_line"), "left").select("line", "nth", "at", slot.alias("slot"))
+    slot = F.when(F.col("common_line").isNotNull(), F.pmod(F.xxhash64("row", "at"), F.lit(SLOTS)).cast("int")).otherwise(0)
+    places = split.join(F.broadcast(common), F.col("line") == F.col("common_line"), "left").select("line", "row", "at", slot.alias("slot"))
     places = places.join(verdict, (F.col("line") == F.col("vline")) & (F.col("slot") == F.col("vslot")))
-    places = places.where(F.col("gone_line").isNotNull() | (F.struct("nth", "at") != F.col("first")))
-    gone = places.groupBy(F.col("nth").alias("g")).agg(F.collect_set("at").alias("gone"))
-    out = rows.join(gone, F.col("nth").eqNullSafe(F.col("g")), "left")
+    places = places.where(F.col("gone_line").isNotNull() | (F.col("row") != F.col("first.nth.row")) | (F.col("at") != F.col("first.at")))
+    gone = places.groupBy("row").agg(F.collect_set("at").alias("gone"))
+    out = rows.join(gone, "row", "left")
     stay = F.array_except(F.sequence(F.lit(0), F.size("lines") - 1), F.coalesce("gone", F.array().cast("array<int>")))
-    out = out.select(F.col("nth.id").alias(id_col), "lines", F.when(F.col("lines").isNotNull(), stay).alias("stay"))
+    out = out.select(F.col("id").alias(id_col), "lines", F.when(F.col("lines").isNotNull(), stay).alias("stay"))
     kept = F.array_join(F.transform("stay", lambda i: F.get("lines", i)), "\n")
     n = F.when(F.col("lines").isNull(), 0).otherwise(F.size("lines"))
     return out.select(id_col, n.cast("long").alias("n_lines"), F.when(F.col("lines").isNull(), 0).otherwise(F.size("lines") - F.size("stay")).cast("long").alias("n_removed"), kept.alias("kept_text"))

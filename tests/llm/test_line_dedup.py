@@ -64,3 +64,15 @@ def test_segments_that_many_lines_share(spark):
     docs = spark.createDataFrame(rows, "doc_id long, text string").repartition(4)
     check(line_copies(docs, hot=2), rows)
     check(line_copies(docs), rows)
+
+
+def test_rows_without_or_with_the_same_id(spark):
+    """Lines of one such row say nothing of the lines of another at the same number."""
+    shared = "this line stands in two of them"
+    texts = [shared + "\n" + "a line that only the first one has", "a line that only the second has\nshort", shared + "\nkept, as no other row holds this", "\n".join(["x", shared, "the fourth document ends like so"])]
+    for ids in ([None] * 4, [7] * 4, [7, None, None, 7]):
+        docs = spark.createDataFrame(list(zip(ids, texts, strict=True)), "doc_id long, text string").repartition(3)
+        got = line_copies(docs).collect()
+        assert len(got) == 4 and sum(r["n_removed"] for r in got) == 2
+        lines = [x for r in got for x in r["kept_text"].split("\n")]
+        assert sorted(lines) == sorted({x for t in texts for x in t.split("\n")})
