@@ -11,7 +11,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from rareseries.llm.common import cut
+from rareseries.llm.common import cut, written
 
 #: Weights by rank of the source (code point order, null last), repeating.
 WEIGHTS = (5, 2, 1)
@@ -95,29 +95,31 @@ def schedule(sources: DataFrame) -> DataFrame:
 def lines(docs: DataFrame, sources: DataFrame) -> DataFrame:
     """Documents with their place on their source's line of words: id, source, size, start, and the source's columns.
 
-    The shuffle is the order of a hash of the id; rows with equal ids follow one another by size.
+    The shuffle is the order of a hash of the id (of the text, for rows without an id); rows with equal ids follow one
+    another by size and hash of the text.
     """
     s = sources.select(F.col("source").alias("s1"), "n", "source_size", "target", F.col("block").alias("block_words"))
     d = docs.join(s, F.col("source").eqNullSafe(F.col("s1"))).drop("s1")
-    d = d.withColumn("h", F.xxhash64("id", F.lit(4)))
+    d = d.withColumn("h", F.xxhash64("id", F.lit(4), F.when(F.col("id").isNull(), F.col("text_hash"))))
     # the high part of the hash is the segment, so segments follow the order of the hash
     d = d.withColumn("seg", F.floor((F.col("h") / F.lit(2.0**64) + 0.5) * F.ceil(F.col("n") / SEGMENT)))
     seg = d.groupBy("source", "seg").agg(F.sum("size").alias("c"))
     run = Window.partitionBy("source").orderBy("seg").rowsBetween(Window.unboundedPreceding, -1)
     seg = seg.select(F.col("source").alias("s2"), F.col("seg").alias("seg2"), F.coalesce(F.sum("c").over(run), F.lit(0)).alias("before"))
-    inner = F.sum("size").over(Window.partitionBy("source", "seg").orderBy("h", "id", "size").rowsBetween(Window.unboundedPreceding, 0)) - F.col("size")
+    inner = F.sum("size").over(Window.partitionBy("source", "seg").orderBy("h", "id", "size", "text_hash").rowsBetween(Window.unboundedPreceding, 0)) - F.col("size")
     d = d.withColumn("inner", inner).join(seg, F.col("source").eqNullSafe(F.col("s2")) & (F.col("seg") == F.col("seg2")))
     return d.withColumn("start", F.col("inner") + F.col("before")).drop("h", "seg", "s2", "seg2", "before", "inner")
 
 
-def mix(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", source_col: str = "source") -> DataFrame:
+def mix(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", source_col: str = "source", carried: tuple[str, ...] = ()) -> DataFrame:
     """One row per document: id, source, size, source_size, target, start, first_block, last_block, copies, taken.
 
     taken counts the words that the mix takes from the document, repeats included; copies says how often the block with
     its first word is taken. A null source is a source of its own, last in order; texts without words take no part
-    (taken and copies 0). Rows that repeat an id are documents of their own. Other columns are ignored.
+    (taken and copies 0). Rows that repeat an id are documents of their own. Other columns are ignored,
+    but for those in ``carried``, which come last.
     """
-    sized = cut(docs.select(F.col(id_col).alias("id"), F.col(source_col).alias("source"), word_count(F.col(text_col)).alias("size")))
+    sized = cut(docs.select(F.col(id_col).alias("id"), F.col(source_col).alias("source"), word_count(F.col(text_col)).alias("size"), F.xxhash64(F.col(text_col)).alias("text_hash"), *carried))
     sized, sources = plan(sized)
     used = cut(schedule(sources).groupBy("source", "block").agg(F.count("*").alias("uses")).withColumnRenamed("source", "s3"))
     placed = lines(sized, sources)
@@ -129,11 +131,13 @@ def mix(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", source_
     met = piece.join(used, (F.col("source").eqNullSafe(F.col("s3"))) & (F.col("at") == F.col("block")))
     met = met.groupBy("row").agg(F.sum(over * F.col("uses")).alias("taken"), F.sum(F.when(F.col("at") == F.col("first_block"), F.col("uses"))).alias("copies"))
     out = placed.join(met, "row", "left").withColumns({"taken": F.coalesce("taken", F.lit(0)).cast("long"), "copies": F.coalesce("copies", F.lit(0)).cast("int")})
-    return out.select(F.col("id").alias(id_col), "source", "size", "source_size", "target", "start", "first_block", "last_block", "copies", "taken")
+    return out.select(F.col("id").alias(id_col), "source", "size", "source_size", "target", "start", "first_block", "last_block", "copies", "taken", *carried)
 
 
 def mixed_documents(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", source_col: str = "source") -> DataFrame:
     """The documents of the mix, whole: each row as often as the block with its first word is taken (0 to 3 times)."""
-    counts = mix(docs, id_col, text_col, source_col).select(F.col(id_col).alias("__mix_id"), F.col("copies").alias("__copies")).dropDuplicates(["__mix_id"])
-    rows = docs.join(counts, docs[id_col].eqNullSafe(F.col("__mix_id"))).where("__copies > 0")
-    return rows.withColumn("__copy", F.explode(F.sequence(F.lit(1), F.col("__copies")))).drop("__copy", "__copies", "__mix_id")
+    # ids may be null or repeated, so rows are told apart by a key that is written once
+    rows = written(docs.withColumn("__row", F.monotonically_increasing_id()))
+    counts = mix(rows, id_col, text_col, source_col, carried=("__row",)).where("copies > 0").select(F.col("__row").alias("__mix_row"), F.col("copies").alias("__copies"))
+    rows = rows.join(counts, F.col("__row") == F.col("__mix_row"))
+    return rows.withColumn("__copy", F.explode(F.sequence(F.lit(1), F.col("__copies")))).drop("__copy", "__copies", "__mix_row", "__row")

@@ -209,6 +209,23 @@ def test_mix(docs, small_docs, empty_docs, clashing):
     assert mixed_documents(clashing).columns == clashing.columns
 
 
+def test_mixed_documents_without_ids(spark):
+    """Rows with a null or a repeated id are counted one by one, and reruns agree."""
+    rows = [(None if i % 3 == 0 else 5 if i % 3 == 1 else i, f"text {i} " + "word " * (i % 40 + 1), f"src{i % 4}") for i in range(900)]
+    docs = spark.createDataFrame(rows, "doc_id long, text string, source string")
+    words, taken = Counter(), Counter()
+    for _, t, s in rows:
+        words[s] += len(t.split())
+    got = mixed_documents(docs.repartition(5)).collect()
+    for _, t, s in got:
+        taken[s] += len(t.split())
+    for s, t in brute_targets(words).items():
+        assert abs(taken[s] - t) <= 0.1 * t, (s, taken[s], t)
+    copies = Counter(r["text"] for r in got if r["doc_id"] is None)
+    assert len(set(copies.values())) > 1
+    assert Counter(got) == Counter(mixed_documents(docs.repartition(3)).collect())
+
+
 # --- 5 and 9 ---------------------------------------------------------------------------------------------------------
 
 
