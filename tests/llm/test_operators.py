@@ -125,6 +125,17 @@ def test_jaccard_large_cells(spark, monkeypatch):
     assert {i: r["component_id"] for i, r in got.items()} == roots(sets, links)
 
 
+def test_jaccard_equal_sets_dealt_anew(spark, monkeypatch):
+    """The pass that leaves a row out names the row it stands for, however another pass dealt the rows."""
+    from rareseries.llm import jaccard_join
+
+    split = jaccard_join._first_pass
+    monkeypatch.setattr(jaccard_join, "_first_pass", lambda batches, k: (out for b in batches for i in range(b.num_rows) for out in split(iter([b.slice(i, 1)]), k)))
+    docs = spark.createDataFrame([(i, "one and the same text of some words") for i in range(6)], "doc_id long, text string").repartition(2)
+    got = by_id(jaccard_groups(docs, k=3, percent=85))
+    assert [got[i]["component_id"] for i in range(6)] == [0] * 6
+
+
 def test_jaccard_edges(clashing, empty_docs):
     assert jaccard_groups(empty_docs).count() == 0
     rows = jaccard_groups(clashing).collect()
