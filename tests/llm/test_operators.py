@@ -349,6 +349,27 @@ def test_disguised_words_are_found():
     assert {"tr4sh", "$tupid", "cl0wn", "stuuupid", "s.t.u.p.i.d"} <= got and not got & {"plain", "words,", "here.", "2024", "end"}
 
 
+def restored(text, model, spoken=("", {})):
+    data, offsets = K.text_buffers(pa.array([text]))
+    data = K.LOWER[data]
+    return b" ".join(toxicity._restored(data, *K.word_spans(data, offsets), model, spoken)[0]).decode().split()
+
+
+@pytest.fixture(scope="module")
+def language(spark):
+    rows = spark.read.parquet("/root/testdata/sf0.01/documents.parquet").select("text")
+    return toxicity.language_model(rows), toxicity.words_of(rows)
+
+
+def test_toxicity_spaced_words(language):
+    """Word boundaries come out of runs of single characters, however long the runs are."""
+    model, spoken = language
+    assert toxicity.decode("a m o r o n", model) == "a moron" and toxicity.decode("y o u m o r o n", model) == "you moron"
+    for text in ("such a m o r o n, always", "I s t u p i d", "y o u a r e a s t u p i d m o r o n", "x y " * 2000 + "a m 0 r o n"):
+        assert {"stupid", "moron"} & set(restored(text, model, spoken)), text
+    assert "moron" in restored("such a m o r o n", model)
+
+
 def test_toxicity_held_out(spark):
     sf = "/root/testdata/sf0.1"
     docs, labels = spark.read.parquet(f"{sf}/documents.parquet"), spark.read.parquet(f"{sf}/labels.parquet")
