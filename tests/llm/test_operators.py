@@ -370,6 +370,16 @@ def test_toxicity_spaced_words(language):
     assert "moron" in restored("such a m o r o n", model)
 
 
+def test_toxicity_disguises(language):
+    """Long words, one parting character, a doubled letter, and symbols at the end."""
+    model, spoken = language
+    for word, noisy in {"idiot": ["i" * 60 + "diot", "id-iot", "iidiot", "idio7", "(1diot!", "id..iot"], "moron": ["mor.on", "m_o_r_o_n" + "_" * 60 + "x"], "ass": ["a$$", "as5,"], "stupid": ["_".join("stupid" * 20)]}.items():
+        for x in noisy:
+            assert word in restored(f"such {x} here", model, spoken), x
+    for x in ("worthless", "stupid"):
+        assert restored(x, model, spoken) in ([], [x]), x
+
+
 def test_toxicity_held_out(spark):
     sf = "/root/testdata/sf0.1"
     docs, labels = spark.read.parquet(f"{sf}/documents.parquet"), spark.read.parquet(f"{sf}/labels.parquet")
