@@ -380,6 +380,15 @@ def test_toxicity_disguises(language):
         assert restored(x, model, spoken) in ([], [x]), x
 
 
+def test_toxicity_models_do_not_share_words(language):
+    """A worker that has restored words under one model restores them anew under another."""
+    model, spoken = language
+    assert restored("1diot", model) == ["idiot"]
+    other = np.full_like(model, -1.0)
+    other[:, :, 9] = -9.0  # no i
+    assert restored("1diot", other)[0].startswith("l") and restored("1diot", model) == ["idiot"]
+
+
 def test_toxicity_held_out(spark):
     sf = "/root/testdata/sf0.1"
     docs, labels = spark.read.parquet(f"{sf}/documents.parquet"), spark.read.parquet(f"{sf}/labels.parquet")
