@@ -20,7 +20,7 @@ from pyspark.sql import functions as F
 
 from rareseries.llm.common import bucketed, cut, written
 
-#: Shorter lines (blank ones, headings, list marks) always stay.
+#: Shorter lines (headings, list marks) have no near copies; whether their exact copies go is up to the caller.
 MIN_CHARS = 20
 #: Lines of a length under one key, beyond which the key is split instead of paired.
 HOT = 8
@@ -72,25 +72,28 @@ def _near_pairs(first: DataFrame, hot: int) -> DataFrame:
         level = written(_keyed(parts.join(texts.select("line", "text"), "line")).drop("text"))
 
 
-def line_copies(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", min_chars: int = MIN_CHARS, hot: int = HOT) -> DataFrame:
+def line_copies(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", min_chars: int = MIN_CHARS, hot: int = HOT, short: bool = False) -> DataFrame:
     """One row per document: id_col, n_lines, n_removed, kept_text.
 
     Lines end at newlines. A line of ``min_chars`` (2 at least) or more goes if an equal line occurs earlier (by id, then
     line number), or if a line one edit away first occurs earlier; this is judged on the input. Null texts have no lines and
     a null kept_text; an empty text is one empty line. A null id comes last. Rows that repeat an id, or have none, are
-    documents of their own, in the order in which they are read. Other columns are ignored. Lines and segments
+    documents of their own, in the order in which they are read. With ``short``, exact copies of shorter lines go as well, but
+    for blank ones. Other columns are ignored. Lines and segments
     are told apart by 64-bit hashes. ``hot`` changes the work, never the result.
     """
     # rows have a key of their own, written once so that all later reads agree on it; ids give the order only
     rows = written(docs.select(F.monotonically_increasing_id().alias("row"), F.col(id_col).alias("id"), F.col(text_col).alias("text")))
     rows = rows.select("row", "id", F.split("text", "\n").alias("lines"))
     nth = F.struct(F.col("id").isNull().alias("last"), "id", "row")
-    split = rows.select("row", nth.alias("nth"), F.posexplode("lines").alias("at", "text")).where(F.char_length("text") >= max(2, min_chars))
+    split = rows.select("row", nth.alias("nth"), F.posexplode("lines").alias("at", "text"))
+    long = F.char_length("text") >= max(2, min_chars)
+    split = split.where(long | F.col("text").rlike(r"\S") if short else long)
     split = split.withColumn("line", F.xxhash64("text"))
     first = bucketed(split.groupBy("line").agg(F.min(F.struct("nth", "at")).alias("first"), F.min("text").alias("text"), F.count("*").alias("copies")), "line")
     bound = (first.agg(F.sum("copies")).first()[0] or 0) // COMMON
     common = first.where(F.col("copies") > bound).select(F.col("line").alias("common_line"))  # fewer than COMMON lines
-    pairs = written(_near_pairs(first, hot))
+    pairs = written(_near_pairs(first.where(long), hot))
     ends = pairs.select(F.col("a").alias("line")).union(pairs.select(F.col("b").alias("line"))).distinct()
     ends = written(first.join(ends, "line", "left_semi"))
     a = ends.select(F.col("line").alias("a"), F.col("first").alias("fa"), F.col("text").alias("ta"))

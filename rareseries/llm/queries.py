@@ -44,7 +44,7 @@ def op5_token_files(spark: SparkSession, sf_dir: str) -> DataFrame:
 def op6_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     from rareseries.llm.line_dedup import line_copies
 
-    return line_copies(table(spark, sf_dir, "documents"))
+    return line_copies(table(spark, sf_dir, "documents"), short=True)
 
 
 def op7_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:

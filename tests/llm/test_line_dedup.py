@@ -76,3 +76,11 @@ def test_rows_without_or_with_the_same_id(spark):
         assert len(got) == 4 and sum(r["n_removed"] for r in got) == 2
         lines = [x for r in got for x in r["kept_text"].split("\n")]
         assert sorted(lines) == sorted({x for t in texts for x in t.split("\n")})
+
+
+def test_copies_of_short_lines(spark):
+    """Exact copies of short lines go if asked; blank ones and those one edit away stay."""
+    rows = [(1, "Read more\n\nx"), (2, "Read more\n\n \nRead mare"), (3, "x\n \n\nRead more")]
+    docs = spark.createDataFrame(rows, "doc_id long, text string").repartition(3)
+    got = {r["doc_id"]: r["kept_text"] for r in line_copies(docs, short=True).collect()}
+    assert got == {1: "Read more\n\nx", 2: "\n \nRead mare", 3: " \n"}
