@@ -1,6 +1,5 @@
 from __future__ import annotations
 
-import math
 import os
 import sys
 
@@ -11,24 +10,9 @@ sys.path.insert(0, os.path.dirname(os.path.abspath(__file__)))
 
 from rareseries.session import local_session  # noqa: E402
 
-SF_SMALL = "/root/testdata/sf0.001"
-
 
 @pytest.fixture(scope="session")
 def spark():
     s = local_session("*", shuffle_partitions=8)
     yield s
     s.stop()
-
-
-def close(a, b, tol=1e-9) -> bool:
-    """Equal within tolerance; NULL/NaN equal each other; inf equals inf."""
-    na = a is None or (isinstance(a, float) and math.isnan(a))
-    nb = b is None or (isinstance(b, float) and math.isnan(b))
-    if na or nb:
-        return na and nb
-    if isinstance(a, (int, float)) and isinstance(b, (int, float)) and not isinstance(a, bool):
-        if math.isinf(a) or math.isinf(b):
-            return a == b
-        return abs(a - b) <= tol * max(1.0, abs(a), abs(b))
-    return a == b

@@ -10,7 +10,7 @@ import pytest
 sys.path.insert(0, os.path.join(os.path.dirname(os.path.dirname(os.path.abspath(__file__))), "tools"))
 
 import __spark_entry__ as entry  # noqa: E402
-from conftest import SF_SMALL  # noqa: E402
+from helpers import SF_SMALL  # noqa: E402
 from oracle_check import TABLES, normalise  # noqa: E402
 from rareseries.queries import QUERIES  # noqa: E402
 

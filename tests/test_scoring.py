@@ -7,7 +7,7 @@ import numpy as np
 import pytest
 
 from brute import score as brute_score
-from conftest import close
+from helpers import close
 from rareseries.operators.hashing import content_hashes
 from rareseries.operators.scan import score_panel
 from rareseries.params import EMPTY_HASH, ScoreParams
