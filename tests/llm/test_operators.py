@@ -455,7 +455,7 @@ def vectors(spark):
     x = rng.normal(size=(150, 8))
     x = np.concatenate([x, x[:60] + 0.05 * rng.normal(size=(60, 8)), x[:30] * 3, np.tile(x[5], (20, 1)) + 1e-4 * rng.normal(size=(20, 8)), -x[:5]])
     rows = [(i, [float(v) for v in r]) for i, r in enumerate(x)]
-    odd = [None, [], [0.0] * 8, [1.0, None, 0, 0, 0, 0, 0, 0.0], [math.nan] * 8, [math.inf] + [0.0] * 7, [1e308] * 8, [1e-308] * 8, [1.0, 2.0], [1.0, 2.0]]
+    odd = [None, [], [0.0] * 8, [1.0, None, *[0.0] * 6], [math.nan] * 8, [math.inf] + [0.0] * 7, [1e308] * 8, [1e-308] * 8, [1.0, 2.0], [1.0, 2.0]]
     return x, rows + [(1000 + i, v) for i, v in enumerate(odd)] + [(None, [1.0] * 8)]
 
 
