@@ -73,7 +73,13 @@ def op10_vector_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return vector_groups(table(spark, sf_dir, "embeddings"))
 
 
-LLM_QUERIES = {f.__name__: f for f in (op1_exact_dedup, op2_jaccard_join, op3_suffix_dedup, op4_mixing, op5_token_files, op6_line_dedup, op7_toxicity, op8_quality, op9_packing, op10_vector_dedup)}
+def op13_source_divergence(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from rareseries.llm.divergence import source_divergence
+
+    return source_divergence(table(spark, sf_dir, "documents"))
+
+
+LLM_QUERIES = {f.__name__: f for f in (op1_exact_dedup, op2_jaccard_join, op3_suffix_dedup, op4_mixing, op5_token_files, op6_line_dedup, op7_toxicity, op8_quality, op9_packing, op10_vector_dedup, op13_source_divergence)}
 
 _LOWER = "translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz')"
 LLM_ORACLE = {
@@ -82,4 +88,22 @@ LLM_ORACLE = {
         SELECT doc_id, max(doc_id) OVER w AS keep_id, count(*) OVER w AS group_size,
                doc_id = max(doc_id) OVER w AS kept, sha256(t) AS text_sha256
         FROM d WINDOW w AS (PARTITION BY t)""",
+    "op13_source_divergence": f"""
+        WITH d AS (SELECT row_number() OVER () AS r, coalesce(lang, '') AS lang, coalesce(source, '') AS source, {_LOWER} AS t FROM documents),
+        w AS (SELECT r, lang, source, unnest(regexp_extract_all(t, '[^\\x00-\\x40\\x5B-\\x60\\x7B-\\x7F]+')) AS term FROM d),
+        k AS (SELECT lang, term FROM w GROUP BY ALL HAVING count(DISTINCT r) >= 30),
+        c AS (SELECT lang, source, term, count(*) AS c FROM w JOIN k USING (lang, term) GROUP BY ALL),
+        v AS (SELECT lang, count(*) AS v FROM k GROUP BY lang),
+        g AS (SELECT DISTINCT lang, source FROM d),
+        f AS (SELECT g.lang, g.source, k.term, coalesce(c.c, 0) AS c, sum(coalesce(c.c, 0)) OVER (PARTITION BY g.lang, g.source) AS n,
+                     sum(coalesce(c.c, 0)) OVER (PARTITION BY g.lang, k.term) AS lang_c, sum(coalesce(c.c, 0)) OVER (PARTITION BY g.lang) AS lang_n, v.v
+              FROM g JOIN k USING (lang) JOIN v USING (lang) LEFT JOIN c ON c.lang = g.lang AND c.source = g.source AND c.term = k.term),
+        s AS (SELECT lang, source, term, c, 1 + CAST(1000000000 AS HUGEINT) * (c + 5) // (n + 5 * v) AS p, 1 + CAST(1000000000 AS HUGEINT) * (lang_c + 5) // (lang_n + 5 * v) AS q FROM f),
+        x AS (SELECT a.lang, a.source, b.source AS item, sum(abs(a.p - b.p)) AS value FROM s a JOIN s b ON a.lang = b.lang AND a.term = b.term AND a.source <> b.source GROUP BY ALL),
+        parts AS (
+            SELECT a.lang, a.source, 'pair' AS part, b.source AS item, CAST(coalesce(x.value, 0) AS BIGINT) AS value
+            FROM g a JOIN g b ON a.lang = b.lang AND a.source <> b.source LEFT JOIN x ON x.lang = a.lang AND x.source = a.source AND x.item = b.source
+            UNION ALL SELECT lang, source, 'term', term, CAST(p - q AS BIGINT) FROM s WHERE c > 0 AND p > q),
+        ranked AS (SELECT *, CAST(row_number() OVER (PARTITION BY lang, source, part ORDER BY value DESC, item) AS INTEGER) AS rank FROM parts)
+        SELECT lang, source, part, item, value, rank FROM ranked WHERE part = 'pair' OR rank <= 50""",
 }
