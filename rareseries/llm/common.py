@@ -47,6 +47,19 @@ def bucketed(df: DataFrame, key: str) -> DataFrame:
     return found
 
 
+def files(root: str):
+    """(file system, folder) of a URI, for tasks that write files of their own format.
+
+    Local paths, ``file``, ``hdfs``, ``s3``, ``gs`` and ``abfs`` as pyarrow knows them; Hadoop's names ``s3a``, ``s3n``, ``abfss`` and ``wasbs``
+    stand for the stores they name. Another scheme raises, on the driver already.
+    """
+    import pyarrow.fs as pafs
+
+    scheme, rest = root.split(":", 1) if "://" in root else ("", root)
+    stands_for = {"s3a": "s3", "s3n": "s3", "wasbs": "abfss"}
+    return pafs.FileSystem.from_uri(f"{stands_for.get(scheme, scheme)}:{rest}" if scheme else root)
+
+
 def slices(batch: pa.RecordBatch, column: str, max_bytes: int = KERNEL_BYTES) -> Iterator[pa.RecordBatch]:
     """Cut a batch into runs of rows of at most ``max_bytes`` of text (one row at least)."""
     import numpy as np

@@ -73,13 +73,28 @@ def op10_vector_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return vector_groups(table(spark, sf_dir, "embeddings"))
 
 
+def op11_token_alignment(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from rareseries.llm.alignment import align
+
+    return align(table(spark, sf_dir, "documents"))[0]
+
+
+def op12_warc(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from rareseries.llm.token_files import new_root
+    from rareseries.llm.warc import read_warc, write_warc
+
+    root = new_root(spark)
+    found = read_warc(write_warc(table(spark, sf_dir, "pages"), root), root, payloads=False)
+    return found.select("page_id", "payload_bytes", "payload_digest", "record_type", "refers_to")
+
+
 def op13_source_divergence(spark: SparkSession, sf_dir: str) -> DataFrame:
     from rareseries.llm.divergence import source_divergence
 
     return source_divergence(table(spark, sf_dir, "documents"))
 
 
-LLM_QUERIES = {f.__name__: f for f in (op1_exact_dedup, op2_jaccard_join, op3_suffix_dedup, op4_mixing, op5_token_files, op6_line_dedup, op7_toxicity, op8_quality, op9_packing, op10_vector_dedup, op13_source_divergence)}
+LLM_QUERIES = {f.__name__: f for f in (op1_exact_dedup, op2_jaccard_join, op3_suffix_dedup, op4_mixing, op5_token_files, op6_line_dedup, op7_toxicity, op8_quality, op9_packing, op10_vector_dedup, op11_token_alignment, op12_warc, op13_source_divergence)}
 
 _LOWER = "translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz')"
 LLM_ORACLE = {

@@ -4,7 +4,7 @@ A record: length (u64), masked CRC-32 of those eight bytes (u32), payload, maske
 little-endian. The payload is a serialized sequence: flags (u8; 1: the id is null), width of an id in bytes (u8),
 document id (i64), ids. Each data file ``part-N.rec`` has an index ``part-N.idx`` of (offset u64, record length u64) by
 record, so records can be read in any order. Masking is a rotation by 15 bits plus a constant, so that the checksum of
-data that holds checksums stays sound. Files go through pyarrow's file systems, by URI.
+data that holds checksums stays sound. Files go through pyarrow's file systems, by URI (``common.files`` names the schemes).
 """
 
 from __future__ import annotations
@@ -18,12 +18,11 @@ from functools import partial
 
 import numpy as np
 import pyarrow as pa
-import pyarrow.fs as pafs
 from pyspark import TaskContext
 from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
-from rareseries.llm.common import cut, slices
+from rareseries.llm.common import cut, files, slices
 from rareseries.llm.tokens import encoder, tokenizer_path, with_end
 from rareseries.session import ensure_checkpoint_dir
 
@@ -72,7 +71,7 @@ _MANIFEST = "part int, data string, index string, records long, tokens long"
 
 def _write(batches: Iterator[pa.RecordBatch], root: str, path: str, end: int) -> Iterator[pa.RecordBatch]:
     """Write one task's sorted rows; attempts have names of their own, and only the attempt that ends is listed."""
-    fs, folder = pafs.FileSystem.from_uri(root)
+    fs, folder = files(root)
     encode, part = encoder(path), TaskContext.get().partitionId()
     width = 2 if len(encode.opens) <= 1 << 16 else 4
     name = f"{folder}/part-{part:06d}-{uuid.uuid4().hex}"
@@ -102,7 +101,7 @@ def write_records(docs: DataFrame, root: str, id_col: str = "doc_id", text_col:
     total = rows.agg(F.sum(F.octet_length("text").cast("long"))).first()[0] or 0
     rows = rows.withColumn("h", F.xxhash64("text"))
     rows = rows.repartitionByRange(max(1, math.ceil(total / FILE_BYTES)), "id", "h").sortWithinPartitions("id", "h", "text").select("id", "text")
-    fs, folder = pafs.FileSystem.from_uri(root)
+    fs, folder = files(root)
     fs.create_dir(folder, recursive=True)
     return cut(rows.mapInArrow(partial(_write, root=root, path=path, end=end), _MANIFEST))
 
@@ -111,7 +110,7 @@ _READ = "id long, part int, place long, before long, ids binary"
 
 
 def _read(batches: Iterator[pa.RecordBatch], root: str) -> Iterator[pa.RecordBatch]:
-    fs, _ = pafs.FileSystem.from_uri(root)
+    fs, _ = files(root)
     kinds = [pa.int64(), pa.int32(), pa.int64(), pa.int64(), pa.binary()]
     for batch in batches:
         for row in batch.to_pylist():
@@ -144,8 +143,8 @@ def read_records(manifest: DataFrame, root: str, id_col: str = "doc_id") -> Data
     run = Window.orderBy("part").rowsBetween(Window.unboundedPreceding, -1)
     first = manifest.select("part", F.coalesce(F.sum("tokens").over(run), F.lit(0)).alias("first"))
     # one file to a task: a given number of partitions is not merged again, however short the manifest
-    files = manifest.repartitionByRange(max(1, manifest.count()), "part").mapInArrow(partial(_read, root=root), _READ)
-    return files.join(F.broadcast(first), "part").select(F.col("id").alias(id_col), (F.col("first") + F.col("before")).alias("start"), "ids")
+    records = manifest.repartitionByRange(max(1, manifest.count()), "part").mapInArrow(partial(_read, root=root), _READ)
+    return records.join(F.broadcast(first), "part").select(F.col("id").alias(id_col), (F.col("first") + F.col("before")).alias("start"), "ids")
 
 
 def new_root(spark: SparkSession) -> str:
