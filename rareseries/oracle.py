@@ -7,7 +7,7 @@ steps), so summation-order noise between the engines does not reach the result.
 """
 from __future__ import annotations
 
-from .params import DEFAULT, SEASONAL_PERIOD, GRANULARITY_ALIASES, ScoreParams
+from .params import DEFAULT, EMPTY_HASH, SEASONAL_PERIOD, GRANULARITY_ALIASES, ScoreParams
 from .sources.tables import TABLE_PANELS, TABLE_SOURCE, TablePanel
 
 DIGITS = 8  # significant digits kept for doubles on both sides
@@ -56,6 +56,8 @@ def seasonal_period_sql(col: str) -> str:
 
 
 # Fixed per-label frequency for the entries panel built from ``embeddings``.
+# Divisors of vec_id: entries written without a key, without a target, garbled, and with a target of words.
+KEYLESS, TARGETLESS, GARBLED, WORDY = 3, 7, 11, 13
 ENTRY_FREQS = ("H", "1H", "h", "1B", "0.5h", "D", "W-TUE", "M", "Q", "min")
 
 
@@ -94,6 +96,53 @@ def wide_panel_sql() -> str:
     return " UNION ALL ".join(parts)
 
 
+def wide_files_sql(collection: str, rows: str, order: str, columns: dict[str, tuple[str, int]], dated: bool) -> str:
+    """Panel rows of one wide file: ``rows`` has ``ts`` (NULL without dates) and the columns, ``order`` is the order of its lines."""
+    w = f"SELECT *, ROW_NUMBER() OVER (ORDER BY {order}) - 1 AS pos FROM ({rows})"
+    gran = f"(SELECT granularity FROM ({granularity_sql(f'SELECT 0 AS grp, ts FROM ({w})')}))" if dated else "CAST(NULL AS VARCHAR)"
+    return " UNION ALL ".join(f"""SELECT {make_id_sql("'tslib'", f"'{collection}'", f"'{c}'")} AS id, 'tslib' AS source,
+            '{collection}' AS collection, '{c}' AS name, {gran} AS granularity, {"'date'" if dated else "CAST(NULL AS VARCHAR)"} AS time_column,
+            '{kind}' AS dtype, pos, CAST({"ts" if dated else "NULL"} AS TIMESTAMP) AS ts, CAST({c} AS DOUBLE) AS value, CAST({at} AS BIGINT) AS ord FROM ({w})"""
+                              for c, (kind, at) in columns.items())
+
+
+def wide_files_panel_sql() -> str:
+    days = """SELECT CAST(CAST(l_shipdate AS DATE) AS TIMESTAMP) AS ts, SUM(l_quantity) AS qty, COUNT(*) AS n_lines,
+            CASE WHEN day(CAST(l_shipdate AS DATE)) % 7 <> 3 THEN ROUND(SUM(l_extendedprice), 2) END AS revenue
+          FROM lineitem GROUP BY CAST(l_shipdate AS DATE)"""
+    hours = "SELECT CAST(date_trunc('hour', ts) AS TIMESTAMP) AS ts, COUNT(*) AS n, MAX(value) AS top, MIN(value) AS low FROM events GROUP BY 1"
+    quantities = "SELECT NULL AS ts, MAX(l_extendedprice) AS dearest, COUNT(*) AS n, CAST(l_quantity AS BIGINT) AS quantity FROM lineitem GROUP BY 4"
+    return " UNION ALL ".join([
+        wide_files_sql("daily lines", days, "ts", {"qty": ("int64", 1), "revenue": ("float64", 3), "n_lines": ("int64", 4)}, True),
+        wide_files_sql("events", hours, "ts", {"n": ("int64", 0), "top": ("float64", 1), "low": ("float64", 3)}, True),
+        wide_files_sql("quantities", quantities, "n DESC, quantity", {"dearest": ("float64", 0), "n": ("int64", 1), "quantity": ("int64", 2)}, False)])
+
+
+def scan_wide_files_sql() -> str:
+    panel = f"SELECT * EXCLUDE (ord) FROM ({wide_files_panel_sql()})"
+    notes = {"broken": "read failed: a line has more fields than the header", "empty": "read failed: the file has no header line"}
+    errors = " UNION ALL ".join(f"SELECT 'tslib:{c}:dataset' AS id, 'tslib' AS source, '{c}' AS collection, 'error' AS status, '{n}' AS note" for c, n in notes.items())
+    return f"SELECT * FROM ({with_hash_sql(scan_rows_sql(panel), panel)}) UNION ALL BY NAME ({errors})"
+
+
+def limit_wide_files_sql() -> str:
+    return f"""SELECT id, collection, name, ord FROM (SELECT *, ROW_NUMBER() OVER (PARTITION BY collection ORDER BY ord) AS rn
+        FROM (SELECT DISTINCT id, collection, name, ord FROM ({wide_files_panel_sql()}))) WHERE rn <= 2"""
+
+
+def entries_from_files_sql() -> str:
+    reason = f"""CASE WHEN vec_id % {GARBLED} = 5 THEN 'line is not JSON' WHEN vec_id % {TARGETLESS} = 5 THEN 'entry has no target array'
+        WHEN vec_id % {WORDY} = 5 THEN 'target is not an array of numbers' END"""
+    return f"""WITH e AS (SELECT *, 'emb' || CAST(label AS VARCHAR) AS collection, ROW_NUMBER() OVER (PARTITION BY label ORDER BY vec_id) - 1 AS entry_ord,
+                     {reason} AS reason FROM embeddings),
+        k AS (SELECT *, CASE WHEN vec_id % {KEYLESS} = 0 THEN entry_ord ELSE vec_id END AS key FROM e),
+        v AS (SELECT collection, entry_ord, COUNT(*) AS n_values, SUM(CAST(x AS DOUBLE)) AS total FROM (SELECT collection, entry_ord, unnest(embedding) AS x FROM k) GROUP BY 1, 2)
+      SELECT k.collection, k.entry_ord, CASE WHEN reason IS NULL THEN {make_id_sql("'gluonts'", 'k.collection', 'key')} END AS id,
+             CASE WHEN reason IS NULL THEN 'H' END AS granularity, CASE WHEN reason IS NULL THEN COALESCE(n_values, 0) END AS n_values,
+             CASE WHEN reason IS NULL THEN {sig('total')} END AS total, reason
+      FROM k LEFT JOIN v ON v.collection = k.collection AND v.entry_ord = k.entry_ord"""
+
+
 def panel_sql(name: str) -> str:
     if name in TABLE_PANELS:
         return table_panel_sql(TABLE_PANELS[name])
@@ -250,6 +299,11 @@ def catalog_scan_sql(runs=CATALOG_RUNS) -> str:
                               for i, n in enumerate(runs))
 
 
+def catalog_panels_sql() -> str:
+    """The points of all runs."""
+    return " UNION ALL ".join(f"SELECT id, pos, value FROM ({panel_sql(n)})" for n in CATALOG_RUNS)
+
+
 def accepted_sql() -> str:
     return "COALESCE(status = 'ok' AND n_rare > 0, FALSE)"
 
@@ -460,6 +514,11 @@ def content_hash_sql(panel: str) -> str:
       SELECT id, substr(sha256(unhex(string_agg({little}, '' ORDER BY pos))), 1, 16) AS content_hash FROM v GROUP BY id"""
 
 
+def with_hash_sql(rows: str, panel: str) -> str:
+    """``rows`` with the content hash of each id; a series without values hashes nothing."""
+    return f"SELECT r.*, COALESCE(h.content_hash, '{EMPTY_HASH}') AS content_hash FROM ({rows}) r LEFT JOIN ({content_hash_sql(panel)}) h ON r.id = h.id"
+
+
 def numeric_profile_sql(series: str | None = None) -> str:
     if series is None:
         return f"WITH s_once AS MATERIALIZED ({series_sql()}) {numeric_profile_sql('SELECT * FROM s_once')}"
@@ -578,12 +637,17 @@ ORACLE: dict[str, str] = {}
 
 
 def _register() -> None:
-    from .queries import SCAN_PANELS
+    from .queries import HASHED_SCANS, SCAN_PANELS
     for n in SCAN_PANELS:
         ORACLE[f"scan_{n}"] = scan_rows_sql(panel_sql(n))
-    ORACLE["scan_event_types"] = scan_rows_sql(panel_sql("event_types"))
+    for n in HASHED_SCANS:
+        ORACLE[f"scan_{n}"] = with_hash_sql(scan_rows_sql(panel_sql(n)), panel_sql(n))
     ORACLE.update({
         "content_hash": content_hash_sql(panel_sql("events_gaps")),
+        "scan_wide_files": scan_wide_files_sql(),
+        "panel_wide_files": f"SELECT id, name, granularity, time_column, dtype, pos, ts, value FROM ({wide_files_panel_sql()})",
+        "limit_wide_files": limit_wide_files_sql(),
+        "entries_from_files": entries_from_files_sql(),
         "level_counts": level_counts_sql(),
         "panel_events": f"SELECT id, pos, ts, value FROM ({panel_sql('events')})",
         "panel_entries": f"SELECT id, source, collection, name, granularity, pos, value FROM ({panel_sql('entries')})",
@@ -600,8 +664,8 @@ def _register() -> None:
         "limit_new": limit_new_sql(),
         "dedupe_first": dedupe_first_sql(),
         "duplicate_report": duplicate_report_sql(),
-        "build_series": f"SELECT * FROM ({series_sql()})",
-        "build_scanned": build_scanned_sql(),
+        "build_series": with_hash_sql(series_sql(), catalog_panels_sql()),
+        "build_scanned": with_hash_sql(build_scanned_sql(), catalog_panels_sql()),
         "blob_paths": blob_paths_sql(),
         "path_collisions": path_collisions_sql(),
         "finalize": finalize_sql(),

@@ -14,6 +14,7 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from .filequeries import FILE_QUERIES
 from .oracle import DIGITS, ENTRY_FREQS
 from .operators.hashing import content_hashes
 from .operators.profile import lag1_pairs_stats, profile_moments
@@ -135,8 +136,14 @@ def scan_of(spark: SparkSession, root: str, name: str, with_hash: bool = True) -
 # Scoring queries
 # ---------------------------------------------------------------------------
 
+# Scans whose rows carry the content hash.
+HASHED_SCANS = ("events", "entries", "event_types")
+
+
 def q_scan(name: str) -> Query:
     def run(spark, root):
+        if name in HASHED_SCANS:
+            return rounded(scan_of(spark, root, name))
         return rounded(scan_of(spark, root, name, with_hash=False).drop("content_hash"))
     return run
 
@@ -150,7 +157,7 @@ HOT_CHUNK_ROWS = 512
 def q_scan_hot(spark, root):
     params = ScoreParams(chunk_rows=HOT_CHUNK_ROWS)
     h, p = panel(spark, root, "event_types", chunk_rows=HOT_CHUNK_ROWS)
-    return rounded(score_panel(h, p, params, with_hash=True).drop("content_hash"))
+    return rounded(score_panel(h, p, params, with_hash=True))
 
 
 def q_level_counts(spark, root):
@@ -305,11 +312,11 @@ def q_duplicate_report(spark, root):
 
 
 def q_build_series(spark, root):
-    return rounded(catalog_series(spark, root).drop("content_hash"))
+    return rounded(catalog_series(spark, root))
 
 
 def q_build_scanned(spark, root):
-    return rounded(build_scanned(catalog_scan(spark, root), sort=False).drop("content_hash"))
+    return rounded(build_scanned(catalog_scan(spark, root), sort=False))
 
 
 def q_blob_paths(spark, root):
@@ -495,6 +502,7 @@ def q_catalog_filter(spark, root):
 
 
 QUERIES: dict[str, Query] = {
+    **FILE_QUERIES,
     **{f"scan_{n}": q_scan(n) for n in SCAN_PANELS},
     "scan_event_types": q_scan_hot,
     "level_counts": q_level_counts,

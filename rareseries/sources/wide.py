@@ -114,9 +114,9 @@ def panel_from_wide(df: DataFrame, collection: str, source: str = "tslib", date_
                     ) -> tuple[DataFrame, DataFrame]:
     """(header, panel): one series per numeric column of a wide table.
 
-    ``ord_col`` carries file order (ties and tables without dates); without it
-    ``monotonically_increasing_id`` stands in, which follows file order for a
-    plain scan.
+    ``ord_col`` carries row order (ties and tables without dates); without it
+    ``monotonically_increasing_id`` stands in, which follows the order of a table that was not shuffled (files have
+    an order of their own: :mod:`rareseries.sources.files`). ``ord`` of the header is the column's position.
     """
     has_date = date_col in df.columns
     cols = numeric_columns(df, exclude=tuple(c for c in (date_col, ord_col) if c))
@@ -127,10 +127,10 @@ def panel_from_wide(df: DataFrame, collection: str, source: str = "tslib", date_
     d = number_rows(d.withColumn("_tbl", F.lit(collection)), ["_tbl"], ["_ts", "_ord"], "pos", chunk_rows)
     spark = df.sparkSession
     # The header comes from the schema, so a table without rows still lists its series.
-    names = spark.createDataFrame([(c, t) for c, t in cols.items()], "name string, dtype string")
+    names = spark.createDataFrame([(c, t, df.columns.index(c)) for c, t in cols.items()], "name string, dtype string, ord long")
     header = names.select(
         make_id(F.lit(source), F.lit(collection), F.col("name")).alias("id"), F.lit(source).alias("source"),
-        F.lit(collection).alias("collection"), "name", "dtype")
+        F.lit(collection).alias("collection"), "name", "dtype", "ord")
     if has_date:
         gran = infer_granularity(d.select("_tbl", F.col("_ts").alias("ts")), ["_tbl"], "ts")
         header = header.withColumn("_tbl", F.lit(collection)).join(F.broadcast(gran), "_tbl", "left")
@@ -138,8 +138,7 @@ def panel_from_wide(df: DataFrame, collection: str, source: str = "tslib", date_
         header = header.withColumn("granularity", F.lit(None).cast("string"))
     header = header.select(
         "id", "source", "collection", "name", "granularity",
-        F.lit(date_col if has_date else None).cast("string").alias("time_column"), "dtype",
-        F.lit(None).cast("long").alias("ord"))
+        F.lit(date_col if has_date else None).cast("string").alias("time_column"), "dtype", "ord")
     if not cols:
         return header, spark.createDataFrame([], PANEL)
     long = clean_values(d.unpivot(["pos", "_ts"], list(cols), "name", "value"))
