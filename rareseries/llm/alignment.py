@@ -14,10 +14,10 @@ so a cut text's tokens are those of its words, which each worker aligns once.
 from __future__ import annotations
 
 import hashlib
-import os
 import re
 from collections.abc import Iterator
 from functools import partial
+from itertools import chain
 
 import numpy as np
 import pyarrow as pa
@@ -28,39 +28,30 @@ from pyspark.sql import functions as F
 
 from rareseries.llm import textkernel as K
 from rareseries.llm.common import slices, written
-from rareseries.llm.tokens import tokenizer_path
+from rareseries.llm.tokens import byte_level, encoder, tokenizer_path
 
 #: Postings (documents of pairs) and documents of a chunk at most, but for a chunk of one document; places have 16 bits.
 CHUNK_POSTINGS, CHUNK_DOCS = 1 << 20, 1 << 16
 #: Words a worker remembers, and the longest of them in characters; when it holds more it starts anew.
-CACHE_WORDS, CACHE_LETTERS = 300_000, 200
+CACHE_WORDS, CACHE_LETTERS = 500_000, 200
 
 _BREAK = re.compile(r"(?<=\S) (?=\S)")
 
 
-def byte_level() -> dict[str, int]:
-    """The byte of each letter of a byte-level vocabulary: printable Latin-1 stands for itself, the rest follows from U+0100 on."""
-    plain = [*range(0x21, 0x7F), *range(0xA1, 0xAD), *range(0xAE, 0x100)]
-    rest = [b for b in range(256) if b not in plain]
-    return {chr(b): b for b in plain} | {chr(256 + i): b for i, b in enumerate(rest)}
-
-
 class Words:
     """Aligned words of two tokenizers: tokens, groups and links of a space and the word."""
 
     def __init__(self, path_a: str, path_b: str):
-        os.environ.setdefault("TOKENIZERS_PARALLELISM", "false")
         from sentencepiece import SentencePieceProcessor
-        from tokenizers import Tokenizer
 
-        self.a, self.b = Tokenizer.from_file(path_a), SentencePieceProcessor(model_file=path_b)
-        self.a.encode_special_tokens = True
+        self.a, self.b = encoder(path_a, special=False), SentencePieceProcessor(model_file=path_b)
         letters = byte_level()
-        vocabulary = {i: t for t, i in self.a.get_vocab(with_added_tokens=True).items()}
+        vocabulary = {i: t for t, i in self.a.tokenizer.get_vocab(with_added_tokens=True).items()}
         self.bytes_a = [bytes(letters[c] for c in vocabulary[i]) if i in vocabulary and all(c in letters for c in vocabulary[i]) else b"" for i in range(max(vocabulary) + 1)]
         pieces = [self.b.id_to_piece(i) for i in range(self.b.vocab_size())]
         self.bytes_b = [bytes([int(p[1:-1], 16)]) if self.b.is_byte(i) else p.replace("▁", " ").encode() for i, p in enumerate(pieces)]
         self.size_a, self.size_b = (np.array([len(x) for x in t], dtype=np.int64) for t in (self.bytes_a, self.bytes_b))
+        self.digits = np.array([str(i) for i in range(max(len(self.size_a), len(self.size_b)))], dtype=object)
         self.clear()
 
     def clear(self) -> None:
@@ -70,15 +61,27 @@ class Words:
         self.at = np.zeros((1 << 12) + 1, dtype=np.int64)
         self.pool = np.zeros(1 << 14, dtype=np.int64)
 
+    def encoded(self, words: list[str]) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
+        """Ids and their numbers by word, of A and B; none of a word whose ids do not spell it."""
+        spaced = [" " + w for w in words]
+        a, offsets = self.a(pa.array(spaced, pa.string()))
+        lists = self.b.encode(words, num_threads=1)
+        n_a, n_b = np.diff(offsets), np.fromiter(map(len, lists), dtype=np.int64, count=len(lists))
+        b = np.fromiter(chain.from_iterable(lists), dtype=np.int64, count=int(n_b.sum()))
+        whole = [w.encode() for w in spaced]
+        length = np.fromiter(map(len, whole), dtype=np.int64, count=len(whole))
+        spelt = [b"".join([names[i] for i in ids.tolist()]) for names, ids in ((self.bytes_a, a), (self.bytes_b, b))]
+        word_a, word_b = np.repeat(np.arange(len(words)), n_a), np.repeat(np.arange(len(words)), n_b)
+        of_a, of_b = (np.bincount(w, weights=size[ids], minlength=len(words)) for w, size, ids in ((word_a, self.size_a, a), (word_b, self.size_b, b)))
+        if spelt[0] == spelt[1] == b"".join(whole) and (of_a == length).all() and (of_b == length).all():
+            return a.astype(np.int64), n_a, b, n_b
+        edges = [np.concatenate([[0], np.cumsum(of)]).astype(np.int64) for of in (of_a, of_b)]
+        good = np.array([spelt[0][edges[0][i] : edges[0][i + 1]] == x == spelt[1][edges[1][i] : edges[1][i + 1]] for i, x in enumerate(whole)])
+        return a[good[word_a]].astype(np.int64), n_a * good, b[good[word_b]], n_b * good
+
     def learn(self, words: list[str]) -> None:
         """Align words that are not known yet."""
-        ids_a = [e.ids for e in self.a.encode_batch_fast([" " + w for w in words], add_special_tokens=False)]
-        ids_b = self.b.encode(words, num_threads=1)
-        whole = [(" " + w).encode() for w in words]
-        good = [b"".join([self.bytes_a[t] for t in a]) == x == b"".join([self.bytes_b[t] for t in b]) for a, b, x in zip(ids_a, ids_b, whole, strict=True)]
-        ids_a, ids_b = ([x if g else [] for x, g in zip(ids, good, strict=True)] for ids in (ids_a, ids_b))
-        n_a, n_b = (np.array([len(x) for x in ids], dtype=np.int64) for ids in (ids_a, ids_b))
-        a, b = (np.fromiter((t for x in ids for t in x), dtype=np.int64) for ids in (ids_a, ids_b))
+        a, n_a, b, n_b = self.encoded(words)
         # words end to end: both tokenizers' tokens end where a word does
         end_a, end_b = np.cumsum(self.size_a[a]), np.cumsum(self.size_b[b])
         both = np.intersect1d(end_a, end_b, assume_unique=True)
@@ -88,18 +91,29 @@ class Words:
         links = np.repeat(low - (np.cumsum(count) - count), count) + np.arange(count.sum())
         pairs = np.repeat(a, count) * len(self.size_b) + b[links]
         word_a = np.repeat(np.arange(len(words)), n_a)
-        n_links = np.bincount(word_a, weights=count, minlength=len(words)).astype(np.int64) if len(a) else np.zeros(len(words), np.int64)
-        word_of_group = word_a[np.searchsorted(end_a, both)] if len(a) else np.zeros(0, np.int64)
-        n_groups = np.bincount(word_of_group, minlength=len(words))
-        text_a, text_b = ([",".join(map(str, x)) for x in np.split(t, np.flatnonzero(np.diff(g)) + 1)] if len(t) else [] for t, g in ((a.astype(object), group_a), (b.astype(object), group_b)))
-        joined = [f"{x}|{y}" for x, y in zip(text_a, text_b, strict=True)]
-        have, edge = len(self.groups), np.concatenate([[0], np.cumsum(n_groups)])
-        self.groups += [";".join(joined[s:e]) for s, e in zip(edge[:-1].tolist(), edge[1:].tolist(), strict=True)]
+        n_links = np.bincount(word_a, weights=count, minlength=len(words)).astype(np.int64)
+        word_of = np.zeros(len(both), dtype=np.int64)
+        word_of[group_a] = word_a
+        # the ids of a group, A's before B's, each followed by what parts it from the next
+        side = np.concatenate([group_a * 2, group_b * 2 + 1])
+        order = np.argsort(side, kind="stable")
+        side = side[order]
+        marks = np.full(len(side), ",", dtype=object)
+        turn = np.flatnonzero(side[1:] != side[:-1])
+        marks[turn] = "|"
+        ends = np.flatnonzero(side[1:] // 2 != side[:-1] // 2)
+        marks[ends] = np.where(word_of[side[ends + 1] // 2] == word_of[side[ends] // 2], ";", "\n")
+        marks[-1:] = ""
+        parts = np.empty(2 * len(side), dtype=object)
+        parts[::2], parts[1::2] = self.digits[np.concatenate([a, b])[order]], marks
+        texts = iter("".join(parts).split("\n"))
+        have = len(self.groups)
+        self.groups += [next(texts) if n else "" for n in n_a.tolist()]
         n = have + len(words)
         while len(self.sizes) < n:
             self.sizes = np.concatenate([self.sizes, np.zeros_like(self.sizes)])
             self.at = np.concatenate([self.at, np.zeros(len(self.at) - 1, dtype=np.int64)])
-        self.sizes[have:n] = np.stack([n_a, n_b, n_groups, n_links], axis=1)
+        self.sizes[have:n] = np.stack([n_a, n_b, np.bincount(word_of, minlength=len(words)), n_links], axis=1)
         self.at[have + 1 : n + 1] = self.at[have] + np.cumsum(n_links)
         while len(self.pool) < self.at[n]:
             self.pool = np.concatenate([self.pool, np.zeros_like(self.pool)])
@@ -111,28 +125,32 @@ class Words:
         if len(self.groups) > CACHE_WORDS or self.at[len(self.groups)] > CACHE_WORDS * 16:
             self.clear()
         cut = [_BREAK.split(t) if t else [] for t in texts]
-        new = list({w: None for words in cut for w in words if w not in self.place})
-        for i in range(0, len(new), 4096):
-            self.learn(new[i : i + 4096])
-        for i, words in enumerate(cut):
-            if len(words) > 1 and any(not self.sizes[self.place[w], 0] for w in words):
-                # some word's tokens are not its bytes: the text as a whole decides
-                if texts[i] not in self.place:
-                    self.learn([texts[i]])
-                    new.append(texts[i])
-                cut[i] = [texts[i]]
-        place = [[self.place[w] for w in words] for words in cut]
-        hashes = [hashlib.sha256(";".join([self.groups[p] for p in words]).encode()).hexdigest() if words and self.sizes[words[0], 0] else "" for words in place]
-        flat = np.array([p for words in place for p in words], dtype=np.int64)
+        known = self.place
+        new = list({w: None for words in cut for w in words if w not in known})
+        for i in range(0, len(new), 1 << 14):
+            self.learn(new[i : i + (1 << 14)])
+        place = [[known[w] for w in words] for words in cut]
+        flat = np.fromiter(chain.from_iterable(place), dtype=np.int64)
         text = np.repeat(np.arange(len(texts)), [len(words) for words in place])
-        sizes = np.zeros((len(texts), 4), dtype=np.int64)
-        np.add.at(sizes, text, self.sizes[flat])
+        odd = np.unique(text[self.sizes[flat, 0] == 0]).tolist()
+        for i in odd:  # some word's tokens are not its bytes: the text as a whole decides
+            if texts[i] not in known:
+                self.learn([texts[i]])
+                new.append(texts[i])
+            place[i] = [known[texts[i]]]
+        if odd:
+            flat = np.fromiter(chain.from_iterable(place), dtype=np.int64)
+            text = np.repeat(np.arange(len(texts)), [len(words) for words in place])
+        groups = self.groups
+        hashes = [hashlib.sha256(";".join([groups[p] for p in words]).encode()).hexdigest() if words and groups[words[0]] else "" for words in place]
+        sizes = np.stack([np.bincount(text, weights=self.sizes[flat, k], minlength=len(texts)) for k in range(4)], axis=1).astype(np.int64)
         count = self.sizes[flat, 3]
         links = np.repeat(self.at[flat] - (np.cumsum(count) - count), count) + np.arange(count.sum())
+        pairs = self.pool[links]
         for w in new:
             if len(w) > CACHE_LETTERS:
-                self.groups[self.place.pop(w)] = ""
-        return sizes, np.repeat(text, count), self.pool[links], hashes
+                groups[known.pop(w)] = ""
+        return sizes, np.repeat(text, count), pairs, hashes
 
 
 def planes_of(pair: np.ndarray, doc: np.ndarray, times: np.ndarray, n_docs: int) -> tuple[np.ndarray, pa.Array, np.ndarray]:

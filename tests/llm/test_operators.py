@@ -261,6 +261,18 @@ def test_word_encoder_is_the_tokenizer(tokenizer, small_docs, monkeypatch):
                 assert ids[a:b].tolist() == tokenizer.encode(t or "", add_special_tokens=False).ids, t
 
 
+def test_pieces_where_classes_change(tokenizer):
+    """Random strings of the characters at which texts are cut, and of those that forbid it, among others special tokens."""
+    rng = np.random.default_rng(6)
+    letters = [*"abZsdt09'.,_é×÷ñß日\u0301\u00aa\u0085\t", "'s", "'ll", "<|endoftext|>", "\u00a0", "²", "Ⅷ", "\r\n", "\x00", "\x1c", *" \n" * 6]
+    texts = ["".join(rng.choice(letters, rng.integers(0, 30))) for _ in range(6000)]
+    ids, offsets = WordEncoder(tokenizer_path())(pa.array(texts, pa.string()))
+    for t, a, b in zip(texts, offsets[:-1], offsets[1:], strict=True):
+        assert ids[a:b].tolist() == tokenizer.encode(t, add_special_tokens=False).ids, t
+    with pytest.raises(ValueError, match="byte-level"):
+        WordEncoder(tokenizer_path("word_bpe_49k.json"))
+
+
 def test_frames():
     payload = token_files.serialize(7, np.array([1, 2, 50_000]), 2)
     record = token_files.frame(payload)
