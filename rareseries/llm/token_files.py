@@ -73,7 +73,7 @@ def _write(batches: Iterator[pa.RecordBatch], root: str, path: str, end: int) ->
     """Write one task's sorted rows; attempts have names of their own, and only the attempt that ends is listed."""
     fs, folder = files(root)
     encode, part = encoder(path), TaskContext.get().partitionId()
-    width = 2 if len(encode.opens) <= 1 << 16 else 4
+    width = 2 if encode.size <= 1 << 16 else 4
     name = f"{folder}/part-{part:06d}-{uuid.uuid4().hex}"
     at = records = total = 0
     with fs.open_output_stream(f"{name}.rec") as data, fs.open_output_stream(f"{name}.idx") as index:

@@ -13,7 +13,7 @@ from pyspark.sql import functions as F
 
 from ..functions.levels import imbalance_level, relevance
 from ..params import DEFAULT, ScoreParams
-from ..plans.joins import CHUNK, MAX_BROADCAST_ROWS, chunk_keys, salted_attach
+from ..plans.joins import CHUNK, broadcast_if_small, chunk_keys, salted_attach
 from ..plans.quantiles import exact_quantiles
 
 
@@ -27,37 +27,36 @@ def embedding(comp: DataFrame, k: int = DEFAULT.k, key: str = "id", chunk_rows:
     """Full embedding rows ``(id, t, lag_k .. lag_1, target)`` for every target t.
 
     Series with at most ``chunk_rows`` clean points use ``lag`` windows on
-    ``id`` (one exchange, no copies). Longer series use the chunk-safe form:
-    each clean point at position c feeds the rows t = c .. c+k as lag t-c, an
-    explode followed by a grouping on ``(id, t)``, so no task holds a whole
-    series (at the price of k+1 copies of those points).
+    ``id`` (one exchange, no copies). Longer series use the same windows on
+    chunks, each with the k points before it as a halo, so no task holds a
+    whole series and k points a chunk move twice.
     """
     clean = comp.filter(F.col("cpos").isNotNull()).select(key, "cpos", "value")
     sizes = clean.groupBy(key).agg(F.count(F.lit(1)).alias("_n"))
-    hot = sizes.filter(F.col("_n") > chunk_rows).select(key)
-    n_hot = hot.count()
+    hot, n_hot = broadcast_if_small(sizes.filter(F.col("_n") > chunk_rows).select(key))
     if n_hot == 0:
         return _embedding_windows(clean, k, key)
-    hot_ids = F.broadcast(hot) if n_hot <= MAX_BROADCAST_ROWS else hot
-    return _embedding_windows(clean.join(hot_ids, key, "left_anti"), k, key).unionByName(
-        _embedding_exploded(clean.join(hot_ids, key, "left_semi"), k, key))
+    return _embedding_windows(clean.join(hot, key, "left_anti"), k, key).unionByName(
+        _embedding_halo(clean.join(hot, key, "left_semi"), k, key, max(chunk_rows, k)))
+
+
+def _lags(k: int, w) -> list:
+    return [F.lag("value", i).over(w).alias(f"lag_{i}") for i in range(k, 0, -1)]
 
 
 def _embedding_windows(clean: DataFrame, k: int, key: str) -> DataFrame:
     w = Window.partitionBy(key).orderBy("cpos")
-    cols = [F.lag("value", i).over(w).alias(f"lag_{i}") for i in range(k, 0, -1)]
-    return clean.select(key, F.col("cpos").alias("t"), *cols, F.col("value").alias("target")).filter(
+    return clean.select(key, F.col("cpos").alias("t"), *_lags(k, w), F.col("value").alias("target")).filter(
         F.col("t") >= k)
 
 
-def _embedding_exploded(clean: DataFrame, k: int, key: str) -> DataFrame:
-    fed = clean.select(key, "value", "cpos",
-                       F.explode(F.sequence(F.col("cpos"), F.col("cpos") + F.lit(k).cast("long"))).alias("t"))
-    fed = fed.withColumn("lag", F.col("t") - F.col("cpos")).filter(F.col("t") >= k)
-    cols = [F.max(F.when(F.col("lag") == i, F.col("value"))).alias(f"lag_{i}") for i in range(k, 0, -1)]
-    cols.append(F.max(F.when(F.col("lag") == 0, F.col("value"))).alias("target"))
-    # A row past the end of the series has no lag-0 value.
-    return fed.groupBy(key, "t").agg(*cols).filter(F.col("target").isNotNull())
+def _embedding_halo(clean: DataFrame, k: int, key: str, chunk_rows: int) -> DataFrame:
+    at = F.floor(F.col("cpos") / F.lit(chunk_rows)).cast("long")
+    last = F.col("cpos") % F.lit(chunk_rows) >= F.lit(chunk_rows - k)  # the next chunk's halo
+    d = clean.withColumn(CHUNK, F.explode(F.when(last, F.array(at, at + 1)).otherwise(F.array(at))))
+    w = Window.partitionBy(key, CHUNK).orderBy("cpos")
+    d = d.select(key, CHUNK, F.col("cpos").alias("t"), *_lags(k, w), F.col("value").alias("target"))
+    return d.filter((F.floor(F.col("t") / F.lit(chunk_rows)) == F.col(CHUNK)) & (F.col("t") >= k)).drop(CHUNK)
 
 
 def control_points(tg: DataFrame, params: ScoreParams = DEFAULT, key: str = "id", all_hot: bool = False

@@ -9,7 +9,7 @@ Series are split by length once (one small aggregate and a count):
   one series;
 * longer series take the chunked form of :mod:`rareseries.plans`: windows on
   ``(id, _chunk)``, per-series statistics attached with chunk-salted joins,
-  exact quartiles by histogram refinement.
+  exact quartiles between the bounds of a sketch.
 
 The hash is one ordered stream per series. Per-series results are joined to
 the header, which keeps series without any point (``skipped_short`` rows).
@@ -21,7 +21,7 @@ from pyspark.sql import functions as F
 
 from ..functions.levels import imbalance_level, relevance
 from ..params import DEFAULT, NOTE_MAX_CHARS, ScoreParams
-from ..plans.joins import MAX_BROADCAST_ROWS
+from ..plans.joins import broadcast_if_small
 from ..plans.sequence import compact
 from ..schemas import HEADER_FIELDS, SCAN_COLUMNS
 from .hashing import content_hashes, hashes_of_ordered, with_empty_hash
@@ -110,12 +110,9 @@ def series_stats(pv: DataFrame, params: ScoreParams = DEFAULT, with_hash: bool =
     Returns ``(stats, hashes)``; ``hashes`` is None without ``with_hash``.
     """
     lengths = pv.groupBy("id").agg(F.count(F.lit(1)).alias("_len"))
-    hot = lengths.filter(F.col("_len") > params.chunk_rows).select("id")
-    n_hot = hot.count()
+    hot_ids, n_hot = broadcast_if_small(lengths.filter(F.col("_len") > params.chunk_rows).select("id"))
     if n_hot == 0:
         return _bounded_parts(pv, params, with_hash)
-    # At most total_rows / chunk_rows ids; counted above.
-    hot_ids = F.broadcast(hot) if n_hot <= MAX_BROADCAST_ROWS else hot
     stats, hashes = _bounded_parts(pv.join(hot_ids, "id", "left_anti"), params, with_hash)
     hot_pv = pv.join(hot_ids, "id", "left_semi")
     stats = stats.unionByName(stats_chunked(hot_pv, params))

@@ -11,23 +11,22 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-# Largest row count we ever broadcast from a table whose size depends on data.
-MAX_BROADCAST_ROWS = 2_000_000
+# Rows of a table whose size depends on data that we ever broadcast: ids and a few numbers, some 256 bytes each.
+MAX_BROADCAST_BYTES, ROW_BYTES = 8 << 20, 256
+MAX_BROADCAST_ROWS = MAX_BROADCAST_BYTES // ROW_BYTES
 
 CHUNK = "_chunk"
 
 
-def broadcast_if_small(df: DataFrame, max_rows: int = MAX_BROADCAST_ROWS) -> tuple[DataFrame, bool]:
-    """Return ``(broadcast(df), True)`` when ``df`` has at most ``max_rows`` rows.
+def broadcast_if_small(df: DataFrame, max_rows: int = MAX_BROADCAST_ROWS) -> tuple[DataFrame, int]:
+    """``df``, marked for broadcast if its rows are few enough for ``MAX_BROADCAST_BYTES``, and their number.
 
     The count is a real check (one small job). Beyond the bound the plain
     DataFrame comes back and the caller's join is planned normally (sort-merge,
     with AQE splitting skewed partitions).
     """
     n = df.count()
-    if n <= max_rows:
-        return F.broadcast(df), True
-    return df, False
+    return (F.broadcast(df) if n <= max_rows else df), n
 
 
 def chunk_keys(big: DataFrame, key: str = "id") -> DataFrame:

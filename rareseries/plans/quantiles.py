@@ -5,125 +5,97 @@ Spark's ``percentile``, DuckDB's ``quantile_cont`` and numpy's default).
 
 * Series with at most ``chunk_rows`` values: Spark's exact ``percentile``
   aggregate. Its buffer holds one series, which is bounded by ``chunk_rows``.
-* Longer series ("hot"): histogram refinement. Each needed order statistic
-  starts with the interval ``[min, max]``; every round counts the values of
-  the open intervals in ``bins`` equal-width bins (a partial aggregate, so
-  no task sees more than its input split), keeps the bin holding the rank and
-  narrows the interval to that bin's ``[min, max]``. An interval is finished
-  when it holds a single distinct value or at most ``leaf_rows`` values; the
-  latter are ranked with a window whose partitions hold at most ``leaf_rows``
-  rows. The interval tables have a few rows per hot series and there are at
-  most ``total / chunk_rows`` hot series, so they are broadcast after a count.
+* Longer series ("hot"): a mergeable KLL sketch of each series brackets the
+  needed order statistics between two values. One counting pass makes the
+  brackets exact (a rank outside of its bracket is known to lie below or above
+  it, which widens the bracket to the series' end), and one leaf pass ranks the
+  distinct values inside the brackets. The number of passes does not depend
+  on how the values are spread.
 """
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from ..params import DEFAULT
-from .joins import MAX_BROADCAST_ROWS, broadcast_if_small
+from ..session import written
+from .joins import broadcast_if_small
 
-MAX_ROUNDS = 200
+#: Size parameter of the sketches, and the rank error that the brackets allow for (several times what such a sketch has).
+SKETCH_K, MARGIN = 4096, 0.002
 
 
 def exact_quantiles(values: DataFrame, probs: list[float], names: list[str], key: str = "id",
-                    val: str = "y", chunk_rows: int = DEFAULT.chunk_rows, bins: int = 1024,
-                    leaf_rows: int | None = None, all_hot: bool = False) -> DataFrame:
+                    val: str = "y", chunk_rows: int = DEFAULT.chunk_rows, all_hot: bool = False) -> DataFrame:
     """One row per key with a column per probability (``names``).
 
-    ``all_hot`` skips the size split when the caller already knows every key
-    is long (the chunked scoring path): the values are checkpointed once and
-    refined directly.
+    ``all_hot`` skips the size split when the caller already knows every key is long (the chunked scoring path).
     """
-    leaf_rows = leaf_rows or chunk_rows
     values = values.select(key, val).filter(F.col(val).isNotNull())
     if all_hot:
-        values = values.checkpoint(eager=True)
-        sizes = values.groupBy(key).agg(F.count(F.lit(1)).alias("_n"), F.min(val).alias("_min"),
-                                        F.max(val).alias("_max"))
-        return _refine(values, sizes, probs, names, key, val, bins, leaf_rows, materialised=True)
-    sizes = values.groupBy(key).agg(F.count(F.lit(1)).alias("_n"), F.min(val).alias("_min"),
-                                    F.max(val).alias("_max"))
-    hot = sizes.filter(F.col("_n") > chunk_rows)
-    # At most total / chunk_rows keys are hot; one count decides the path and the broadcast.
-    n_hot = hot.count()
-    hot_keys = F.broadcast(hot.select(key)) if n_hot <= MAX_BROADCAST_ROWS else hot.select(key)
-
-    cold_values = values if n_hot == 0 else values.join(hot_keys, key, "left_anti")
+        return _bracketed(values, probs, names, key, val)
+    sizes = values.groupBy(key).agg(F.count(F.lit(1)).alias("_n"))
+    hot, small = broadcast_if_small(sizes.filter(F.col("_n") > chunk_rows).select(key))
     arr = F.percentile(F.col(val), F.array(*[F.lit(float(p)) for p in probs]))
-    cold = cold_values.groupBy(key).agg(arr.alias("_q")).select(
-        key, *[F.col("_q")[i].alias(n) for i, n in enumerate(names)])
-    if n_hot == 0:
-        return cold
-    hot_q = _refine(values.join(hot_keys, key, "left_semi"), hot, probs, names, key, val, bins, leaf_rows)
-    return cold.unionByName(hot_q)
-
-
-def _refine(values: DataFrame, sizes: DataFrame, probs: list[float], names: list[str], key: str,
-            val: str, bins: int, leaf_rows: int, materialised: bool = False) -> DataFrame:
-    if not materialised:
-        values = values.checkpoint(eager=True)  # read once per round; cut the lineage
-
-    # Wanted ranks: floor and ceil of (n-1)*p for every probability.
-    pos = [(F.col("_n") - 1) * F.lit(float(p)) for p in probs]
-    ranks = sizes.select(key, "_n", "_min", "_max", F.explode(F.array(*[
-        F.array(F.floor(h).cast("long"), F.ceil(h).cast("long")) for h in pos])).alias("_pair"))
-    ranks = ranks.select(key, "_min", "_max", F.explode("_pair").alias("_r"), "_n").distinct()
-    pending = ranks.select(key, "_r", F.col("_min").alias("_lo"), F.col("_max").alias("_hi"),
-                           F.lit(0).cast("long").alias("_off"), F.col("_n").alias("_cnt")).checkpoint(eager=True)
-
-    for _ in range(MAX_ROUNDS):
-        open_ = pending.filter((F.col("_cnt") > leaf_rows) & (F.col("_lo") < F.col("_hi")))
-        intervals = open_.select(key, "_lo", "_hi", "_off").distinct()
-        n_open = intervals.count()  # one small action: the loop test and the broadcast check
-        if n_open == 0:
-            break
-        if n_open <= MAX_BROADCAST_ROWS:
-            intervals = F.broadcast(intervals)
-        inside = values.join(intervals, (values[key] == intervals[key])
-                             & values[val].between(intervals["_lo"], intervals["_hi"]), "inner") \
-            .select(values[key].alias(key), val, "_lo", "_hi", "_off")
-        # halved first, so that the width of [-1e308, 1e308] does not overflow
-        part = (F.col(val) / 2 - F.col("_lo") / 2) / (F.col("_hi") / 2 - F.col("_lo") / 2)
-        bin_ = F.least(F.floor(part * F.lit(bins)), F.lit(bins - 1)).cast("long")
-        hist = inside.withColumn("_bin", bin_).groupBy(key, "_lo", "_hi", "_off", "_bin").agg(
-            F.count(F.lit(1)).alias("_c"), F.min(val).alias("_bmin"), F.max(val).alias("_bmax"))
-        w = Window.partitionBy(key, "_lo").orderBy("_bin").rowsBetween(Window.unboundedPreceding, -1)
-        hist = hist.withColumn("_before", F.coalesce(F.sum("_c").over(w), F.lit(0)))
-        o = open_.alias("o")
-        h = hist.alias("h")
-        start = F.col("h._off") + F.col("h._before")
-        moved = o.join(h, (F.col("o." + key) == F.col("h." + key)) & (F.col("o._lo") == F.col("h._lo"))
-                       & (F.col("o._r") >= start) & (F.col("o._r") < start + F.col("h._c")), "inner") \
-            .select(F.col("o." + key).alias(key), F.col("o._r").alias("_r"), F.col("h._bmin").alias("_lo"),
-                    F.col("h._bmax").alias("_hi"), start.alias("_off"), F.col("h._c").alias("_cnt"))
-        done = pending.join(open_.select(key, "_r"), [key, "_r"], "left_anti")
-        pending = done.unionByName(moved).checkpoint(eager=True)
-    else:
-        raise RuntimeError("quantile refinement did not converge")
-
-    single = pending.filter(F.col("_lo") == F.col("_hi")).select(key, "_r", F.col("_lo").alias("_v"))
-    leaf = pending.filter(F.col("_lo") < F.col("_hi"))
-    leaf_iv, _b = broadcast_if_small(leaf.select(key, "_lo", "_hi", "_off").distinct(), MAX_BROADCAST_ROWS)
-    rows = values.join(leaf_iv, (values[key] == leaf_iv[key])
-                       & values[val].between(leaf_iv["_lo"], leaf_iv["_hi"]), "inner") \
-        .select(values[key].alias(key), val, "_lo", "_off")
-    wr = Window.partitionBy(key, "_lo").orderBy(val)
-    rows = rows.withColumn("_r", F.col("_off") + F.row_number().over(wr) - 1)
-    ranked = rows.join(leaf.select(key, "_lo", "_r"), [key, "_lo", "_r"], "inner").select(
-        key, "_r", F.col(val).alias("_v"))
-    order_stats = single.unionByName(ranked)
-
-    # At most two order statistics per probability and series: a small map.
-    stats = order_stats.groupBy(key).agg(
-        F.map_from_entries(F.collect_list(F.struct("_r", "_v"))).alias("_m"))
-    out = sizes.select(key, "_n").join(stats, key, "inner")
+
+    def cold(rows: DataFrame) -> DataFrame:
+        return rows.groupBy(key).agg(arr.alias("_q")).select(key, *[F.col("_q")[i].alias(n) for i, n in enumerate(names)])
+
+    if small == 0:
+        return cold(values)
+    return cold(values.join(hot, key, "left_anti")).unionByName(
+        _bracketed(values.join(hot, key, "left_semi"), probs, names, key, val))
+
+
+def _ranks(probs: list[float], n: Column) -> list[Column]:
+    """The two order statistics that each quantile lies between."""
+    at = [(n - 1) * F.lit(float(p)) for p in probs]
+    return [f(h).cast("long") for h in at for f in (F.floor, F.ceil)]
+
+
+def _bracketed(values: DataFrame, probs: list[float], names: list[str], key: str, val: str) -> DataFrame:
+    values = written(values)  # three passes read it
+    y, n = F.col(val), F.col("_n")
+    drawn = values.groupBy(key).agg(F.kll_sketch_agg_double(val, F.lit(SKETCH_K)).alias("_s"), F.count(F.lit(1)).alias("_n"),
+                                    F.min(val).alias("_min"), F.max(val).alias("_max"))
+    ranks = _ranks(probs, n)
+
+    def bound(side: int) -> Column:
+        """The sketch's value at each rank's share, a margin below or above it (shares must be constants)."""
+        shares = F.array(*[F.lit(min(1.0, max(0.0, p + side * MARGIN))) for p in probs for _ in range(2)])
+        return F.kll_sketch_get_quantile_double("_s", shares)
+
+    brackets = drawn.select(key, "_n", "_min", "_max", F.array(*ranks).alias("_r"), bound(-1).alias("_lo"), bound(1).alias("_hi"))
+    brackets = written(brackets)
+    sides, _ = broadcast_if_small(brackets.select(key, "_lo", "_hi"))
+    k = len(ranks)
+    counted = values.join(sides, key).groupBy(key).agg(
+        F.array(*[F.count_if(y < F.col("_lo")[i]) for i in range(k)]).alias("_below"),
+        F.array(*[F.count_if(y <= F.col("_hi")[i]) for i in range(k)]).alias("_to"))
+    exact = brackets.join(counted, key).select(key, "_n", F.explode(F.transform(F.arrays_zip("_r", "_lo", "_hi", "_below", "_to"), lambda b: F.struct(
+        b["_r"].alias("r"),
+        F.when(b["_r"] < b["_below"], F.col("_min")).otherwise(b["_lo"]).alias("lo"),
+        F.when(b["_r"] >= b["_to"], F.col("_max")).otherwise(b["_hi"]).alias("hi"),
+        F.when(b["_r"] < b["_below"], F.lit(0).cast("long")).otherwise(b["_below"]).alias("before")))).alias("b"))
+    exact = written(exact.select(key, "_n", "b.*").distinct())
+    # the distinct values of a bracket, counted before they move, are ranked by a prefix sum
+    inside, _ = broadcast_if_small(exact.filter("lo < hi").select(key, "lo", "hi", "before").distinct())
+    leaf = values.join(inside, (values[key] == inside[key]) & y.between(inside["lo"], inside["hi"])).groupBy(
+        values[key].alias(key), "lo", "hi", "before", y.alias("_v")).agg(F.count(F.lit(1)).alias("_c"))
+    up = Window.partitionBy(key, "lo", "hi").orderBy("_v").rowsBetween(Window.unboundedPreceding, Window.currentRow)
+    leaf = leaf.withColumn("_end", F.col("before") + F.sum("_c").over(up)).withColumn("_start", F.col("_end") - F.col("_c"))
+    e, x = exact.alias("e"), leaf.alias("x")
+    ranked = e.join(x, (F.col(f"e.{key}") == F.col(f"x.{key}")) & (F.col("e.lo") == F.col("x.lo")) & (F.col("e.hi") == F.col("x.hi"))
+                    & (F.col("e.r") >= F.col("x._start")) & (F.col("e.r") < F.col("x._end"))).select(f"e.{key}", "e._n", "e.r", "x._v")
+    found = exact.filter("lo = hi").select(key, "_n", "r", F.col("lo").alias("_v")).unionByName(ranked)
+    # At most two order statistics per probability and series, some found in two brackets: a small map.
+    stats = found.groupBy(key, "_n").agg(F.map_from_entries(F.collect_set(F.struct("r", "_v"))).alias("_m"))
     cols = []
     for p, name in zip(probs, names):
         # Same arithmetic as Spark's percentile: (hi - h) * v_lo + (h - lo) * v_hi.
-        h = (F.col("_n") - 1) * F.lit(float(p))
+        h = (n - 1) * F.lit(float(p))
         lo_r, hi_r = F.floor(h).cast("long"), F.ceil(h).cast("long")
         v_lo, v_hi = F.try_element_at("_m", lo_r), F.try_element_at("_m", hi_r)
         cols.append(F.when(lo_r == hi_r, v_lo).otherwise(
             (hi_r.cast("double") - h) * v_lo + (h - lo_r.cast("double")) * v_hi).alias(name))
-    return out.select(key, *cols)
+    return stats.select(key, *cols)

@@ -3,39 +3,22 @@
 Every step here needs the points of a series in order: dense positions,
 positions among non-missing values, the previous non-missing value. A window
 partitioned by series id would put a whole series in one task. These helpers
-cut each series into chunks of at most ``chunk_rows`` rows, run the window per
-``(id, chunk)``, and stitch the chunks together with a prefix sum over a small
-per-chunk table.
+cut long series into sampled ranges or into chunks of at most ``chunk_rows``
+rows, work on each of them, and stitch them together with a prefix sum over a
+small table of ranges or chunks.
 """
 from __future__ import annotations
 
 from functools import reduce
 
-from pyspark.sql import Column, DataFrame, Window
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
-from pyspark.sql import types as T
 
 from ..params import DEFAULT
+from ..session import written
 from .joins import CHUNK
 
 _UNB = Window.unboundedPreceding
-FINER = 16
-
-
-def _as_number(df: DataFrame, name: str) -> Column:
-    """A numeric view of an ordering column (timestamps become microseconds)."""
-    dt = df.schema[name].dataType
-    c = F.col(name)
-    if isinstance(dt, T.TimestampNTZType):
-        return F.timestamp_diff("MICROSECOND", F.lit("1970-01-01 00:00:00").cast("timestamp_ntz"), c).cast("double")
-    if isinstance(dt, T.TimestampType):
-        return F.unix_micros(c).cast("double")
-    if isinstance(dt, T.DateType):
-        return F.unix_date(c).cast("double")
-    if isinstance(dt, T.StringType):
-        # The first six bytes as a number: strings in order never go down (ties are settled inside a range).
-        return F.conv(F.hex(F.rpad(F.substring(c.cast("binary"), 1, 6), 6, F.lit(b"\0"))), 16, 10).cast("double")
-    return c.cast("double")
 
 
 def _same_keys(left: DataFrame, right: DataFrame, keys: list[str], how: str) -> DataFrame:
@@ -45,52 +28,35 @@ def _same_keys(left: DataFrame, right: DataFrame, keys: list[str], how: str) ->
     return left.join(right, cond, how).drop(*[f"_k_{c}" for c in keys])
 
 
-def _range_of(value: Column, lo: Column, hi: Column, n: Column) -> Column:
-    """Number of the equal-width range of ``value`` (halved first, so that ``hi - lo`` cannot overflow)."""
-    part = (value / 2 - lo / 2) / (hi / 2 - lo / 2)
-    return F.when(~(hi > lo), F.lit(0)).otherwise(F.greatest(F.lit(0), F.least(F.floor(F.nanvl(part, F.lit(1.0)) * n), n - 1)))
-
-
 def number_rows(df: DataFrame, keys: list[str], order: list[str], out: str = "pos",
                 chunk_rows: int = DEFAULT.chunk_rows) -> DataFrame:
     """Add ``out`` = 0-based row number inside ``keys`` following ``order``.
 
-    Equal to ``row_number() over (partition by keys order by order) - 1`` but a
-    key with more than ``chunk_rows`` rows is split into ``FINER * n / chunk_rows``
-    equal-width ranges of its first ordering column, so its rows spread over
-    many tasks; exact offsets come from a prefix sum over the range counts. ``order``
-    must be a total order inside each key for the result to be deterministic;
-    NULLs sort last. Rows whose first ordering column is NULL are split by the
-    second one in the same way. A NULL key is a key like any other.
+    Equal to ``row_number() over (partition by keys order by order) - 1``. Keys of up to ``chunk_rows`` rows take that window. The
+    rows of longer keys are sorted by sample: Spark draws splitters from all their sort columns, so that neither a burst of equal timestamps
+    nor a hot key fills one range; each range is sorted and written once with the place of every row. What a range adds to a key is
+    the prefix sum of the key's counts in the ranges before, a few rows a key. ``order`` must be a total order inside each key
+    for the result to be deterministic; NULLs sort last. A NULL key is a key like any other.
     """
-    first = _as_number(df, order[0])
-    second = _as_number(df, order[1]) if len(order) > 1 else F.lit(None).cast("double")
-    d = df.withColumn("_o1", first).withColumn("_o2", F.when(F.col("_o1").isNull(), second))
-    stats = d.groupBy(*keys).agg(F.count(F.lit(1)).alias("_n"), F.min("_o1").alias("_lo"), F.max("_o1").alias("_hi"),
-                                 F.min("_o2").alias("_lo2"), F.max("_o2").alias("_hi2"))
-    # Ranges FINER times smaller than needed on average: a burst of timestamps
-    # must fall inside a much narrower range before one window partition grows.
-    hot = stats.filter(F.col("_n") > chunk_rows).select(
-        *keys, "_lo", "_hi", "_lo2", "_hi2", (F.ceil(F.col("_n") / F.lit(chunk_rows)) * FINER).alias("_nb"))
-    if not hot.limit(1).collect():
-        # Every key fits in one task: a plain window is the whole job.
-        w = Window.partitionBy(*keys).orderBy(*[F.col(c).asc_nulls_last() for c in order])
-        return df.withColumn(out, (F.row_number().over(w) - 1).cast("long"))
-    # At most total_rows / chunk_rows keys are hot; the optimizer broadcasts them if they are few bytes.
-    d = _same_keys(d, hot, keys, "left")
-    nb = F.col("_nb")
-    bucket = (F.when(nb.isNull(), F.lit(0))
-               .when(F.col("_o1").isNotNull(), _range_of(F.col("_o1"), F.col("_lo"), F.col("_hi"), nb))
-               .when(F.col("_o2").isNotNull(), nb + _range_of(F.col("_o2"), F.col("_lo2"), F.col("_hi2"), nb))
-               .otherwise(2 * nb))
-    d = d.withColumn(CHUNK, bucket.cast("long")).drop("_lo", "_hi", "_lo2", "_hi2", "_nb")
-    w = Window.partitionBy(*keys, CHUNK).orderBy(*[F.col(c).asc_nulls_last() for c in order])
-    d = d.withColumn("_rn", F.row_number().over(w))
-    counts = d.groupBy(*keys, CHUNK).agg(F.count(F.lit(1)).alias("_c"))
-    wc = Window.partitionBy(*keys).orderBy(CHUNK).rowsBetween(_UNB, -1)
-    offsets = counts.select(*keys, CHUNK, F.coalesce(F.sum("_c").over(wc), F.lit(0)).alias("_off"))
-    d = _same_keys(d, offsets, [*keys, CHUNK], "inner")
-    return d.withColumn(out, (F.col("_off") + F.col("_rn") - 1).cast("long")).drop("_o1", "_o2", "_rn", "_off", CHUNK)
+    ordered = [F.col(c).asc_nulls_last() for c in order]
+    sizes = df.groupBy(*keys).agg(F.count(F.lit(1)).alias("_n"))
+    hot = sizes.filter(F.col("_n") > chunk_rows)
+    total = hot.agg(F.sum("_n")).first()[0]
+    window = Window.partitionBy(*keys).orderBy(*ordered)
+    if not total:
+        return df.withColumn(out, (F.row_number().over(window) - 1).cast("long"))
+    hot = hot.select(*keys)
+    cold = _same_keys(df, hot, keys, "left_anti").withColumn(out, (F.row_number().over(window) - 1).cast("long"))
+    by_all = [F.col(c).asc_nulls_last() for c in keys] + ordered
+    ranges = 2 * -(-total // chunk_rows)
+    rows = _same_keys(df, hot, keys, "left_semi").repartitionByRange(ranges, *by_all).sortWithinPartitions(*by_all)
+    rows = written(rows.withColumn("_at", F.monotonically_increasing_id()))  # range number times 2^33, and the place in the range
+    rows = rows.withColumn("_range", F.shiftright("_at", 33))
+    runs = rows.groupBy(*keys, "_range").agg(F.count(F.lit(1)).alias("_n"), F.min("_at").alias("_first"))
+    before = Window.partitionBy(*keys).orderBy("_range").rowsBetween(_UNB, -1)
+    runs = runs.select(*keys, "_range", (F.coalesce(F.sum("_n").over(before), F.lit(0)) - F.col("_first")).alias("_off"))
+    rows = _same_keys(rows, runs, [*keys, "_range"], "inner")
+    return cold.unionByName(rows.withColumn(out, (F.col("_off") + F.col("_at")).cast("long")).drop("_at", "_range", "_off"))
 
 
 def compact(panel: DataFrame, chunk_rows: int = DEFAULT.chunk_rows, key: str = "id") -> DataFrame:

@@ -148,16 +148,11 @@ def q_scan(name: str) -> Query:
     return run
 
 
-# Chunk size for the hot-series query: small enough that every event-type series
-# takes the chunked plans (numbering, compact positions, salted joins, quantile
-# refinement, repartitioned hash) on the real tables.
-HOT_CHUNK_ROWS = 512
-
-
 def q_scan_hot(spark, root):
-    params = ScoreParams(chunk_rows=HOT_CHUNK_ROWS)
-    h, p = panel(spark, root, "event_types", chunk_rows=HOT_CHUNK_ROWS)
-    return rounded(score_panel(h, p, params, with_hash=True))
+    """Few, very long series: chunks of a sixty-fourth of all events (512 at least), so that every series takes the chunked plans."""
+    rows = max(512, read_table(spark, root, "events").count() // 64)
+    h, p = panel(spark, root, "event_types", chunk_rows=rows)
+    return rounded(score_panel(h, p, ScoreParams(chunk_rows=rows), with_hash=True))
 
 
 def q_level_counts(spark, root):

@@ -3,8 +3,9 @@ from __future__ import annotations
 
 import os
 import tempfile
+import uuid
 
-from pyspark.sql import SparkSession
+from pyspark.sql import DataFrame, SparkSession
 
 # Settings every job relies on: naive timestamps compared in UTC, AQE on so
 # skewed joins and small shuffles are re-planned at run time.
@@ -40,6 +41,13 @@ def local_session(cores: int | str = "*", shuffle_partitions: int = 8, app: str
     return spark
 
 
+def written(df: DataFrame) -> DataFrame:
+    """Write ``df`` as a compressed table in the shared checkpoint folder and go on from there."""
+    path = f"{ensure_checkpoint_dir(df.sparkSession).rstrip('/')}/rows-{uuid.uuid4().hex}"
+    df.write.option("compression", "zstd").parquet(path)
+    return df.sparkSession.read.schema(df.schema).parquet(path)
+
+
 def ensure_checkpoint_dir(spark: SparkSession) -> str:
     """Return the checkpoint directory, setting one only where none is configured.
 

@@ -106,15 +106,19 @@ def test_other_extreme_sides(spark):
         assert got["n_rare"] == want["n_rare"], side
 
 
-def test_exact_quantiles_refinement_matches_numpy(spark):
+def test_exact_quantiles_from_sketches_match_numpy(spark, monkeypatch):
+    """Brackets of a poor sketch without a margin miss ranks; the counting pass finds that out."""
+    from rareseries.plans import quantiles
     vals = {"a": list(rng.normal(0, 1, 300)), "b": [1.0] * 50 + [2.0] * 3 + list(rng.exponential(5, 200)),
-            "c": [3.0] * 40, "d": list(np.round(rng.normal(0, 1, 97), 1))}
+            "c": [3.0] * 40, "d": list(np.round(rng.normal(0, 1, 97), 1)), "wide": [float(f"{m}e{e}") for e in range(-300, 301, 4) for m in (-1.5, 1, 7)],
+            "burst": [5.0] * 400 + list(rng.normal(5, 1e-9, 60))}
     df = spark.createDataFrame([(k, float(v)) for k, vs in vals.items() for v in vs], "id string, y double")
     probs = [0.0, 0.1, 0.25, 0.5, 0.75, 0.9, 1.0]
     names = [f"p{i}" for i in range(len(probs))]
-    for chunk, bins, leaf in ((10_000, 1024, None), (20, 4, 3), (5, 2, 2)):
-        got = {r["id"]: r for r in exact_quantiles(df, probs, names, chunk_rows=chunk, bins=bins,
-                                                    leaf_rows=leaf).collect()}
+    for chunk, sketch, margin in ((10_000, 4096, 0.002), (20, 4096, 0.002), (20, 8, 0.0), (5, 16, 0.01)):
+        monkeypatch.setattr(quantiles, "SKETCH_K", sketch)
+        monkeypatch.setattr(quantiles, "MARGIN", margin)
+        got = {r["id"]: r for r in exact_quantiles(df, probs, names, chunk_rows=chunk).collect()}
         for k, vs in vals.items():
             want = np.percentile(vs, [p * 100 for p in probs])
             for n, w in zip(names, want):
@@ -132,6 +136,26 @@ def test_number_rows_chunked_equals_row_number(spark):
         assert got == want, chunk
 
 
+def test_sorted_ranges_are_balanced(spark, monkeypatch):
+    """One timestamp in half of all rows, most of them of one key: no range is above twice the mean, whatever repeats."""
+    from rareseries.plans import sequence
+    seen = []
+    monkeypatch.setattr(sequence, "written", lambda df: seen.append(df) or df.checkpoint())
+    rows = spark.range(40_000).selectExpr("if(id % 10 < 8, 'hot', concat('k', id % 400)) as k", "if(id % 2 = 0, 0L, id % 97) as t", "hash(id) as u", "id")
+    got = number_rows(rows, ["k"], ["t", "u", "id"], "pos", 1000)
+    want = rows.selectExpr("id", "row_number() over (partition by k order by t, u, id) - 1 as pos")
+    assert got.select("id", "pos").exceptAll(want).count() == 0 and got.count() == 40_000
+    sizes = [r["count"] for r in seen[0].groupBy((seen[0]["_at"] / 2**33).cast("long")).count().collect()]
+    assert len(sizes) >= 60 and max(sizes) <= 2 * sum(sizes) / len(sizes)
+
+
+def test_halo_chunks_move_k_points_twice(spark):
+    from rareseries.operators.relevance import _embedding_halo
+    clean = spark.range(1000).selectExpr("'s' as id", "id as cpos", "cast(id as double) as value")
+    got = _embedding_halo(clean, 10, "id", 100).orderBy("t").collect()
+    assert [(r["t"], r["lag_10"], r["lag_1"], r["target"]) for r in got] == [(t, t - 10.0, t - 1.0, float(t)) for t in range(10, 1000)]
+
+
 def test_compact_positions_and_previous_value(spark):
     vals = CASES["gaps"]
     _, p = make_panel(spark, {"g": vals})
