@@ -1,6 +1,11 @@
 """Catalog build (B1-B9) and versioned catalog reads."""
 from __future__ import annotations
 
+import json
+import uuid
+from urllib.parse import quote
+
+from py4j.protocol import Py4JJavaError
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -61,41 +66,80 @@ def build_catalog(scan: DataFrame, params: ScoreParams = DEFAULT, order: str | N
     return build_series(deduped, params), build_scanned(deduped)
 
 
-def write_catalog(series: DataFrame, scanned: DataFrame, root: str, version: str,
-                  published_at: str) -> None:
-    """B9 sink: both tables under ``root``, one immutable partition per version."""
+VERSION_SCHEMA = "version string, published_at string, series string, scanned string"
+
+
+def _hadoop(spark: SparkSession, path: str):
+    """(file system of ``path``, Hadoop's file classes)."""
+    fs = spark._jvm.org.apache.hadoop.fs
+    return fs.Path(path).getFileSystem(spark._jsc.hadoopConfiguration()), fs
+
+
+def commit_version(spark: SparkSession, root: str, record: dict[str, str]) -> None:
+    """Publish a version by its record, put there whole and only if no other record has its name.
+
+    The record is written under a name of its own and renamed without replacing, which the file system does in one step.
+    """
+    _, fs = _hadoop(spark, root)
+    jvm = spark._jvm
+    target = fs.Path(f"{root.rstrip('/')}/versions/{quote(record['version'], safe='')}.json")
+    attempt = fs.Path(f"{root.rstrip('/')}/attempts/{uuid.uuid4().hex}.json")
+    files = target.getFileSystem(spark._jsc.hadoopConfiguration())
+    files.mkdirs(target.getParent())
+    out = files.create(attempt, False)
+    out.write(bytearray(json.dumps(record).encode()))
+    out.close()
+    try:
+        options = spark.sparkContext._gateway.new_array(jvm.org.apache.hadoop.fs.Options.Rename, 0)
+        jvm.org.apache.hadoop.fs.FileContext.getFileContext(target.toUri(), spark._jsc.hadoopConfiguration()).rename(attempt, target, options)
+    except Py4JJavaError as e:
+        files.delete(attempt, False)
+        if files.exists(target):
+            raise FileExistsError(f"catalog version {record['version']} is already published under {root}") from e
+        raise
+
+
+def write_catalog(series: DataFrame, scanned: DataFrame, root: str, version: str, published_at: str) -> None:
+    """B9 sink: both tables under ``root`` as one version, which readers see whole or not at all.
+
+    The tables go to folders of their own; the version's record, written last, names them. A published version never changes:
+    a second write of it fails and leaves the first as it is. What a failed write leaves behind no record names.
+    """
+    spark = series.sparkSession
+    fs, names = _hadoop(spark, root)
+    if fs.exists(names.Path(f"{root.rstrip('/')}/versions/{quote(version, safe='')}.json")):
+        raise FileExistsError(f"catalog version {version} is already published under {root}")
+    record = {"version": version, "published_at": published_at}
     for name, df in (("series", series), ("scanned", scanned)):
-        (df.withColumn("published_at", F.lit(published_at))
-           .write.mode("overwrite").parquet(f"{root.rstrip('/')}/{name}/version={version}"))
+        record[name] = f"tables/{uuid.uuid4().hex}-{name}"
+        df.write.parquet(f"{root.rstrip('/')}/{record[name]}")
+    commit_version(spark, root, record)
+
+
+def _records(spark: SparkSession, root: str) -> DataFrame:
+    folder = f"{root.rstrip('/')}/versions"
+    fs, names = _hadoop(spark, root)
+    if not fs.exists(names.Path(folder)):
+        return spark.createDataFrame([], VERSION_SCHEMA)
+    return spark.read.schema(VERSION_SCHEMA).json(folder)
 
 
-def list_versions(spark: SparkSession, root: str, table: str = "series") -> DataFrame:
+def list_versions(spark: SparkSession, root: str) -> DataFrame:
     """``(version, published_at)`` of every published catalog version."""
-    path = f"{root.rstrip('/')}/{table}"
-    folder = spark._jvm.org.apache.hadoop.fs.Path(path)
-    fs = folder.getFileSystem(spark._jsc.hadoopConfiguration())
-    names = [s.getPath().getName() for s in fs.listStatus(folder)] if fs.exists(folder) else []
-    found = []
-    for v in sorted(n.removeprefix("version=") for n in names if n.startswith("version=")):
-        # One row tells when a version was published: all of its rows carry the same time.
-        row = spark.read.parquet(f"{path}/version={v}").select(F.col("published_at").cast("string")).first()
-        found.append((v, row[0] if row else None))
-    return spark.createDataFrame(found, "version string, published_at string")
+    return _records(spark, root).select("version", "published_at")
 
 
 def load_catalog(spark: SparkSession, root: str, version: str = "latest", table: str = "series",
                  refresh: bool = False) -> DataFrame:
     """A pinned version is immutable; ``latest`` is resolved on every call.
 
-    Versions are strings (1.1 is not 1.10): the chosen folder is read by its path.
+    Versions are strings (1.1 is not 1.10); only their records say what is published.
     """
-    path = f"{root.rstrip('/')}/{table}"
     if refresh or version == "latest":
-        spark.catalog.refreshByPath(path)
-    if version == "latest":
-        newest = list_versions(spark, root, table).orderBy(F.col("published_at").desc(),
-                                                           F.col("version").desc()).first()
-        if newest is None:
-            raise FileNotFoundError(f"no published catalog under {path}")
-        version = newest["version"]
-    return spark.read.parquet(f"{path}/version={version}").drop("published_at")
+        spark.catalog.refreshByPath(f"{root.rstrip('/')}/versions")
+    records = _records(spark, root)
+    wanted = records if version == "latest" else records.filter(F.col("version") == version)
+    found = wanted.orderBy(F.col("published_at").desc(), F.col("version").desc()).first()
+    if found is None:
+        raise FileNotFoundError(f"no published catalog version {version} under {root}")
+    return spark.read.parquet(f"{root.rstrip('/')}/{found[table]}")

@@ -35,6 +35,7 @@ def _stream_hashes(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
             continue
         ids = pdf["id"].to_numpy()
         vals = pdf["value"].to_numpy(dtype="<f8")
+        there = ~np.isnan(vals)  # a missing value keeps its series in the stream and is not hashed
         pos = pdf["pos"].to_numpy()
         same = ids[1:] == ids[:-1]
         if (cur_id is not None and ids[0] < cur_id) or (ids[1:] < ids[:-1]).any() \
@@ -53,7 +54,7 @@ def _stream_hashes(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
                     done_ids.append(cur_id)
                     done_hashes.append(hasher.hexdigest()[:16])
                 cur_id, hasher = rid, hashlib.sha256()
-            hasher.update(np.ascontiguousarray(vals[s:e]).tobytes())
+            hasher.update(np.ascontiguousarray(vals[s:e][there[s:e]]).tobytes())
         if done_ids:
             yield pd.DataFrame({"id": done_ids, "content_hash": done_hashes})
     if hasher is not None:
@@ -77,6 +78,12 @@ def content_hashes(panel: DataFrame, key: str = "id") -> DataFrame:
     return out if key == "id" else out.withColumnRenamed("id", key)
 
 
+def stream_hashes(points: DataFrame) -> DataFrame:
+    """``(id, actual)`` of every id that has points, with or without values: one shuffle on ``id`` and one ordered stream."""
+    ordered = points.select("id", "pos", "value").repartition("id").sortWithinPartitions("id", "pos")
+    return ordered.mapInPandas(_stream_hashes, HASH_SCHEMA).withColumnRenamed("content_hash", "actual")
+
+
 def with_empty_hash(col: str = "content_hash") -> F.Column:
     """A series without non-null values hashes to sha256(b'')[:16]."""
     return F.coalesce(F.col(col), F.lit(EMPTY_HASH))
@@ -88,9 +95,6 @@ def hash_check(panel: DataFrame, expected: DataFrame, key: str = "id") -> DataFr
     Returns ``id, expected_hash, actual_hash, hash_ok`` for every expected id
     that has points in ``panel`` (missing values are ignored, as in the hash).
     """
-    present = panel.select(key).distinct()
-    actual = content_hashes(panel, key).withColumnRenamed("content_hash", "actual_hash")
-    exp = expected.select(key, F.col("content_hash").alias("expected_hash"))
-    out = exp.join(present, key, "inner").join(actual, key, "left")
-    out = out.withColumn("actual_hash", with_empty_hash("actual_hash"))
+    actual = stream_hashes(panel.withColumnRenamed(key, "id")).select(F.col("id").alias(key), F.col("actual").alias("actual_hash"))
+    out = expected.select(key, F.col("content_hash").alias("expected_hash")).join(actual, key, "inner")
     return out.withColumn("hash_ok", F.col("actual_hash") == F.col("expected_hash"))

@@ -13,6 +13,7 @@ from pyspark.sql import functions as F
 
 from ..functions.ids import blob_path
 from ..schemas import BLOB
+from ..session import written
 from .hashing import hash_check
 
 BLOB_COLUMNS = ["source", "collection", "id", "pos", "ts", "value", "blob_path"]
@@ -61,12 +62,11 @@ def stage_series(panel: DataFrame, catalog: DataFrame, root: str, strict: bool =
     """
     spark = panel.sparkSession
     wanted = select_wanted(panel, catalog)
-    check = verify_hash(wanted, catalog).persist()
+    check = written(verify_hash(wanted, catalog))
     bad = check.filter(~F.col("hash_ok"))
     if strict:
         first = bad.select("id").orderBy("id").limit(5).collect()
         if first:
-            check.unpersist()
             raise ValueError("nothing staged; points and catalog differ in content_hash for "
                              + ", ".join(r["id"] for r in first))
     good = check.filter(F.col("hash_ok")).select("id")

@@ -59,36 +59,45 @@ def _embedding_halo(clean: DataFrame, k: int, key: str, chunk_rows: int) -> Data
     return d.filter((F.floor(F.col("t") / F.lit(chunk_rows)) == F.col(CHUNK)) & (F.col("t") >= k)).drop(CHUNK)
 
 
-def control_points(tg: DataFrame, params: ScoreParams = DEFAULT, key: str = "id", all_hot: bool = False
-                   ) -> DataFrame:
-    """Quartiles, fences, adjacent values and outlier flags of the targets.
+def with_fences(q: DataFrame, params: ScoreParams = DEFAULT, key: str = "id") -> DataFrame:
+    """Quartiles with the boxplot fences."""
+    reach = F.lit(params.rel_coef) * (F.col("q3") - F.col("q1"))
+    return q.select(key, "q1", "median", "q3", (F.col("q1") - reach).alias("lower_fence"), (F.col("q3") + reach).alias("upper_fence"))
 
-    Output: ``id, N, q1, median, q3, lower_fence, upper_fence, lo_adj, hi_adj,
-    lo_on, hi_on``.
-    """
-    q = exact_quantiles(tg.select(key, "y"), [0.25, 0.5, 0.75], ["q1", "median", "q3"], key=key,
-                        val="y", chunk_rows=params.chunk_rows, all_hot=all_hot)
-    iqr = F.col("q3") - F.col("q1")
-    q = q.select(key, "q1", "median", "q3",
-                 (F.col("q1") - F.lit(params.rel_coef) * iqr).alias("lower_fence"),
-                 (F.col("q3") + F.lit(params.rel_coef) * iqr).alias("upper_fence"))
-    chunks = chunk_keys(tg, key)
+
+def adjacent_values(fenced: DataFrame, key: str = "id") -> DataFrame:
+    """Of targets with their fences: number, values adjacent to the fences, and whether any lies beyond."""
     y = F.col("y")
-    flags = salted_attach(tg, q, chunks, key).groupBy(key).agg(
+    return fenced.groupBy(key).agg(
         F.count(y).alias("N"),
         F.max(F.when(y <= F.col("upper_fence"), y)).alias("hi_adj"),
         F.min(F.when(y >= F.col("lower_fence"), y)).alias("lo_adj"),
         (F.count_if(y > F.col("upper_fence")) > 0).alias("_any_hi"),
         (F.count_if(y < F.col("lower_fence")) > 0).alias("_any_lo"),
     )
+
+
+def control_rows(fences: DataFrame, flags: DataFrame, params: ScoreParams = DEFAULT, key: str = "id") -> DataFrame:
     hi_ok = params.rel_xtrm_type in ("both", "high")
     lo_ok = params.rel_xtrm_type in ("both", "low")
-    return q.join(flags, key, "inner").select(
+    return fences.join(flags, key, "inner").select(
         key, "N", "q1", "median", "q3", "lower_fence", "upper_fence", "lo_adj", "hi_adj",
         (F.col("_any_lo") & F.lit(lo_ok)).alias("lo_on"),
         (F.col("_any_hi") & F.lit(hi_ok)).alias("hi_on"))
 
 
+def control_points(tg: DataFrame, params: ScoreParams = DEFAULT, key: str = "id") -> DataFrame:
+    """Quartiles, fences, adjacent values and outlier flags of the targets.
+
+    Output: ``id, N, q1, median, q3, lower_fence, upper_fence, lo_adj, hi_adj,
+    lo_on, hi_on``.
+    """
+    q = exact_quantiles(tg.select(key, "y"), [0.25, 0.5, 0.75], ["q1", "median", "q3"], key=key,
+                        val="y", chunk_rows=params.chunk_rows)
+    fences = with_fences(q, params, key)
+    return control_rows(fences, adjacent_values(salted_attach(tg, fences, chunk_keys(tg, key), key), key), params, key)
+
+
 def phi_column() -> F.Column:
     return relevance("y", "median", "hi_adj", "lo_adj", "hi_on", "lo_on")
 
@@ -99,13 +108,18 @@ def scored_targets(tg: DataFrame, cp: DataFrame, key: str = "id") -> DataFrame:
     return salted_attach(tg, cols, chunk_keys(tg, key), key).withColumn("phi", phi_column())
 
 
-def imbalance_scores(tg: DataFrame, params: ScoreParams = DEFAULT, key: str = "id",
-                     cp: DataFrame | None = None, all_hot: bool = False) -> DataFrame:
-    """``id, N, n_normal, n_rare, IR, pct_rare, imbalance_level`` per series with targets."""
-    cp = cp if cp is not None else control_points(tg, params, key, all_hot)
-    rare = scored_targets(tg, cp, key).groupBy(key).agg(
+def rare_counts(scored: DataFrame, params: ScoreParams = DEFAULT, key: str = "id") -> DataFrame:
+    """Targets and rare ones of each series, from their relevance ``phi``."""
+    return scored.groupBy(key).agg(
         F.count(F.lit(1)).alias("N"),
         F.count_if(F.col("phi") >= F.lit(params.rel_thres)).alias("n_rare"))
+
+
+def imbalance_scores(tg: DataFrame, params: ScoreParams = DEFAULT, key: str = "id",
+                     cp: DataFrame | None = None) -> DataFrame:
+    """``id, N, n_normal, n_rare, IR, pct_rare, imbalance_level`` per series with targets."""
+    cp = cp if cp is not None else control_points(tg, params, key)
+    rare = rare_counts(scored_targets(tg, cp, key), params, key)
     n, r = F.col("N"), F.col("n_rare")
     out = rare.select(
         key, n.alias("N"), (n - r).alias("n_normal"), r.alias("n_rare"),

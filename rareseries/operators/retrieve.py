@@ -14,9 +14,10 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ..functions.ids import unsafe_path
+from ..plans.joins import broadcast_if_small
 from ..schemas import BLOB
-from ..session import ensure_checkpoint_dir
-from .hashing import content_hashes, hash_check, with_empty_hash
+from ..session import written
+from .hashing import hash_check, stream_hashes
 
 ERRORS = ("raise", "skip")
 
@@ -31,28 +32,48 @@ def dedupe_requests(requests: DataFrame) -> DataFrame:
     return requests.groupBy("id").agg(F.min("ord").alias("ord"))
 
 
+#: Columns that place a series in the store; both the catalog and the store have them, as functions of the id.
+ROUTE = ("source", "collection")
+
+
+def _candidates(requests: DataFrame, catalog: DataFrame, stored: DataFrame) -> tuple[DataFrame, list[str]]:
+    """Distinct requests with what the catalog knows of them, and the columns by which they meet the store."""
+    route = [c for c in ROUTE if c in catalog.columns and c in stored.columns]
+    cat = catalog.select("id", "blob_path", "content_hash", *route).withColumn("_known", F.lit(True))
+    j = dedupe_requests(requests).join(cat, "id", "left")
+    state = (F.when(F.col("_known").isNull(), "unknown_id")
+              .when(F.col("blob_path").isNull(), "no_blob")
+              .when(unsafe_path("blob_path"), "unsafe_path")
+              .otherwise("stored"))
+    return written(j.select("ord", "id", "blob_path", "content_hash", *route, state.alias("state"))), ["id", *route]
+
+
+def _points(candidates: DataFrame, on: list[str], stored: DataFrame) -> DataFrame:
+    """The stored points of the candidates. They meet by id and by the columns that the store is partitioned by, so that the
+    scan reads the partitions of the wanted series only (a dynamic filter while the candidates are a broadcast)."""
+    wanted, _ = broadcast_if_small(candidates.filter("state = 'stored'").select(*on))
+    return stored.join(wanted, on, "inner")
+
+
+def _checked(candidates: DataFrame, points: DataFrame) -> DataFrame:
+    """Candidates with the hash of their points, from one ordered stream; no hash where nothing is stored."""
+    return candidates.join(stream_hashes(points), "id", "left")
+
+
+def _status() -> F.Column:
+    wrong = F.col("actual").isNull() | (F.col("actual") != F.coalesce("content_hash", F.lit("")))
+    return F.when(F.col("state") != "stored", F.col("state")).when(wrong, "hash_mismatch").otherwise("ok").alias("status")
+
+
 def pull_status(requests: DataFrame, catalog: DataFrame, stored: DataFrame) -> DataFrame:
     """``ord, id, status, blob_path`` per distinct requested id.
 
     status: ``unknown_id`` (not in catalog), ``no_blob`` (no blob_path),
     ``unsafe_path`` (G4), ``hash_mismatch`` (G5: stored non-null values do
-    not hash to the catalog hash), else ``ok``.
+    not hash to the catalog hash), else ``ok``. The points move once, to the task that hashes their series.
     """
-    req = dedupe_requests(requests)
-    cat = catalog.select("id", "blob_path", "content_hash").withColumn("_known", F.lit(True))
-    j = req.join(cat, "id", "left")
-    wanted = j.filter(F.col("blob_path").isNotNull()).select("id")
-    got = stored.join(wanted, "id", "left_semi")
-    hashes = content_hashes(got).withColumnRenamed("content_hash", "_actual")
-    present = got.select("id").distinct().withColumn("_present", F.lit(True))
-    j = j.join(hashes, "id", "left").join(present, "id", "left")
-    actual = F.when(F.col("_present"), with_empty_hash("_actual"))
-    status = (F.when(F.col("_known").isNull(), "unknown_id")
-               .when(F.col("blob_path").isNull(), "no_blob")
-               .when(unsafe_path("blob_path"), "unsafe_path")
-               .when(actual.isNull() | (actual != F.col("content_hash")), "hash_mismatch")
-               .otherwise("ok"))
-    return j.select("ord", "id", status.alias("status"), "blob_path")
+    candidates, on = _candidates(requests, catalog, stored)
+    return _checked(candidates, _points(candidates, on, stored)).select("ord", "id", _status(), "blob_path")
 
 
 _MESSAGES = {
@@ -63,30 +84,40 @@ _MESSAGES = {
 }
 
 
-def pull_many(requests: DataFrame, catalog: DataFrame, stored: DataFrame, errors: str = "raise") -> DataFrame:
-    """Points of every requested id, ``(ord, id, pos, ts, value)`` ordered by request then position.
+def pull_many(requests: DataFrame, catalog: DataFrame, stored: DataFrame, errors: str = "raise", ordered: bool = True) -> DataFrame:
+    """Points of every requested id, ``(ord, id, pos, ts, value)``, by request then position if ``ordered``.
 
     ``raise`` fails on the first bad id in request order; ``skip`` returns
     only the ids that passed.
     """
     if errors not in ERRORS:
         raise ValueError(f"errors must be 'raise' or 'skip', got {errors!r}")
-    status = pull_status(requests, catalog, stored)
+    candidates, on = _candidates(requests, catalog, stored)
+    points = _points(candidates, on, stored)
+    status = written(_checked(candidates, points).select("ord", "id", _status(), *on[1:]))  # hashed once, for the check and for the result
     if errors == "raise":
-        ensure_checkpoint_dir(catalog.sparkSession)
-        status = status.checkpoint()  # the points are hashed once, for the check and for the result
         bad = status.filter(F.col("status") != "ok").orderBy("ord").limit(1).collect()
         if bad:
             exc, msg = _MESSAGES[bad[0]["status"]]
             raise exc(msg.format(bad[0]["id"]))
-    ok = status.filter(F.col("status") == "ok").select("id", "ord")
-    return stored.join(ok, "id", "inner").select("ord", "id", "pos", "ts", "value").orderBy("ord", "pos")
+    ok, _ = broadcast_if_small(status.filter(F.col("status") == "ok").select("ord", *on))
+    out = stored.join(ok, on, "inner").select("ord", "id", "pos", "ts", "value")
+    return out.orderBy("ord", "pos") if ordered else out
 
 
 def pull(series_id: str, catalog: DataFrame, stored: DataFrame) -> DataFrame:
-    """G1: one series, ordered by position; errors as in :func:`pull_many` with ``raise``."""
+    """G1: one series, ordered by position; errors as in :func:`pull_many` with ``raise``.
+
+    The id and its catalog row give the place in the store as constants, so one partition and the row groups with the id are read.
+    """
     spark = catalog.sparkSession
-    out = pull_many(request_frame(spark, [series_id]), catalog, stored, "raise")
+    row = catalog.filter(F.col("id") == series_id)
+    place = stored.filter(F.col("id") == series_id)
+    route = [c for c in ROUTE if c in catalog.columns and c in stored.columns]
+    found = row.select(*route).first() if route else None
+    for c in route if found else []:
+        place = place.filter(F.col(c).eqNullSafe(F.lit(found[c])))
+    out = pull_many(request_frame(spark, [series_id]), row, place, "raise")
     return out.select("pos", "ts", "value")
 
 

@@ -7,9 +7,9 @@ Series are split by length once (one small aggregate and a count):
   quartiles, adjacent values, relevance and the final aggregate share one
   exchange and one sort, and no task holds more than ``chunk_rows`` points of
   one series;
-* longer series take the chunked form of :mod:`rareseries.plans`: windows on
-  ``(id, _chunk)``, per-series statistics attached with chunk-salted joins,
-  exact quartiles between the bounds of a sketch.
+* longer series take the chunked form: points move once into chunks, a record
+  of each chunk carries what crosses its borders, and the rest are aggregates
+  over the written points; quartiles are exact, between the bounds of a sketch.
 
 The hash is one ordered stream per series. Per-series results are joined to
 the header, which keeps series without any point (``skipped_short`` rows).
@@ -21,12 +21,13 @@ from pyspark.sql import functions as F
 
 from ..functions.levels import imbalance_level, relevance
 from ..params import DEFAULT, NOTE_MAX_CHARS, ScoreParams
-from ..plans.joins import broadcast_if_small
-from ..plans.sequence import compact
+from ..plans.joins import CHUNK, broadcast_if_small
+from ..plans.quantiles import exact_quantiles
 from ..schemas import HEADER_FIELDS, SCAN_COLUMNS
+from ..session import written
 from .hashing import content_hashes, hashes_of_ordered, with_empty_hash
 from .profile import base_stats, clean_values, cv, kurtosis_unbiased, lag1_pairs_stats, missing_pct, skewness_unbiased
-from .relevance import imbalance_scores, targets
+from .relevance import adjacent_values, control_rows, phi_column, rare_counts, with_fences
 
 STAT_COLUMNS = ["id", "length", "n_obs", "n_missing", "n_infinite", "mean", "std", "_var_pop", "_g1", "_g2",
                 "autocorr_lag1", "N", "n_rare"]
@@ -80,18 +81,50 @@ def stats_bounded(pv: DataFrame, params: ScoreParams = DEFAULT, d: DataFrame | N
               .select(*STAT_COLUMNS)
 
 
-def stats_chunked(pv: DataFrame, params: ScoreParams = DEFAULT) -> DataFrame:
-    """The same statistics for series longer than ``chunk_rows`` (no window on a whole series)."""
-    comp = compact(pv, params.chunk_rows)
-    # A series with an infinite value is reported as an error and has no quantiles to refine.
+def segments(pv: DataFrame, chunk_rows: int) -> DataFrame:
+    """Points of long series by chunk of ``chunk_rows`` positions, written once: ``id, _chunk, pos, value``, the
+    number ``_nth`` of values in the chunk so far and the value before, ``prev``, in the same chunk."""
     v = F.col("value")
-    endless = pv.filter((v == F.lit(float("inf"))) | (v == F.lit(float("-inf")))).select("id").distinct()
-    scored = comp.join(endless, "id", "left_anti")
-    scores = imbalance_scores(targets(scored, params.k), params, all_hot=True).select("id", "N", "n_rare")
-    return (base_stats(pv)
-            .join(lag1_pairs_stats(comp), "id", "left")
-            .join(scores, "id", "left")
-            .select(*STAT_COLUMNS))
+    w = Window.partitionBy("id", CHUNK).orderBy("pos")
+    p = pv.withColumn(CHUNK, F.floor(F.col("pos") / F.lit(chunk_rows)).cast("long"))
+    return written(p.select("id", CHUNK, "pos", "value", F.count(v).over(w.rowsBetween(_UNB, 0)).alias("_nth"),
+                            F.last(v, ignorenulls=True).over(w.rowsBetween(_UNB, -1)).alias("prev")))
+
+
+def chunk_records(seg: DataFrame) -> DataFrame:
+    """One record a chunk, folded over the chunks before: its first value, the values before it (``_before``) and the last of them (``_left``)."""
+    there = F.when(F.col("value").isNotNull(), F.col("pos"))
+    records = seg.groupBy("id", CHUNK).agg(F.count("value").alias("_n"), F.min_by("value", there).alias("_first"), F.max_by("value", there).alias("_last"))
+    past = Window.partitionBy("id").orderBy(CHUNK).rowsBetween(_UNB, -1)
+    return records.select("id", CHUNK, "_first", F.coalesce(F.sum("_n").over(past), F.lit(0)).alias("_before"),
+                          F.last("_last", ignorenulls=True).over(past).alias("_left"))
+
+
+def stats_chunked(pv: DataFrame, params: ScoreParams = DEFAULT) -> DataFrame:
+    """The same statistics for series longer than ``chunk_rows`` (no window on a whole series).
+
+    Points move once, into their chunks. What crosses chunk borders (the pair of a chunk's first value with the one before it, the
+    first ``k`` values of a series) comes from the chunks' records; all else are aggregates over the written points, to which
+    per-series numbers are joined (a broadcast while there are few long series, else by hash and split where skewed).
+    """
+    seg = segments(pv, params.chunk_rows)
+    records = written(chunk_records(seg))
+    base = written(base_stats(seg))
+    v, y = F.col("value"), F.col("y")
+    borders = records.filter(F.col("_first").isNotNull() & F.col("_left").isNotNull()).select("id", F.col("_first").alias("value"), F.col("_left").alias("prev"))
+    autocorr = lag1_pairs_stats(seg.select("id", "value", "prev").unionByName(borders))
+
+    # A series with an infinite value is reported as an error and has no quantiles.
+    finite, _ = broadcast_if_small(base.filter("n_infinite = 0").select("id"))
+    heads, _ = broadcast_if_small(records.filter(F.col("_before") < params.k).select("id", CHUNK, "_before"))
+    tg = seg.filter(v.isNotNull()).join(finite, "id", "left_semi").join(heads, ["id", CHUNK], "left")
+    tg = tg.filter(F.col("_before").isNull() | (F.col("_before") + F.col("_nth") > params.k)).select("id", v.alias("y"))
+    q = exact_quantiles(tg, [0.25, 0.5, 0.75], ["q1", "median", "q3"], all_hot=True, stored=True)
+    fences, _ = broadcast_if_small(written(with_fences(q, params)))
+    flags = adjacent_values(tg.join(fences, "id"))
+    points, _ = broadcast_if_small(written(control_rows(fences, flags, params)))
+    scores = rare_counts(tg.join(points, "id").withColumn("phi", phi_column()), params)
+    return base.join(autocorr, "id", "left").join(scores, "id", "left").select(*STAT_COLUMNS)
 
 
 def _bounded_parts(pv: DataFrame, params: ScoreParams, with_hash: bool):

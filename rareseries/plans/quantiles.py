@@ -26,14 +26,15 @@ SKETCH_K, MARGIN = 4096, 0.002
 
 
 def exact_quantiles(values: DataFrame, probs: list[float], names: list[str], key: str = "id",
-                    val: str = "y", chunk_rows: int = DEFAULT.chunk_rows, all_hot: bool = False) -> DataFrame:
+                    val: str = "y", chunk_rows: int = DEFAULT.chunk_rows, all_hot: bool = False, stored: bool = False) -> DataFrame:
     """One row per key with a column per probability (``names``).
 
-    ``all_hot`` skips the size split when the caller already knows every key is long (the chunked scoring path).
+    ``all_hot`` skips the size split when the caller already knows every key is long (the chunked scoring path); ``stored``
+    says that the values come from a written table, which the passes may read again.
     """
     values = values.select(key, val).filter(F.col(val).isNotNull())
     if all_hot:
-        return _bracketed(values, probs, names, key, val)
+        return _bracketed(values if stored else written(values), probs, names, key, val)
     sizes = values.groupBy(key).agg(F.count(F.lit(1)).alias("_n"))
     hot, small = broadcast_if_small(sizes.filter(F.col("_n") > chunk_rows).select(key))
     arr = F.percentile(F.col(val), F.array(*[F.lit(float(p)) for p in probs]))
@@ -44,7 +45,7 @@ def exact_quantiles(values: DataFrame, probs: list[float], names: list[str], key
     if small == 0:
         return cold(values)
     return cold(values.join(hot, key, "left_anti")).unionByName(
-        _bracketed(values.join(hot, key, "left_semi"), probs, names, key, val))
+        _bracketed(written(values.join(hot, key, "left_semi")), probs, names, key, val))
 
 
 def _ranks(probs: list[float], n: Column) -> list[Column]:
@@ -54,7 +55,6 @@ def _ranks(probs: list[float], n: Column) -> list[Column]:
 
 
 def _bracketed(values: DataFrame, probs: list[float], names: list[str], key: str, val: str) -> DataFrame:
-    values = written(values)  # three passes read it
     y, n = F.col(val), F.col("_n")
     drawn = values.groupBy(key).agg(F.kll_sketch_agg_double(val, F.lit(SKETCH_K)).alias("_s"), F.count(F.lit(1)).alias("_n"),
                                     F.min(val).alias("_min"), F.max(val).alias("_max"))

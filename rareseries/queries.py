@@ -330,7 +330,7 @@ def series_store(spark: SparkSession, root: str) -> str:
     if key not in _STORE_CACHE:
         points = functools.reduce(DataFrame.unionByName, [panel(spark, root, name)[1] for name in CATALOG_RUNS])
         path = fresh_path(spark, "series")
-        stage_series(points, catalog_series(spark, root), path).unpersist()
+        stage_series(points, catalog_series(spark, root), path)
         _STORE_CACHE[key] = path
     return _STORE_CACHE[key]
 
@@ -383,7 +383,7 @@ def q_pull_status(spark, root):
 
 def q_pull_many(spark, root):
     stored = read_series(spark, series_store(spark, root))
-    return pull_many(_requests(spark, root), finalized_catalog(spark, root), stored, errors="skip")
+    return pull_many(_requests(spark, root), finalized_catalog(spark, root), stored, errors="skip", ordered=False)
 
 
 def q_verify_pulled(spark, root):

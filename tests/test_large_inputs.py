@@ -3,7 +3,7 @@ from __future__ import annotations
 
 import pytest
 
-from rareseries.operators.catalog import list_versions, load_catalog
+from rareseries.operators.catalog import commit_version, list_versions, load_catalog, write_catalog
 from rareseries.operators.drift import diff_profiles
 from rareseries.operators.increment import first_per_key
 from rareseries.params import ScoreParams
@@ -51,12 +51,33 @@ def test_first_per_key_without_order(spark):
 
 def test_versions_are_strings(spark, tmp_path):
     for version, at in (("1.1", "2024-01-02"), ("1.10", "2024-01-01")):
-        spark.createDataFrame([(f"row {version}", at)], "id string, published_at string").write.parquet(f"{tmp_path}/series/version={version}")
+        rows = spark.createDataFrame([(f"row {version}",)], "id string")
+        write_catalog(rows, rows, str(tmp_path), version, at)
     assert [r["id"] for r in load_catalog(spark, str(tmp_path), "1.10").collect()] == ["row 1.10"]
     assert [r["id"] for r in load_catalog(spark, str(tmp_path)).collect()] == ["row 1.1"]
     assert sorted(r["version"] for r in list_versions(spark, str(tmp_path)).collect()) == ["1.1", "1.10"]
     with pytest.raises(FileNotFoundError):
         load_catalog(spark, str(tmp_path / "none"))
+    with pytest.raises(FileNotFoundError):
+        load_catalog(spark, str(tmp_path), "1.2")
+
+
+def test_versions_are_whole_and_stay(spark, tmp_path):
+    """A second write of a version fails; a write that ends between its tables, or before its record, shows nothing."""
+    root = str(tmp_path)
+    one, two = (spark.createDataFrame([(x,)], "id string") for x in ("one", "two"))
+    write_catalog(one, one, root, "1.0", "2024-01-01")
+    with pytest.raises(FileExistsError):
+        write_catalog(two, two, root, "1.0", "2024-02-01")
+    with pytest.raises(FileExistsError):  # another writer was faster
+        commit_version(spark, root, {"version": "1.0", "published_at": "2024-03-01", "series": "tables/x", "scanned": "tables/y"})
+    broken = two.selectExpr("raise_error('lost') as id")
+    with pytest.raises(Exception, match="lost"):
+        write_catalog(two, broken, root, "2.0", "2024-04-01")
+    assert [r["id"] for t in ("series", "scanned") for r in load_catalog(spark, root, table=t).collect()] == ["one", "one"]
+    assert [tuple(r) for r in list_versions(spark, root).collect()] == [("1.0", "2024-01-01")]
+    write_catalog(two, one, root, "2/0 é", "2024-05-01")
+    assert load_catalog(spark, root).first()["id"] == "two" and load_catalog(spark, root, "1.0").first()["id"] == "one"
 
 
 def test_drift_compares_numbers(spark):
