@@ -15,6 +15,7 @@ from pyspark.sql import functions as F
 
 from ..params import COLLECTION_EXAMPLES, DEFAULT, NULL_BUCKET, PROFILE_NUMERIC_ROUND
 from ..plans.quantiles import exact_quantiles
+from ..session import written
 
 STATS = (("min", 0.0), ("25%", 0.25), ("50%", 0.5), ("75%", 0.75), ("max", 1.0))
 
@@ -80,33 +81,48 @@ def example_counts(df: DataFrame, names=COLLECTION_EXAMPLES, col: str = "collect
         .select("value", F.coalesce(F.col("n"), F.lit(0)).cast("long").alias("n"))
 
 
-def numeric_profile(df: DataFrame, cols=None, chunk_rows: int = DEFAULT.chunk_rows) -> DataFrame:
+def _column_quantiles(df: DataFrame, cols: list[str]) -> tuple[DataFrame, DataFrame]:
+    """(field, one column a statistic) and (field, number of NULLs) from one aggregate over all columns.
+
+    Its buffers hold the distinct values of each column, so it is for tables of up to ``chunk_rows`` rows.
+    """
+    probs = F.array(*[F.lit(p) for _, p in STATS])
+    v = [F.col(f"`{c}`").cast("double") for c in cols]
+    one = df.agg(F.array(*[F.struct(F.lit(c).alias("field"), F.percentile(x, probs).alias("q"), F.count_if(x.isNull()).alias("_n")) for c, x in zip(cols, v)]).alias("_e"))
+    one = one.select(F.explode("_e").alias("_e")).select("_e.*")
+    return one.filter(F.col("q").isNotNull()).select("field", *[F.col("q")[i].alias(f"_s{i}") for i in range(len(STATS))]), one.select("field", "_n")
+
+
+def numeric_profile(df: DataFrame, cols=None, chunk_rows: int = DEFAULT.chunk_rows, n_rows: int | None = None) -> DataFrame:
     """Exact min/25%/50%/75%/max of the non-null values of each column, rounded per column,
     plus ``null_count`` when some are NULL. Output ``(field, stat, value)``.
 
-    The quantiles go through :func:`exact_quantiles` with the column name as
-    the key, so a column longer than ``chunk_rows`` is resolved without one
-    task holding it.
+    A table of up to ``chunk_rows`` rows (``n_rows``, counted if not given) is one aggregate over all columns. A
+    longer one goes through :func:`exact_quantiles` with the column name as the key, without one task holding a column.
     """
     cols = cols or list(PROFILE_NUMERIC_ROUND)
     present = [c for c in cols if c in df.columns]
-    long = df.select(F.explode(F.array(*[
-        F.struct(F.lit(c).alias("field"), _c(c).cast("double").alias("v")) for c in present])).alias("_e")
-    ).select("_e.field", "_e.v")
-    q = exact_quantiles(long, [p for _, p in STATS], [f"_s{i}" for i in range(len(STATS))], key="field",
-                        val="v", chunk_rows=chunk_rows)
+    if not present:
+        return df.sparkSession.createDataFrame([], "field string, stat string, value string")
+    if (df.count() if n_rows is None else n_rows) <= chunk_rows:
+        q, missing = _column_quantiles(df, present)
+    else:
+        long = df.select(F.explode(F.array(*[
+            F.struct(F.lit(c).alias("field"), _c(c).cast("double").alias("v")) for c in present])).alias("_e")
+        ).select("_e.field", "_e.v")
+        q = exact_quantiles(long, [p for _, p in STATS], [f"_s{i}" for i in range(len(STATS))], key="field",
+                            val="v", chunk_rows=chunk_rows)
+        missing = long.groupBy("field").agg(F.count_if(F.col("v").isNull()).alias("_n"))
     stats = q.select("field", F.explode(F.array(*[
         F.struct(F.lit(name).alias("stat"), F.col(f"_s{i}").alias("_v")) for i, (name, _) in enumerate(STATS)]))
         .alias("_e")).select("field", "_e.stat", "_e._v")
-    dp = F.coalesce(*[F.when(F.col("field") == c, F.lit(PROFILE_NUMERIC_ROUND.get(c, 6))) for c in present],
-                    F.lit(6)) if present else F.lit(6)
+    dp = F.coalesce(*[F.when(F.col("field") == c, F.lit(PROFILE_NUMERIC_ROUND.get(c, 6))) for c in present], F.lit(6))
     rendered = stats.withColumn("_dp", dp)
     value = F.when(F.col("_dp") == 0, F.bround(F.col("_v"), 0).cast("long").cast("string"))
     for d in sorted({v for v in PROFILE_NUMERIC_ROUND.values() if v}):
         value = value.when(F.col("_dp") == d, F.bround(F.col("_v"), d).cast("string"))
     rendered = rendered.select("field", "stat", value.alias("value"))
-    nulls = long.groupBy("field").agg(F.count_if(F.col("v").isNull()).alias("_n")).filter(F.col("_n") > 0) \
-        .select("field", F.lit("null_count").alias("stat"), F.col("_n").cast("string").alias("value"))
+    nulls = missing.filter(F.col("_n") > 0).select("field", F.lit("null_count").alias("stat"), F.col("_n").cast("string").alias("value"))
     return rendered.unionByName(nulls)
 
 
@@ -116,32 +132,48 @@ def _json_string(c: Column) -> Column:
     return F.when(c.isNull(), F.lit("null")).otherwise(F.concat(F.lit('"'), escaped, F.lit('"')))
 
 
-def _section(counts: DataFrame, name: str) -> DataFrame:
-    return counts.select(F.concat(F.lit(name + "."), F.col("value")).alias("path"),
-                         F.col("n").cast("string").alias("value"))
+#: Columns whose values a profile counts, and the one that it looks for examples in.
+COUNTED, EXAMPLED = ("source", "license", "imbalance_level", "dtype", "granularity"), "collection"
+
+
+def profile_counts(catalog: DataFrame, order: str = "id") -> DataFrame:
+    """``(section, value, n, first)``: rows by value of each counted column, of the examples' column, and in all (no section).
+
+    One scan, expanded to the grouping sets, and one aggregate that combines before its shuffle. ``first`` is the first
+    non-null ``time_column`` of the group in ``order``. A NULL granularity has a bucket of its own.
+    """
+    cols = [*COUNTED, EXAMPLED]
+    view = catalog.select(*[F.coalesce(F.col(c), F.lit(NULL_BUCKET)).alias(c) if c == "granularity" else F.col(c).cast("string").alias(c) for c in cols],
+                          "time_column", F.col(order).alias("_order"))
+    first = F.min_by("time_column", F.when(F.col("time_column").isNotNull(), F.col("_order")))
+    sets = view.groupingSets([[F.col(c)] for c in cols] + [[]], *cols).agg(F.count(F.lit(1)).alias("n"), first.alias("first"), F.grouping_id().alias("_set"))
+    all_sets = (1 << len(cols)) - 1
+    mine = [F.col("_set") == all_sets - (1 << (len(cols) - 1 - i)) for i in range(len(cols))]
+    section = F.coalesce(*[F.when(is_set, F.lit(c)) for c, is_set in zip(cols, mine)])
+    value = F.coalesce(*[F.when(is_set, F.col(c)) for c, is_set in zip(cols, mine)])
+    return sets.select(section.alias("section"), value.alias("value"), "n", "first")
 
 
 def profile_catalog(catalog: DataFrame, order: str = "id", examples=COLLECTION_EXAMPLES) -> DataFrame:
     """The whole profile as ``(path, value)``.
 
     ``order`` decides which value is "first" per source (the published catalog
-    is sorted by id).
+    is sorted by id). The catalog is read for its counts, and for the quantiles of its numbers.
     """
-    df = catalog
+    counts = written(profile_counts(catalog, order))  # one row a distinct value; the number of rows decides the form of the quantiles
+    total = counts.filter("section IS NULL").first()
+    n_rows = total["n"] if total else 0
+    known = counts.filter("value IS NOT NULL")
+    wanted = catalog.sparkSession.createDataFrame([(n,) for n in examples], "value string")
+    found = wanted.join(known.filter(F.col("section") == EXAMPLED), "value", "left")
+    text = F.col("n").cast("string").alias("value")
     parts = [
-        df.agg(F.count(F.lit(1)).cast("string").alias("value")).select(F.lit("row_count").alias("path"), "value"),
-        _section(value_counts(df, "source"), "source"),
-        _section(value_counts(df, "license"), "license"),
-        _section(value_counts(df, "imbalance_level"), "imbalance_level"),
-        _section(value_counts(df, "dtype"), "dtype"),
-        _section(value_counts(df, "granularity", NULL_BUCKET), "granularity"),
-        first_value_by_group(df, "source", "time_column", order).select(
-            F.concat(F.lit("time_column_by_source."), F.col("source")).alias("path"),
-            _json_string(F.col("time_column")).alias("value")),
-        count_distinct(df, "collection").select(F.lit("collection_count_distinct").alias("path"),
-                                                 F.col("n").cast("string").alias("value")),
-        _section(example_counts(df, examples), "collection_examples"),
-        numeric_profile(df).select(F.concat_ws(".", F.lit("numeric"), "field", "stat").alias("path"), "value"),
+        catalog.sparkSession.createDataFrame([("row_count", str(n_rows))], "path string, value string"),
+        known.filter(F.col("section") != EXAMPLED).select(F.concat_ws(".", "section", "value").alias("path"), text),
+        known.filter("section = 'source'").select(F.concat(F.lit("time_column_by_source."), F.col("value")).alias("path"), _json_string(F.col("first")).alias("value")),
+        known.agg(F.count_if(F.col("section") == EXAMPLED).cast("string").alias("value")).select(F.lit("collection_count_distinct").alias("path"), "value"),
+        found.select(F.concat(F.lit("collection_examples."), F.col("value")).alias("path"), F.coalesce("n", F.lit(0)).cast("string").alias("value")),
+        numeric_profile(catalog, n_rows=n_rows).select(F.concat_ws(".", F.lit("numeric"), "field", "stat").alias("path"), "value"),
     ]
     return reduce(DataFrame.unionByName, parts)
 
@@ -200,10 +232,10 @@ def profile_to_json(profile: DataFrame) -> str:
     return json.dumps(root, indent=2, sort_keys=True) + "\n"
 
 
-def check_profile(catalog: DataFrame, expected_json: str) -> DataFrame:
+def check_profile(catalog: DataFrame, expected_json: str, examples=COLLECTION_EXAMPLES) -> DataFrame:
     """Drift rows of ``catalog`` against a stored profile (empty = no drift)."""
     spark = catalog.sparkSession
-    return diff_profiles(profile_from_json(spark, expected_json), profile_catalog(catalog))
+    return diff_profiles(profile_from_json(spark, expected_json), profile_catalog(catalog, examples=examples))
 
 
 def write_profile(profile: DataFrame, path: str) -> str:

@@ -580,6 +580,53 @@ def derived_dates_sql() -> str:
         UNION ALL SELECT 'event_raw', ts FROM events)"""
 
 
+# What stands before a key: paths hold letters, digits, points, underscores and hyphens only, so most of these look alike there.
+COLLIDING = ("k/", "k+", "k*", "k(", "k&", "k#", "k!", "k=", "k.", "k_")
+# Parts of which paths are built.
+PATH_PARTS = ("a", "..", ".", "", "b..", "...")
+
+
+def exclude_collections_sql() -> str:
+    headers = " UNION ALL ".join(f"SELECT DISTINCT id, source, collection FROM ({panel_sql(n)})" for n in ("entries", "orders", "wide"))
+    return f"""SELECT source, collection, COUNT(*) AS n_series FROM ({headers})
+      WHERE source IN ('gluonts', 'tables') AND collection NOT IN ('emb1', 'emb7', 'orders') GROUP BY 1, 2"""
+
+
+def path_collisions_keys_sql() -> str:
+    keys = ", ".join(f"'{a}' || c_custkey" for a in COLLIDING)
+    return f"""WITH k AS (SELECT DISTINCT {make_id_sql("'tables'", "'customer'", 'key')} AS id FROM (SELECT unnest([{keys}]) AS key FROM customer))
+      SELECT {blob_path_sql()} AS blob_path, COUNT(*) AS n_ids, MIN(id) AS first_id, MAX(id) AS last_id FROM k GROUP BY 1 HAVING COUNT(*) > 1"""
+
+
+def unsafe_paths_sql() -> str:
+    parts, n = ", ".join(f"'{p}'" for p in PATH_PARTS), len(PATH_PARTS)
+    path = " || '/' || ".join(f"([{parts}])[CAST((c_custkey // {n**k}) % {n} AS BIGINT) + 1]" for k in range(4))
+    return f"""WITH p AS (SELECT c_custkey, {path} || '/' || c_custkey AS path FROM customer),
+        d AS (SELECT *, list_transform(string_split(path, '/'), lambda x: CASE WHEN x = '..' THEN -1 WHEN x IN ('', '.') THEN 0 ELSE 1 END) AS steps FROM p)
+      SELECT c_custkey, path, starts_with(path, '/') OR list_min(list_transform(range(1, len(steps) + 1), lambda i: list_sum(steps[1:i]))) < 0 AS unsafe FROM d"""
+
+
+def pull_one_sql() -> str:
+    return f"""WITH cat AS MATERIALIZED ({series_sql()})
+      SELECT p.pos, p.ts, p.value FROM ({panel_sql('orders')}) p WHERE p.id = (SELECT MIN(id) FROM cat WHERE collection = 'orders')"""
+
+
+def catalog_versions_sql() -> str:
+    return f"""WITH s AS MATERIALIZED ({catalog_scan_sql()})
+      SELECT '1.1' AS version, 'series' AS table_name, COUNT(*) AS n, TRUE AS rewrite_refused FROM s WHERE ord < 2 AND {accepted_sql()}
+      UNION ALL SELECT '1.1', 'scanned', COUNT(*), TRUE FROM s WHERE ord < 2
+      UNION ALL SELECT 'latest', 'series', COUNT(*), TRUE FROM s WHERE {accepted_sql()}
+      UNION ALL SELECT 'latest', 'scanned', COUNT(*), TRUE FROM s"""
+
+
+def describe_sql() -> str:
+    stats = {"count": "COUNT({c})", "mean": "AVG({c})", "stddev": "STDDEV_SAMP({c})", "min": "MIN({c})", "25%": "QUANTILE_DISC({c}, 0.25)",
+             "50%": "QUANTILE_DISC({c}, 0.5)", "75%": "QUANTILE_DISC({c}, 0.75)", "max": "MAX({c})"}
+    rows = " UNION ALL ".join(f"SELECT '{name}' AS summary, " + ", ".join(f"{sig('CAST(' + f.format(c=c) + ' AS DOUBLE)')} AS {c}" for c in ("pct_rare", "length", "n_rare")) + " FROM s"
+                              for name, f in stats.items())
+    return f"WITH s AS MATERIALIZED ({series_sql()}) {rows}"
+
+
 def granularity_sql(dates: str | None = None) -> str:
     """Granularity per ``grp`` of a ``(grp, ts)`` query (default: the derived date sets)."""
     day = 86_400_000_000
@@ -644,6 +691,13 @@ def _register() -> None:
         ORACLE[f"scan_{n}"] = with_hash_sql(scan_rows_sql(panel_sql(n)), panel_sql(n))
     ORACLE.update({
         "content_hash": content_hash_sql(panel_sql("events_gaps")),
+        "exclude_collections": exclude_collections_sql(),
+        "path_collisions_keys": path_collisions_keys_sql(),
+        "unsafe_paths": unsafe_paths_sql(),
+        "pull_one": pull_one_sql(),
+        "catalog_versions": catalog_versions_sql(),
+        "describe": describe_sql(),
+        "profile_check": profile_diff_sql(),
         "scan_wide_files": scan_wide_files_sql(),
         "panel_wide_files": f"SELECT id, name, granularity, time_column, dtype, pos, ts, value FROM ({wide_files_panel_sql()})",
         "limit_wide_files": limit_wide_files_sql(),

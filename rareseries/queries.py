@@ -15,7 +15,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from .filequeries import FILE_QUERIES
-from .oracle import DIGITS, ENTRY_FREQS
+from .oracle import COLLIDING, DIGITS, ENTRY_FREQS, PATH_PARTS
 from .operators.hashing import content_hashes
 from .operators.profile import lag1_pairs_stats, profile_moments
 from .operators.relevance import control_points, embedding, imbalance_scores, scored_targets, targets
@@ -23,15 +23,16 @@ from .operators.scan import level_counts, score_panel
 from .params import DEFAULT, ScoreParams
 from .plans.sequence import compact, number_rows
 from .sources.entries import entry_header, entry_points
-from .functions.ids import blob_path, id_part
-from .operators.catalog import build_scanned, build_series, dedupe_first, duplicate_report
-from .operators.drift import (catalog_filter, count_distinct, diff_profiles, example_counts,
-                              first_value_by_group, numeric_profile, profile_catalog, top_k, value_counts)
+from .functions.ids import blob_path, id_part, make_id, unsafe_path
+from .operators.catalog import build_catalog, build_scanned, build_series, dedupe_first, duplicate_report, load_catalog, write_catalog
+from .operators.drift import (catalog_filter, check_profile, count_distinct, describe, diff_profiles, example_counts,
+                              first_value_by_group, numeric_profile, profile_catalog, read_profile_text, top_k, value_counts,
+                              write_profile)
 from .operators.batch import append_batch
-from .operators.increment import limit_new, only_new, scan_summary
+from .operators.increment import exclude_collections, limit_new, only_new, scan_summary
 from .operators.publish import (blob_sizes, finalize_catalog, missing_from_source, path_collisions, stage_series,
                                 unpublished)
-from .operators.retrieve import pull_many, pull_status, read_series, verify_pulled
+from .operators.retrieve import pull, pull_many, pull_status, read_series, verify_pulled
 from .params import NULL_BUCKET
 from .schemas import published
 from .session import ensure_checkpoint_dir
@@ -496,7 +497,78 @@ def q_catalog_filter(spark, root):
     return rounded(s.select("id", "collection", "N", "n_rare", "pct_rare", "imbalance_level"))
 
 
+# Excluded in place of the fixed list, so that rows go.
+EXCLUDED_HERE = ("emb1", "emb7", "orders")
+
+
+def q_exclude_collections(spark, root):
+    """Series by collection after exclusions, of one source."""
+    headers = [panel(spark, root, n)[0] for n in ("entries", "orders", "wide")]
+    left = exclude_collections(functools.reduce(DataFrame.unionByName, headers), EXCLUDED_HERE, sources=["gluonts", "tables"])
+    return left.groupBy("source", "collection").agg(F.count("*").alias("n_series"))
+
+
+def q_path_collisions_keys(spark, root):
+    """U9 on keys that differ in characters a path cannot hold: ids of one shard fall together."""
+    key = F.explode(F.array(*[F.concat(F.lit(a), F.col("c_custkey").cast("string")) for a in COLLIDING])).alias("key")
+    keys = read_table(spark, root, "customer").select(key)
+    return path_collisions(keys.select(make_id(F.lit("tables"), F.lit("customer"), F.col("key")).alias("id")))
+
+
+def q_unsafe_paths(spark, root):
+    """Paths built from the parts of a customer's key."""
+    parts = F.array(*[F.lit(p) for p in PATH_PARTS])
+    i = F.col("c_custkey")
+    picked = [F.element_at(parts, (F.pmod(F.floor(i / len(PATH_PARTS) ** k), F.lit(len(PATH_PARTS))) + 1).cast("int")) for k in range(4)]
+    path = F.concat(F.concat_ws("/", *picked), F.lit("/"), i.cast("string"))
+    return read_table(spark, root, "customer").select("c_custkey", path.alias("path")).withColumn("unsafe", unsafe_path("path"))
+
+
+def q_pull_one(spark, root):
+    """G1: the points of the first accepted orders series, read from its partition."""
+    catalog = finalized_catalog(spark, root)
+    wanted = catalog.filter(F.col("collection") == "orders").agg(F.min("id")).first()[0]
+    return pull(wanted, catalog, read_series(spark, series_store(spark, root))) if wanted else read_series(spark, series_store(spark, root)).select("pos", "ts", "value").limit(0)
+
+
+def q_catalog_versions(spark, root):
+    """Two versions; a second write of the first one fails and changes nothing. Rows by version and table."""
+    path, scan = fresh_path(spark, "catalog"), catalog_scan(spark, root)
+    early = scan.filter(F.col("ord") < 2)
+    write_catalog(*build_catalog(early), path, "1.1", "2026-01-02")
+    write_catalog(*build_catalog(scan), path, "1.10", "2026-02-01")
+    try:
+        write_catalog(*build_catalog(scan), path, "1.1", "2026-03-01")
+        refused = False
+    except FileExistsError:
+        refused = True
+    parts = [load_catalog(spark, path, v, t).agg(F.count("*").alias("n")).select(F.lit(v).alias("version"), F.lit(t).alias("table_name"), "n")
+             for v in ("1.1", "latest") for t in ("series", "scanned")]
+    return functools.reduce(DataFrame.unionByName, parts).withColumn("rewrite_refused", F.lit(refused))
+
+
+def q_describe(spark, root):
+    """Summary statistics of heavy-tailed columns, as numbers."""
+    rows = describe(catalog_series(spark, root), ["pct_rare", "length", "n_rare"])
+    return rounded(rows.select("summary", *[F.col(c).cast("double").alias(c) for c in rows.columns if c != "summary"]))
+
+
+def q_profile_check(spark, root):
+    """The full catalog against the stored profile of the first two runs."""
+    before = published(build_series(catalog_scan(spark, root).filter(F.col("ord") < 2), sort=False))
+    path = fresh_path(spark, "profile")
+    write_profile(profile_catalog(before, "id", EXAMPLES), path)
+    return check_profile(published(catalog_series(spark, root)), read_profile_text(spark, path), EXAMPLES)
+
+
 QUERIES: dict[str, Query] = {
+    "exclude_collections": q_exclude_collections,
+    "path_collisions_keys": q_path_collisions_keys,
+    "unsafe_paths": q_unsafe_paths,
+    "pull_one": q_pull_one,
+    "catalog_versions": q_catalog_versions,
+    "describe": q_describe,
+    "profile_check": q_profile_check,
     **FILE_QUERIES,
     **{f"scan_{n}": q_scan(n) for n in SCAN_PANELS},
     "scan_event_types": q_scan_hot,
