@@ -136,7 +136,7 @@ def panel_from_wide_files(spark: SparkSession, root: str, folders=WIDE_FOLDERS,
     columns = wide_columns(good, headers, date_col).join(chosen, "file")
     numbered = number_rows(good.select("file", "block", "line_no", "ts", "dated", "cells"), ["file"], ["ts", "block", "line_no"], "pos", chunk_rows)
     dated = good.filter("dated").select("file", F.col("ts").alias("ts"))
-    granularity = infer_granularity(dated, ["file"], "ts")
+    granularity = infer_granularity(dated, ["file"], "ts", n_groups=len(files))
     header = columns.join(granularity, "file", "left").join(
         headers.select("file", F.array_contains("names", date_col).alias("dated")), "file")
     header = header.select(

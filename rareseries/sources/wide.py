@@ -14,6 +14,7 @@ from ..functions.calendar import epoch_micros, parse_dates
 from ..functions.ids import make_id
 from ..operators.profile import clean_values
 from ..params import DEFAULT, WIDE_FOLDERS
+from ..plans.joins import MAX_BROADCAST_ROWS
 from ..plans.sequence import number_rows
 from ..schemas import PANEL
 
@@ -38,7 +39,7 @@ def _mod(a, b):
     return F.when(b > 0, a % b)
 
 
-def infer_granularity(df: DataFrame, group: list[str], ts: str = "ts") -> DataFrame:
+def infer_granularity(df: DataFrame, group: list[str], ts: str = "ts", n_groups: int | None = None) -> DataFrame:
     """Frequency label per group from its timestamps (all rows of the group).
 
     Rules: fewer than 3 rows, a NULL or a repeated timestamp -> NULL. A
@@ -46,7 +47,8 @@ def infer_granularity(df: DataFrame, group: list[str], ts: str = "ts") -> DataFr
     or ``W-<weekday of first>`` for 7 days. Midnight dates that are exactly
     the business days of their span -> ``B``. Midnight month ends (or month
     starts) with a constant month step of 1/3/12 -> ``M``/``Q``/``Y``. Anything
-    else -> NULL. Two aggregation passes; no window over a group.
+    else -> NULL. Two aggregation passes; no window over a group. A caller that knows the number of groups
+    (``n_groups``) spares the second pass its shuffle: few groups' steps are broadcast to the timestamps.
     """
     t = F.col(ts)
     naive = not isinstance(df.schema[ts].dataType, T.TimestampType)
@@ -76,6 +78,8 @@ def infer_granularity(df: DataFrame, group: list[str], ts: str = "ts") -> DataFr
                                       F.try_divide(F.col("_mhi") - F.col("_mlo"), gaps).cast("long")))
     # Second pass: every timestamp must sit on the grid the first pass implies.
     steps = s.select(*group, "_lo", "_step", "_mlo", "_mstep")
+    if n_groups is not None and n_groups <= MAX_BROADCAST_ROWS:
+        steps = F.broadcast(steps)
     off = d.join(steps, group, "inner").groupBy(*group).agg(
         F.count_if(F.coalesce(_mod(F.col("_us") - F.col("_lo"), F.col("_step")) != 0, F.lit(True)))
          .alias("_offgrid"),
@@ -132,7 +136,7 @@ def panel_from_wide(df: DataFrame, collection: str, source: str = "tslib", date_
         make_id(F.lit(source), F.lit(collection), F.col("name")).alias("id"), F.lit(source).alias("source"),
         F.lit(collection).alias("collection"), "name", "dtype", "ord")
     if has_date:
-        gran = infer_granularity(d.select("_tbl", F.col("_ts").alias("ts")), ["_tbl"], "ts")
+        gran = infer_granularity(d.select("_tbl", F.col("_ts").alias("ts")), ["_tbl"], "ts", n_groups=1)
         header = header.withColumn("_tbl", F.lit(collection)).join(F.broadcast(gran), "_tbl", "left")
     else:
         header = header.withColumn("granularity", F.lit(None).cast("string"))
