@@ -102,6 +102,20 @@ def append_scan(rows: DataFrame, path: str, fmt: str = "parquet") -> None:
         w.parquet(path)
 
 
+#: Buckets of a scan table by id; they must stay the same as long as a table is appended to.
+SCAN_BUCKETS = 64
+
+
+def append_scan_table(rows: DataFrame, table: str, path: str | None = None, buckets: int = SCAN_BUCKETS) -> None:
+    """R6 into a catalog table in buckets of ``id``, sorted inside each.
+
+    A resume (:func:`only_new` against ``spark.table(table)``) then moves the new header alone: the scan table meets it bucket by
+    bucket, without a shuffle of its own, however many batches it holds. ``path`` places a table that does not exist yet.
+    """
+    w = rows.select(*SCAN_COLUMNS).repartition(buckets, "id").write.mode("append").bucketBy(buckets, "id").sortBy("id").format("parquet")
+    (w.option("path", path) if path else w).saveAsTable(table)
+
+
 def scan_summary(scan: DataFrame) -> DataFrame:
     """Total, counts per status, per level (NULL kept), and the ``n_rare > 0`` count.
 

@@ -691,6 +691,7 @@ def _register() -> None:
         ORACLE[f"scan_{n}"] = with_hash_sql(scan_rows_sql(panel_sql(n)), panel_sql(n))
     ORACLE.update({
         "content_hash": content_hash_sql(panel_sql("events_gaps")),
+        "resume_bucketed": resume_anti_sql(),
         "exclude_collections": exclude_collections_sql(),
         "path_collisions_keys": path_collisions_keys_sql(),
         "unsafe_paths": unsafe_paths_sql(),

@@ -29,7 +29,7 @@ from .operators.drift import (catalog_filter, check_profile, count_distinct, des
                               first_value_by_group, numeric_profile, profile_catalog, read_profile_text, top_k, value_counts,
                               write_profile)
 from .operators.batch import append_batch
-from .operators.increment import exclude_collections, limit_new, only_new, scan_summary
+from .operators.increment import append_scan_table, exclude_collections, limit_new, only_new, scan_summary
 from .operators.publish import (blob_sizes, finalize_catalog, missing_from_source, path_collisions, stage_series,
                                 unpublished)
 from .operators.retrieve import pull, pull_many, pull_status, read_series, verify_pulled
@@ -283,6 +283,20 @@ def q_resume_anti(spark, root):
     return only_new(header, prev_header).select("id", "source", "collection", "name")
 
 
+def q_resume_bucketed(spark, root):
+    """The same against a scan table in buckets of id, to which two batches were appended."""
+    earlier = TablePanel("orders", "orders", "o_custkey", ("o_orderdate", "o_orderkey"), "o_totalprice",
+                         "o_orderdate < TIMESTAMP '1997-01-01 00:00:00'")
+    h, p = table_panel(spark, root, earlier)
+    rows = score_panel(h, p, with_hash=False)
+    table, path = f"scan_{uuid.uuid4().hex}", fresh_path(spark, "scan-table")
+    odd = F.pmod(F.xxhash64("id"), F.lit(2)) == 1
+    append_scan_table(rows.filter(odd), table, path)
+    append_scan_table(rows.filter(~odd), table)
+    header, _ = panel(spark, root, "orders")
+    return only_new(header, spark.table(table)).select("id", "source", "collection", "name")
+
+
 def q_limit_new(spark, root):
     header, _ = panel(spark, root, "entries")
     return limit_new(header, 5).select("id", "collection", "ord")
@@ -562,6 +576,7 @@ def q_profile_check(spark, root):
 
 
 QUERIES: dict[str, Query] = {
+    "resume_bucketed": q_resume_bucketed,
     "exclude_collections": q_exclude_collections,
     "path_collisions_keys": q_path_collisions_keys,
     "unsafe_paths": q_unsafe_paths,
