@@ -25,7 +25,7 @@ def exact_groups(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text"
 
     Null or empty texts form one group. A null id is never chosen while the group has another id; a group of
     null ids only has a null keep_id and none is kept. Rows that repeat id and text are all reported (and kept)
-    alike. Two different texts that agree in both MD5 and SHA-256 raise an error. Other columns are ignored.
+    alike (``drop_copies`` leaves one of them). Two different texts that agree in both MD5 and SHA-256 raise an error. Other columns are ignored.
     """
     rows = docs.select(F.col(id_col).alias("id"), ascii_lower(F.col(text_col)).alias("norm"))
     rows = rows.select("id", F.unhex(F.md5("norm")).alias("h"), "norm")
@@ -50,12 +50,18 @@ def exact_groups(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text"
 
 
 def drop_copies(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", keep: str = "smallest") -> DataFrame:
-    """``docs`` without the rows that lose in their group (all columns stay).
+    """``docs`` with one row of each group of equal texts (all columns stay).
 
-    Losers are removed by an anti-join on the id, so texts move only if the losers are too many to broadcast.
-    Rows with a null id stay unless their text is kept under another id.
+    Losers are removed by an anti-join on the id, so texts move only if the losers are too many to broadcast. Where the
+    id that stays stands on several rows, or a group has no id, the smallest of these rows by all columns stays.
     """
-    groups = exact_groups(docs, id_col, text_col, keep)
-    losers = groups.where("not kept and keep_id is not null").select(F.col(id_col).alias("__lost_id"), F.col("text_sha256").alias("__lost_sha"))
-    sha = F.sha2(ascii_lower(F.col(text_col)), 256)
-    return docs.join(cut(losers).dropDuplicates(), docs[id_col].eqNullSafe(F.col("__lost_id")) & (sha == F.col("__lost_sha")), "left_anti")
+    groups = cut(exact_groups(docs, id_col, text_col, keep).where("group_size > 1").select(F.col(id_col).alias("__lost_id"), F.unhex("text_sha256").alias("__lost_sha"), "keep_id"))
+    stays = F.col("__lost_id").eqNullSafe(F.col("keep_id"))
+    losers = groups.where(~stays).select("__lost_id", "__lost_sha").distinct()
+    again = cut(groups.where(stays).groupBy("__lost_id", "__lost_sha").count().where("count > 1").drop("count"))
+    same = docs[id_col].eqNullSafe(F.col("__lost_id")) & (F.unhex(F.sha2(ascii_lower(docs[text_col]), 256)) == F.col("__lost_sha"))
+    single = docs.join(losers.union(again), same, "left_anti")
+    row = F.struct(*[docs[c] for c in docs.columns])
+    smallest = F.first if any("map<" in kind for _, kind in docs.dtypes) else F.min  # maps have no order
+    one = docs.join(again, same).groupBy("__lost_id", "__lost_sha").agg(smallest(row).alias("__row")).select("__row.*")
+    return single.unionByName(one)

@@ -95,12 +95,12 @@ def schedule(sources: DataFrame) -> DataFrame:
 def lines(docs: DataFrame, sources: DataFrame) -> DataFrame:
     """Documents with their place on their source's line of words: id, source, size, start, and the source's columns.
 
-    The shuffle is the order of a hash of the id (of the text, for rows without an id); rows with equal ids follow one
-    another by size and hash of the text.
+    The shuffle is the order of a hash of the id and the text, so rows that repeat an id, or have none, lie apart; rows that
+    repeat both follow one another.
     """
     s = sources.select(F.col("source").alias("s1"), "n", "source_size", "target", F.col("block").alias("block_words"))
     d = docs.join(s, F.col("source").eqNullSafe(F.col("s1"))).drop("s1")
-    d = d.withColumn("h", F.xxhash64("id", F.lit(4), F.when(F.col("id").isNull(), F.col("text_hash"))))
+    d = d.withColumn("h", F.xxhash64("id", F.lit(4), "text_hash"))
     # the high part of the hash is the segment, so segments follow the order of the hash
     d = d.withColumn("seg", F.floor((F.col("h") / F.lit(2.0**64) + 0.5) * F.ceil(F.col("n") / SEGMENT)))
     seg = d.groupBy("source", "seg").agg(F.sum("size").alias("c"))

@@ -19,8 +19,8 @@ from pyspark.sql import functions as F
 from rareseries.llm.common import slices
 from rareseries.llm.tokens import encoder, tokenizer_path, with_end
 
-#: Documents in a group, on average.
-GROUP_DOCS = 1024
+#: Documents and bytes of text in a group at most, on average.
+GROUP_DOCS, GROUP_BYTES = 1024, 8 << 20
 
 
 def first_fit_decreasing(lengths: list[int], capacity: int) -> list[int]:
@@ -132,7 +132,8 @@ def pack(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", path:
     """
     path = path or tokenizer_path()
     rows = docs.select(F.col(id_col).cast("long").alias("id"), F.col(text_col).alias("text"))
-    groups = max(1, math.ceil(rows.count() / GROUP_DOCS))
+    count, size = rows.agg(F.count("*"), F.sum(F.octet_length("text").cast("long"))).first()
+    groups = max(1, math.ceil(count / GROUP_DOCS), math.ceil((size or 0) / GROUP_BYTES))
     rows = rows.withColumn("group", F.floor(F.rand(seed) * groups).cast("long"))
     run = partial(_pack, path=path, end=end, capacity=capacity)
     return rows.groupBy("group").applyInArrow(lambda key, group: run(key, group), _PIECES).withColumnRenamed("id", id_col)

@@ -96,6 +96,10 @@ def fit_ordinal(row: np.ndarray, col: np.ndarray, value: np.ndarray, grade: np.n
     return param[:DIMS].copy(), param[DIMS] + np.concatenate([[0.0], np.cumsum(np.exp(param[DIMS + 1 :]))])
 
 
+#: The name of the text column on its way through the tasks; no table has it.
+TEXT = "__rated_text"
+
+
 def _design(batches):
     for batch in batches:
         for part in slices(batch, "text"):
@@ -111,8 +115,8 @@ def _design(batches):
 
 def _rate(batches, weights, thresholds, grades, keep_from: int):
     for batch in batches:
-        for part in slices(batch, "text"):
-            row, col, value = features(part.column("text"))
+        for part in slices(batch, TEXT):
+            row, col, value = features(part.column(TEXT))
             z = np.bincount(row, weights=weights.value[col] * value, minlength=len(part))
             above = 1 / (1 + np.exp(np.clip(np.asarray(thresholds)[None, :] - z[:, None], -30, 30)))  # P(grade > j)
             expected = grades[0] + above @ np.diff(np.asarray(grades, dtype=float))
@@ -152,11 +156,10 @@ def rate(docs: DataFrame, ratings: DataFrame, id_col: str = "doc_id", text_col:
         return docs.withColumns({"expected_grade": F.lit(only).cast("double"), "tail_probability": F.lit(1.0)})
     weights, thresholds, grades = model
     keep_from = sum(g < keep_grade for g in grades)
-    renamed = docs.withColumnRenamed(text_col, "text") if text_col != "text" else docs
+    renamed = docs.withColumnRenamed(text_col, TEXT)
     run = partial(_rate, weights=spark.sparkContext.broadcast(weights), thresholds=thresholds.tolist(), grades=grades, keep_from=keep_from)
     schema = ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in renamed.schema.fields) + ", expected_grade double, tail_probability double"
-    out = renamed.mapInArrow(run, schema)
-    return out.withColumnRenamed("text", text_col) if text_col != "text" else out
+    return renamed.mapInArrow(run, schema).withColumnRenamed(TEXT, text_col)
 
 
 def keep_good(docs: DataFrame, ratings: DataFrame, id_col: str = "doc_id", text_col: str = "text", rating_col: str = "quality", keep_grade: int = 1, least: float = 0.5) -> DataFrame:

@@ -97,7 +97,45 @@ def op13_source_divergence(spark: SparkSession, sf_dir: str) -> DataFrame:
 LLM_QUERIES = {f.__name__: f for f in (op1_exact_dedup, op2_jaccard_join, op3_suffix_dedup, op4_mixing, op5_token_files, op6_line_dedup, op7_toxicity, op8_quality, op9_packing, op10_vector_dedup, op11_token_alignment, op12_warc, op13_source_divergence)}
 
 _LOWER = "translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz')"
+#: Recursive components of ``links`` (a, b) over ``nodes`` (id): the smallest id that each reaches.
+_COMPONENTS = """
+        ties AS (SELECT a, b FROM links UNION SELECT b, a FROM links),
+        walk AS (SELECT id, id AS seen FROM nodes UNION SELECT w.id, e.b FROM walk w JOIN ties e ON w.seen = e.a),
+        comp AS (SELECT id, min(seen) AS component_id FROM walk GROUP BY id)"""
+_BASE32 = " || ".join(f"substr('ABCDEFGHIJKLMNOPQRSTUVWXYZ234567', ((CAST('0x' || substr(h, {5 * i + 1}, 5) AS INTEGER) >> {k}) & 31) + 1, 1)" for i in range(8) for k in (15, 10, 5, 0))
+
 LLM_ORACLE = {
+    "op2_jaccard_join": f"""
+        WITH RECURSIVE d AS (SELECT doc_id AS id, regexp_extract_all({_LOWER}, '[^\\x20\\x09-\\x0D]+') AS w FROM documents),
+        s AS (SELECT id, CASE WHEN len(w) = 0 THEN [] WHEN len(w) < 4 THEN [array_to_string(w, ' ')]
+                              ELSE list_distinct(list_transform(range(1, len(w) - 2), lambda i: array_to_string(w[i:i + 3], ' '))) END AS s FROM d),
+        g AS (SELECT id, len(s) AS n, unnest(s) AS x FROM s),
+        links AS (SELECT a.id AS a, b.id AS b FROM g a JOIN g b ON a.x = b.x AND a.id < b.id GROUP BY a.id, b.id, a.n, b.n HAVING 100 * count(*) >= 85 * (a.n + b.n - count(*))),
+        nodes AS (SELECT id FROM d),{_COMPONENTS}
+        SELECT s.id AS doc_id, CAST(len(s.s) AS BIGINT) AS n_shingles, comp.component_id FROM s JOIN comp ON comp.id = s.id""",
+    "op3_suffix_dedup": """
+        WITH d AS (SELECT doc_id, hex(encode(coalesce(text, ''))) AS h, octet_length(encode(coalesce(text, ''))) AS n FROM documents),
+        w AS (SELECT doc_id, p, substr(h, 2 * p + 1, 100) AS x FROM (SELECT doc_id, h, unnest(range(0, n - 49)) AS p FROM d)),
+        hit AS (SELECT doc_id, p FROM (SELECT doc_id, p, min(doc_id) OVER (PARTITION BY x) AS least FROM w) WHERE least < doc_id),
+        turn AS (SELECT doc_id, p, CASE WHEN p - lag(p) OVER o <= 50 THEN 0 ELSE 1 END AS new FROM hit WINDOW o AS (PARTITION BY doc_id ORDER BY p)),
+        span AS (SELECT doc_id, min(p) AS s, max(p) + 50 AS e FROM (SELECT *, sum(new) OVER (PARTITION BY doc_id ORDER BY p) AS run FROM turn) GROUP BY doc_id, run),
+        piece AS (SELECT doc_id, s, e, lag(e, 1, 0) OVER (PARTITION BY doc_id ORDER BY s) AS after FROM span),
+        kept AS (SELECT p.doc_id, count(*) AS n_spans, sum(e - s) AS n_removed, max(e) AS last, string_agg(substr(d.h, 2 * after + 1, 2 * (s - after)), '' ORDER BY s) AS k FROM piece p JOIN d USING (doc_id) GROUP BY p.doc_id)
+        SELECT d.doc_id, CAST(d.n AS BIGINT) AS n_bytes, CAST(coalesce(n_removed, 0) AS BIGINT) AS n_removed, coalesce(n_spans, 0) AS n_spans,
+               sha256(unhex(coalesce(k || substr(d.h, 2 * last + 1), d.h))) AS kept_sha256
+        FROM d LEFT JOIN kept USING (doc_id)""",
+    "op10_vector_dedup": f"""
+        WITH RECURSIVE v AS (SELECT vec_id AS id, CAST(embedding AS DOUBLE[]) AS e FROM embeddings),
+        ok AS (SELECT * FROM v WHERE e IS NOT NULL AND len(list_filter(e, lambda x: x IS NULL OR isnan(x) OR isinf(x))) = 0 AND len(list_filter(e, lambda x: x <> 0)) > 0),
+        links AS (SELECT a.id AS a, b.id AS b FROM ok a JOIN ok b ON a.id < b.id AND len(a.e) = len(b.e) WHERE list_cosine_similarity(a.e, b.e) >= 0.9),
+        nodes AS (SELECT id FROM v),{_COMPONENTS}, degree AS (SELECT a AS id, count(*) AS n FROM ties GROUP BY a)
+        SELECT v.id AS vec_id, coalesce(degree.n, 0) AS n_links, comp.component_id, v.id = comp.component_id AS kept FROM v JOIN comp ON comp.id = v.id LEFT JOIN degree ON degree.id = v.id""",
+    "op12_warc": f"""
+        WITH p AS (SELECT page_id, coalesce(html, '') AS t, upper(sha1(coalesce(html, ''))) AS h FROM pages),
+        r AS (SELECT *, max(page_id) OVER (PARTITION BY t) AS best FROM p)
+        SELECT page_id, CAST(strlen(t) AS BIGINT) AS payload_bytes, {_BASE32} AS payload_digest,
+               CASE WHEN page_id = best THEN 'response' ELSE 'revisit' END AS record_type, CASE WHEN page_id <> best THEN best END AS refers_to
+        FROM r""",
     "op1_exact_dedup": f"""
         WITH d AS (SELECT doc_id, {_LOWER} AS t FROM documents)
         SELECT doc_id, max(doc_id) OVER w AS keep_id, count(*) OVER w AS group_size,

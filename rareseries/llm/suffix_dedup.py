@@ -244,7 +244,8 @@ def remove_repeats(docs: DataFrame, id_col: str = "doc_id", text_col: str = "tex
     total = rows.agg(F.sum(F.octet_length("text").cast("long"))).first()[0] or 0
     chunks = max(1, math.ceil(total / CHUNK_BYTES))
     buckets = max(1, math.ceil(total * 2 / (length - k + 2) / BUCKET_ENTRIES))
-    rows = rows.withColumn("chunk", F.pmod(F.xxhash64("id"), F.lit(chunks)).cast("int"))
+    # by id and text, so that the rows of one id, and those without any, spread over the chunks
+    rows = rows.withColumn("chunk", F.pmod(F.xxhash64("id", "text"), F.lit(chunks)).cast("int"))
     text = rows.groupBy("chunk")
     setting = {"length": length, "k": k}
     entries = text.applyInArrow(_bind(_anchor_entries, **setting, buckets=buckets), _ENTRIES)

@@ -18,7 +18,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from rareseries.llm.common import components, cut, local_components
+from rareseries.llm.common import components, cut, local_components, written
 
 #: Vectors in a block, on average.
 BLOCK = 2048
@@ -243,11 +243,12 @@ def vector_groups(vectors: DataFrame, id_col: str = "vec_id", vec_col: str = "em
 
     Vectors link if their cosine, in double precision, is at least ``threshold``. Vectors that are null, empty or zero, or
     that hold null or non-finite components, link with nothing, nor do vectors of different lengths, or rows with a null
-    id (their component_id is null and kept false). Rows that repeat an id are one vector: they do not link with one
-    another, and their links add up. Other columns are ignored.
+    id (their component_id is null and kept false). Rows that repeat an id are vectors of their own. Other columns are ignored.
     """
     spark = vectors.sparkSession
-    rows = vectors.select(F.col(id_col).cast("long").alias("id"), F.col(vec_col).cast("array<double>").alias("vec"))
+    # rows are told apart by a key that is written once: those of a repeated id spread over the blocks like others
+    keyed = written(vectors.select(F.monotonically_increasing_id().alias("row"), F.col(id_col).cast("long").alias("name"), F.col(vec_col).cast("array<double>").alias("vec")))
+    rows = keyed.where("name is not null").select(F.col("row").alias("id"), "vec")
     units = cut(rows.mapInArrow(_units, "id long, dim int, unit binary"))
     dims = {r["dim"]: r["count"] for r in units.groupBy("dim").count().collect()}
     centres = {}
@@ -284,6 +285,9 @@ def vector_groups(vectors: DataFrame, id_col: str = "vec_id", vec_col: str = "em
     found = cut(one.groupBy("left", "right").cogroup(two.groupBy("left_b", "right_b")).applyInArrow(lambda key, left, right: run(key, left, right), _FOUND))
     links = found.groupBy("id").agg(F.sum("links").alias("n_links"))
     groups = components(found.select(F.col("id").alias("u"), F.col("root").alias("v")))
-    out = rows.select("id").join(links, "id", "left").join(groups, "id", "left")
-    out = out.select(F.col("id").alias(id_col), F.coalesce("n_links", F.lit(0)).alias("n_links"), F.coalesce("component_id", "id").alias("component_id"))
+    groups = cut(groups.withColumnRenamed("component_id", "component"))
+    named = keyed.select(F.col("row").alias("id"), "name")
+    least = groups.join(named, "id").groupBy("component").agg(F.min("name").alias("least"))
+    out = named.join(links, "id", "left").join(groups, "id", "left").join(least, "component", "left")
+    out = out.select(F.col("name").alias(id_col), F.coalesce("n_links", F.lit(0)).alias("n_links"), F.coalesce("least", "name").alias("component_id"))
     return out.withColumn("kept", F.coalesce(F.col(id_col) == F.col("component_id"), F.lit(False)))
