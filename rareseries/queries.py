@@ -227,8 +227,21 @@ def run_of() -> Column:
     """Run index of a scan row (the panels of CATALOG_RUNS have disjoint source/collection)."""
     return (F.when(F.col("collection") == "events_gaps", 0).when(F.col("collection") == "orders", 1)
              .when(F.col("source") == "gluonts", 2).when(F.col("collection") == "daily_wide", 3))
-_SCAN_CACHE: dict[tuple[str, str], DataFrame] = {}
-_STORE_CACHE: dict[tuple[str, str], str] = {}
+
+
+_SCAN_CACHE: dict[tuple, DataFrame] = {}
+_STORE_CACHE: dict[tuple, str] = {}
+
+
+def cache_key(spark: SparkSession, root: str) -> tuple:
+    """What a scan table or store was made from: the application, the root, and the size and time of each table read."""
+    fs = spark._jvm.org.apache.hadoop.fs
+    stamps = []
+    for name in ("events", "orders", "embeddings", "lineitem"):
+        path = fs.Path(f"{root.rstrip('/')}/{name}.parquet")
+        status = path.getFileSystem(spark._jsc.hadoopConfiguration()).getFileStatus(path)
+        stamps.append((status.getLen(), status.getModificationTime()))
+    return (spark.sparkContext.applicationId, root, *stamps)
 
 
 def fresh_path(spark: SparkSession, kind: str) -> str:
@@ -244,7 +257,7 @@ def catalog_scan(spark: SparkSession, root: str) -> DataFrame:
     instead of rescoring, and an executor loss does not reach back to the
     scoring lineage.
     """
-    key = (spark.sparkContext.applicationId, root)
+    key = cache_key(spark, root)
     if key not in _SCAN_CACHE:
         ensure_checkpoint_dir(spark)
         headers, points = [], []
@@ -341,7 +354,7 @@ def q_path_collisions(spark, root):
 
 def series_store(spark: SparkSession, root: str) -> str:
     """Path of the stored series: every accepted series of every run, hash-checked and staged once per session and root."""
-    key = (spark.sparkContext.applicationId, root)
+    key = cache_key(spark, root)
     if key not in _STORE_CACHE:
         points = functools.reduce(DataFrame.unionByName, [panel(spark, root, name)[1] for name in CATALOG_RUNS])
         path = fresh_path(spark, "series")

@@ -29,13 +29,7 @@ HEADER = _schema(*[(c, S) for c in HEADER_FIELDS], ("ord", L))
 # Nested entries of one collection (a GluonTS-like source).
 ENTRIES = _schema(("entry_ord", L), ("item_id", S), ("target", T.ArrayType(D)))
 
-SCAN_COLUMNS = [
-    "id", "source", "collection", "name", "granularity", "time_column", "length", "dtype", "content_hash",
-    "N", "n_normal", "n_rare", "IR", "pct_rare", "imbalance_level",
-    "missing_pct", "mean", "std", "cv", "skewness", "kurtosis", "autocorr_lag1",
-    "status", "note",
-]
-
+# The published columns of the scan and catalog tables, in their order.
 SCAN = _schema(
     ("id", S), ("source", S), ("collection", S), ("name", S), ("granularity", S), ("time_column", S),
     ("length", L), ("dtype", S), ("content_hash", S),
@@ -44,6 +38,8 @@ SCAN = _schema(
     ("autocorr_lag1", D), ("status", S), ("note", S),
 )
 
+SCAN_COLUMNS = SCAN.names
+
 SERIES_COLUMNS = [
     "id", "name", "source", "collection", "license",
     "granularity", "time_column", "length", "dtype", "size_bytes",
