@@ -77,6 +77,17 @@ def slices(batch: pa.RecordBatch, column: str, max_bytes: int = KERNEL_BYTES) ->
         i = j
 
 
+def neighbours(places: list[tuple[int, int]], max_bytes: int) -> Iterator[tuple[int, int]]:
+    """Runs [first, last) of records of a file, given as (offset, length) end to end, that one read takes: ``max_bytes``, or one record."""
+    first = 0
+    for i, (at, n) in enumerate(places):
+        if i > first and at + n - places[first][0] > max_bytes:
+            yield first, i
+            first = i
+    if places:
+        yield first, len(places)
+
+
 def forest(pairs: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     """Edges (u, v) of a partition, batch by batch, as star edges (v, smallest vertex) with the same components."""
     import numpy as np

@@ -22,11 +22,15 @@ from pyspark import TaskContext
 from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
-from rareseries.llm.common import cut, files, slices
+from rareseries.llm.common import cut, files, neighbours, slices
 from rareseries.llm.tokens import encoder, tokenizer_path, with_end
 from rareseries.session import ensure_checkpoint_dir
 
 _HEAD, _CRC, _META, _INDEX = "<Q", "<I", "<BBq", "<QQ"
+#: Bytes that are read from a file at a time, or one record.
+READ_BYTES = 1 << 20
+#: Files whose first places are broadcast (a number and a sum each, some 8 MB).
+MAX_BROADCAST_FILES = 1 << 18
 #: Bytes of text that go to one file, on average.
 FILE_BYTES = 32 << 20
 
@@ -118,18 +122,23 @@ def _read(batches: Iterator[pa.RecordBatch], root: str) -> Iterator[pa.RecordBat
                 index = np.frombuffer(f.read(), dtype="<u8").reshape(-1, 2).astype(np.int64)
             out, before, size = [[], [], [], [], []], 0, 0
             with fs.open_input_file(row["data"]) as data:
-                for place, (at, n) in enumerate(index.tolist()):
-                    payload, stop = unframe(data.read_at(n, at))
-                    if stop != n:
-                        raise ValueError(f"{row['data']}: the index disagrees with the record at {at}")
-                    name, ids = deserialize(payload)
-                    for column, x in zip(out, (name, row["part"], place, before, ids.astype("<u4").tobytes()), strict=True):
-                        column.append(x)
-                    before += len(ids)
-                    size += len(out[-1][-1])
-                    if size > 16 << 20:
-                        yield pa.RecordBatch.from_arrays([pa.array(x, t) for x, t in zip(out, kinds, strict=True)], ["id", "part", "place", "before", "ids"])
-                        out, size = [[], [], [], [], []], 0
+                places = [tuple(x) for x in index.tolist()]
+                for first, last in neighbours(places, READ_BYTES):
+                    base, end = places[first][0], sum(places[last - 1])
+                    raw = memoryview(data.read_at(end - base, base))
+                    for place in range(first, last):
+                        at, n = places[place]
+                        payload, stop = unframe(raw[at - base : at - base + n])
+                        if stop != n:
+                            raise ValueError(f"{row['data']}: the index disagrees with the record at {at}")
+                        name, ids = deserialize(payload)
+                        for column, x in zip(out, (name, row["part"], place, before, ids.astype("<u4").tobytes()), strict=True):
+                            column.append(x)
+                        before += len(ids)
+                        size += len(out[-1][-1])
+                        if size > 16 << 20:
+                            yield pa.RecordBatch.from_arrays([pa.array(x, t) for x, t in zip(out, kinds, strict=True)], ["id", "part", "place", "before", "ids"])
+                            out, size = [[], [], [], [], []], 0
             if before != row["tokens"] or len(index) != row["records"]:
                 raise ValueError(f"{row['data']} does not hold what the manifest says")
             yield pa.RecordBatch.from_arrays([pa.array(x, t) for x, t in zip(out, kinds, strict=True)], ["id", "part", "place", "before", "ids"])
@@ -143,8 +152,9 @@ def read_records(manifest: DataFrame, root: str, id_col: str = "doc_id") -> Data
     run = Window.orderBy("part").rowsBetween(Window.unboundedPreceding, -1)
     first = manifest.select("part", F.coalesce(F.sum("tokens").over(run), F.lit(0)).alias("first"))
     # one file to a task: a given number of partitions is not merged again, however short the manifest
-    records = manifest.repartitionByRange(max(1, manifest.count()), "part").mapInArrow(partial(_read, root=root), _READ)
-    return records.join(F.broadcast(first), "part").select(F.col("id").alias(id_col), (F.col("first") + F.col("before")).alias("start"), "ids")
+    number = manifest.count()
+    records = manifest.repartitionByRange(max(1, number), "part").mapInArrow(partial(_read, root=root), _READ)
+    return records.join(F.broadcast(first) if number <= MAX_BROADCAST_FILES else first, "part").select(F.col("id").alias(id_col), (F.col("first") + F.col("before")).alias("start"), "ids")
 
 
 def new_root(spark: SparkSession) -> str:

@@ -25,7 +25,7 @@ from pyspark import TaskContext
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from rareseries.llm.common import cut, files, written
+from rareseries.llm.common import cut, files, neighbours, written
 
 # Fixed values of the format.
 VERSION = b"WARC/1.1"
@@ -316,7 +316,7 @@ def _read(batches: Iterator[pa.RecordBatch], root: str, payloads: bool) -> Itera
                 raise ValueError(f"{row['index']} does not hold what the manifest says")
             rows, size = [], 0
             with fs.open_input_file(row["data"]) as data:
-                for first, last in _runs(places):
+                for first, last in neighbours(places, RUN_BYTES):
                     base = places[first][0]
                     raw = memoryview(data.read_at(places[last - 1][0] + places[last - 1][1] - base, base))
                     for at, n in places[first:last]:
@@ -339,17 +339,6 @@ def _read(batches: Iterator[pa.RecordBatch], root: str, payloads: bool) -> Itera
                 yield out(rows)
 
 
-def _runs(places: list[tuple[int, int]]) -> Iterator[tuple[int, int]]:
-    """Neighbouring members that are read together: at most ``RUN_BYTES``, or one member."""
-    first = 0
-    for i, (at, n) in enumerate(places):
-        if i > first and at + n - places[first][0] > RUN_BYTES:
-            yield first, i
-            first = i
-    if places:
-        yield first, len(places)
-
-
 def read_warc(manifest: DataFrame, root: str, id_col: str = "page_id", payloads: bool = True) -> DataFrame:
     """A row for each response and revisit of the archives, each read by its place in the index.
 

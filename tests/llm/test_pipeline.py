@@ -70,5 +70,5 @@ def test_run_and_registration(spark):
     import __spark_entry__ as entry
 
     names = entry.queries()
-    assert {"pipeline"} | {f"op{n}" for n in (1, 2, 3, 4, 5, 7, 8, 9, 10)} <= {n.split("_")[0] for n in names}
+    assert {"pipeline"} | {f"op{n}" for n in range(1, 14)} <= {n.split("_")[0] for n in names}
     assert corpus_pipeline.run(spark, SF).columns == ["doc_id", "start", "length", "ids", "doc_tokens", "sequence_id", "offset"]
