@@ -8,7 +8,7 @@ import numpy as np
 import pytest
 from pyspark.sql import functions as F
 
-from rareseries.llm import packing, suffix_dedup, vector_dedup
+from rareseries.llm import jaccard_join, packing, suffix_dedup, vector_dedup
 from rareseries.llm.exact_dedup import drop_copies
 from rareseries.llm.jaccard_join import jaccard_groups, keep_one_per_group
 from rareseries.llm.mixing import mix, mixed_documents
@@ -80,6 +80,25 @@ def test_keep_one_row_of_each_group(hot):
     assert set(got) <= set(rows)
 
 
+def test_jaccard_links_are_contracted_in_stages_without_another_python_step(hot, monkeypatch):
+    plans, contract = [], jaccard_join.components
+    monkeypatch.setattr(jaccard_join, "components", lambda edges: plans.append(edges._jdf.queryExecution().toString()) or contract(edges))
+    keep_one_per_group(hot)
+    assert len(plans) == 2 and not any("MapInArrow" in p for p in plans)
+
+
+def test_jaccard_links_of_more_sets_than_are_weighed_at_a_time():
+    rng = np.random.default_rng(3)
+    sets = [np.sort(rng.choice(40, 30, replace=False)).astype(np.uint64) for _ in range(2 * jaccard_join.ROWS + 9)]
+    rows = np.zeros((len(sets), 40), dtype=int)
+    for i, s in enumerate(sets):
+        rows[i, s.astype(int)] = 1
+    both = rows @ rows.T
+    want = np.nonzero(np.triu(100 * both >= 70 * (60 - both), 1))
+    got = jaccard_join._links(sets, 70)
+    assert len(want[0]) and sorted(zip(*got, strict=True)) == sorted(zip(*want, strict=True))
+
+
 def test_drop_copies_keeps_one_row_of_each_text(hot):
     rows = hot_rows()
     best = {}
