@@ -13,7 +13,7 @@ from pyspark.sql import functions as F
 
 from ..functions.ids import blob_path
 from ..schemas import BLOB
-from ..session import written
+from ..session import spread, written
 from .hashing import hash_check
 
 BLOB_COLUMNS = ["source", "collection", "id", "pos", "ts", "value", "blob_path"]
@@ -97,8 +97,12 @@ def missing_from_source(wanted: DataFrame, panel: DataFrame) -> tuple[DataFrame,
 
 
 def path_collisions(ids: DataFrame) -> DataFrame:
-    """Blob paths shared by more than one id (must be empty)."""
-    return (ids.select("id", blob_path("id").alias("blob_path")).distinct()
+    """Blob paths shared by more than one id (must be empty).
+
+    Rows meet by path in as many tasks as their number asks for; no task gathers the rows of its input before that.
+    """
+    rows = spread(ids.select("id", blob_path("id").alias("blob_path")), "blob_path")
+    return (rows.distinct()
             .groupBy("blob_path").agg(F.count(F.lit(1)).alias("n_ids"), F.min("id").alias("first_id"),
                                       F.max("id").alias("last_id"))
             .filter(F.col("n_ids") > 1))

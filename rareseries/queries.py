@@ -35,7 +35,7 @@ from .operators.publish import (blob_sizes, finalize_catalog, missing_from_sourc
 from .operators.retrieve import pull, pull_many, pull_status, read_series, verify_pulled
 from .params import NULL_BUCKET
 from .schemas import published
-from .session import ensure_checkpoint_dir
+from .session import ensure_checkpoint_dir, spread
 from .sources.tables import TABLE_PANELS, TablePanel, read_scan_results, read_table, table_panel
 from .sources.wide import infer_granularity, panel_from_wide
 
@@ -538,7 +538,7 @@ def q_exclude_collections(spark, root):
 def q_path_collisions_keys(spark, root):
     """U9 on keys that differ in characters a path cannot hold: ids of one shard fall together."""
     key = F.explode(F.array(*[F.concat(F.lit(a), F.col("c_custkey").cast("string")) for a in COLLIDING])).alias("key")
-    keys = read_table(spark, root, "customer").select(key)
+    keys = spread(read_table(spark, root, "customer").select("c_custkey"), "c_custkey").select(key)
     return path_collisions(keys.select(make_id(F.lit("tables"), F.lit("customer"), F.col("key")).alias("id")))
 
 
