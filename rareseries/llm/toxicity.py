@@ -19,11 +19,13 @@ from functools import partial
 
 import numpy as np
 import pyarrow as pa
+from pyspark.ml.classification import LogisticRegression
+from pyspark.ml.linalg import Matrices, Vectors, VectorUDT
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from rareseries.llm import textkernel as K
-from rareseries.llm.common import cut, slices
+from rareseries.llm.common import cut, slices, written
 
 # What a symbol or digit may stand for (common substitutions).
 STANDS_FOR = {"0": "o", "1": "il", "2": "z", "3": "e", "4": "a", "5": "s", "6": "bg", "7": "t", "8": "b", "9": "g", "@": "a", "$": "s", "!": "il", "|": "il", "+": "t", "*": "aeiou", "(": "c"}
@@ -36,9 +38,7 @@ MARKS = "!|+("
 SYMBOL, PART, REPEAT, DOUBLE, BREAK, MARK = (math.log(p) for p in (0.1, 0.2, 0.3, 0.001, 0.05, 0.5))
 #: Longer words and runs are decoded each time they occur; shorter ones are remembered by the worker.
 LONGEST = 48
-#: Labelled rows that training takes at most (those with the smallest hashes of their ids).
-MAX_TRAIN = 30_000
-#: Features that are counted and that are fitted, at most (on the driver).
+#: Features that are counted and that are fitted, at most: the driver holds a number for each of them.
 MAX_COUNTED, MAX_FITTED = 1 << 17, 4096
 #: Words that parted letters are read as: so many at most, each in three training rows or more, of so many letters.
 MAX_WORDS, WORD_LETTERS = 1 << 16, 24
@@ -275,15 +275,23 @@ def _positive(batches, model, spoken):
         yield pa.RecordBatch.from_arrays([pa.array(names.view(np.int64)), pa.array(n)], ["f", "n"])
 
 
-def _counted(batches, model, known, spoken):
-    total = np.zeros(len(known.value), dtype=np.int64)
+def _counted(batches, n_features: int):
+    total = np.zeros(n_features, dtype=np.int64)
     for batch in batches:
-        for part in slices(batch, "text"):
-            total += np.bincount(_present(part.column("text"), model.value, known.value, spoken.value)[1], minlength=len(total))
+        total += np.bincount(batch.column("places").flatten().to_numpy(zero_copy_only=False), minlength=n_features)
     seen = np.flatnonzero(total)
     yield pa.RecordBatch.from_arrays([pa.array(seen), pa.array(total[seen])], ["place", "n"])
 
 
+def _renamed(batches, place):
+    """Rows (y, places) with the places that ``place`` gives; those below 0 are left out."""
+    for batch in batches:
+        lists = batch.column("places")
+        flat = place.value[lists.flatten().to_numpy(zero_copy_only=False)]
+        ends = np.concatenate([[0], np.cumsum(flat >= 0)])[np.concatenate([[0], np.cumsum(lists.value_lengths().to_numpy(zero_copy_only=False))])]
+        yield pa.RecordBatch.from_arrays([batch.column("y"), pa.ListArray.from_arrays(pa.array(ends, pa.int32()), pa.array(flat[flat >= 0], pa.int32()))], ["y", "places"])
+
+
 def _design(batches, model, known, spoken):
     for batch in batches:
         for part in slices(batch, "text"):
@@ -292,68 +300,39 @@ def _design(batches, model, known, spoken):
             yield pa.RecordBatch.from_arrays([part.column("y"), pa.array(lists, pa.list_(pa.int32()))], ["y", "places"])
 
 
-def fit_sparse_logistic(row: np.ndarray, col: np.ndarray, y: np.ndarray, n_features: int, l1: float = 0.3, rounds: int = 400) -> tuple[np.ndarray, float]:
-    """Weights and bias of 0/1 features under an L1 penalty (accelerated proximal gradient; weights stay at 0 or above)."""
-    w, b = np.zeros(n_features), math.log((y.mean() + 1e-6) / (1 - y.mean() + 1e-6))
-    per_row = np.bincount(row, minlength=len(y)) if len(row) else np.zeros(len(y))
-    step = 4.0 / max(1.0, float(np.bincount(col, weights=per_row[row], minlength=n_features).max(initial=0)) + len(y) / 100)
-    v, vb, t = w.copy(), b, 1.0
-    for _ in range(rounds):
-        z = vb + np.bincount(row, weights=v[col], minlength=len(y))
-        r = 1 / (1 + np.exp(-np.clip(z, -30, 30))) - y
-        w2 = np.maximum(0.0, v - step * (np.bincount(col, weights=r[row], minlength=n_features) + l1))
-        b2 = vb - 4.0 / len(y) * r.sum()
-        t2 = (1 + math.sqrt(1 + 4 * t * t)) / 2
-        v, vb = w2 + (t - 1) / t2 * (w2 - w), b2 + (t - 1) / t2 * (b2 - b)
-        w, b, t = w2, b2, t2
-    return w, b
-
-
-def refit(row: np.ndarray, col: np.ndarray, y: np.ndarray, n_features: int, ridge: float = 0.03) -> tuple[np.ndarray, float]:
-    """Weights and bias of 0/1 features without the penalty that chose them, but for a slight ridge.
-
-    Newton steps, each solved by conjugate gradients over the sparse rows and halved until the loss falls; a
-    feature whose weight turns negative is left out and the rest fitted again.
+def fit(design: DataFrame, n_features: int, l1: float = 0.3, ridge: float = 0.03) -> tuple[np.ndarray, float]:
+    """Weights (0 or above) and bias of 0/1 features from rows (y, places, n): n training rows each. Penalties are those of the sum over all rows.
+
+    Every pass over the rows is a Spark job; the driver holds a number per feature. An L1 penalty chooses the features; their weights
+    are fitted again without it, but for a slight ridge.
     """
-    w, b, kept = np.zeros(n_features), math.log((y.mean() + 1e-6) / (1 - y.mean() + 1e-6)), np.ones(n_features)
-
-    def scores(v):
-        return np.bincount(row, weights=v[col], minlength=len(y))
-
-    def sums(r):
-        return np.bincount(col, weights=r[row], minlength=n_features) * kept
-
-    def loss(w, b):
-        z = b + scores(w)
-        return float((np.logaddexp(0, z) - y * z).sum() + ridge / 2 * (w @ w))
-
-    while True:
-        for _ in range(50):
-            p = 1 / (1 + np.exp(-np.clip(b + scores(w), -30, 30)))
-            spread = np.maximum(p * (1 - p), 1e-9)
-            left = -np.append(sums(p - y) + ridge * w, (p - y).sum())
-            step, turn, size = np.zeros(n_features + 1), left.copy(), left @ left
-            slope, start = -left, size
-            for _ in range(200):
-                if size <= 1e-10 * start:
-                    break
-                v = spread * (scores(turn[:-1]) + turn[-1])
-                bent = np.append(sums(v) + ridge * turn[:-1], v.sum())
-                far = size / (turn @ bent)
-                step += far * turn
-                left = left - far * bent
-                size, before = left @ left, size
-                turn = left + size / before * turn
-            far, now = 1.0, loss(w, b)
-            while loss(w + far * step[:-1], b + far * step[-1]) > now + 1e-4 * far * (slope @ step) and far > 1e-6:
-                far /= 2
-            w, b = w + far * step[:-1], b + far * float(step[-1])
-            if np.abs(far * step).max() < 1e-4:
-                break
+    total = design.agg(F.sum("n")).first()[0]
+
+    def vectors(names: np.ndarray) -> DataFrame:
+        place = {int(x): i for i, x in enumerate(names)}
+
+        def vector(places):
+            at = [place[x] for x in places if x in place]
+            return Vectors.sparse(len(names), at, [1.0] * len(at))
+
+        return design.select(F.col("y").cast("double").alias("label"), F.udf(vector, VectorUDT())("places").alias("features"), F.col("n").cast("double").alias("weight"))
+
+    logistic = LogisticRegression(weightCol="weight", standardization=False, maxIter=200, tol=1e-7)
+    chosen = np.arange(n_features)
+    while len(chosen):  # a feature whose weight is negative is left out and the rest chosen from anew
+        w = logistic.setParams(regParam=l1 / total, elasticNetParam=1.0).fit(vectors(chosen)).coefficients.toArray()
         if (w >= 0).all():
-            return w, b
-        kept[w < 0] = 0
-        w = np.maximum(w, 0)
+            chosen = chosen[w > 0]
+            break
+        chosen = chosen[w >= 0]
+    if not len(chosen):
+        p = design.agg(F.sum(F.col("y") * F.col("n"))).first()[0] / total
+        return np.zeros(n_features), math.log((p + 1e-6) / (1 - p + 1e-6))
+    bounds = Matrices.dense(1, len(chosen), [0.0] * len(chosen))
+    found = logistic.setParams(regParam=ridge / total, elasticNetParam=0.0, lowerBoundsOnCoefficients=bounds).fit(vectors(chosen))
+    weights = np.zeros(n_features)
+    weights[chosen] = found.coefficients.toArray()
+    return weights, float(found.intercept)
 
 
 def likelihood_ratio(pos: np.ndarray, neg: np.ndarray, n_pos: int, n_neg: int) -> np.ndarray:
@@ -380,7 +359,7 @@ def held_out(doc_id: Column) -> Column:
 def score_toxicity(docs: DataFrame, labels: DataFrame, id_col: str = "doc_id", text_col: str = "text", label_col: str = "toxic", threshold: float = 0.7) -> DataFrame:
     """One row per document: id_col, held_out, score (0 to 1), predicted (1 if score >= threshold).
 
-    Trains on labelled rows that are not held out (crc32 of the id as text modulo 3 is not 1), MAX_TRAIN at most. Rows without a
+    Trains on all labelled rows that are not held out (crc32 of the id as text modulo 3 is not 1). Rows without a
     label value are left out of training, as are null ids. Null and empty texts get the score of a text without any feature.
     Rows that repeat an id are scored one by one. Without labels of both kinds all scores are the base rate.
     Other columns of either table are ignored.
@@ -389,9 +368,8 @@ def score_toxicity(docs: DataFrame, labels: DataFrame, id_col: str = "doc_id", t
     rows = docs.select(F.col(id_col).cast("long").alias("id"), F.col(text_col).alias("text"))
     model = spark.sparkContext.broadcast(language_model(rows))
     some = labels.select(F.col(id_col).cast("long").alias("lid"), F.col(label_col).cast("int").alias("y")).where("lid is not null and y is not null")
-    some = cut(some.where(~held_out(F.col("lid"))).groupBy("lid").agg(F.max("y").alias("y")).orderBy(F.xxhash64("lid"), "lid").limit(MAX_TRAIN))
-    # at most MAX_TRAIN pairs of numbers: half a megabyte
-    train = cut(rows.join(F.broadcast(some), F.col("id") == F.col("lid")).select("y", "text"))
+    some = some.where(~held_out(F.col("lid"))).groupBy("lid").agg(F.max("y").alias("y"))
+    train = written(rows.where(~held_out(F.col("id"))).join(some, F.col("id") == F.col("lid")).select("y", "text"))
     spoken = spark.sparkContext.broadcast(words_of(train))
     sizes = {r["y"]: r["count"] for r in train.groupBy("y").count().collect()}
     n_pos, n_neg = sizes.get(1, 0), sizes.get(0, 0)
@@ -405,22 +383,18 @@ def score_toxicity(docs: DataFrame, labels: DataFrame, id_col: str = "doc_id", t
         f, p = f[order], p[order]
         counted = spark.sparkContext.broadcast(f)
         n = np.zeros(len(f), dtype=np.int64)
-        for r in train.where("y = 0").select("text").mapInArrow(partial(_counted, model=model, known=counted, spoken=spoken), "place long, n long").groupBy("place").agg(F.sum("n").alias("n")).toLocalIterator():
+        listed = written(train.mapInArrow(partial(_design, model=model, known=counted, spoken=spoken), "y int, places array<int>"))
+        for r in listed.where("y = 0").select("places").mapInArrow(partial(_counted, n_features=len(f)), "place long, n long").groupBy("place").agg(F.sum("n").alias("n")).toLocalIterator():
             n[r["place"]] = r["n"]
         g = likelihood_ratio(p, n, n_pos, n_neg)
         best = np.sort(np.argsort(-g)[:MAX_FITTED])
         best = best[g[best] >= 10]
         known = f[best]
         if len(known):
-            fitted = spark.sparkContext.broadcast(known)
-            design = train.mapInArrow(partial(_design, model=model, known=fitted, spoken=spoken), "y int, places array<int>").toArrow()
-            places = design.column("places").combine_chunks()
-            count = np.diff(places.offsets.to_numpy())
-            y = design.column("y").to_numpy().astype(float)
-            row, col = np.repeat(np.arange(len(y)), count), places.flatten().to_numpy().astype(np.int64)
-            chosen = fit_sparse_logistic(row, col, y, len(known))[0] > 0
-            some = chosen[col]
-            weights, bias = refit(row[some], (np.cumsum(chosen) - 1)[col[some]], y, int(chosen.sum()))
-            known, weights = known[chosen][weights > 0], weights[weights > 0]
+            place = np.full(len(f), -1, dtype=np.int32)
+            place[best] = np.arange(len(best))
+            design = listed.mapInArrow(partial(_renamed, place=spark.sparkContext.broadcast(place)), "y int, places array<int>")
+            weights, bias = fit(cut(design.groupBy("y", "places").agg(F.count("*").alias("n"))), len(known))
+            known, weights = known[weights > 0], weights[weights > 0]
     scored = rows.mapInArrow(partial(_score, model=model, known=spark.sparkContext.broadcast(known), weights=spark.sparkContext.broadcast(weights), bias=float(bias), spoken=spoken), "id long, score double")
     return scored.select(F.col("id").alias(id_col), held_out(F.col("id")).alias("held_out"), "score", (F.col("score") >= threshold).cast("int").alias("predicted"))

@@ -415,6 +415,18 @@ def test_toxicity_held_out(spark):
     assert got[10**7]["predicted"] == 1 and got[10**7 + 1]["score"] == got[10**7 + 2]["score"] < 0.5
 
 
+def test_toxicity_trains_on_every_labelled_row(spark):
+    """The word that marks toxic rows stands only in those that come last by the hash of their ids, after 30,000 others."""
+    train = spark.range(46_000).where(~toxicity.held_out(F.col("id")))
+    last = train.count() - 30_000
+    assert 400 < last < 1000
+    names = {r["id"] for r in train.orderBy(F.xxhash64("id").desc()).limit(last).collect()}
+    docs = spark.createDataFrame([(i, "a zorkish day" if i in names else "a plain day") for i in range(46_000)] + [(10**7, "what a zorkish thing"), (10**7 + 1, "what a plain thing")], "doc_id long, text string")
+    labels = spark.createDataFrame([(i, int(i in names)) for i in range(46_000)], "doc_id long, toxic int")
+    got = by_id(toxicity.score_toxicity(docs, labels).where("doc_id >= 10000000"))
+    assert got[10**7]["predicted"] == 1 and got[10**7 + 1]["predicted"] == 0
+
+
 def test_toxicity_edges(spark, clashing, empty_docs):
     labels = spark.createDataFrame([(1, 1), (2, 0), (3, None), (None, 1)], "doc_id long, toxic int")
     assert toxicity.score_toxicity(empty_docs, labels).count() == 0
