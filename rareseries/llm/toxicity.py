@@ -40,6 +40,10 @@ SYMBOL, PART, REPEAT, DOUBLE, BREAK, MARK = (math.log(p) for p in (0.1, 0.2, 0.3
 LONGEST = 48
 #: Features that are counted and that are fitted, at most: the driver holds a number for each of them.
 MAX_COUNTED, MAX_FITTED = 1 << 17, 4096
+#: Features that join the working set of the fit at a time, and how far above the penalty (as a share of it) they must be pulled.
+TAKEN_IN, SLACK = 128, 0.01
+#: Places of features in the training rows of one task of the fit.
+TASK_PLACES = 1 << 20
 #: Words that parted letters are read as: so many at most, each in three training rows or more, of so many letters.
 MAX_WORDS, WORD_LETTERS = 1 << 16, 24
 #: Log probabilities of an unknown word, and of each letter in it.
@@ -284,12 +288,13 @@ def _counted(batches, n_features: int):
 
 
 def _renamed(batches, place):
-    """Rows (y, places) with the places that ``place`` gives; those below 0 are left out."""
+    """Rows with the places that ``place`` gives; those below 0 are left out. Other columns stay."""
     for batch in batches:
         lists = batch.column("places")
         flat = place.value[lists.flatten().to_numpy(zero_copy_only=False)]
         ends = np.concatenate([[0], np.cumsum(flat >= 0)])[np.concatenate([[0], np.cumsum(lists.value_lengths().to_numpy(zero_copy_only=False))])]
-        yield pa.RecordBatch.from_arrays([batch.column("y"), pa.ListArray.from_arrays(pa.array(ends, pa.int32()), pa.array(flat[flat >= 0], pa.int32()))], ["y", "places"])
+        named = pa.ListArray.from_arrays(pa.array(ends, pa.int32()), pa.array(flat[flat >= 0], pa.int32()))
+        yield pa.RecordBatch.from_arrays([named if x == "places" else batch.column(x) for x in batch.schema.names], batch.schema.names)
 
 
 def _design(batches, model, known, spoken):
@@ -300,36 +305,79 @@ def _design(batches, model, known, spoken):
             yield pa.RecordBatch.from_arrays([part.column("y"), pa.array(lists, pa.list_(pa.int32()))], ["y", "places"])
 
 
+def _pulled(batches, weights, bias: float):
+    """Minus the gradient of the summed loss for each feature, over the rows (y, places, n) of a task."""
+    total = np.zeros(len(weights.value))
+    for batch in batches:
+        flat, count = batch.column("places").flatten().to_numpy(zero_copy_only=False), batch.column("places").value_lengths().to_numpy(zero_copy_only=False)
+        row = np.repeat(np.arange(len(batch)), count)
+        z = bias + np.bincount(row, weights=weights.value[flat], minlength=len(batch))
+        left = batch.column("n").to_numpy(zero_copy_only=False) * (batch.column("y").to_numpy(zero_copy_only=False) - 1 / (1 + np.exp(-z)))
+        total += np.bincount(flat, weights=left[row], minlength=len(total))
+    seen = np.flatnonzero(total)
+    yield pa.RecordBatch.from_arrays([pa.array(seen), pa.array(total[seen])], ["place", "pull"])
+
+
+def _dealt(design: DataFrame) -> DataFrame:
+    """``design`` in as many tasks as its places ask for: what a pass sends grows with the rows, not with the shuffle's partitions."""
+    n = design.agg(F.sum(F.size("places") + 1)).first()[0] or 0
+    return design.coalesce(max(1, -(-n // TASK_PLACES)))
+
+
 def fit(design: DataFrame, n_features: int, l1: float = 0.3, ridge: float = 0.03) -> tuple[np.ndarray, float]:
     """Weights (0 or above) and bias of 0/1 features from rows (y, places, n): n training rows each. Penalties are those of the sum over all rows.
 
     Every pass over the rows is a Spark job; the driver holds a number per feature. An L1 penalty chooses the features; their weights
-    are fitted again without it, but for a slight ridge.
+    are fitted again without it, but for a slight ridge. The choice is made on a working set, which takes in the features that the
+    loss pulls up by more than the penalty until none is left outside: the short jobs of the solver run over the rows as that set tells them apart.
     """
-    total = design.agg(F.sum("n")).first()[0]
+    spark, design = design.sparkSession, _dealt(design)
+    total, positive = design.agg(F.sum("n"), F.sum(F.col("y") * F.col("n"))).first()
+
+    def within(names: np.ndarray) -> DataFrame:
+        place = np.full(n_features, -1, dtype=np.int32)
+        place[names] = names
+        rows = design.mapInArrow(partial(_renamed, place=spark.sparkContext.broadcast(place)), "y int, places array<int>, n long")
+        return _dealt(cut(rows.groupBy("y", "places").agg(F.sum("n").alias("n"))))
 
-    def vectors(names: np.ndarray) -> DataFrame:
+    def vectors(rows: DataFrame, names: np.ndarray) -> DataFrame:
         place = {int(x): i for i, x in enumerate(names)}
 
         def vector(places):
             at = [place[x] for x in places if x in place]
             return Vectors.sparse(len(names), at, [1.0] * len(at))
 
-        return design.select(F.col("y").cast("double").alias("label"), F.udf(vector, VectorUDT())("places").alias("features"), F.col("n").cast("double").alias("weight"))
+        return rows.select(F.col("y").cast("double").alias("label"), F.udf(vector, VectorUDT())("places").alias("features"), F.col("n").cast("double").alias("weight"))
 
     logistic = LogisticRegression(weightCol="weight", standardization=False, maxIter=200, tol=1e-7)
-    chosen = np.arange(n_features)
-    while len(chosen):  # a feature whose weight is negative is left out and the rest chosen from anew
-        w = logistic.setParams(regParam=l1 / total, elasticNetParam=1.0).fit(vectors(chosen)).coefficients.toArray()
-        if (w >= 0).all():
-            chosen = chosen[w > 0]
+    base = math.log((positive / total + 1e-6) / (1 - positive / total + 1e-6))
+    weights, bias = np.zeros(n_features), base
+    names, outside = np.zeros(0, dtype=np.int64), np.ones(n_features, dtype=bool)
+    while True:
+        pull = np.zeros(n_features)
+        for r in design.mapInArrow(partial(_pulled, weights=spark.sparkContext.broadcast(weights), bias=bias), "place long, pull double").groupBy("place").agg(F.sum("pull").alias("pull")).collect():
+            pull[r["place"]] = r["pull"]
+        new = np.flatnonzero(outside & (pull > l1 * (1 + SLACK)))
+        if not len(new):
             break
-        chosen = chosen[w >= 0]
+        new = new[np.argsort(-pull[new], kind="stable")[:TAKEN_IN]]
+        outside[new] = False
+        names = np.sort(np.concatenate([names, new]))
+        rows = within(names)
+        while len(names):  # a feature whose weight is negative is left out and the rest chosen from anew
+            found = logistic.setParams(regParam=l1 / total, elasticNetParam=1.0).fit(vectors(rows, names))
+            w = found.coefficients.toArray()
+            if (w >= 0).all():
+                break
+            names = names[w >= 0]
+        weights, bias = np.zeros(n_features), float(found.intercept) if len(names) else base
+        if len(names):
+            weights[names] = w
+    chosen = np.flatnonzero(weights)
     if not len(chosen):
-        p = design.agg(F.sum(F.col("y") * F.col("n"))).first()[0] / total
-        return np.zeros(n_features), math.log((p + 1e-6) / (1 - p + 1e-6))
+        return weights, bias
     bounds = Matrices.dense(1, len(chosen), [0.0] * len(chosen))
-    found = logistic.setParams(regParam=ridge / total, elasticNetParam=0.0, lowerBoundsOnCoefficients=bounds).fit(vectors(chosen))
+    found = logistic.setParams(regParam=ridge / total, elasticNetParam=0.0, lowerBoundsOnCoefficients=bounds).fit(vectors(within(chosen), chosen))
     weights = np.zeros(n_features)
     weights[chosen] = found.coefficients.toArray()
     return weights, float(found.intercept)
@@ -369,7 +417,8 @@ def score_toxicity(docs: DataFrame, labels: DataFrame, id_col: str = "doc_id", t
     model = spark.sparkContext.broadcast(language_model(rows))
     some = labels.select(F.col(id_col).cast("long").alias("lid"), F.col(label_col).cast("int").alias("y")).where("lid is not null and y is not null")
     some = some.where(~held_out(F.col("lid"))).groupBy("lid").agg(F.max("y").alias("y"))
-    train = written(rows.where(~held_out(F.col("id"))).join(some, F.col("id") == F.col("lid")).select("y", "text"))
+    # merged at every size: labels grow with the documents, and no broadcast does
+    train = written(rows.where(~held_out(F.col("id"))).join(some.hint("merge"), F.col("id") == F.col("lid")).select("y", "text"))
     spoken = spark.sparkContext.broadcast(words_of(train))
     sizes = {r["y"]: r["count"] for r in train.groupBy("y").count().collect()}
     n_pos, n_neg = sizes.get(1, 0), sizes.get(0, 0)

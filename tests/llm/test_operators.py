@@ -15,7 +15,7 @@ from pyspark.sql import functions as F
 
 from rareseries.llm import packing, quality, suffix_dedup, token_files, toxicity, vector_dedup
 from rareseries.llm import textkernel as K
-from rareseries.llm.common import components
+from rareseries.llm.common import components, cut
 from rareseries.llm.exact_dedup import drop_copies, exact_groups
 from rareseries.llm.jaccard_join import jaccard_groups, keep_one_per_group
 from rareseries.llm.mixing import mix, mixed_documents, targets
@@ -427,6 +427,36 @@ def test_toxicity_trains_on_every_labelled_row(spark):
     assert got[10**7]["predicted"] == 1 and got[10**7 + 1]["predicted"] == 0
 
 
+def test_toxicity_fit_moves_little(spark, monkeypatch):
+    """The solver's short jobs run over few tasks and the features that are pulled up, whatever the partitions and features of the rows."""
+    rng, rows = np.random.default_rng(7), []
+    for i in range(3000):
+        marks = [i // 10 % 3] if i % 10 == 0 else []
+        rows.append((int(i % 10 == 0), marks + np.unique(rng.integers(3, 900, 5)).tolist(), 1))
+    design, sizes, plain = cut(spark.createDataFrame(rows, "y int, places array<int>, n long").repartition(40)), [], toxicity.LogisticRegression.fit
+
+    def spied(self, df):
+        sizes.append(df.rdd.getNumPartitions() * df.first()["features"].size)
+        return plain(self, df)
+
+    monkeypatch.setattr(toxicity.LogisticRegression, "fit", spied)
+    weights, bias = toxicity.fit(design, 900)
+    assert sizes and max(sizes) <= 128
+    assert (weights >= 0).all() and (weights[:3] > 5).all() and bias < -2
+    monkeypatch.setattr(toxicity, "TAKEN_IN", 2)  # the working set grows round by round
+    again, _ = toxicity.fit(design, 900)
+    assert np.allclose(again[:3], weights[:3], rtol=0.05)
+
+
+def test_toxicity_labels_join_alike_at_every_size(spark, monkeypatch):
+    plans, plain = [], toxicity.written
+    monkeypatch.setattr(toxicity, "written", lambda df: plans.append(df._jdf.queryExecution().executedPlan().toString()) or plain(df))
+    docs = spark.createDataFrame([(i, f"some words of row {i}") for i in range(20)], "doc_id long, text string")
+    labels = spark.createDataFrame([(i, 0) for i in range(20)], "doc_id long, toxic int")
+    assert toxicity.score_toxicity(docs, labels).count() == 20
+    assert "SortMergeJoin" in plans[0] and "Broadcast" not in plans[0]
+
+
 def test_toxicity_edges(spark, clashing, empty_docs):
     labels = spark.createDataFrame([(1, 1), (2, 0), (3, None), (None, 1)], "doc_id long, toxic int")
     assert toxicity.score_toxicity(empty_docs, labels).count() == 0
