@@ -40,8 +40,8 @@ SYMBOL, PART, REPEAT, DOUBLE, BREAK, MARK = (math.log(p) for p in (0.1, 0.2, 0.3
 LONGEST = 48
 #: Features that are counted and that are fitted, at most: the driver holds a number for each of them.
 MAX_COUNTED, MAX_FITTED = 1 << 17, 4096
-#: Features that join the working set of the fit at a time, and how far above the penalty (as a share of it) they must be pulled.
-TAKEN_IN, SLACK = 128, 0.01
+#: So many features or fewer are fitted at once; of more, so many join the working set of the fit at a time, and how far above the penalty (as a share of it) they must be pulled.
+TAKEN_WHOLE, TAKEN_IN, SLACK = 512, 128, 0.01
 #: Places of features in the training rows of one task of the fit.
 TASK_PLACES = 1 << 20
 #: Words that parted letters are read as: so many at most, each in three training rows or more, of so many letters.
@@ -352,8 +352,24 @@ def fit(design: DataFrame, n_features: int, l1: float = 0.3, ridge: float = 0.03
     logistic = LogisticRegression(weightCol="weight", standardization=False, maxIter=200, tol=1e-7)
     base = math.log((positive / total + 1e-6) / (1 - positive / total + 1e-6))
     weights, bias = np.zeros(n_features), base
+
+    def choose(rows: DataFrame, names: np.ndarray) -> tuple[np.ndarray, float, np.ndarray]:
+        while len(names):  # a feature whose weight is negative is left out and the rest chosen from anew
+            found = logistic.setParams(regParam=l1 / total, elasticNetParam=1.0).fit(vectors(rows, names))
+            w = found.coefficients.toArray()
+            if (w >= 0).all():
+                weights = np.zeros(n_features)
+                weights[names] = w
+                return weights, float(found.intercept), names
+            names = names[w >= 0]
+        return np.zeros(n_features), base, names
+
     names, outside = np.zeros(0, dtype=np.int64), np.ones(n_features, dtype=bool)
-    while True:
+    rows = design
+    if n_features <= TAKEN_WHOLE:
+        weights, bias, names = choose(rows, np.arange(n_features))
+        outside[:] = False
+    while outside.any():
         pull = np.zeros(n_features)
         for r in design.mapInArrow(partial(_pulled, weights=spark.sparkContext.broadcast(weights), bias=bias), "place long, pull double").groupBy("place").agg(F.sum("pull").alias("pull")).collect():
             pull[r["place"]] = r["pull"]
@@ -364,20 +380,12 @@ def fit(design: DataFrame, n_features: int, l1: float = 0.3, ridge: float = 0.03
         outside[new] = False
         names = np.sort(np.concatenate([names, new]))
         rows = within(names)
-        while len(names):  # a feature whose weight is negative is left out and the rest chosen from anew
-            found = logistic.setParams(regParam=l1 / total, elasticNetParam=1.0).fit(vectors(rows, names))
-            w = found.coefficients.toArray()
-            if (w >= 0).all():
-                break
-            names = names[w >= 0]
-        weights, bias = np.zeros(n_features), float(found.intercept) if len(names) else base
-        if len(names):
-            weights[names] = w
+        weights, bias, names = choose(rows, names)
     chosen = np.flatnonzero(weights)
     if not len(chosen):
         return weights, bias
     bounds = Matrices.dense(1, len(chosen), [0.0] * len(chosen))
-    found = logistic.setParams(regParam=ridge / total, elasticNetParam=0.0, lowerBoundsOnCoefficients=bounds).fit(vectors(within(chosen), chosen))
+    found = logistic.setParams(regParam=ridge / total, elasticNetParam=0.0, lowerBoundsOnCoefficients=bounds).fit(vectors(rows, chosen))
     weights = np.zeros(n_features)
     weights[chosen] = found.coefficients.toArray()
     return weights, float(found.intercept)
