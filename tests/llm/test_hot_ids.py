@@ -8,7 +8,7 @@ import numpy as np
 import pytest
 from pyspark.sql import functions as F
 
-from rareseries.llm import jaccard_join, packing, suffix_dedup, vector_dedup
+from rareseries.llm import common, jaccard_join, packing, suffix_dedup, vector_dedup
 from rareseries.llm.exact_dedup import drop_copies
 from rareseries.llm.jaccard_join import jaccard_groups, keep_one_per_group
 from rareseries.llm.mixing import mix, mixed_documents
@@ -99,6 +99,54 @@ def test_jaccard_links_of_more_sets_than_are_weighed_at_a_time():
     assert len(want[0]) and sorted(zip(*got, strict=True)) == sorted(zip(*want, strict=True))
 
 
+@pytest.mark.parametrize("rare", [1, 5, 64])
+@pytest.mark.parametrize("split", [0, 70])
+def test_jaccard_links_of_rare_and_common_members(monkeypatch, rare, split):
+    """Members of few and of many sets make the same links, within a chunk and between two."""
+    monkeypatch.setattr(jaccard_join, "RARE", rare)
+    rng = np.random.default_rng(7)
+    sets = []
+    for i in range(160):
+        own = rng.integers(100, 4000, 3) if i % 3 else rng.integers(100, 130, 3)
+        sets.append(np.unique(np.concatenate([rng.choice(24, 20, replace=False), own])).astype(np.uint64))
+    want = {(i, j) for i in range(160) for j in range(i + 1, 160) if 100 * len(both := set(sets[i]) & set(sets[j])) >= 60 * len({*sets[i], *sets[j]}) and both}
+    want = {(i, j) for i, j in want if not split or i < split <= j}
+    got = [*zip(*(x.tolist() for x in jaccard_join._links(sets, 60, split)), strict=True)]
+    assert want and len(got) == len(want) and set(got) == want
+
+
+def test_jaccard_moves_each_text_once(spark, monkeypatch):
+    """One large cell of near copies: only its texts move, each once, whatever the number of its chunks."""
+    monkeypatch.setattr(jaccard_join, "CHUNK", 5)
+    moved = []
+
+    def seen(df, root, *keys, keep=jaccard_join.kept_groups):
+        out = keep(df, root, *keys)
+        moved.append(sum(common.read_group(*common.files(root), r["file"], r["at"], r["size"]).num_rows for r in out.collect()))
+        return out
+
+    monkeypatch.setattr(jaccard_join, "kept_groups", seen)
+    words = [f"w{i}" for i in range(90)]
+    rows = [(i, " ".join([*words[:i], f"x{i}", *words[i + 1 :]])) for i in range(60)] + [(100 + i, f"a{i} b{i} c{i} d{i}") for i in range(40)] + [(200 + i, " ".join(words)) for i in range(9)]
+    df = spark.createDataFrame(rows, "doc_id long, text string").repartition(7)
+    got = {r["doc_id"]: r["component_id"] for r in jaccard_groups(df, k=2, percent=80).collect()}
+    assert got == {i: 0 if i < 60 or i >= 200 else i for i, _ in rows}
+    assert moved == [61]  # equal sets go once
+    assert not [x for x in keep_one_per_group(df)._jdf.queryExecution().executedPlan().toString().split("\n") if "Exchange" in x]
+
+
+@pytest.mark.parametrize("missing", [False, True])
+def test_join_rows(spark, missing):
+    """Rows of a written table, several partitions of them without keys, meet their keys in place."""
+    df = spark.range(400).repartition(6, "id").select(F.monotonically_increasing_id().alias("row"), F.col("id").alias("name"), F.array(F.lit(1.5), F.lit(None)).alias("odd"))
+    table = common.written(df)
+    held = table.where("name % 3 = 0 and row > (2L << 33)").select("row", (F.col("name") * 2).alias("twice"), F.lit("x").alias("y"))
+    got = common.join_rows(table, held, "row", missing=missing)
+    want = table.join(held, "row", "left_anti" if missing else "inner")
+    assert got.dtypes == want.dtypes and Counter(map(str, got.collect())) == Counter(map(str, want.collect())) and want.count()
+    assert common.join_rows(table, held.limit(0), "row", missing=missing).count() == (400 if missing else 0)
+
+
 def test_drop_copies_keeps_one_row_of_each_text(hot):
     rows = hot_rows()
     best = {}
