@@ -13,7 +13,7 @@ from rareseries.llm.exact_dedup import drop_copies
 from rareseries.llm.jaccard_join import jaccard_groups, keep_one_per_group
 from rareseries.llm.mixing import mix, mixed_documents
 from rareseries.llm.quality import keep_good, rate
-from tests.llm.test_operators import LOWER, shingles
+from tests.llm.test_operators import LOWER, roots, shingles
 
 SCHEMA = "doc_id long, text string, lang string, source string, n_chars long"
 
@@ -231,3 +231,34 @@ def test_vectors_by_row(spark, monkeypatch):
     got = vector_dedup.vector_groups(spark.createDataFrame(rows, "vec_id long, embedding array<double>").repartition(3)).collect()
     assert Counter((r["vec_id"], r["n_links"], r["component_id"]) for r in got) == want
     assert all(r["kept"] == (r["vec_id"] is not None and r["vec_id"] == r["component_id"]) for r in got)
+
+
+def test_vector_blocks_are_written_once(spark, monkeypatch):
+    """Many blocks that all meet: their rows lie in files once, no shuffle carries them from pair to pair, and the links are those of all pairs."""
+    monkeypatch.setattr(vector_dedup, "BLOCK", 10)
+    rng = np.random.default_rng(11)
+    x = rng.normal(size=(300, 16)).astype(np.float32)
+    x[200:] = x[:100] + 0.05 * rng.normal(size=(100, 16)).astype(np.float32)
+    x[100:130] = x[100]
+    kept, plans = [], []
+
+    def seen(df, root, *keys, made, keep=vector_dedup.kept_groups):
+        out = keep(df, root, *keys, made=made)
+        kept.append([common.read_group(*common.files(root), r["file"], r["at"], r["size"]).num_rows for r in out.collect()])
+        return out
+
+    def wrote(df, write=vector_dedup.written):
+        plans.append(df._jdf.queryExecution().toString())
+        return write(df)
+
+    monkeypatch.setattr(vector_dedup, "kept_groups", seen)
+    monkeypatch.setattr(vector_dedup, "written", wrote)
+    df = spark.createDataFrame([(i, v.tolist()) for i, v in enumerate(x)], "vec_id long, embedding array<float>").repartition(4)
+    got = {r["vec_id"]: r for r in vector_dedup.vector_groups(df).collect()}
+    assert len(kept) == 1 and sum(kept[0]) == 300 and len(kept[0]) > 20
+    assert not any("cogroup" in p.lower() for p in plans)
+    unit = x.astype(np.float64) / np.linalg.norm(x.astype(np.float64), axis=1, keepdims=True)
+    linked = unit @ unit.T >= 0.9
+    np.fill_diagonal(linked, False)
+    want = roots(range(300), zip(*(e.tolist() for e in np.nonzero(linked)), strict=True))
+    assert {i: (r["n_links"], r["component_id"]) for i, r in got.items()} == {i: (int(linked[i].sum()), want[i]) for i in range(300)}
